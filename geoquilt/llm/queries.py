@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquilt.llm import mixing, quality, sharding
+from geoquilt.llm import minhash, mixing, quality, sharding
 from geoquilt.llm.common import uniform_sql
 
 
@@ -35,6 +35,11 @@ def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op10_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.cluster(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 OP2_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x : x <> '') AS ws FROM d),
@@ -77,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_host_quality": op2_host_quality,
         "op4_poisson_mix": op4_poisson_mix,
         "op9_rendezvous": op9_rendezvous,
+        "op10_fast_sketch_dedup": op10_fast_sketch_dedup,
     }
 
 
