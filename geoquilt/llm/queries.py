@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquilt.llm import minhash, mixing, quality, sharding
-from geoquilt.llm.common import uniform_sql
+from geoquilt.llm import bpe, minhash, mixing, quality, sharding, token_counts
+from geoquilt.llm.common import new_path, uniform_sql
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,21 @@ def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.encode(table(spark, sf_dir, "documents"), "text", path, ["doc_id"])
+    coded = coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(bpe.joined(F.col("ids")), 256).alias("ids_sha256"))
+    decoded = bpe.decode(coded, "ids", path, ["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_cached_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of this run's own, so every distinct text of the table is encoded
+    docs, cache = table(spark, sf_dir, "documents"), new_path(spark, "token-cache")
+    found = token_counts.count_tokens(docs, "text", public_tokenizers.path("byte_bpe_50k.json"), cache, ["doc_id"])
+    return found.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
@@ -81,6 +97,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_host_quality": op2_host_quality,
         "op4_poisson_mix": op4_poisson_mix,
+        "op7_pair_index_bpe": op7_pair_index_bpe,
+        "op8_cached_counts": op8_cached_counts,
         "op9_rendezvous": op9_rendezvous,
         "op10_fast_sketch_dedup": op10_fast_sketch_dedup,
     }
