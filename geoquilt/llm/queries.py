@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquilt.llm import bpe, minhash, mixing, quality, sharding, token_counts
+from geoquilt.llm import bpe, html_text, minhash, mixing, pii, quality, sharding, token_counts
 from geoquilt.llm.common import new_path, uniform_sql
 
 
@@ -26,6 +26,20 @@ def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    of = lambda kind: lambda k: k == kind
+    as_text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
+    counts = [F.size(F.filter(F.col("spans.kind"), of(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(as_text(base), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"))
+
+
+def op6_block_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     coded = bpe.encode(table(spark, sf_dir, "documents"), "text", path, ["doc_id"])
@@ -97,6 +111,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_host_quality": op2_host_quality,
         "op4_poisson_mix": op4_poisson_mix,
+        "op5_disclosure": op5_disclosure,
+        "op6_block_tree": op6_block_tree,
         "op7_pair_index_bpe": op7_pair_index_bpe,
         "op8_cached_counts": op8_cached_counts,
         "op9_rendezvous": op9_rendezvous,
