@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquilt.llm import bpe, html_text, minhash, mixing, pii, quality, sharding, token_counts
+from geoquilt.llm import bpe, hnsw, html_text, minhash, mixing, pii, quality, sharding, token_counts, toxicity
 from geoquilt.llm.common import new_path, uniform_sql
 
 
@@ -16,12 +16,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the labels have two categories: unwanted text (quality 0) and toxic text
+    labels = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("unwanted"), "toxic")
+    found = toxicity.classify(table(spark, sf_dir, "documents"), labels, ["unwanted", "toxic"], keep=["doc_id"])
+    return found.select("doc_id", "p_unwanted", "p_toxic", F.col("is_toxic").alias("toxic"))
+
+
 def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = quality.judge(docs, keep=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("host_rate", 9).alias("host_rate"))
 
 
+def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op4_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -109,7 +121,9 @@ FROM (SELECT *, CAST(unnest(range(1, n_copies + 1)) AS INT) AS copy FROM n)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_classifier_chain": op1_classifier_chain,
         "op2_host_quality": op2_host_quality,
+        "op3_hnsw": op3_hnsw,
         "op4_poisson_mix": op4_poisson_mix,
         "op5_disclosure": op5_disclosure,
         "op6_block_tree": op6_block_tree,

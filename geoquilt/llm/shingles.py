@@ -34,12 +34,12 @@ _UP = powers(_BASE, _PIECE + 1)
 _DOWN = powers(pow(_BASE, -1, 2**64), _PIECE + 1)
 
 
-def words_of(data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words_of(data: np.ndarray, limits: np.ndarray, gaps: np.ndarray = _GAP) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, number of its text) for texts that lie end to end in ``data`` between ``limits``."""
     data = _LOWER[data]
     word = np.empty(len(data) + 2, bool)
     word[0] = word[-1] = False
-    np.logical_not(_GAP[data], out=word[1:-1])
+    np.logical_not(gaps[data], out=word[1:-1])
     start = word[1:-1] & ~word[:-2]
     end = word[1:-1] & ~word[2:]
     cut = limits[1:-1]
