@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_cached_counts": op8_cached_counts,
         "op9_rendezvous": op9_rendezvous,
         "op10_fast_sketch_dedup": op10_fast_sketch_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
