@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from geoquilt.plans import catalog, jobs, points_queries, pyramid_queries, raster_queries, spatial_queries, swath_queries, tiepoint_queries, time_queries  # noqa: F401  each registers its queries
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(catalog.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(catalog.ORACLES)
