@@ -1 +1,162 @@
-"""Queries."""
+"""Queries on rasters."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from geoquilt.operators import raster as rs
+from geoquilt.plans.catalog import INPUTS, query
+
+SIDE = 256
+INPUTS["images"] = "SELECT DISTINCT CAST(l_suppkey % 2 AS INT) AS image_id FROM lineitem"
+INPUTS["paths"] = "SELECT o_custkey AS path, o_orderkey AS seq, o_orderkey % 5 = 0 AS masked FROM orders"
+GRID = "g AS (SELECT image_id, x, y FROM images, range(0, 256) a(x), range(0, 256) b(y))"
+
+
+@query("s4_tile_status", """SELECT i.image_id, CAST(a.tx AS INT) AS tile_x, CAST(b.ty AS INT) AS tile_y, count(v) AS n, CASE WHEN count(v) = 0 THEN 'EMPTY' WHEN count(v) < 16 THEN 'PARTIAL' ELSE 'FULL' END AS status
+FROM images i CROSS JOIN range(0, 64) a(tx) CROSS JOIN range(0, 64) b(ty) LEFT JOIN pixels p ON p.image_id = i.image_id AND p.x // 4 = a.tx AND p.y // 4 = b.ty GROUP BY 1, 2, 3""")
+def s4(t):
+    return rs.tile_status(t.pixels, t.images, SIDE, SIDE, 4)
+
+
+@query("s10_expand_palette", "SELECT image_id, x, y, coalesce(r, 0) AS r, coalesce(g, 0) AS g, coalesce(b, 0) AS b FROM pixels LEFT JOIN (SELECT * FROM palette WHERE idx <> 7) q ON v = idx")
+def s10(t):
+    return rs.expand_palette(t.pixels, t.palette.filter("idx <> 7"))
+
+
+@query("s11_palette_null", "SELECT min(CASE WHEN idx % 11 = 5 THEN idx END) AS null_index, 'preserve' AS mode FROM palette UNION ALL SELECT min(CASE WHEN r - g = 0 AND b % 4 = 0 THEN idx END), 'black' FROM palette")
+def s11(t):
+    lut = t.palette.select("idx", (F.col("r") - F.col("g")).alias("r"), F.lit(0).alias("g"), (F.col("b") % 4).alias("b"), F.when(F.col("idx") % 11 == 5, 0).otherwise(255).alias("a"))
+    return rs.palette_null_index(lut, True).withColumn("mode", F.lit("preserve")).unionByName(rs.palette_null_index(lut, False).withColumn("mode", F.lit("black")))
+
+
+@query("s12_stretch", "WITH s AS (SELECT image_id, min(v) AS a, max(v) AS b FROM pixels GROUP BY 1) SELECT image_id, x, y, CAST(floor((v - a) / CAST(b - a AS DOUBLE) * 255 + 0.5) AS INT) AS v FROM pixels JOIN s USING (image_id)")
+def s12(t):
+    return rs.stretch(t.pixels, rs.band_stats(t.pixels, t.images.filter("image_id < 0")))
+
+
+@query("s14_alpha", f"WITH {GRID} SELECT image_id, CAST(x AS INT) AS x, CAST(y AS INT) AS y, CASE WHEN v IS NULL THEN 0 ELSE 255 END AS alpha FROM g LEFT JOIN pixels USING (image_id, x, y)")
+def s14(t):
+    return rs.alpha_channel(t.pixels, t.images, SIDE, SIDE)
+
+
+@query("s15_ycc_to_rgb", """WITH c AS (SELECT image_id, x // 2 AS cx, y // 2 AS cy, CAST(max(v)*5 % 256 AS INT) - 128 AS cb, CAST(min(v)*3 % 256 AS INT) - 128 AS cr FROM pixels GROUP BY 1, 2, 3), j AS (SELECT p.image_id, x, y, v*4 AS l, cb, cr FROM pixels p JOIN c ON p.image_id = c.image_id AND x // 2 = cx AND y // 2 = cy)
+SELECT image_id, x, y, least(255, greatest(0, l + CAST(trunc(CAST(1.402 AS DOUBLE)*cr) AS INT))) AS r, least(255, greatest(0, l - CAST(trunc(CAST(0.344 AS DOUBLE)*cb + CAST(0.714 AS DOUBLE)*cr) AS INT))) AS g, least(255, greatest(0, l + CAST(trunc(CAST(1.772 AS DOUBLE)*cb) AS INT))) AS b FROM j""")
+def s15(t):
+    chroma = t.pixels.groupBy("image_id", F.floor(F.col("x") / 2).cast("int").alias("x"), F.floor(F.col("y") / 2).cast("int").alias("y")).agg((F.max("v") * 5 % 256).alias("cb"), (F.min("v") * 3 % 256).alias("cr"))
+    j = rs.upsample_chroma(t.pixels, chroma, 2, 2)
+    r, g, b = rs.ycc_to_rgb(F.col("v") * 4, F.col("cb"), F.col("cr"), 128, 255)
+    return j.select("image_id", "x", "y", r.alias("r"), g.alias("g"), b.alias("b"))
+
+
+@query("s31_full_patches", "SELECT image_id, x // 2 AS tile_x, y // 2 AS tile_y FROM pixels GROUP BY 1, 2, 3 HAVING count(*) = 4")
+def s31(t):
+    return rs.tile_status(t.pixels, t.images, SIDE, SIDE, 2).filter("status = 'FULL'").select("image_id", "tile_x", "tile_y")
+
+
+@query("s31b_split_complex", "SELECT image_id, x, y, 0 AS band, v FROM pixels UNION ALL SELECT image_id, x, y, 1, x - y FROM pixels")
+def s31b(t):
+    return rs.split_complex(t.pixels.select("image_id", "x", "y", F.lit(0).alias("band"), F.col("v").alias("re"), (F.col("x") - F.col("y")).alias("im")))
+
+
+@query("r16_select_bands", "SELECT image_id AS band, x, y, v, p.position FROM pixels JOIN (VALUES (0, 1), (1, 0), (2, 0)) p(position, b) ON image_id = b")
+def r16(t):
+    bands = t.pixels.select((F.col("image_id") + 1).alias("band"), "x", "y", "v")
+    return rs.select_bands(bands, [2, 1, 9], 2).select((F.col("band") - 1).alias("band"), "x", "y", "v", "position")
+
+
+@query("a1_band_stats", "SELECT image_id, count(v) AS n, CASE WHEN image_id = 1 THEN 1.0::DOUBLE ELSE min(v)::DOUBLE END AS min_px, CASE WHEN image_id = 1 THEN 255.0::DOUBLE ELSE max(v)::DOUBLE END AS max_px, 0.0::DOUBLE AS null_px FROM pixels GROUP BY image_id")
+def a1(t):
+    return rs.band_stats(t.pixels, t.images.filter("image_id = 1"), "u8", 300.0)
+
+
+@query("a3_valid_rect", "SELECT image_id, CAST(min(y*1000+x) % 1000 AS INT) AS ul_x, CAST(min(y*1000+x) // 1000 AS INT) AS ul_y, CAST(max(y*1000+x) % 1000 AS INT) AS lr_x, CAST(max(y*1000+x) // 1000 AS INT) AS lr_y FROM pixels GROUP BY image_id")
+def a3(t):
+    return rs.valid_rect(t.pixels)
+
+
+A9 = "WITH a AS (SELECT image_id, x // 2 AS x, y // 2 AS y, avg(v) AS v FROM pixels GROUP BY 1, 2, 3), b AS (SELECT image_id, x // 2 AS x, y // 2 AS y, avg(v) AS v FROM a GROUP BY 1, 2, 3), c AS (SELECT image_id, x // 2 AS x, y // 2 AS y, avg(v) AS v FROM b GROUP BY 1, 2, 3)"
+
+
+@query("a9_overviews", f"{A9} SELECT 1 AS level, image_id, x, y, round(v, 9) AS v FROM a UNION ALL SELECT 2, image_id, x, y, round(v, 9) FROM b UNION ALL SELECT 3, image_id, x, y, round(v, 9) FROM c")
+def a9(t):
+    return rs.overviews(t.pixels, SIDE, SIDE, 32).withColumn("v", F.round("v", 9))
+
+
+@query("a9_overviews_nearest", "SELECT l AS level, image_id, x // m AS x, y // m AS y, CAST(v AS DOUBLE) AS v FROM pixels, (VALUES (1, 2), (2, 4), (3, 8)) s(l, m) WHERE x % m = 0 AND y % m = 0")
+def a9_nearest(t):
+    return rs.overviews(t.pixels, SIDE, SIDE, 32, "nearest")
+
+
+@query("a14_histogram", "SELECT image_id, v, count(*) AS n FROM pixels GROUP BY 1, 2")
+def a14(t):
+    return rs.histogram(t.pixels)
+
+
+@query("a21_palette_of_inputs", "SELECT n_regionkey, bool_and(n_nationkey % 7 <> 3) AS use_lut, CASE WHEN bool_and(n_nationkey % 7 <> 3) THEN max(n_nationkey) END AS lut FROM nation GROUP BY 1")
+def a21(t):
+    return rs.palette_of_inputs(t.nation.select("n_regionkey", (F.col("n_nationkey") % 7 != 3).alias("has_lut"), F.col("n_nationkey").alias("lut_id"), F.col("n_nationkey").alias("position")), "n_regionkey")
+
+
+def targets(t):
+    return rs.full_grid(t.images, 128, 128).select("image_id", F.col("x").alias("tx"), F.col("y").alias("ty"), (F.col("x") * 1.75 + 3.25).alias("sx"), (F.col("y") * 1.5 + 2.125).alias("sy"))
+
+
+@query("k5_resample", """WITH g AS (SELECT image_id, tx, ty, tx*CAST(1.75 AS DOUBLE) + 3.25 AS sx, ty*CAST(1.5 AS DOUBLE) + 2.125 AS sy FROM images, range(0, 128) a(tx), range(0, 128) b(ty)),
+c AS (SELECT image_id, tx, ty, floor(sx) + dx AS x, floor(sy) + dy AS y, (CASE WHEN dx = 1 THEN sx - floor(sx) ELSE 1 - (sx - floor(sx)) END) * (CASE WHEN dy = 1 THEN sy - floor(sy) ELSE 1 - (sy - floor(sy)) END) AS w FROM g, (VALUES (0), (1)) q(dx), (VALUES (0), (1)) r(dy))
+SELECT c.image_id, CAST(tx AS INT) AS tx, CAST(ty AS INT) AS ty, round(sum(w*v)/sum(w), 9) AS v FROM c JOIN pixels p ON c.image_id = p.image_id AND c.x = p.x AND c.y = p.y WHERE w > 0 GROUP BY 1, 2, 3""")
+def k5(t):
+    return rs.resample(t.pixels, targets(t)).withColumn("v", F.round("v", 9))
+
+
+@query("j12_outside_mask", "SELECT image_id, x, y, v FROM pixels WHERE v % 3 <> 0")
+def j12(t):
+    return rs.outside_mask(t.pixels, t.pixels.filter("v % 3 = 0")).select("image_id", "x", "y", "v")
+
+
+@query("a18_boundary_edges", """WITH m AS (SELECT image_id, x, y FROM pixels WHERE v > 10), s AS (SELECT m.*, dx, dy, x+a AS x0, y+b AS y0, x+c AS x1, y+d AS y1 FROM m, (VALUES (0,-1,1,0,0,0), (-1,0,0,0,0,1), (0,1,0,1,1,1), (1,0,1,1,1,0)) q(dx, dy, a, b, c, d))
+SELECT image_id, x0, y0, x1, y1 FROM s WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.image_id = s.image_id AND m.x = s.x + s.dx AND m.y = s.y + s.dy)""")
+def a18(t):
+    return rs.boundary_edges(t.pixels.filter("v > 10").select("image_id", "x", "y"))
+
+
+@query("a17_remove_speckles")
+def a17(t):
+    return rs.remove_speckles(t.pixels.filter("v > 10").select("image_id", "x", "y"))
+
+
+@query("w4_split_paths", """WITH p AS (SELECT *, sum(masked::INT) OVER (PARTITION BY path ORDER BY seq) AS piece FROM paths), q AS (SELECT path, seq, piece, count(*) OVER (PARTITION BY path, piece) AS n FROM p WHERE NOT masked) SELECT path, seq, CAST(piece AS BIGINT) AS piece FROM q WHERE n >= 3""")
+def w4(t):
+    return rs.split_paths(t.paths)
+
+
+@query("k2_corners")
+def k2(t):
+    return rs.detect_corners(t.pixels, quality=0.01)
+
+
+@query("k3_named_detector")
+def k3(t):
+    found = rs.detect(t.pixels, "harris", quality=0.01, most=5)
+    return rs.patch_descriptors(t.pixels, found)
+
+
+PATCH = """WITH f AS (SELECT a*256 + b AS feature_id, a AS x, b AS y FROM range(16, 256, 32) p(a), range(16, 256, 32) q(b)), o AS (SELECT d FROM range(-2, 3) r(d)),
+j AS (SELECT feature_id, CAST(ox.d AS INT) AS dx, CAST(oy.d AS INT) AS dy, CAST(u.v AS DOUBLE) AS a, CAST(w.v AS DOUBLE) AS b FROM f, o px, o py, o ox, o oy, pixels u, pixels w WHERE u.image_id = 0 AND u.x = f.x + px.d AND u.y = f.y + py.d AND w.image_id = 1 AND w.x = u.x + ox.d AND w.y = u.y + oy.d),
+n AS (SELECT feature_id, dx, dy, count(*) AS n, round(corr(a, b), 9) AS ncc FROM j GROUP BY 1, 2, 3 HAVING count(*) >= 4 AND var_pop(a) > 0 AND var_pop(b) > 0)"""
+
+
+def correlations(t):
+    f = t.images.filter("image_id = 0").withColumn("x", F.explode(F.sequence(F.lit(16), F.lit(255), F.lit(32)))).withColumn("y", F.explode(F.sequence(F.lit(16), F.lit(255), F.lit(32))))
+    f = f.select((F.col("x") * 256 + F.col("y")).cast("long").alias("feature_id"), "x", "y")
+    return rs.template_matches(t.pixels.filter("image_id = 0"), t.pixels.filter("image_id = 1"), f, 2, 2, 4)
+
+
+@query("j11_template_matches", f"{PATCH} SELECT * FROM n")
+def j11(t):
+    return correlations(t).withColumn("ncc", F.round("ncc", 9))
+
+
+@query("k4_fourier")
+def k4(t):
+    return rs.fourier(t.pixels, SIDE, SIDE)

@@ -1 +1,90 @@
-"""Queries."""
+"""Queries on footprints, features and places."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from geoquilt.operators import spatial
+from geoquilt.plans.catalog import query
+from geoquilt.sources import features as vf
+
+BOX = ("min_lon", "min_lat", "max_lon", "max_lat")
+
+
+def boxes(t):
+    return t.footprints.select(F.col("cell_id").alias("id"), F.col("min_lon").alias("min_x"), F.col("min_lat").alias("min_y"), F.col("max_lon").alias("max_x"), F.col("max_lat").alias("max_y"))
+
+
+@query("j1_image_pairs", "SELECT a.n_nationkey AS image_a, b.n_nationkey AS image_b FROM nation a JOIN nation b ON a.n_nationkey <> b.n_nationkey")
+def j1(t):
+    return spatial.image_pairs(t.nation, "n_nationkey", reverse=True)
+
+
+@query("j2_footprint_overlap", """SELECT a.cell_id AS id_a, b.cell_id AS id_b, greatest(a.min_lon, b.min_lon) AS min_x, greatest(a.min_lat, b.min_lat) AS min_y, least(a.max_lon, b.max_lon) AS max_x, least(a.max_lat, b.max_lat) AS max_y FROM footprints a JOIN footprints b ON a.cell_id < b.cell_id
+WHERE greatest(a.min_lon, b.min_lon) < least(a.max_lon, b.max_lon) AND greatest(a.min_lat, b.min_lat) < least(a.max_lat, b.max_lat) AND (least(a.max_lon, b.max_lon) - greatest(a.min_lon, b.min_lon)) * (least(a.max_lat, b.max_lat) - greatest(a.min_lat, b.min_lat)) >= 5""")
+def j2(t):
+    area = (F.col("max_x") - F.col("min_x")) * (F.col("max_y") - F.col("min_y"))
+    return spatial.box_pairs(boxes(t), boxes(t), 10.0).filter((F.col("id_a") < F.col("id_b")) & (area >= 5))
+
+
+@query("j3_point_in_cell", """SELECT gp_id, lon, lat, max(cell_id) AS cell_id FROM ground_points LEFT JOIN footprints ON lon >= min_lon AND lon <= max_lon AND lat >= min_lat AND lat <= max_lat GROUP BY gp_id, lon, lat""")
+def j3(t):
+    return spatial.points_in_boxes(t.ground_points, t.footprints, 10.0)
+
+
+@query("j4_features_on_tiles", "WITH x AS (SELECT *, unnest(range(CAST(floor(min_lon/7.5) AS BIGINT), CAST(floor(max_lon/7.5) AS BIGINT) + 1)) AS tile_x FROM footprints) SELECT cell_id, tile_x, unnest(range(CAST(floor(min_lat/7.5) AS BIGINT), CAST(floor(max_lat/7.5) AS BIGINT) + 1)) AS tile_y FROM x")
+def j4(t):
+    return spatial.features_on_tiles(t.footprints, 7.5)
+
+
+@query("s32_within_distance", """WITH d AS (SELECT gp_id, cell_id, sqrt(pow(greatest(min_lon - lon, 0, lon - max_lon), 2) + pow(greatest(min_lat - lat, 0, lat - max_lat), 2)) AS distance FROM ground_points, footprints)
+SELECT gp_id, cell_id, round(distance, 9) AS distance FROM d WHERE distance <= 1.25""")
+def s32(t):
+    return spatial.within_distance(t.ground_points, spatial.rings_of_boxes(t.footprints), 1.25, 10.0).withColumn("distance", F.round("distance", 9))
+
+
+@query("a4_bounding_box", "SELECT min(min_lon) AS min_lon, min(min_lat) AS min_lat, max(max_lon) AS max_lon, max(max_lat) AS max_lat FROM footprints WHERE cell_id % 10 <> 3")
+def a4(t):
+    nan = F.lit(float("nan"))
+    return spatial.bounding_box(t.footprints.select("cell_id", *[F.when(F.col("cell_id") % 10 == 3, nan).otherwise(F.col(c)).alias(c) for c in BOX]))
+
+
+@query("k1_search_tiles", """WITH o AS (SELECT image_id, x0, y0, width, height FROM rects),
+s AS (SELECT *, coalesce(list_filter(list_transform([7,6,5,4,3,2], lambda n : width // n), lambda d : d >= 300)[1], width // 2) AS dx, coalesce(list_filter(list_transform([7,6,5,4,3,2], lambda n : height // n), lambda d : d >= 300)[1], height // 2) AS dy FROM o),
+l AS (SELECT *, CASE WHEN width > 300 THEN range(x0, x0 + width - 300, dx) ELSE [] END AS xs, CASE WHEN height > 300 THEN range(y0, y0 + height - 300, dy) ELSE [] END AS ys FROM s),
+f AS (SELECT image_id, unnest(xs) AS x, ys FROM l WHERE len(xs)*len(ys) >= 4)
+SELECT image_id, x, unnest(ys) AS y, 300 AS w, 300 AS h FROM f UNION ALL SELECT image_id, x0, y0, width, height FROM l WHERE len(xs)*len(ys) < 4""")
+def k1(t):
+    return spatial.search_tiles(t.rects, 300, 7)
+
+
+@query("r10_scan_features", """SELECT cell_id, 'Polygon' AS geom_type, 0 AS part, u.i AS vertex, CASE WHEN u.i IN (1, 2) THEN max_lon ELSE min_lon END AS x, CASE WHEN u.i IN (2, 3) THEN max_lat ELSE min_lat END AS y FROM footprints, (VALUES (0), (1), (2), (3), (4)) AS u(i)""")
+def r10(t):
+    rings = spatial.rings_of_boxes(t.footprints)
+    lines = rings.select(vf.geojson(F.array("ring"), F.create_map(F.lit("cell_id"), F.col("cell_id").cast("string"))).alias("value"))
+    v = vf.vertices(vf.parse_features(lines))
+    return v.select(F.col("properties")["cell_id"].cast("long").alias("cell_id"), "geom_type", "part", "vertex", "x", "y")
+
+
+@query("r11_query_layer", "SELECT cell_id, min_lon FROM footprints WHERE max_lat > 50 UNION ALL SELECT gp_id, lon FROM ground_points")
+def r11(t):
+    layers = {"cells": t.footprints, "places": t.ground_points}
+    cells = vf.layer(t.spark, layers, query="SELECT cell_id, min_lon FROM {cells} WHERE max_lat > 50")
+    return cells.union(vf.layer(t.spark, layers, index=1).select("gp_id", "lon"))
+
+
+@query("r12_geojson")
+def r12(t):
+    rings = spatial.rings_of_boxes(t.footprints)
+    return rings.select("cell_id", vf.geojson(F.array("ring"), F.create_map(F.lit("cell_id"), F.col("cell_id").cast("string"))).alias("line"))
+
+
+@query("s28_flatten_curves", """WITH p AS (SELECT image_id, CAST(x0 AS DOUBLE) AS ax, CAST(y0 AS DOUBLE) AS ay, x0 + 10.0 AS qx, y0 + 40.0 AS qy, x0 + 50.0 AS cx, y0 + 45.0 AS cy, x0 + 60.0 AS dx, CAST(y0 AS DOUBLE) AS dy FROM rects)
+SELECT image_id, CAST(i AS INT) AS vertex, round(pow(1-i/8.0,3)*ax + 3*pow(1-i/8.0,2)*(i/8.0)*qx + 3*(1-i/8.0)*pow(i/8.0,2)*cx + pow(i/8.0,3)*dx, 9) AS x, round(pow(1-i/8.0,3)*ay + 3*pow(1-i/8.0,2)*(i/8.0)*qy + 3*(1-i/8.0)*pow(i/8.0,2)*cy + pow(i/8.0,3)*dy, 9) AS y FROM p, range(1, 9) r(i)""")
+def s28(t):
+    from geoquilt.functions.curves import flatten_curves
+
+    p = lambda x, y: F.struct((F.col("x0") + x).cast("double").alias("x"), (F.col("y0") + y).cast("double").alias("y"))
+    curve = F.array(F.struct(p(0, 0).alias("a"), p(10.0, 40.0).alias("b"), p(50.0, 45.0).alias("c"), p(60.0, 0).alias("d")))
+    v = t.rects.select("image_id", F.posexplode(flatten_curves(curve)).alias("i", "v"))
+    return v.select("image_id", (F.col("i") + 1).alias("vertex"), F.round("v.x", 9).alias("x"), F.round("v.y", 9).alias("y"))
