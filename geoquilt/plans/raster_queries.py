@@ -130,19 +130,25 @@ def w4(t):
     return rs.split_paths(t.paths)
 
 
+def filled(t):
+    """The second overview, in which hardly a pixel is null."""
+    return rs.overviews(t.pixels, SIDE, SIDE, 64).filter("level = 2").select("image_id", "x", "y", "v")
+
+
 @query("k2_corners")
 def k2(t):
-    return rs.detect_corners(t.pixels, quality=0.01)
+    return rs.detect_corners(filled(t), tile=32, quality=0.01)
 
 
 @query("k3_named_detector")
 def k3(t):
-    found = rs.detect(t.pixels, "harris", quality=0.01, most=5)
-    return rs.patch_descriptors(t.pixels, found)
+    image = filled(t)
+    return rs.patch_descriptors(image, rs.detect(image, "harris", tile=32, quality=0.01, most=5))
 
 
-PATCH = """WITH f AS (SELECT a*256 + b AS feature_id, a AS x, b AS y FROM range(16, 256, 32) p(a), range(16, 256, 32) q(b)), o AS (SELECT d FROM range(-2, 3) r(d)),
-j AS (SELECT feature_id, CAST(ox.d AS INT) AS dx, CAST(oy.d AS INT) AS dy, CAST(u.v AS DOUBLE) AS a, CAST(w.v AS DOUBLE) AS b FROM f, o px, o py, o ox, o oy, pixels u, pixels w WHERE u.image_id = 0 AND u.x = f.x + px.d AND u.y = f.y + py.d AND w.image_id = 1 AND w.x = u.x + ox.d AND w.y = u.y + oy.d),
+PATCH = """WITH f AS (SELECT a*256 + b AS feature_id, a AS x, b AS y FROM range(16, 256, 32) p(a), range(16, 256, 32) q(b)), o AS (SELECT d FROM range(-2, 3) r(d)), px AS MATERIALIZED (SELECT * FROM pixels),
+fp AS MATERIALIZED (SELECT feature_id, x + a.d AS x, y + b.d AS y FROM f, o a, o b), r AS MATERIALIZED (SELECT feature_id, fp.x, fp.y, CAST(v AS DOUBLE) AS a FROM fp JOIN px ON image_id = 0 AND px.x = fp.x AND px.y = fp.y),
+m AS MATERIALIZED (SELECT feature_id, CAST(e.d AS INT) AS dx, CAST(g.d AS INT) AS dy, a, x + e.d AS x, y + g.d AS y FROM r, o e, o g), j AS (SELECT feature_id, dx, dy, a, CAST(v AS DOUBLE) AS b FROM m JOIN px ON image_id = 1 AND px.x = m.x AND px.y = m.y),
 n AS (SELECT feature_id, dx, dy, count(*) AS n, round(corr(a, b), 9) AS ncc FROM j GROUP BY 1, 2, 3 HAVING count(*) >= 4 AND var_pop(a) > 0 AND var_pop(b) > 0)"""
 
 
