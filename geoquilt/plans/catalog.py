@@ -86,7 +86,7 @@ def query(name: str, sql: str | None = None) -> Callable:
             raise ValueError(f"query {name} is there already")
         QUERIES[name] = lambda spark, sf_dir: f(Inputs(spark, sf_dir))
         if sql is not None:
-            ORACLES[name] = with_inputs(sql)
+            ORACLES[name] = sql
         return f
 
     return register

@@ -1 +1,144 @@
-"""Queries."""
+"""Whole jobs: tie points, pyramids, surfaces, vectors, and streams of tiles."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from geoquilt.functions import grid, sensors
+from geoquilt.functions import timeorbit as to
+from geoquilt.operators import points as pc
+from geoquilt.operators import raster as rs
+from geoquilt.operators import spatial
+from geoquilt.operators import tiepoints as tp
+from geoquilt.plans.catalog import query
+from geoquilt.plans.raster_queries import SIDE, filled
+from geoquilt.plans.time_queries import looks, pushed
+from geoquilt.sources import pyramid
+from geoquilt.sources.shared import materialize, new_path
+from geoquilt.streaming import tiles as st
+
+
+def stretched(t) -> DataFrame:
+    """Both images in 8 bits, written once, as every later step reads them."""
+    image = filled(t)
+    stats = rs.band_stats(image, t.images.filter("image_id < 0"))
+    return materialize(rs.stretch(image, stats), "stretched")
+
+
+def correlate(images: DataFrame, ref: int, cmp: int, settings: tp.FilterSettings, tile: int = 32) -> DataFrame:
+    """Candidates of the corners of one image in another: tile_id, tp_id, x, y, match_rank, dx, dy, confidence."""
+    corners = rs.detect(images.filter(F.col("image_id") == ref), "min_eigen", tile=tile, quality=0.01, most=settings.features_per_tile)
+    features = corners.select((F.col("tile_x") * 4096 + F.col("tile_y")).cast("long").alias("tile_id"), (F.col("x").cast("long") * 65536 + F.col("y")).alias("feature_id"), "x", "y")
+    features = materialize(features, "corners")
+    found = rs.template_matches(images.filter(F.col("image_id") == ref), images.filter(F.col("image_id") == cmp), features, 3, 3, 20)
+    m = found.join(features, "feature_id").select("tile_id", F.col("feature_id").alias("tp_id"), "x", "y", F.lit(0).alias("match_rank"), F.col("dx").cast("double").alias("dx"), F.col("dy").cast("double").alias("dy"), F.col("ncc").alias("confidence"))
+    return tp.best_matches(m, 0.1, settings.matches_per_feature)
+
+
+@query("p1_tie_points_correlation")
+def p1(t):
+    settings = tp.FilterSettings()
+    pair = spatial.image_pairs(t.images, "image_id").first()  # a request names its images
+    images = stretched(t)
+    candidates = correlate(images, pair.image_a, pair.image_b, settings)
+    return tp.top_points(tp.filter_without_parallax(candidates, settings), settings.points_per_tile)
+
+
+@query("p2_tie_points_descriptor")
+def p2(t):
+    settings = tp.FilterSettings()
+    images = stretched(t)
+    corners = materialize(rs.detect(images, "min_eigen", tile=32, quality=0.01, most=settings.features_per_tile), "corners")
+    d = rs.patch_descriptors(images, corners).join(corners.select("image_id", "tile_x", "tile_y", "x", "y"), ["image_id", "x", "y"])
+    d = d.select("image_id", (F.col("tile_x") * 4096 + F.col("tile_y")).cast("long").alias("tile_id"), (F.col("x").cast("long") * 65536 + F.col("y")).alias("vec_id"), "embedding")
+    d = materialize(d, "descriptors")
+    a, b = d.filter("image_id = 0"), d.filter("image_id = 1")
+    found = tp.strengths(tp.descriptor_matches(a, b, settings.matches_per_feature))
+    at = lambda c: (F.floor(F.col(c) / 65536), F.col(c) % 65536)
+    (xa, ya), (xb, yb) = at("id_a"), at("id_b")
+    m = found.select("tile_id", F.col("id_a").alias("tp_id"), F.col("rank").alias("match_rank"), (xb - xa).cast("double").alias("dx"), (yb - ya).cast("double").alias("dy"), F.col("strength").alias("confidence"))
+    return tp.top_points(tp.filter_without_parallax(m, tp.FilterSettings(min_vector_difference=30.0)), settings.points_per_tile)
+
+
+def pyramid_tiles(t, tile: int = 32) -> DataFrame:
+    """Tiles of three levels below the full one, the coarsest at zoom 0; blank tiles are absent."""
+    levels = rs.overviews(t.pixels, SIDE, SIDE, 32)
+    rows = levels.select((3 - F.col("level")).alias("zoom_level"), "image_id", F.floor(F.col("x") / tile).cast("int").alias("tile_column"), F.floor(F.col("y") / tile).cast("int").alias("tile_row"), (F.col("x") % tile).alias("px"), (F.col("y") % tile).alias("py"), "v")
+    packed = rows.groupBy("image_id", "zoom_level", "tile_column", "tile_row").agg(F.sort_array(F.collect_list(F.struct("py", "px", "v"))).alias("data"))
+    return packed.select(F.concat(F.lit("image"), F.col("image_id")).alias("table_name"), "zoom_level", "tile_column", "tile_row", "data")
+
+
+P3 = "WITH a AS (SELECT image_id, x // 2 AS x, y // 2 AS y, avg(v) AS v FROM pixels GROUP BY 1, 2, 3), b AS (SELECT image_id, x // 2 AS x, y // 2 AS y, avg(v) AS v FROM a GROUP BY 1, 2, 3), c AS (SELECT image_id, x // 2 AS x, y // 2 AS y, avg(v) AS v FROM b GROUP BY 1, 2, 3), l AS (SELECT 2 AS z, * FROM a UNION ALL SELECT 1, * FROM b UNION ALL SELECT 0, * FROM c)"
+
+
+@query("p3_pyramid_build", f"{P3} SELECT 'image' || image_id AS table_name, z AS zoom_level, CAST(x // 32 AS INT) AS tile_column, CAST(y // 32 AS INT) AS tile_row, CAST(count(*) AS INT) AS n, round(sum(v), 6) AS total FROM l GROUP BY 1, 2, 3, 4")
+def p3(t):
+    path = new_path(t.spark, "pyramid")
+    pyramid.write_pyramid(pyramid_tiles(t), path)
+    return t.spark.read.parquet(path).select("table_name", "zoom_level", "tile_column", "tile_row", F.size("data").alias("n"), F.round(F.aggregate("data", F.lit(0.0), lambda s, p: s + p["v"]), 6).alias("total"))
+
+
+@query("p4_pyramid_read", "SELECT w.image_id AS view_id, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM views w JOIN pixels p ON p.image_id = w.image_id % 2 AND p.x BETWEEN w.x0 AND w.x0 + w.width - 1 AND p.y BETWEEN w.y0 AND w.y0 + w.height - 1 GROUP BY 1")
+def p4(t):
+    """Pixels of arbitrary views, through the tiles that hold them: an equi-join on addresses, then a clip."""
+    tiles = t.pixels.groupBy("image_id", F.floor(F.col("x") / 32).alias("tile_column"), F.floor(F.col("y") / 32).alias("tile_row")).agg(F.collect_list(F.struct("x", "y", "v")).alias("data"))
+    views = pyramid.tiles_for_rect(t.views.withColumns({"offset_x": F.lit(0), "offset_y": F.lit(0)}), 32, 32).withColumn("view_id", F.col("image_id")).withColumn("image_id", (F.col("image_id") % 2).cast("int"))
+    j = views.join(tiles, ["image_id", "tile_column", "tile_row"])
+    p = j.select("view_id", "clip_x0", "clip_x1", "clip_y0", "clip_y1", F.explode("data").alias("p")).filter("p.x >= clip_x0 AND p.x <= clip_x1 AND p.y >= clip_y0 AND p.y <= clip_y1")
+    return p.groupBy("view_id").agg(F.count(F.lit(1)).alias("n"), F.sum("p.v").cast("long").alias("total"))
+
+
+@query("p5_surface_model")
+def p5(t):
+    """Rays of two looks at each point, the point midway between them, and the highest point of each cell of a grid."""
+    first = pushed(looks(t)).filter("gx IS NOT NULL")
+
+    def compute(pdf):
+        g = pdf[["gx", "gy", "gz"]].to_numpy(float)
+        p1 = np.stack([pdf["px"], pdf["py"], np.zeros(len(pdf))], 1).astype(float)
+        turn = np.array([[np.cos(0.05), -np.sin(0.05), 0], [np.sin(0.05), np.cos(0.05), 0], [0, 0, 1]])
+        p2 = p1 @ turn.T  # where the platform is some time later
+        u1, u2 = pdf[["ux", "uy", "uz"]].to_numpy(float), (g - p2) / np.linalg.norm(g - p2, axis=1, keepdims=True)
+        mid, miss = sensors.two_ray_point(p1, u1, p2, u2)
+        return {"mx": mid[:, 0], "my": mid[:, 1], "mz": mid[:, 2], "miss": miss}
+
+    met = sensors.over_batches(first, {c: "double" for c in ("mx", "my", "mz", "miss")}, compute, ["point_id"]).filter("miss < 1.0")
+    lon, lat, h = to.ecef_to_geodetic(F.col("mx"), F.col("my"), F.col("mz"))
+    cloud = met.select("point_id", (F.degrees(lon) + 180.0).alias("x"), (F.degrees(lat) + 90.0).alias("y"), h.alias("z"))
+    return pc.rasterise(cloud, 0.0, 0.0, 0.25, "highest")
+
+
+@query("p6_raster_to_vectors")
+def p6(t):
+    """Outlines of regions without speckles as straight segments in degrees, with the region that each bounds."""
+    mask = materialize(rs.remove_speckles(t.pixels.filter("v > 10").select("image_id", "x", "y"), 4), "mask")
+    e = rs.boundary_edges(mask).withColumns({"flat": F.col("y0") == F.col("y1"), "line": F.when(F.col("y0") == F.col("y1"), F.col("y0")).otherwise(F.col("x0")), "at": F.when(F.col("y0") == F.col("y1"), F.least("x0", "x1")).otherwise(F.least("y0", "y1")), "back": F.when(F.col("y0") == F.col("y1"), F.col("x1") < F.col("x0")).otherwise(F.col("y1") < F.col("y0"))})
+    row = Window.partitionBy("image_id", "flat", "line", "back").orderBy("at")
+    s = e.withColumn("g", F.col("at") - F.row_number().over(row)).groupBy("image_id", "flat", "line", "back", "g").agg(F.min("at").alias("a"), (F.max("at") + 1).alias("b"))
+    end = lambda c: (F.when(F.col("flat"), F.col(c)).otherwise(F.col("line")), F.when(F.col("flat"), F.col("line")).otherwise(F.col(c)))
+    (xa, ya), (xb, yb) = end("a"), end("b")
+    (lon_a, lat_a), (lon_b, lat_b) = grid.pixel_to_lonlat(xa, ya, 0), grid.pixel_to_lonlat(xb, yb, 0)
+    return s.select("image_id", "back", lon_a.alias("lon_a"), lat_a.alias("lat_a"), lon_b.alias("lon_b"), lat_b.alias("lat_b"))
+
+
+def levels(t) -> DataFrame:
+    return t.levels.filter("table_name = 'AFRICA'").select("zoom_level", "matrix_width", "matrix_height")
+
+
+@query("x1_stream_ingest", "SELECT zoom_level, tile_column, tile_row, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM tile_stream t JOIN (SELECT zoom_level, matrix_width, matrix_height FROM levels WHERE table_name = 'AFRICA') l USING (zoom_level) WHERE tile_column < matrix_width AND tile_row < matrix_height AND value IS NOT NULL GROUP BY 1, 2, 3")
+def x1(t):
+    path = new_path(t.spark, "ingested")
+    for _ in range(2):  # the second run replays everything and adds nothing
+        st.ingest(st.read_stream(t.spark, t.sf_dir, "events.parquet"), levels(t), path, new_path(t.spark, "offsets")).awaitTermination()
+    return st.stored(t.spark, path)
+
+
+@query("x2_stream_progress", "SELECT zoom_level, count(*) AS arrived, CAST(any_value(matrix_width * matrix_height) AS BIGINT) AS total FROM tile_stream JOIN (SELECT zoom_level, matrix_width, matrix_height FROM levels WHERE table_name = 'AFRICA') l USING (zoom_level) GROUP BY zoom_level")
+def x2(t):
+    path = new_path(t.spark, "progress")
+    totals = levels(t).select("zoom_level", (F.col("matrix_width") * F.col("matrix_height")).cast("long").alias("total"))
+    st.progress(st.read_stream(t.spark, t.sf_dir, "events.parquet"), totals, path, new_path(t.spark, "offsets")).awaitTermination()
+    return t.spark.read.parquet(path)

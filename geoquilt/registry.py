@@ -14,4 +14,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(catalog.ORACLES)
+    return {name: catalog.with_inputs(sql) for name, sql in catalog.ORACLES.items()}
