@@ -2,39 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geoquilt.sources.shared import materialize, new_path
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
-
-    Only a local session may do without the setting; it gets a folder of its own, once.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    path = tempfile.mkdtemp(prefix="spark-shared-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here, and lost executors cost nothing earlier."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["broadcast_if_small", "materialize", "new_path", "uniform", "uniform_sql"]
 
 
 def broadcast_if_small(df: DataFrame, rows: int, most: int = 100_000) -> DataFrame:

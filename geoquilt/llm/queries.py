@@ -86,8 +86,9 @@ def op10_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x : x <> '') AS ws FROM d),
-p AS (SELECT rid, unnest(range(1, len(ws) - 3)) AS i, ws FROM w),
-g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i:i+4]) AS n FROM p),
+v AS (SELECT rid, unnest(ws) AS v, unnest(range(1, len(ws) + 1)) AS i FROM w),
+p AS (SELECT rid, i, v || ' ' || lead(v) OVER o || ' ' || lead(v, 2) OVER o || ' ' || lead(v, 3) OVER o || ' ' || lead(v, 4) OVER o AS win FROM v WINDOW o AS (PARTITION BY rid ORDER BY i)),
+g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM p WHERE win IS NOT NULL),
 c AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM g WHERE n > 1),
 r AS (SELECT rid, sum(least(5, coalesce(i - before, 5))) AS n_repeat_words FROM c GROUP BY rid),
 l AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x : regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
@@ -120,6 +121,30 @@ FROM (SELECT *, CAST(unnest(range(1, n_copies + 1)) AS INT) AS copy FROM n)
 """
 
 
+OP9_SQL = f"""
+WITH k AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(0, 8)), lambda c, k : CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(0, 256) r(i))),
+d AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+h AS (SELECT doc_id, CAST(strlen(x) + 1 AS BIGINT) AS size, list_transform(string_split(regexp_replace(hex(encode(x)), '(..)', '\\1 ', 'g'), ' ')[:strlen(x)], lambda b : CAST('0x' || b AS BIGINT)) AS bytes,
+  list_max(list_transform(range(0, 8), lambda j : {{'score': -1.0 / ln({uniform_sql("doc_id", "j", "0")}), 'least': -j}})).least AS a, list_max(list_transform(range(0, 9), lambda j : {{'score': -1.0 / ln({uniform_sql("doc_id", "j", "0")}), 'least': -j}})).least AS b FROM d),
+c AS (SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b : xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32, CAST(-a AS INT) AS shard, CAST(-b AS INT) AS grown_shard FROM h, k),
+m AS (SELECT *, md5('{{' || coalesce('"doc_id":' || doc_id || ',', '') || '"size":' || size || ',"text_crc32":' || text_crc32 || ',"grown_shard":' || grown_shard || '}}') AS digest FROM c)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY digest, doc_id, size, text_crc32) - 1 AS slot, grown_shard FROM m
+"""
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x : x <> '') AS ws FROM documents),
+v AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS v, unnest(range(1, len(ws) + 1)) AS i FROM d),
+w AS (SELECT doc_id, n, i, v || ' ' || lead(v) OVER o || ' ' || lead(v, 2) OVER o AS s FROM v WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, s FROM w WHERE s IS NOT NULL UNION SELECT doc_id, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 2),
+z AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT a, b FROM p JOIN z x ON a = x.doc_id JOIN z y ON b = y.doc_id WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id, d.doc_id <= coalesce(m.b, d.doc_id) AS kept
+FROM d LEFT JOIN z USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON d.doc_id = m.a
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_classifier_chain": op1_classifier_chain,
@@ -137,4 +162,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_host_quality": OP2_SQL, "op4_poisson_mix": OP4_SQL}
+    return {"op2_host_quality": OP2_SQL, "op4_poisson_mix": OP4_SQL, "op9_rendezvous": OP9_SQL, "op10_fast_sketch_dedup": OP10_SQL}
