@@ -34,8 +34,8 @@ _UP = powers(_BASE, _PIECE + 1)
 _DOWN = powers(pow(_BASE, -1, 2**64), _PIECE + 1)
 
 
-def words_of(data: np.ndarray, limits: np.ndarray, gaps: np.ndarray = _GAP) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, number of its text) for texts that lie end to end in ``data`` between ``limits``."""
+def words_of(data: np.ndarray, limits: np.ndarray, gaps: np.ndarray = _GAP, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, number of its text) for texts that lie end to end in ``data`` between ``limits``; of ``most`` leading bytes."""
     data = _LOWER[data]
     word = np.empty(len(data) + 2, bool)
     word[0] = word[-1] = False
@@ -58,6 +58,8 @@ def words_of(data: np.ndarray, limits: np.ndarray, gaps: np.ndarray = _GAP) -> t
         sums = np.zeros(length + 1, np.uint64)
         np.cumsum(_BYTE[data[origin : origin + length]] * up[:length], out=sums[1:])
         a, b = first[at:stop] - origin, last[at:stop] - origin + 1
+        if most is not None:
+            b = np.minimum(b, a + most)
         out[at:stop] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * _S)
         at = stop
     return out, np.searchsorted(limits, first, side="right") - 1

@@ -5,9 +5,11 @@ all earlier categories. For training, the earlier logits of a document come from
 rows are dealt into folds by a hash, and each fold is predicted by models of the others. For prediction, models of all
 labelled rows are used.
 
-Words are runs of letters and digits, lower-case, hashed to BUCKETS; a document has a word or not, however long it is.
+Words are runs of letters and digits, lower-case, as 64-bit hashes; so are their first STEM bytes, which tell words that are
+built from a known stem. A document has a word or not, however long it is. Hashes are used whole: folded into fewer
+buckets, rare words of clean documents would fall on the telling ones.
 Models are fitted on at most ``most_rows`` labelled rows, the first by a hash of their id, and on the ``most_words``
-buckets whose presence tells most about a category by the chi-squared statistic. Whole texts of all documents are
+words and stems whose presence tells most about a category by the chi-squared statistic. Whole texts of all documents are
 scored, in one pass without a shuffle. A category is set where its probability reaches the threshold that was best on
 out-of-fold predictions.
 
@@ -27,38 +29,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoquilt.llm.common import materialize
-from geoquilt.llm.shingles import words_of
+from geoquilt.llm.shingles import mix, words_of
 
-BUCKETS, FOLDS, RIDGE = 1 << 20, 5, 1.0
+STEM, FOLDS, RIDGE = 4, 5, 1.0
 GAPS = np.zeros(256, bool)
 GAPS[[b for b in range(128) if not chr(b).isalnum()]] = True
 
 
-def presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of the distinct word buckets of each text."""
+def words_and_stems(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of the words and stems of each text, as often as they occur."""
     texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     limits = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[limits[0] : limits[-1]] if raw is not None else np.zeros(0, np.uint8)
     words, owner = words_of(data, limits - limits[0], GAPS)
-    keys = np.unique(owner.astype(np.int64) * BUCKETS + (words >> np.uint64(44)).astype(np.int64))
-    return keys // BUCKETS, keys % BUCKETS
+    stems, _ = words_of(data, limits - limits[0], GAPS, STEM)
+    return np.concatenate([owner, owner]).astype(np.int64), np.concatenate([words, mix(stems + np.uint64(1))]).view(np.int64)
 
 
-def word_buckets(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """The ``keep`` columns and the word buckets of ``text``."""
+def distinct_words(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """The ``keep`` columns and the distinct hashes of words and stems of ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                doc, bucket = presence(part.column(len(keep)))
-                ends = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))], names=[*keep, "buckets"])
+                doc, word = words_and_stems(part.column(len(keep)))
+                order = np.lexsort((word, doc))
+                doc, word = doc[order], word[order]
+                first = np.ones(len(doc), bool)
+                first[1:] = (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])
+                ends = np.searchsorted(doc[first], np.arange(part.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.ListArray.from_arrays(pa.array(ends), pa.array(word[first]))], names=[*keep, "words"])
 
     rows = docs.select(*keep, "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
-    return rows.mapInArrow(run, f"{schema}, buckets array<int>")
+    return rows.mapInArrow(run, f"{schema}, words array<long>")
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -117,30 +123,30 @@ def train_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> list[tup
 
 
 def telling_words(sample: DataFrame, categories: Sequence[str], most_words: int) -> list[int]:
-    """Buckets with the largest chi-squared statistics, as many of each category."""
+    """Words and stems with the largest chi-squared statistics, as many for each category."""
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in categories]).first()
     n = float(totals["n"])
-    words = sample.select(F.explode("buckets").alias("bucket"), *categories).groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias("df"), *[F.sum(c).cast("double").alias(c) for c in categories])
+    words = sample.select(F.explode("words").alias("word"), *categories).groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("df"), *[F.sum(c).cast("double").alias(c) for c in categories])
     out: list[int] = []
     for c in categories:
         ones = float(totals[c] or 0)
         if 0 < ones < n:
             expected = F.col("df") * F.lit(ones / n)
             score = (F.col(c) - expected) ** 2 / (expected * (F.lit(1.0) - F.col("df") / F.lit(n)) + F.lit(1.0))
-            top = words.filter(F.col("df") >= 3).orderBy(score.desc(), "bucket").limit(max(1, most_words // len(categories)))
-            out += [r.bucket for r in top.select("bucket").collect()]
+            top = words.filter(F.col("df") >= 3).orderBy(score.desc(), "word").limit(max(1, most_words // len(categories)))
+            out += [r.word for r in top.select("word").collect()]
     return sorted(set(out))
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, categories: Sequence[str], most_rows: int, most_words: int) -> tuple[list[int], list[tuple[np.ndarray, float]]]:
-    """(word buckets, chain) from labelled documents; ``labels``: doc_id and a 0/1 column for each category."""
+    """(words, chain) from labelled documents; ``labels``: doc_id and a 0/1 column for each category."""
     chosen = labels.select(F.col(doc_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in categories]).filter(F.col("id").isNotNull())
     chosen = chosen.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(most_rows)
     texts = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text"))
-    sample = word_buckets(texts.join(F.broadcast(chosen), "id"), ["id", *categories])  # most_rows rows at most
+    sample = distinct_words(texts.join(F.broadcast(chosen), "id"), ["id", *categories])  # most_rows rows at most
     sample = materialize(sample, "labelled")
     words = telling_words(sample, categories, most_words)
-    own = F.array_intersect("buckets", F.lit(words).cast("array<int>")) if words else F.array().cast("array<int>")
+    own = F.array_intersect("words", F.lit(words).cast("array<long>")) if words else F.array().cast("array<long>")
     rows = sample.select(own.alias("own"), *categories, F.pmod(F.xxhash64("id", F.lit(5)), F.lit(FOLDS)).alias("fold")).orderBy(F.xxhash64("id", F.lit(11)), "id").collect()
     x, place = np.zeros((len(rows), len(words))), {w: i for i, w in enumerate(words)}
     for i, r in enumerate(rows):
@@ -154,17 +160,18 @@ def classify(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_
     added = [n for c in categories for n in (f"p_{c}", f"is_{c}")]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     words, chain = learn(docs, labels, doc_id, text, categories, most_rows, most_words)
-    where = np.full(BUCKETS, -1, np.int32)
-    where[words] = np.arange(len(words))
+    telling = np.array([*words, np.iinfo(np.int64).max], np.int64)  # sorted; the last one is no word's
     weights = [w[: len(words)] for w, _ in chain]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                doc, bucket = presence(part.column(len(keep)))
-                feature = where[bucket]
-                doc, feature = doc[feature >= 0], feature[feature >= 0]
+                doc, word = words_and_stems(part.column(len(keep)))
+                at_word = np.searchsorted(telling, word)
+                found = (telling[at_word] == word) & (at_word < len(words))
+                pairs = np.unique(doc[found] * len(telling) + at_word[found])
+                doc, feature = pairs // len(telling), pairs % len(telling)
                 earlier: list[np.ndarray] = []
                 out = []
                 for (w, threshold), own in zip(chain, weights, strict=True):
