@@ -19,6 +19,7 @@ answered each. Null ids are answered with a null component and kept. An empty ta
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +32,8 @@ from geoquilt.llm.common import broadcast_if_small, materialize
 from geoquilt.operators.graph import components
 from geoquilt.llm.shingles import mix, shingle_sets
 
-#: Texts of a block, its bytes of text, and the matrix columns that are multiplied at a time.
-BLOCK, BLOCK_BYTES, COLUMNS = 256, 4 << 20, 1 << 15
+#: Texts of a block, its bytes of text, the matrix columns that are multiplied at a time, and rows of a task.
+BLOCK, BLOCK_BYTES, COLUMNS, ROWS_PER_TASK = 128, 2 << 20, 1 << 15, 512
 SALTS = mix(np.arange(1, 4097, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -124,9 +125,10 @@ def forest(link: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> list[tuple[i
 def links_within(family: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b): links that connect each family's texts as all its links do. ``family``: family, id, text."""
     sized = family.withColumn("bytes", F.octet_length("text"))
-    sizes = sized.groupBy("family").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
+    sizes = sized.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
     sizes = materialize(sizes.withColumn("blocks", F.greatest("blocks", F.lit(1))), "family-blocks")
-    placed = family.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
+    tasks = max(1, math.ceil((sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) / ROWS_PER_TASK))
+    placed = family.join(sizes.drop("n"), "family").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
     pairs = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select("family", "id", "text", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
 
@@ -141,7 +143,8 @@ def links_within(family: DataFrame, k: int, percent: int) -> DataFrame:
         edges = forest(linked(sets[0], sets[1] if i != j else None, percent), ids[0], ids[-1])
         return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
-    return pairs.groupBy("family", "i", "j").applyInPandas(run, "a long, b long")
+    # comparing takes far longer than reading, so tasks go by rows, not by bytes
+    return pairs.repartition(tasks, "family", "i", "j").groupBy("family", "i", "j").applyInPandas(run, "a long, b long")
 
 
 def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 85, bands: int = 36, rows: int = 7) -> DataFrame:
