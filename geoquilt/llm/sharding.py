@@ -48,7 +48,8 @@ def number(df: DataFrame, shard: str, columns: Sequence[str], rows_per_bucket: i
     """Rows of ``columns`` numbered from 0 without gaps in each shard, in the order of a digest of the row.
 
     No shard is gathered in one task: a shard is cut into buckets by leading hex digits of the digest, each bucket is
-    numbered on its own, and the rows before it in its shard are added. Equal rows travel once, with their count.
+    numbered on its own, and the rows before it in its shard are added. Equal rows travel once, with their count. Rows
+    without a shard are numbered as one more shard.
     """
     spark_rows = df.select(shard, *columns)
     keys = [shard, *columns]
@@ -63,10 +64,10 @@ def number(df: DataFrame, shard: str, columns: Sequence[str], rows_per_bucket: i
         counted.groupBy(shard, "_bucket")
         .agg(F.sum("_n").alias("_rows"))
         .withColumn("_start", F.sum("_rows").over(Window.partitionBy(shard).orderBy("_bucket")) - F.col("_rows"))
-        .select(shard, "_bucket", "_start")
+        .select(F.col(shard).alias("_of_shard"), F.col("_bucket").alias("_of_bucket"), "_start")
     )
     running = Window.partitionBy(shard, "_bucket").orderBy("_digest", *columns).rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumn("_end", F.sum("_n").over(running)).join(before, [shard, "_bucket"])
+    placed = counted.withColumn("_end", F.sum("_n").over(running)).join(before, F.col(shard).eqNullSafe(F.col("_of_shard")) & (F.col("_bucket") == F.col("_of_bucket")))
     first = F.col("_start") + F.col("_end") - F.col("_n")
     # a row that repeats very often is laid out in pieces, which are dealt anew before they become rows
     pieces = placed.select(*keys, first.alias("_first"), "_n", F.explode(F.expr("sequence(0L, (_n - 1) div 4096)")).alias("_piece"))
