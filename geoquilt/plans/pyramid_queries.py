@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from geoquilt.functions import grid
 from geoquilt.plans.catalog import INPUTS, query
 from geoquilt.sources import pyramid
+from geoquilt.sources.shared import new_path
 
 INPUTS["frames"] = "SELECT image_id, c AS col, r AS row, CAST(100 + (image_id*7 + c*13) % 90 AS INT) AS w, CAST(80 + (image_id*5 + r*11) % 70 AS INT) AS h FROM (SELECT s_suppkey AS image_id FROM supplier) i CROSS JOIN (VALUES (0), (1), (2), (3)) AS cs(c) CROSS JOIN (VALUES (0), (1), (2)) AS rs(r)"
 INPUTS["views"] = "SELECT s_suppkey AS image_id, CAST(s_suppkey*91 % 300 AS INT) AS x0, CAST(s_suppkey*53 % 200 AS INT) AS y0, 180 AS width, 130 AS height FROM supplier"
@@ -204,3 +205,10 @@ def u4(t):
 @query("j14_level_extent", "SELECT l.table_name, l.zoom_level, e.zoom_level IS NOT NULL AS matched FROM levels l LEFT JOIN extents e ON l.table_name = e.table_name AND l.zoom_level = e.zoom_level")
 def j14(t):
     return pyramid.lines_samples(t.levels, t.extents, t.sets).select("table_name", "zoom_level", "matched")
+
+
+@query("r5_write_pyramid", "SELECT 'stream' AS table_name, zoom_level, tile_column, tile_row, min(event_id) AS event_id FROM tile_stream GROUP BY zoom_level, tile_column, tile_row")
+def r5(t):
+    path = new_path(t.spark, "pyramid")
+    pyramid.write_pyramid(t.tile_stream.groupBy(*KEY).agg(F.min("event_id").alias("event_id")).withColumn("table_name", F.lit("stream")), path)
+    return t.spark.read.parquet(path).select("table_name", *KEY, "event_id")

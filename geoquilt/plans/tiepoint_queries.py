@@ -189,3 +189,10 @@ def t1(t):
 @query("t2_global_best", f"{CROSS} SELECT id_a, id_b, round(distance, 9) AS distance FROM x WHERE distance < 3 * (SELECT min(distance) FROM x) ORDER BY distance, id_a, id_b LIMIT 30")
 def t2(t):
     return tp.global_best(crossed(t), 3.0, 30).select("id_a", "id_b", F.round("distance", 9).alias("distance"))
+
+
+@query("k6_layered_settings", f"WITH {ACTIVE} SELECT tile_id, tp_id FROM a WHERE confidence >= 0.93 QUALIFY row_number() OVER (PARTITION BY tile_id ORDER BY confidence DESC, tp_id) <= 3")
+def k6(t):
+    algorithm, request = {"points_per_tile": 5, "features_per_tile": 20}, {"points_per_tile": 3}
+    settings = tp.FilterSettings().with_overrides(algorithm, request)
+    return tp.top_points(actives(t).filter("confidence >= 0.93"), settings.points_per_tile).select("tile_id", "tp_id")
