@@ -120,7 +120,9 @@ def a18(t):
     return rs.boundary_edges(t.pixels.filter("v > 10").select("image_id", "x", "y"))
 
 
-@query("a17_remove_speckles")
+@query("a17_remove_speckles", """WITH m AS MATERIALIZED (SELECT image_id, x, y FROM pixels WHERE v > 10), o AS (SELECT image_id, x, y, x + dx AS bx, y + dy AS yy FROM m, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) q(dx, dy)),
+n AS MATERIALIZED (SELECT o.image_id, o.x, o.y, bx, yy FROM o JOIN m ON m.image_id = o.image_id AND m.x = bx AND m.y = yy), d AS MATERIALIZED (SELECT image_id, x, y, count(*) AS c FROM n GROUP BY 1, 2, 3)
+SELECT image_id, x, y FROM d WHERE c >= 2 UNION SELECT n.image_id, n.x, n.y FROM n JOIN d ON d.image_id = n.image_id AND d.x = bx AND d.y = yy AND d.c >= 2""")
 def a17(t):
     return rs.remove_speckles(t.pixels.filter("v > 10").select("image_id", "x", "y"))
 

@@ -73,7 +73,7 @@ def r11(t):
     return cells.union(vf.layer(t.spark, layers, index=1).select("gp_id", "lon"))
 
 
-@query("r12_geojson")
+@query("r12_geojson", """SELECT cell_id, '{"type":"Feature","properties":{"cell_id":"' || cell_id || '"},"geometry":{"type":"Polygon","coordinates":[[[' || min_lon || ',' || min_lat || '],[' || max_lon || ',' || min_lat || '],[' || max_lon || ',' || max_lat || '],[' || min_lon || ',' || max_lat || '],[' || min_lon || ',' || min_lat || ']]]}}' AS line FROM footprints""")
 def r12(t):
     rings = spatial.rings_of_boxes(t.footprints)
     return rings.select("cell_id", vf.geojson(F.array("ring"), F.create_map(F.lit("cell_id"), F.col("cell_id").cast("string"))).alias("line"))
