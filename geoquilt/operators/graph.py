@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from geoquilt.sources.shared import materialize
 
+#: Nodes whose minima (two numbers each) are sent to all tasks at most.
+SENT = 300_000
+
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())
@@ -16,19 +19,23 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of an edge, root being the smallest node that is connected to it.
 
     Each round lets a node's larger neighbours, then its smaller ones, hang on to its smallest; it ends when all hang on
-    to roots. Rounds go with the logarithm of the longest chain. Minima are combined before they are shuffled, and the
-    joins meet written tables, so a node with very many neighbours is split.
+    to roots. Rounds go with the logarithm of the longest chain. Minima are combined before they are shuffled. They are
+    sent to all tasks while the counted nodes are few; beyond that the joins meet written tables, so a node with very
+    many neighbours is split.
     """
     lo, hi = F.least(a, b).alias("y"), F.greatest(a, b).alias("x")
     now = materialize(edges.select(hi, lo).filter("x <> y").distinct(), "edges")
-    state = _state(now)
+    state, nodes = _state(now), None
     while state[0]:
         both = now.unionByName(now.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = materialize(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m")), "least")
-        large = both.join(least, "x").filter("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
+        if nodes is None:
+            nodes = least.count()  # later rounds have the same ones
+        sent = F.broadcast if nodes <= SENT else lambda df: df
+        large = both.join(sent(least), "x").filter("y > x").select(F.col("y").alias("x"), F.col("m").alias("y"))
         large = materialize(large, "large")
         least = materialize(large.groupBy("x").agg(F.min("y").alias("m")), "least")
-        small = large.join(least, "x").filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
+        small = large.join(sent(least), "x").filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
         new = materialize(small.unionByName(least.select("x", F.col("m").alias("y"))).distinct(), "edges")
         was, state = state, _state(new)
         now = new

@@ -364,3 +364,17 @@ def test_partitions_do_not_matter(spark, name):
         spark.conf.set("spark.sql.shuffle.partitions", n)
         results.append(sorted(map(str, registry.queries()[name](spark, SF).collect())))
     assert results[0] == results[1]
+
+
+def test_components_without_sending(spark, monkeypatch):
+    from geoquilt.operators import graph
+
+    monkeypatch.setattr(graph, "SENT", 0)
+    rng = np.random.default_rng(7)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (260, 2))]
+    root = list(range(300))
+    for _ in range(300):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    want = {n: root[n] for p in pairs for n in p if p[0] != p[1]}
+    assert {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()} == want
