@@ -64,7 +64,7 @@ b AS (SELECT *, greatest(width, height) / pow(2.0, max_zoom) AS side FROM a),
 c AS (SELECT *, CAST(trunc(CASE WHEN width >= height THEN side ELSE side*width/height END) AS INT) AS tile_x, CAST(trunc(CASE WHEN width >= height THEN side*height/width ELSE side END) AS INT) AS tile_y FROM b),
 d AS (SELECT *, unnest(range(0, max_zoom + 1)) AS zoom FROM c), e AS (SELECT *, greatest(1, CAST(floor(width / (pow(2.0, max_zoom - zoom) * tile_x)) AS INT)) AS nx, greatest(1, CAST(floor(height / (pow(2.0, max_zoom - zoom) * tile_y)) AS INT)) AS ny FROM d),
 f AS (SELECT *, unnest(range(0, nx)) AS ix FROM e), g AS (SELECT *, unnest(range(0, ny)) AS iy FROM f)
-SELECT image_id, zoom, ix, iy, ny - iy - 1 AS row_index, CASE WHEN zoom = max_zoom THEN 0 ELSE (CASE WHEN ix*2+1 < ceil(width / (pow(2.0, max_zoom-zoom-1)*tile_x)) THEN 2 ELSE 1 END) * (CASE WHEN iy*2+1 < ceil(height / (pow(2.0, max_zoom-zoom-1)*tile_y)) THEN 2 ELSE 1 END) END AS children,
+SELECT image_id, CAST(zoom AS INT) AS zoom, CAST(ix AS INT) AS ix, CAST(iy AS INT) AS iy, CAST(ny - iy - 1 AS INT) AS row_index, CASE WHEN zoom = max_zoom THEN 0 ELSE (CASE WHEN ix*2+1 < ceil(width / (pow(2.0, max_zoom-zoom-1)*tile_x)) THEN 2 ELSE 1 END) * (CASE WHEN iy*2+1 < ceil(height / (pow(2.0, max_zoom-zoom-1)*tile_y)) THEN 2 ELSE 1 END) END AS children,
 CASE WHEN zoom = max_zoom THEN -1 ELSE 2048 END AS max_lod FROM g""")
 def r13(t):
     return grid.overlay_regions(t.rects).select("image_id", "zoom", "ix", "iy", "row_index", "children", "max_lod")
@@ -108,7 +108,7 @@ def s5(t):
     return t.rects.select("image_id", grid.zoom_levels(w, h, F.col("gsd_deg"), 4326, False).cast("array<long>").alias("plain"), grid.zoom_levels(w, h, F.col("gsd_deg"), 4326).cast("array<long>").alias("aligned"))
 
 
-@query("s6_matrix_size", "SELECT image_id, CAST(ceil(width/256.0) AS INT) AS matrix_width, CAST(ceil(height/256.0) AS INT) AS matrix_height, x0 // 256 * 256 AS lo, ((x0 + width - 1) // 256 + 1) * 256 - 1 AS hi FROM rects")
+@query("s6_matrix_size", "SELECT image_id, CAST(ceil(width/256.0) AS INT) AS matrix_width, CAST(ceil(height/256.0) AS INT) AS matrix_height, CAST(x0 // 256 * 256 AS BIGINT) AS lo, CAST(((x0 + width - 1) // 256 + 1) * 256 - 1 AS BIGINT) AS hi FROM rects")
 def s6(t):
     lo, hi = grid.expand_to_tiles(F.col("x0"), F.col("x0") + F.col("width") - 1, 256)
     return t.rects.select("image_id", grid.matrix_size(F.col("width"), 256).alias("matrix_width"), grid.matrix_size(F.col("height"), 256).alias("matrix_height"), lo.alias("lo"), hi.alias("hi"))
@@ -197,7 +197,7 @@ def u3(t):
 
 
 @query("u4_missing_tiles", """WITH l AS (SELECT * FROM levels WHERE table_name = 'AFRICA' AND zoom_level >= 3), x AS (SELECT *, unnest(range(0, matrix_width)) AS c FROM l), y AS (SELECT *, unnest(range(0, matrix_height)) AS r FROM x)
-SELECT zoom_level, c AS tile_column, r AS tile_row FROM y EXCEPT SELECT zoom_level, tile_column, tile_row FROM tile_stream""")
+SELECT zoom_level, CAST(c AS INT) AS tile_column, CAST(r AS INT) AS tile_row FROM y EXCEPT SELECT zoom_level, tile_column, tile_row FROM tile_stream""")
 def u4(t):
     return pyramid.missing_tiles(t.levels.filter("table_name = 'AFRICA' AND zoom_level >= 3"), t.tile_stream)
 

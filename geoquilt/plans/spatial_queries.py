@@ -53,7 +53,7 @@ def a4(t):
 s AS (SELECT *, coalesce(list_filter(list_transform([7,6,5,4,3,2], lambda n : width // n), lambda d : d >= 300)[1], width // 2) AS dx, coalesce(list_filter(list_transform([7,6,5,4,3,2], lambda n : height // n), lambda d : d >= 300)[1], height // 2) AS dy FROM o),
 l AS (SELECT *, CASE WHEN width > 300 THEN range(x0, x0 + width - 300, dx) ELSE [] END AS xs, CASE WHEN height > 300 THEN range(y0, y0 + height - 300, dy) ELSE [] END AS ys FROM s),
 f AS (SELECT image_id, unnest(xs) AS x, ys FROM l WHERE len(xs)*len(ys) >= 4)
-SELECT image_id, x, unnest(ys) AS y, 300 AS w, 300 AS h FROM f UNION ALL SELECT image_id, x0, y0, width, height FROM l WHERE len(xs)*len(ys) < 4""")
+SELECT image_id, CAST(x AS INT) AS x, CAST(unnest(ys) AS INT) AS y, 300 AS w, 300 AS h FROM f UNION ALL SELECT image_id, x0, y0, width, height FROM l WHERE len(xs)*len(ys) < 4""")
 def k1(t):
     return spatial.search_tiles(t.rects, 300, 7)
 
