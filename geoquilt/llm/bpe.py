@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text of a slice, and pieces that a worker remembers at most.
-SLICE_BYTES, REMEMBERED = 4 << 20, 400_000
+SLICE_BYTES, REMEMBERED = 1 << 20, 200_000
 OTHER = re.compile("[^\x00-ɏ]")
 
 
