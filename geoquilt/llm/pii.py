@@ -2,10 +2,16 @@
 
 Base spans are found by patterns. Around every base span, the words within WINDOW words of its line are near it. Over all
 documents, the pointwise mutual information of a term with being near a kind, divided by the information of the kind
-itself, says how much of the kind's presence the term discloses: 1 means that the term occurs near that kind alone. A
-term near at least ``min_values`` different values of a kind whose share reaches ``generalise`` is replaced by a general
-word wherever it occurs, and from ``remove`` on it is taken out. Different values are counted, so copies of a document
-add no evidence. Base spans themselves are replaced by their kinds.
+itself, says how much of the kind's presence the term discloses: 1 means that the term occurs near that kind alone. Kinds
+are scored for terms near at least ``min_values`` different values of one.
+
+Each term is scored against each single value too, by the different texts that hold them: the information on the value that
+the term gives, divided by that of the value, times n / (n + 1) for n texts with the term near the value. So a word that was
+seen there once scores a half at most, and a name beside one person's number in many texts comes near 1.
+
+A term whose larger share reaches ``generalise`` is replaced by a general word wherever it occurs, and from ``remove`` on it
+is taken out. Different values or texts are counted, so copies of a document add no evidence. Base spans themselves are
+replaced by their kinds.
 
 Offsets are code points of the whole text, ends exclusive. A null text has no spans and stays null; rows that repeat are
 answered each; an empty table gives an empty table. Column names of the input don't matter but for ``keep``.
@@ -16,9 +22,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,23 +88,29 @@ def near_words(text: str, start: int, end: int) -> list[str]:
     return [w.lower() for w in WORD.findall(left)[-WINDOW:] + WORD.findall(right)[:WINDOW]]
 
 
+def hashed(docs: DataFrame, text: str) -> DataFrame:
+    """(text, digest)"""
+    return docs.select(F.col(text).cast("string").alias("text")).select("text", F.xxhash64("text").alias("digest"))
+
+
 def near_terms(docs: DataFrame, text: str) -> DataFrame:
-    """(kind, term, value, n): how often a term is near a value of a kind; a null term holds all words of a batch."""
+    """(kind, term, value, digest, n): how often a term is near a value of a kind in a text; a null kind holds all words of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
-            words = 0
-            for t in batch.column(0).to_pylist():
+            for t, digest in zip(*(c.to_pylist() for c in batch.columns)):
                 if t:
-                    words += t.count(" ") + t.count("\n") + 1
+                    seen[None, None, None, digest] += t.count(" ") + t.count("\n") + 1
                     for kind, a, b in base_spans(t):
                         value = t[a:b].lower()
-                        seen.update((kind, w, value) for w in near_words(t, a, b))
-            rows = [*((*k, n) for k, n in seen.items()), (None, None, None, words)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.string(), pa.int64()))], names=["kind", "term", "value", "n"])
+                        seen.update((kind, w, value, digest) for w in near_words(t, a, b))
+            if seen:
+                rows = [(*k, n) for k, n in seen.items()]
+                types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["kind", "term", "value", "digest", "n"])
 
-    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "kind string, term string, value string, n long")
+    return hashed(docs, text).mapInArrow(run, "kind string, term string, value string, digest long, n long")
 
 
 def term_counts(docs: DataFrame, text: str, only: frozenset[str] | None) -> DataFrame:
@@ -120,8 +133,63 @@ def term_counts(docs: DataFrame, text: str, only: frozenset[str] | None) -> Data
     return found.groupBy("term").agg(F.sum("n").alias("n_all"))
 
 
-def disclosures(docs: DataFrame, text: str = "text", min_values: int = 5) -> DataFrame:
-    """(term, kind, n_near, n_values, n_all, share): for each term near enough values, the kind that it discloses most of."""
+def terms_of_texts(docs: DataFrame, text: str, only: frozenset[str] | None) -> DataFrame:
+    """(digest, terms): the lower-case terms of each different text; ``only`` these, or all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                of = {d: t for t, d in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns)) if t}
+                terms = [[w for w in {x.lower() for x in set(WORD.findall(t))} if only is None or w in only] for t in of.values()]
+                yield pa.RecordBatch.from_arrays([pa.array(list(of), pa.int64()), pa.array(terms, pa.list_(pa.string()))], names=["digest", "terms"])
+
+    return hashed(docs, text).mapInArrow(run, "digest long, terms array<string>").groupBy("digest").agg(F.first("terms").alias("terms"))
+
+
+def text_counts(texts: DataFrame) -> DataFrame:
+    """(term, n_all): how many of the rows hold a term, added up in each batch first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = Counter(batch.column(0).flatten().to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
+
+    return texts.select("terms").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_all"))
+
+
+def few_terms(df: DataFrame) -> frozenset[str] | None:
+    """The distinct terms, or None where there are more than SENT."""
+    names = df.select("term").distinct()
+    return frozenset(r.term for r in names.collect()) if names.count() <= SENT else None
+
+
+def value_disclosures(docs: DataFrame, text: str, near: DataFrame, least: float) -> DataFrame:
+    """(term, kind, n_near, n_values, n_all, share) of terms with single values, counted in different texts.
+
+    Pairs whose share can't reach ``least`` aren't looked for in the texts: it is n / (n + 1) at most, and less where the
+    term is near other values too, as all texts with the term are at least those in which it is near any."""
+    held = near.filter("kind IS NOT NULL").groupBy("kind", "value", "term", "digest").agg(F.lit(1).alias("one"))
+    pairs = held.groupBy("kind", "value", "term").agg(F.count(F.lit(1)).alias("n_near")).filter(F.col("n_near") / (F.col("n_near") + 1) >= least)
+    texts = float(near.filter("kind IS NULL").select("digest").distinct().count())
+    values = held.select("kind", "value", "digest").distinct().groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
+    somewhere = held.select("term", "digest").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_some"))
+
+    def share(n_all: str) -> Column:
+        information, given = -F.log2(F.col("n_value") / F.lit(texts)), -F.log2(F.col("n_near") / F.col(n_all))
+        return F.when(information > 0, (information - given) / information) * F.col("n_near") / (F.col("n_near") + 1)
+
+    pairs = materialize(pairs.join(values, ["kind", "value"]).join(somewhere, "term").filter(share("n_some") >= least), "value-terms")
+    columns = ("term", "kind", "n_near", F.lit(1).cast("long").alias("n_values"))
+    if pairs.isEmpty():
+        return pairs.select(*columns, F.col("n_some").alias("n_all"), share("n_some").alias("share"))
+    counted = text_counts(terms_of_texts(docs, text, few_terms(pairs)))
+    return pairs.join(counted, "term").select(*columns, "n_all", share("n_all").alias("share"))
+
+
+def disclosures(docs: DataFrame, text: str = "text", min_values: int = 5, least: float = 0.8) -> DataFrame:
+    """(term, kind, n_near, n_values, n_all, share): for each term near enough values of a kind, or near one value in so many
+    texts that its share can reach ``least``, the kind, or the kind of the value, that it discloses most of. For a single
+    value, n_values is 1, and n_near and n_all count texts."""
     near = materialize(near_terms(docs, text), "near-terms")
     all_words = near.filter("kind IS NULL").agg(F.sum("n")).first()[0] or 0
     kinds = near.filter("kind IS NOT NULL").groupBy("kind").agg(F.sum("n").alias("n_kind"))
@@ -129,12 +197,11 @@ def disclosures(docs: DataFrame, text: str = "text", min_values: int = 5) -> Dat
     values = near.filter("kind IS NOT NULL").groupBy("kind", "term", "value").agg(F.sum("n").alias("n"))
     terms = values.groupBy("kind", "term").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("n_values")).filter(F.col("n_values") >= min_values)
     terms = materialize(terms.join(F.broadcast(kinds), "kind"), "terms")  # four kinds
-    names = terms.select("term").distinct()
-    only = frozenset(r.term for r in names.collect()) if names.count() <= SENT else None
-    counted = terms.join(term_counts(docs, text, only), "term")
+    counted = terms.join(term_counts(docs, text, few_terms(terms)), "term")
     information = -F.log2(F.col("n_kind") / F.lit(float(max(all_words, 1))))
     mutual = F.log2(F.col("n_near") * F.lit(float(max(all_words, 1))) / (F.greatest("n_all", "n_near") * F.col("n_kind")))
     scored = counted.withColumn("share", F.when(information > 0, mutual / information))
+    scored = scored.select("term", "kind", "n_near", "n_values", "n_all", "share").unionByName(value_disclosures(docs, text, near, least))
     best = scored.groupBy("term").agg(F.max(F.struct("share", "kind", "n_near", "n_values", "n_all")).alias("b"))
     return best.select("term", "b.kind", "b.n_near", "b.n_values", "b.n_all", "b.share")
 
@@ -162,18 +229,24 @@ _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 def sanitise(docs: DataFrame, text: str = "text", keep: list[str] | None = None, generalise: float = 0.8, remove: float = 0.95, min_values: int = 5) -> DataFrame:
     """The ``keep`` columns (default: all), spans (base ones by kind, then terms) and clean, the sanitised whole text."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("spans", "clean")]
-    told = materialize(disclosures(docs, text, min_values).filter(F.col("share") >= generalise), "disclosing")
-    if (n := told.count()) > SENT:
-        raise ValueError(f"{n} terms disclose protected data; raise generalise or min_values")
-    rows = told.collect()
-    flagged, removed = frozenset(r.term for r in rows), frozenset(r.term for r in rows if r.share >= remove)
+    told = materialize(disclosures(docs, text, min_values, generalise).filter(F.col("share") >= generalise), "disclosing")
+    rows_in = docs.select(*[docs[c] for c in keep], docs[text].cast("string").alias("_text"))
+    sent = told.count() <= SENT
+    rows = told.collect() if sent else []
+    all_flagged, all_removed = frozenset(r.term for r in rows), frozenset(r.term for r in rows if r.share >= remove)
+    if not sent:  # too many for every task, so each text gets its own
+        own = terms_of_texts(docs, text, None).select("digest", F.explode("terms").alias("term")).join(told.select("term", (F.col("share") >= remove).alias("removed")), "term")
+        own = own.groupBy(F.col("digest").alias("_digest")).agg(F.collect_list("term").alias("_flagged"), F.expr("collect_list(term) FILTER (WHERE removed)").alias("_removed"))
+        rows_in = rows_in.withColumn("_digest", F.xxhash64("_text")).join(own, "_digest", "left").select(*[F.col(f"`{c}`") for c in keep], "_text", "_flagged", "_removed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 spans, cleaned = [], []
-                for t in part.column(len(keep)).to_pylist():
+                texts = part.column(len(keep)).to_pylist()
+                own = repeat((all_flagged, all_removed)) if sent else zip(*(map(frozenset, ([] if x is None else x for x in part.column(len(keep) + i).to_pylist())) for i in (1, 2)))
+                for t, (flagged, removed) in zip(texts, own):
                     found = base_spans(t) if t else []
                     if t and flagged and any(w.lower() in flagged for w in set(WORD.findall(t))):
                         taken = sorted((a, b) for _, a, b in found)
@@ -187,5 +260,4 @@ def sanitise(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
                     cleaned.append(clean(t, found, removed) if found else t)
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(spans, _ARROW), pa.array(cleaned, pa.string())], names=[*keep, "spans", "clean"])
 
-    rows_in = docs.select(*[docs[c] for c in keep], docs[text].cast("string").alias("_text"))
     return rows_in.mapInArrow(run, rows_in.select(*keep).schema.add("spans", SPANS).add("clean", "string"))

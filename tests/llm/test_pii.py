@@ -65,6 +65,23 @@ def test_revealing_terms(spark):
     assert pii.sanitise(df.limit(0)).count() == 0 and pii.sanitise(df).count() == len(rows)
 
 
+@pytest.mark.parametrize("most", [pii.SENT, 0])
+def test_name_beside_one_value(spark, monkeypatch, most):
+    monkeypatch.setattr(pii, "SENT", most)  # 0: terms are joined instead of sent
+    rows = [(i, f"on day {'abcdefghij'[i % 10]}{'klm'[i // 10]} Quokka wrote to one@same.org") for i in range(30)]
+    rows += [(40 + i, "on a day the once seen wombat wrote to two@same.org") for i in range(30)]  # copies are no evidence
+    rows += [(100 + i, f"on day {'abcdefghij'[i % 10]}{'nopqr'[i // 10]} nobody wrote to anyone") for i in range(50)]
+    rows += [(200, "the quokka"), (201, None), (202, ""), (200, "the quokka")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.term: r for r in pii.disclosures(df).collect()}
+    assert found["quokka"].kind == "email" and (found["quokka"].n_near, found["quokka"].n_all) == (30, 31) and found["quokka"].share >= 0.8
+    assert "wombat" not in found and found["wrote"].share < 0.8
+    got = {r.doc_id: r for r in pii.sanitise(df, keep=["doc_id"]).collect()}
+    assert got[0].clean == "on day ak [TERM] wrote to [EMAIL]" and got[200].clean == "the [TERM]"
+    assert got[40].clean == "on a day the once seen wombat wrote to [EMAIL]" and got[100].clean == rows[60][1] and got[201].clean is None
+    assert pii.sanitise(df).count() == len(rows)
+
+
 def test_overlaps():
     text = "a1.2.3.4@x.org tail"
     assert pii.clean(text, [("email", 0, 14), ("ip", 1, 8)], frozenset()) == "[EMAIL] tail"
