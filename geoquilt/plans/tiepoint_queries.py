@@ -25,10 +25,9 @@ def actives(t):
     return tp.active(t.matches)
 
 
-def capped(t):
-    """Candidates of the features that a tile may hold."""
-    few = tp.top_points(actives(t), SETTINGS.features_per_tile).select("tp_id")
-    return t.matches.join(few, "tp_id", "left_semi")
+def spread(t):
+    """All candidates, in tiles that grow in number with the table and hold 40 points at most."""
+    return t.matches.withColumn("tile_id", F.floor(F.col("tp_id") / 40).cast("long"))
 
 
 def sides(t):
@@ -67,14 +66,23 @@ def a7(t):
     return out.select("tile_id", "n", *[F.round(c, 9).alias(c) for c in ("line_offset", "sigma", "max_distance")])
 
 
-@query("a8_consistency", f"""WITH {ACTIVE}, {TOP10},
+CONSISTENT = """
 p AS (SELECT x.tile_id, x.tp_id, y.tp_id AS tp2, sqrt(x.dx*x.dx + x.dy*x.dy) AS r0, sqrt(y.dx*y.dx + y.dy*y.dy) AS r1, sqrt(pow(y.dx - x.dx, 2) + pow(y.dy - x.dy, 2)) AS diff, x.dx*y.dx + x.dy*y.dy AS dot FROM c x LEFT JOIN c y ON x.tile_id = y.tile_id AND x.tp_id <> y.tp_id),
 q AS (SELECT tile_id, tp_id, count(*) FILTER (diff < 3.0 OR (2*abs(r1-r0)/(r0+r1) < 0.1 AND (CASE WHEN r0 > 0 AND r1 > 0 THEN dot/(r0*r1) ELSE 1.0 END) > cos(radians(10)))) AS consistent, count(tp2) AS neighbours FROM p GROUP BY tile_id, tp_id)
-SELECT *, CAST(greatest(ceil(50.0*neighbours/100), 1) AS BIGINT) AS needed, consistent >= greatest(ceil(50.0*neighbours/100), 1) AS passes FROM q""")
+SELECT *, CAST(greatest(ceil(50.0*neighbours/100), 1) AS BIGINT) AS needed, consistent >= greatest(ceil(50.0*neighbours/100), 1) AS passes FROM q"""
+
+
+@query("a8_consistency", f"WITH {ACTIVE}, {TOP10},{CONSISTENT}")
 def a8(t):
     return tp.consistency(tp.top_points(actives(t), SETTINGS.features_per_tile), SETTINGS)
 
 
+@query("a8_consistency_all", f"WITH {ACTIVE}, c AS (SELECT * REPLACE (tp_id // 40 AS tile_id) FROM a),{CONSISTENT}")
+def a8_all(t):
+    """Every tie point is tested; a8_consistency keeps the cap that its SQL has."""
+    return tp.consistency(tp.active(spread(t)), SETTINGS)
+
+
 @query("a20_strength", f"""WITH {NEAREST}, b AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id_a ORDER BY distance, id_b) <= 1),
 m AS (SELECT tile_id, max(distance) AS m FROM b GROUP BY tile_id) SELECT tile_id, id_a, id_b, round(CASE WHEN m > 0 THEN 1 - distance/m ELSE 1.0 END, 9) AS strength FROM b JOIN m USING (tile_id)""")
 def a20(t):
@@ -99,12 +107,12 @@ def w3(t):
 
 @query("w9_filter_without_parallax")
 def w9(t):
-    return tp.filter_without_parallax(capped(t), SETTINGS)
+    return tp.filter_without_parallax(spread(t), SETTINGS)
 
 
 @query("w10_filter_with_parallax")
 def w10(t):
-    return tp.filter_with_parallax(capped(t), 2.0, 1.0, SETTINGS)
+    return tp.filter_with_parallax(spread(t), 2.0, 1.0, SETTINGS)
 
 
 @query("u1_append", "SELECT tp_id, dx, dy, false AS is_reverse FROM matches UNION ALL SELECT tp_id, -dx, -dy, true FROM matches")
