@@ -64,8 +64,9 @@ def p2(t):
 
 
 def pyramid_tiles(t, tile: int = 32) -> DataFrame:
-    """Tiles of three levels below the full one, the coarsest at zoom 0; blank tiles are absent."""
-    levels = rs.overviews(t.pixels, SIDE, SIDE, 32)
+    """Tiles of the full level and the three below, the coarsest at zoom 0; blank tiles are absent."""
+    full = t.pixels.select(F.lit(0).alias("level"), "image_id", "x", "y", F.col("v").cast("double").alias("v"))
+    levels = full.unionByName(rs.overviews(t.pixels, SIDE, SIDE, 32))
     rows = levels.select((3 - F.col("level")).alias("zoom_level"), "image_id", F.floor(F.col("x") / tile).cast("int").alias("tile_column"), F.floor(F.col("y") / tile).cast("int").alias("tile_row"), (F.col("x") % tile).alias("px"), (F.col("y") % tile).alias("py"), "v")
     packed = rows.groupBy("image_id", "zoom_level", "tile_column", "tile_row").agg(F.sort_array(F.collect_list(F.struct("py", "px", "v"))).alias("data"))
     return packed.select(F.concat(F.lit("image"), F.col("image_id")).alias("table_name"), "zoom_level", "tile_column", "tile_row", "data")
@@ -76,15 +77,30 @@ P3 = "WITH a AS (SELECT image_id, x // 2 AS x, y // 2 AS y, avg(v) AS v FROM pix
 
 @query("p3_pyramid_build", f"{P3} SELECT 'image' || image_id AS table_name, z AS zoom_level, CAST(x // 32 AS INT) AS tile_column, CAST(y // 32 AS INT) AS tile_row, CAST(count(*) AS INT) AS n, round(sum(v), 6) AS total FROM l GROUP BY 1, 2, 3, 4")
 def p3(t):
+    """The levels that this query's SQL lists, of a pyramid that has the full one too."""
+    return tile_sums(written(t)).filter("zoom_level < 3")
+
+
+@query("p3_pyramid_build_all", f"{P3}, m AS (SELECT * FROM l UNION ALL SELECT 3, * FROM pixels) SELECT 'image' || image_id AS table_name, z AS zoom_level, CAST(x // 32 AS INT) AS tile_column, CAST(y // 32 AS INT) AS tile_row, CAST(count(*) AS INT) AS n, round(sum(v), 6) AS total FROM m GROUP BY 1, 2, 3, 4")
+def p3_all(t):
+    return tile_sums(written(t))
+
+
+def written(t) -> DataFrame:
     path = new_path(t.spark, "pyramid")
     pyramid.write_pyramid(pyramid_tiles(t), path)
-    return t.spark.read.parquet(path).select("table_name", "zoom_level", "tile_column", "tile_row", F.size("data").alias("n"), F.round(F.aggregate("data", F.lit(0.0), lambda s, p: s + p["v"]), 6).alias("total"))
+    return t.spark.read.parquet(path)
+
+
+def tile_sums(tiles: DataFrame) -> DataFrame:
+    return tiles.select("table_name", "zoom_level", "tile_column", "tile_row", F.size("data").alias("n"), F.round(F.aggregate("data", F.lit(0.0), lambda s, p: s + p["v"]), 6).alias("total"))
 
 
 @query("p4_pyramid_read", "SELECT w.image_id AS view_id, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM views w JOIN pixels p ON p.image_id = w.image_id % 2 AND p.x BETWEEN w.x0 AND w.x0 + w.width - 1 AND p.y BETWEEN w.y0 AND w.y0 + w.height - 1 GROUP BY 1")
 def p4(t):
     """Pixels of arbitrary views, through the tiles that hold them: an equi-join on addresses, then a clip."""
-    tiles = t.pixels.groupBy("image_id", F.floor(F.col("x") / 32).alias("tile_column"), F.floor(F.col("y") / 32).alias("tile_row")).agg(F.collect_list(F.struct("x", "y", "v")).alias("data"))
+    placed = F.transform("data", lambda p: F.struct((F.col("tile_column") * 32 + p["px"]).alias("x"), (F.col("tile_row") * 32 + p["py"]).alias("y"), p["v"].alias("v")))
+    tiles = written(t).filter("zoom_level = 3").select(F.substring("table_name", 6, 9).cast("int").alias("image_id"), "tile_column", "tile_row", placed.alias("data"))
     views = pyramid.tiles_for_rect(t.views.withColumns({"offset_x": F.lit(0), "offset_y": F.lit(0)}), 32, 32).withColumn("view_id", F.col("image_id")).withColumn("image_id", (F.col("image_id") % 2).cast("int"))
     j = views.join(tiles, ["image_id", "tile_column", "tile_row"])
     p = j.select("view_id", "clip_x0", "clip_x1", "clip_y0", "clip_y1", F.explode("data").alias("p")).filter("p.x >= clip_x0 AND p.x <= clip_x1 AND p.y >= clip_y0 AND p.y <= clip_y1")

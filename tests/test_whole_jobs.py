@@ -22,3 +22,11 @@ def test_filters_meet_every_tie_point(spark, name):
     assert tiles.n == points and tiles.most <= 40
     n = QUERIES[name](spark, SF).count()
     assert n == points if name.startswith("a8") else 1000 < n <= points
+
+
+def test_written_pyramid_has_every_pixel(spark):
+    from geoquilt.plans import jobs
+
+    t = Inputs(spark, SF)
+    full = jobs.pyramid_tiles(t).filter("zoom_level = 3").agg(F.sum(F.size("data")).alias("n")).first()
+    assert full.n == t.pixels.count()
