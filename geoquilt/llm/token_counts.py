@@ -22,8 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquilt.llm.bpe import slices
-from geoquilt.llm.common import materialize
+from geoquilt.llm.common import materialize, slices
 
 CACHE = "version string, digest binary, n_tokens long"
 

@@ -25,20 +25,42 @@ def test_same_as_library(spark):
         assert got[i] == want, t
         assert decoded[i] == lib.decode(want, skip_special_tokens=False)
     assert bpe.encode(df.limit(0), "text", WORD, ["doc_id"]).count() == 0
-    odd = spark.createDataFrame([(1, [5, -1, 10**6, 49407]), (2, [])], "k int, ids array<int>")
-    assert [r.decoded for r in bpe.decode(odd, "ids", WORD, ["k"]).sort("k").collect()] == [lib.decode([5, 49407], skip_special_tokens=False), ""]
+    both = {r.doc_id: (r.ids, r.decoded) for r in bpe.encode(df, "text", WORD, ["doc_id", "ids"], decoded="decoded").collect()}
+    assert both == {i: (got[i], decoded[i]) for i in got}
+    odd = spark.createDataFrame([(1, [5, -1, 10**6, None, 49407]), (2, []), (3, None)], "k int, ids array<int>")
+    assert [r.decoded for r in bpe.decode(odd, "ids", WORD, ["k", "ids"], "ids").withColumnRenamed("ids", "decoded").sort("k").collect()] == [lib.decode([5, 49407], skip_special_tokens=False), "", None]
 
 
 def test_forgetting_changes_nothing(monkeypatch):
     words = bpe.vocabulary(WORD)
     monkeypatch.setattr(bpe, "REMEMBERED", 2)
     known = bpe.Remembered(words)
-    texts = ["one two three", "two three four five", "one"]
+    texts = ["one two three", "two three four five", "one", "six <|endoftext|> two one", "five six seven one <|endoftext|>"]
     each = [known.encode([t])[0].tolist() for t in texts]
     flat, limits = bpe.Remembered(words).encode(texts)
     assert each == [flat[a:b].tolist() for a, b in zip(limits[:-1], limits[1:])]
 
 
+@pytest.mark.parametrize("latin", [True, False])
+def test_long_text_in_parts(monkeypatch, latin):
+    """A text much longer than what is held at once, with runs that can't be cut, gives what the library gives."""
+    import random
+
+    from geoquilt.llm import common
+
+    monkeypatch.setattr(bpe, "AT_ONCE", 500)
+    monkeypatch.setattr(bpe, "REMEMBERED", 300)
+    monkeypatch.setattr(bpe, "spans", lambda t: common.spans(t, 1000))
+    rng = random.Random(5)
+    syllables = [a + b for a in "bdfgklmnprst" for b in ("a", "ei", "o", "é", "'s", "1", "--")] + ["aaaa", "\n", "\t", *([] if latin else ["日本", "ΣΑΣ", "e\u0301"])]
+    text = " ".join("".join(rng.choices(syllables, k=rng.randint(1, 6))) for _ in range(20_000)) + " " + "x" * 5000 + "\n" + "ab" * 3000
+    lib, words = Tokenizer.from_file(WORD), bpe.vocabulary(WORD)
+    flat, limits = bpe.Remembered(words).encode([None, text, "end"])
+    want = lib.encode(text, add_special_tokens=False).ids
+    assert flat[limits[1] : limits[2]].tolist() == want and limits[1] == 0
+    assert bpe.joined_tokens(words, flat, limits)[1] == lib.decode(want, skip_special_tokens=False)
+
+
 def test_cache(spark):
     lib = Tokenizer.from_file(BYTE)
     cache = tempfile.mkdtemp(prefix="spark-cache-") + "/c"
