@@ -46,10 +46,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document, and a digest of what they decode to."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.encode(docs, "text", path, ["doc_id", "source"])
-    decoded = bpe.decode(coded.withColumn("kept_ids", F.col("ids")), "ids", path, ["doc_id", "source", "kept_ids"])
-    return decoded.select("doc_id", "source", F.size("kept_ids").cast("long").alias("n_tokens"), F.col("kept_ids").alias("ids"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    found = bpe.encode(docs, "text", public_tokenizers.path("word_bpe_49k.json"), ["doc_id", "source"], decoded="decoded")
+    return found.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
