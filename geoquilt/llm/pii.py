@@ -14,12 +14,16 @@ is taken out. Different values or texts are counted, so copies of a document add
 replaced by their kinds.
 
 Offsets are code points of the whole text, ends exclusive. A null text has no spans and stays null; rows that repeat are
-answered each; an empty table gives an empty table. Column names of the input don't matter but for ``keep``.
+answered each; an empty table gives an empty table. Column names of the input don't matter but for ``keep``. Very long
+texts are searched whole, and their words are read in parts. Of equal shares the kind last in the alphabet is named.
 """
 
 from __future__ import annotations
 
+import functools
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -29,10 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoquilt.llm.common import materialize
+from geoquilt.llm.common import materialize, slices, spans
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 5
+#: Characters beside a span that are looked at before all words of the text are.
+CLOSE = 300
 #: Candidate terms that are sent to tasks at most; more are joined.
 SENT = 200_000
 
@@ -43,6 +49,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
+NEW_LINE = re.compile("\n")
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -80,12 +87,56 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def near_words(text: str, start: int, end: int) -> list[str]:
-    """Lower-case words within WINDOW words of a span, on its line."""
-    left = text[max(text.rfind("\n", 0, start) + 1, start - 60 * WINDOW) : start]
-    stop = text.find("\n", end)
-    right = text[end : min(len(text) if stop < 0 else stop, end + 60 * WINDOW)]
-    return [w.lower() for w in WORD.findall(left)[-WINDOW:] + WORD.findall(right)[:WINDOW]]
+class Words:
+    """Where the words and line ends of a whole text lie, found when first asked for."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+    @functools.cached_property
+    def at(self) -> tuple[array, array, array]:
+        starts, ends, lines = array("q"), array("q"), array("q")
+        for m in WORD.finditer(self.text):
+            starts.append(m.start())
+            ends.append(m.end())
+        lines.extend(m.start() for m in NEW_LINE.finditer(self.text))
+        return starts, ends, lines
+
+    def near(self, start: int, end: int) -> list[str]:
+        """Lower-case words within WINDOW words of a span, on its line; a word that the span cuts counts with the rest of it."""
+        text = self.text
+        # most spans have enough words, or the ends of their line, close by
+        low, high = max(0, start - CLOSE), min(len(text), end + CLOSE)
+        left, cut, line = text[low:start].rpartition("\n")
+        before = WORD.findall(line)
+        if not (cut or low == 0 or len(before) > WINDOW):
+            starts, ends, lines = self.at
+            i, n = bisect_left(starts, start), bisect_left(lines, start)
+            first = lines[n - 1] + 1 if n else 0
+            before = [text[starts[k] : min(ends[k], start)] for k in range(max(0, i - WINDOW), i) if starts[k] >= first]
+        line, cut, right = text[end:high].partition("\n")
+        after = WORD.findall(line)
+        if not (cut or high == len(text) or len(after) > WINDOW):
+            starts, ends, lines = self.at
+            j, n = bisect_right(ends, end), bisect_left(lines, end)
+            last = lines[n] if n < len(lines) else len(text)
+            after = [text[max(starts[k], end) : ends[k]] for k in range(j, min(j + WINDOW, len(starts))) if starts[k] < last]
+        return [w.lower() for w in before[-WINDOW:] + after[:WINDOW]]
+
+
+def terms_in(text: str) -> set[str]:
+    """The distinct lower-case words of a text."""
+    found: set[str] = set()
+    for part in spans(text):
+        found.update(WORD.findall(part))
+    return {w.lower() for w in found}
+
+
+def parts(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[pa.RecordBatch]:
+    """Batches cut by the bytes of their texts."""
+    for batch in batches:
+        for at, n in slices(batch.column(text), 1 << 20):
+            yield batch.slice(at, n)
 
 
 def hashed(docs: DataFrame, text: str) -> DataFrame:
@@ -97,14 +148,15 @@ def near_terms(docs: DataFrame, text: str) -> DataFrame:
     """(kind, term, value, digest, n): how often a term is near a value of a kind in a text; a null kind holds all words of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in parts(batches):
             seen: Counter = Counter()
-            for t, digest in zip(*(c.to_pylist() for c in batch.columns)):
+            for t, digest in zip(*(c.to_pylist() for c in part.columns)):
                 if t:
                     seen[None, None, None, digest] += t.count(" ") + t.count("\n") + 1
+                    words = Words(t)
                     for kind, a, b in base_spans(t):
                         value = t[a:b].lower()
-                        seen.update((kind, w, value, digest) for w in near_words(t, a, b))
+                        seen.update((kind, w, value, digest) for w in words.near(a, b))
             if seen:
                 rows = [(*k, n) for k, n in seen.items()]
                 types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
@@ -117,11 +169,11 @@ def term_counts(docs: DataFrame, text: str, only: frozenset[str] | None) -> Data
     """(term, n): how often lower-case terms occur in all texts; ``only`` these, or all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in parts(batches):
             seen: Counter = Counter()
-            for t in batch.column(0).to_pylist():
-                if t:
-                    seen.update(WORD.findall(t))
+            for t in part.column(0).to_pylist():
+                for span in spans(t) if t else ():
+                    seen.update(WORD.findall(span))
             folded: Counter = Counter()
             for w, n in seen.items():
                 w = w.lower()
@@ -134,14 +186,14 @@ def term_counts(docs: DataFrame, text: str, only: frozenset[str] | None) -> Data
 
 
 def terms_of_texts(docs: DataFrame, text: str, only: frozenset[str] | None) -> DataFrame:
-    """(digest, terms): the lower-case terms of each different text; ``only`` these, or all."""
+    """(digest, terms): the lower-case terms of each different text that has some; ``only`` these, or all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                of = {d: t for t, d in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns)) if t}
-                terms = [[w for w in {x.lower() for x in set(WORD.findall(t))} if only is None or w in only] for t in of.values()]
-                yield pa.RecordBatch.from_arrays([pa.array(list(of), pa.int64()), pa.array(terms, pa.list_(pa.string()))], names=["digest", "terms"])
+        for part in parts(batches):
+            of = {d: t for t, d in zip(*(c.to_pylist() for c in part.columns)) if t}
+            terms = {d: list(found if only is None else found & only) for d, found in ((d, terms_in(t)) for d, t in of.items())}
+            terms = {d: found for d, found in terms.items() if found}
+            yield pa.RecordBatch.from_arrays([pa.array(list(terms), pa.int64()), pa.array(list(terms.values()), pa.list_(pa.string()))], names=["digest", "terms"])
 
     return hashed(docs, text).mapInArrow(run, "digest long, terms array<string>").groupBy("digest").agg(F.first("terms").alias("terms"))
 
@@ -197,7 +249,7 @@ def disclosures(docs: DataFrame, text: str = "text", min_values: int = 5, least:
     values = near.filter("kind IS NOT NULL").groupBy("kind", "term", "value").agg(F.sum("n").alias("n"))
     terms = values.groupBy("kind", "term").agg(F.sum("n").alias("n_near"), F.count(F.lit(1)).alias("n_values")).filter(F.col("n_values") >= min_values)
     terms = materialize(terms.join(F.broadcast(kinds), "kind"), "terms")  # four kinds
-    counted = terms.join(term_counts(docs, text, few_terms(terms)), "term")
+    counted = terms.withColumn("n_all", F.col("n_near")).limit(0) if terms.isEmpty() else terms.join(term_counts(docs, text, few_terms(terms)), "term")
     information = -F.log2(F.col("n_kind") / F.lit(float(max(all_words, 1))))
     mutual = F.log2(F.col("n_near") * F.lit(float(max(all_words, 1))) / (F.greatest("n_all", "n_near") * F.col("n_kind")))
     scored = counted.withColumn("share", F.when(information > 0, mutual / information))
@@ -206,10 +258,23 @@ def disclosures(docs: DataFrame, text: str = "text", min_values: int = 5, least:
     return best.select("term", "b.kind", "b.n_near", "b.n_values", "b.n_all", "b.share")
 
 
-def clean(text: str, spans: list[tuple[str, int, int]], removed: frozenset[str]) -> str:
-    """The text with each span's kind in its place; overlapping spans share the place of the first."""
+def term_spans(text: str, flagged: frozenset[str], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Where flagged terms stand outside of base spans."""
+    out, taken, i, reach = [], sorted((a, b) for _, a, b in base), 0, 0
+    for m in WORD.finditer(text):
+        if m[0].lower() in flagged:
+            while i < len(taken) and taken[i][0] < m.end():
+                reach = max(reach, taken[i][1])  # how far spans that begin before the word's end go
+                i += 1
+            if reach <= m.start():
+                out.append(("term", *m.span()))
+    return out
+
+
+def clean(text: str, found: list[tuple[str, int, int]], removed: frozenset[str]) -> str:
+    """The text with the kind of each span that was found in its place; overlapping spans share the place of the first."""
     out, at = [], 0
-    for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
+    for kind, a, b in sorted(found, key=lambda s: (s[1], -s[2])):
         if b <= at:
             continue
         if a >= at:
@@ -240,24 +305,16 @@ def sanitise(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
         rows_in = rows_in.withColumn("_digest", F.xxhash64("_text")).join(own, "_digest", "left").select(*[F.col(f"`{c}`") for c in keep], "_text", "_flagged", "_removed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                spans, cleaned = [], []
-                texts = part.column(len(keep)).to_pylist()
-                own = repeat((all_flagged, all_removed)) if sent else zip(*(map(frozenset, ([] if x is None else x for x in part.column(len(keep) + i).to_pylist())) for i in (1, 2)))
-                for t, (flagged, removed) in zip(texts, own):
-                    found = base_spans(t) if t else []
-                    if t and flagged and any(w.lower() in flagged for w in set(WORD.findall(t))):
-                        taken = sorted((a, b) for _, a, b in found)
-                        for m in WORD.finditer(t):
-                            if m[0].lower() in flagged:
-                                while taken and taken[0][1] <= m.start():
-                                    taken.pop(0)
-                                if not any(a < m.end() and m.start() < b for a, b in taken):
-                                    found.append(("term", *m.span()))
-                    spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-                    cleaned.append(clean(t, found, removed) if found else t)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(spans, _ARROW), pa.array(cleaned, pa.string())], names=[*keep, "spans", "clean"])
+        for part in parts(batches, len(keep)):
+            every, cleaned = [], []
+            texts = part.column(len(keep)).to_pylist()
+            own = repeat((all_flagged, all_removed)) if sent else zip(*(map(frozenset, ([] if x is None else x for x in part.column(len(keep) + i).to_pylist())) for i in (1, 2)))
+            for t, (flagged, removed) in zip(texts, own):
+                found = base_spans(t) if t else []
+                if t and flagged and not flagged.isdisjoint(terms_in(t)):
+                    found += term_spans(t, flagged, found)
+                every.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
+                cleaned.append(clean(t, found, removed) if found else t)
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(every, _ARROW), pa.array(cleaned, pa.string())], names=[*keep, "spans", "clean"])
 
     return rows_in.mapInArrow(run, rows_in.select(*keep).schema.add("spans", SPANS).add("clean", "string"))

@@ -82,6 +82,28 @@ def test_name_beside_one_value(spark, monkeypatch, most):
     assert pii.sanitise(df).count() == len(rows)
 
 
+@pytest.mark.parametrize("close", [pii.CLOSE, 7, 0])
+def test_words_near_a_span(monkeypatch, close):
+    """Words of any length count, whole, however far they reach; a few or no words on a long line are found in one sweep."""
+    monkeypatch.setattr(pii, "CLOSE", close)
+    long = [f"{c}{'x' * 400}" for c in "abcdefghijkl"]
+    texts = [" ".join([*long[:6], "a@b.cd", *long[6:]]), f"{'1 ' * 500}one{' 2' * 500} a@b.cd {'. ' * 900}two\nthree", "éa@b.cdé x\n", "no\na b c d e f g +12345678 h i j k l m\nno", " ".join(f"9.9.9.{i % 200}" for i in range(3000)) + " end"]
+    for t in texts:
+        words = pii.Words(t)
+        for _, a, b in pii.base_spans(t):
+            left, right = t[:a].rpartition("\n")[2], t[b:].partition("\n")[0]
+            want = [w.lower() for w in pii.WORD.findall(left)[-5:] + pii.WORD.findall(right)[:5]]
+            assert words.near(a, b) == want
+
+
+def test_terms_outside_of_spans():
+    text = "ann a@ann.org ann 1.2.3.4 ann@x.yz ann"
+    base = pii.base_spans(text)
+    assert [text[a:b] for _, a, b in pii.term_spans(text, frozenset(["ann"]), base)] == ["ann"] * 3
+    many = "1.2.3.4 ann " * 30_000
+    assert len(pii.term_spans(many, frozenset(["ann"]), pii.base_spans(many))) == 30_000
+
+
 def test_overlaps():
     text = "a1.2.3.4@x.org tail"
     assert pii.clean(text, [("email", 0, 14), ("ip", 1, 8)], frozenset()) == "[EMAIL] tail"

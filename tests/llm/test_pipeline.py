@@ -49,7 +49,7 @@ def disclosing(rows):
         words += (t.count(" ") + t.count("\n") + 1) if t else 0
         everywhere.update(w.lower() for w in re.findall(r"[^\W\d_]+", t))
         for kind, a, b in brute_spans(t):
-            left, right = t[:a].rpartition("\n")[2][-300:], t[b:].partition("\n")[0][:300]
+            left, right = t[:a].rpartition("\n")[2], t[b:].partition("\n")[0]
             for w in re.findall(r"[^\W\d_]+", left)[-5:] + re.findall(r"[^\W\d_]+", right)[:5]:
                 near[kind, w.lower()] += 1
                 values[kind, w.lower()].add(t[a:b].lower())
