@@ -16,47 +16,42 @@ A, B = 6378137.0, 6356752.3142
 def sar_locate(p: np.ndarray, v: np.ndarray, dist: np.ndarray, doppler: np.ndarray, h: np.ndarray, wavelength: float, right: bool = True, a: float = A, b: float = B) -> tuple[np.ndarray, np.ndarray]:
     """(position, status): where the range sphere, the Doppler cone and the ellipsoid raised by h meet, on the look side.
 
-    A quartic in z; of its real roots the one that fits the three surfaces best and lies on the look side counts.
-    Status 0: found; 1: none on the look side; 2: no real root. Lengths are in 1000 km, speeds in km/s."""
-    pos, vel, d, f = p * 1e-6, -v * 1e-3, dist * 1e-6, doppler * 1e-3
-    he, hp = (a + h) * 1e-6, (b + h) * 1e-6
-    (px, py, pz), (vx, vy, vz) = pos.T, vel.T
-    q = (he / hp) ** 2
-    det = vx * py - vy * px
-    ca = vx / det * (1 - q) / 2
-    cb = (vx * pz - vz * px) / det
-    k = (pos * vel).sum(1) - wavelength * d * f / 2
-    cc = (vx * (he**2 + (pos**2).sum(1) - d**2) - 2 * k * px) / (2 * det)
-    u, w = vz - cb * vy, cc * vy - k
-    poly = np.stack([(vx**2 + vy**2) * ca**2, 2 * ca * (u * vy - cb * vx**2), u**2 + 2 * ca * w * vy + vx**2 * (q + cb**2 + 2 * ca * cc), 2 * (u * w - cb * cc * vx**2), w**2 - vx**2 * (he**2 - cc**2)], 1)
-    # eigenvalues of the companion matrices; a vanishing lead makes a quadratic
-    roots = np.full((len(p), 4), np.nan, complex)
-    quartic = np.abs(poly[:, 0]) > 1e-300
-    if quartic.any():
-        m = np.zeros((int(quartic.sum()), 4, 4))
-        m[:, 0] = -poly[quartic, 1:] / poly[quartic, :1]
-        m[:, [1, 2, 3], [0, 1, 2]] = 1
-        roots[quartic] = np.linalg.eigvals(m)
-    if (~quartic).any():
-        c2, c1, c0 = poly[~quartic, 2], poly[~quartic, 3], poly[~quartic, 4]
-        s = np.sqrt((c1**2 - 4 * c2 * c0).astype(complex))
-        roots[~quartic, 0], roots[~quartic, 1] = (-c1 + s) / (2 * c2), (-c1 - s) / (2 * c2)
-    real = np.abs(roots.imag) < 1e-9
-    z = np.where(real, roots.real, np.nan)
-    col = lambda x: x[:, None]
-    y = (col(ca) * z - col(cb)) * z + col(cc)
-    x = (col(k) - (col(vy) * y + col(vz) * z)) / col(vx)
-    ex, ey, ez = x - col(px), y - col(py), z - col(pz)
-    along = ex * col(vx) + ey * col(vy) + ez * col(vz)
-    miss = np.abs((ex**2 + ey**2 + ez**2) / col(d**2) - 1) + np.abs(2 * along / col(wavelength * d) + col(f)) / np.maximum(np.abs(col(f)), 1.0)
-    miss = miss + np.abs((x / col(he)) ** 2 + (y / col(he)) ** 2 + (z / col(hp)) ** 2 - 1)
-    side = (ex * col(py * vz - pz * vy) + ey * col(pz * vx - px * vz) + ez * col(px * vy - py * vx)) * (1 if right else -1)
-    order = np.where(real & (side >= 0), miss, np.inf)
-    best = order.argmin(1)
-    found = np.isfinite(np.take_along_axis(order, col(best), 1))[:, 0]
-    out = np.stack([np.take_along_axis(c, col(best), 1)[:, 0] for c in (x, y, z)], 1) * 1e6
-    out[~found] = np.nan
-    return out, np.where(found, 0, np.where(real.any(1), 1, 2))
+    Sphere and cone meet in a circle about the line of flight. A point of it is told by its angle from straight down, from 0
+    to pi on the look side, and its height over the raised ellipsoid grows with the angle from the lowest point on, so the
+    angle is found between bounds by Newton's method.
+    Status 0: found; 1: the circle reaches the surface on the other side alone; 2: it doesn't reach it."""
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    dot = lambda x, y: (x * y).sum(1)
+    ahead = unit(v)
+    down = unit(ahead * dot(p, ahead)[:, None] - p)
+    aside = unit(np.cross(v, p)) * (1 if right else -1)
+    axial = doppler * wavelength * dist / (2 * np.linalg.norm(v, axis=1))
+    radius = np.sqrt(np.where(np.abs(axial) <= dist, dist**2 - axial**2, np.nan))[:, None]
+    # in units of the raised ellipsoid, which is a unit sphere there
+    scale = 1 / np.stack([a + h, a + h, b + h], 1)
+    centre, to_down, to_side = (p + axial[:, None] * ahead) * scale, radius * down * scale, radius * aside * scale
+
+    def above(angle: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Squared distance from the centre less 1, and its two derivatives by the angle."""
+        c, s = np.cos(angle)[:, None], np.sin(angle)[:, None]
+        x, dx = centre + c * to_down + s * to_side, c * to_side - s * to_down
+        return dot(x, x) - 1, 2 * dot(x, dx), 2 * (dot(dx, dx) - dot(x, x - centre))
+
+    lowest = np.arctan2(-dot(centre, to_side), -dot(centre, to_down))
+    for _ in range(6):
+        _, slope, bend = above(lowest)
+        lowest = lowest - np.where(bend > 0, slope / np.where(bend > 0, bend, 1.0), 0.0)
+    low, high = np.maximum(lowest, 0.0), np.full(len(p), np.pi)
+    found = (above(low)[0] <= 0) & (above(high)[0] > 0)
+    angle = (low + high) / 2
+    for _ in range(50):
+        value, slope, _ = above(angle)
+        low, high = np.where(value < 0, angle, low), np.where(value < 0, high, angle)
+        step = angle - value / np.where(slope == 0, np.nan, slope)
+        angle = np.where((step > low) & (step < high), step, (low + high) / 2)
+    c, s = np.cos(angle)[:, None], np.sin(angle)[:, None]
+    out = np.where(found[:, None], p + axial[:, None] * ahead + radius * (c * down + s * aside), np.nan)
+    return out, np.where(found, 0, np.where(above(lowest)[0] <= 0, 1, 2))
 
 
 def pushbroom_ray(p: np.ndarray, v: np.ndarray, attitude: np.ndarray, psi_x: np.ndarray, psi_y: np.ndarray) -> np.ndarray:

@@ -152,9 +152,10 @@ def x1(t):
     return st.stored(t.spark, path)
 
 
-@query("x2_stream_progress", "SELECT zoom_level, count(*) AS arrived, CAST(any_value(matrix_width * matrix_height) AS BIGINT) AS total FROM tile_stream JOIN (SELECT zoom_level, matrix_width, matrix_height FROM levels WHERE table_name = 'AFRICA') l USING (zoom_level) GROUP BY zoom_level")
+@query("x2_stream_progress", "SELECT zoom_level, count(DISTINCT (tile_column, tile_row)) AS written, CAST(any_value(matrix_width * matrix_height) AS BIGINT) AS total FROM tile_stream JOIN (SELECT zoom_level, matrix_width, matrix_height FROM levels WHERE table_name = 'AFRICA') l USING (zoom_level) WHERE tile_column < matrix_width AND tile_row < matrix_height AND value IS NOT NULL GROUP BY zoom_level")
 def x2(t):
-    path = new_path(t.spark, "progress")
+    tiles, path = new_path(t.spark, "ingested"), new_path(t.spark, "progress")
     totals = levels(t).select("zoom_level", (F.col("matrix_width") * F.col("matrix_height")).cast("long").alias("total"))
-    st.progress(st.read_stream(t.spark, t.sf_dir, "events.parquet"), totals, path, new_path(t.spark, "offsets")).awaitTermination()
+    st.ingest(st.read_stream(t.spark, t.sf_dir, "events.parquet"), levels(t), tiles, new_path(t.spark, "offsets")).awaitTermination()
+    st.progress(t.spark, tiles, totals, path, new_path(t.spark, "offsets")).awaitTermination()
     return t.spark.read.parquet(path)

@@ -38,14 +38,19 @@ def append_new(batch: DataFrame, path: str) -> None:
     new.write.mode("append").partitionBy("zoom_level").parquet(path)
 
 
-def ingest(tiles: DataFrame, levels: DataFrame, path: str, checkpoint: str, delay: str = "1 hour"):
-    """Start the ingest of a stream of tiles: each event once, addresses that lie in their level's matrix; returns the query."""
-    once = tiles.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
-    return valid_addresses(once, levels).writeStream.foreachBatch(lambda batch, _: append_new(batch, path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def ingest(tiles: DataFrame, levels: DataFrame, path: str, checkpoint: str):
+    """Start the ingest of a stream of tiles, whose addresses lie in their level's matrix; returns the query.
 
+    However late an event comes, its tile is stored if its address has none: stored addresses tell repeats apart, so no
+    watermark is needed, which would drop what comes after it."""
+    return valid_addresses(tiles, levels).writeStream.foreachBatch(lambda batch, _: append_new(batch, path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-def progress(tiles: DataFrame, totals: DataFrame, path: str, checkpoint: str):
-    """Start the count of arrived events per level beside the level's number of tiles; each batch replaces the report."""
-    counts = tiles.groupBy("zoom_level").agg(F.count(F.lit(1)).alias("arrived"))
+
+def progress(spark: SparkSession, stored_tiles: str, totals: DataFrame, path: str, checkpoint: str):
+    """Start the count of tiles written per level beside the level's number of tiles; each batch replaces the report.
+
+    The stream is the written pyramid itself, where every address stands once, so a count never exceeds its total; a
+    batch reads the files that are new, and the state is a row for each level."""
+    counts = spark.readStream.schema(TILES).parquet(stored_tiles).groupBy("zoom_level").agg(F.count(F.lit(1)).alias("written"))
     report = lambda batch, _: batch.join(F.broadcast(totals), "zoom_level").write.mode("overwrite").parquet(path)  # noqa: E731  a row for each level
     return counts.writeStream.outputMode("complete").foreachBatch(report).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -164,6 +164,27 @@ def test_sar_location_fits_its_surfaces():
     assert (none == 2).all()
 
 
+def test_sar_location_round_trip():
+    """Range and Doppler frequency of known ground points, seen with squint from slant orbits, lead back to them."""
+    rng = np.random.default_rng(3)
+    n, wavelength = 500, 0.0566
+    lat, lon, h = rng.uniform(-1.2, 1.2, n), rng.uniform(-3, 3, n), rng.uniform(0, 5000, n)
+    g = np.stack([np.cos(lat) * np.cos(lon) * (sensors.A + h), np.cos(lat) * np.sin(lon) * (sensors.A + h), np.sin(lat) * (sensors.B + h)], 1)
+    up = g / np.linalg.norm(g, axis=1, keepdims=True)
+    east = np.stack([-np.sin(lon), np.cos(lon), 0 * lon], 1)
+    heading = rng.uniform(0, 6.28, n)[:, None]
+    ahead = np.cos(heading) * np.cross(up, east) + np.sin(heading) * east
+    p = g + up * 700e3 - np.cross(ahead, up) * rng.uniform(1e5, 6e5, n)[:, None] + ahead * rng.uniform(-5e4, 5e4, n)[:, None]
+    v = 7500 * ahead + 100 * up
+    dist = np.linalg.norm(g - p, axis=1)
+    doppler = 2 * ((g - p) * v).sum(1) / (wavelength * dist)
+    x, status = sensors.sar_locate(p, v, dist, doppler, h, wavelength)
+    assert (status == 0).all() and np.abs(x - g).max() < 1e-4
+    other, _ = sensors.sar_locate(p, v, dist, doppler, h, wavelength, right=False)
+    assert np.nanmin(np.linalg.norm(other - g, axis=1)) > 1e5
+    assert (sensors.sar_locate(p, v, np.full(n, 1e3), np.full(n, 1e9), h, wavelength)[1] == 2).all()  # a cone that the sphere doesn't meet
+
+
 def test_rays():
     p = np.array([[7e6, 0.0, 1e5], [0, 7e6, 2e5]])
     v = np.array([[0, 7e3, 1e3], [-7e3, 0, 1e3]])
