@@ -2,11 +2,13 @@
 
 Each document is measured on its whole text and fails rules of its own. Failures are counted by host; a host's failure
 rate of a rule is shrunk towards the rate of all hosts with a beta prior fitted to the hosts by moments, so a host with
-few documents needs more evidence than one with many. A host of which a shrunk rate exceeds ``max_rate`` is rejected, and
-its verdict is joined back to its documents.
+few documents needs more evidence than one with many. A host is rejected where the beta distribution that a rule's failures
+leave of its rate lies above a limit: the rate less SURE standard deviations exceeds ``times`` the rate of all hosts, or
+``least`` where that is less, or ``most`` where it is more. The verdict is joined back to the host's documents.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. A null text has no words and fails for shortness, as an empty one does. Null hosts
-form one host. Repeated rows count each. An empty table gives an empty table; columns of the input that clash with added
+form one host. Repeated rows count each. A rate that equals the limit isn't above it. Very long texts are measured whole,
+in arrays of their words. An empty table gives an empty table; columns of the input that clash with added
 ones are replaced. Only DataFrame functions are used; no row is shuffled but the counts by host.
 """
 
@@ -24,6 +26,8 @@ WORD_GAPS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
 WINDOW = 5
+#: Standard deviations below a rate that leave 5 in 100 of the normal distribution.
+SURE = 1.645
 RULES = ("short", "repetition", "symbols", "dup_lines")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
@@ -92,31 +96,35 @@ def failures() -> dict[str, Column]:
     }
 
 
-def host_rates(measured: DataFrame, host: str) -> DataFrame:
-    """(host, n_docs, and for each rule its failures k_ and its shrunk rate): one row for each host."""
+def host_rates(measured: DataFrame, host: str, times: float, least: float, most: float) -> DataFrame:
+    """(host, n_docs, for each rule its failures k_ and its shrunk rate, and host_failed): one row for each host."""
     counts = measured.groupBy(measured[host].alias("host")).agg(
         F.count(F.lit(1)).cast("double").alias("n_docs"), *[F.sum(bad.cast("double")).alias(f"k_{rule}") for rule, bad in failures().items()]
     )
     counts = materialize(counts, "host-counts")
     n = F.col("n_docs")
     sums = counts.agg(F.count(F.lit(1)).alias("hosts"), F.sum(n).alias("n"), *[F.sum(f"k_{r}").alias(f"k_{r}") for r in RULES], *[F.sum(F.col(f"k_{r}") * F.col(f"k_{r}") / n).alias(f"q_{r}") for r in RULES]).first()
-    shrunk = []
+    shrunk, failed = [], F.lit(False)
     for r in RULES:
         mean = sums[f"k_{r}"] / sums["n"] if sums["n"] else 0.0
         # spread between hosts: the weighted variance of their rates, without what chance alone gives
         spread = sums[f"q_{r}"] / sums["n"] - mean * mean - mean * (1 - mean) * sums["hosts"] / sums["n"] if sums["n"] else 0.0
         strength = min(1e6, max(1.0, mean * (1 - mean) / spread - 1)) if spread > 0 else 1e6
-        shrunk.append(((F.col(f"k_{r}") + F.lit(mean * strength)) / (n + F.lit(strength))).alias(f"rate_{r}"))
-    return counts.select("host", "n_docs", *[f"k_{r}" for r in RULES], *shrunk)
+        rate = (F.col(f"k_{r}") + F.lit(mean * strength)) / (n + F.lit(strength))
+        shrunk.append(rate.alias(f"rate_{r}"))
+        deviation = F.sqrt(rate * (F.lit(1.0) - rate) / (n + F.lit(strength + 1)))
+        failed = failed | (rate - F.lit(SURE) * deviation > F.lit(min(most, max(least, times * mean))))
+    return counts.select("host", "n_docs", *[f"k_{r}" for r in RULES], *shrunk, failed.alias("host_failed"))
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source", keep: Sequence[str] | None = None, max_rate: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", host: str = "source", keep: Sequence[str] | None = None, times: float = 3.0, least: float = 0.2, most: float = 0.5) -> DataFrame:
     """The ``keep`` columns (default: all), the MEASURES, base_failed, host_rate (the largest of a host's shrunk rates), host_failed and kept."""
     keep = list(docs.columns if keep is None else keep)
     keep = [c for c in keep if c not in {*MEASURES, "base_failed", "host_rate", "host_failed", "kept"}]
     measured = measure(docs, text).select(*keep, *MEASURES, F.col(host).alias("_host"))
     measured = materialize(measured, "measured")
-    hosts = host_rates(measured, "_host").select(F.col("host").alias("_at"), F.greatest(*[f"rate_{r}" for r in RULES]).alias("host_rate"))
+    hosts = host_rates(measured, "_host", times, least, most)
+    hosts = hosts.select(F.col("host").alias("_at"), F.greatest(*[f"rate_{r}" for r in RULES]).alias("host_rate"), "host_failed")
     joined = measured.join(broadcast_if_small(hosts, hosts.count()), F.col("_host").eqNullSafe(F.col("_at")), "left").drop("_at", "_host")
     bad = failures()
-    return joined.withColumns({"base_failed": bad["short"] | bad["repetition"], "host_failed": F.col("host_rate") > F.lit(max_rate)}).withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed"))
+    return joined.withColumn("base_failed", bad["short"] | bad["repetition"]).withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed"))

@@ -106,9 +106,10 @@ u AS (SELECT source, rule, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (
   FROM (SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([f1, f2, f3, f4]) AS bad FROM f) GROUP BY source, rule),
 s AS (SELECT rule, sum(k) / sum(n) AS mean, sum(k * k / n) / sum(n) - pow(sum(k) / sum(n), 2) - sum(k) / sum(n) * (1 - sum(k) / sum(n)) * count(*) / sum(n) AS spread FROM u GROUP BY rule),
 b AS (SELECT rule, mean, CASE WHEN spread > 0 THEN least(1e6, greatest(1.0, mean * (1 - mean) / spread - 1)) ELSE 1e6 END AS strength FROM s),
-h AS (SELECT source, max((k + mean * strength) / (n + strength)) AS host_rate FROM u JOIN b USING (rule) GROUP BY source)
+e AS (SELECT source, mean, n + strength AS m, (k + mean * strength) / (n + strength) AS rate FROM u JOIN b USING (rule)),
+h AS (SELECT source, max(rate) AS host_rate, bool_or(rate - 1.645 * sqrt(rate * (1 - rate) / (m + 1)) > least(0.5, greatest(0.2, 3 * mean))) AS host_failed FROM e GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
-  NOT (f1 OR f2) AND NOT host_rate > 0.5 AS kept, round(host_rate, 9) AS host_rate
+  NOT (f1 OR f2) AND NOT host_failed AS kept, round(host_rate, 9) AS host_rate
 FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source
 """
 

@@ -6,6 +6,7 @@ import os
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +46,20 @@ def test_host_verdicts(spark):
     assert quality.judge(df.limit(0)).count() == 0
 
 
+def test_query_rejects_a_host(spark, tmp_path):
+    """Of two hosts with the same share of failures only the one with many documents is surely bad; its good documents go too."""
+    rows = [(i, WORDS + f" d{i}", "fr", f"host{i % 8}") for i in range(800)]
+    rows += [(1000 + i, WORDS + f" e{i}" if i % 5 > 1 else "# | # | # | # | " + WORDS, "fr", "bad") for i in range(200)]
+    rows += [(2000 + i, WORDS + f" f{i}" if i else "# | # | # | # | " + WORDS, "fr", "few") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in op2_host_quality(spark, str(tmp_path)).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert sorted(i for i, r in out.items() if not r.kept) == list(range(1000, 1200))
+    want = {r[0]: r[1] for r in duckdb.sql(oracle_sql()["op2_host_quality"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'") + "").project("doc_id, kept").fetchall()}
+    assert want == {i: r.kept for i, r in out.items()}
+
+
 def test_mixing_reaches_its_targets(spark):
     rows = [(i, "x" * (i % 50), "big" if i % 10 else "small", i) for i in range(20_000)] + [(None, None, None, 0), (5, "x" * 5, "big", 5), (30_000, "tail", "unwanted", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, copy int")

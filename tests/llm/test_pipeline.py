@@ -31,15 +31,17 @@ def good(rows):
         r["bad"] = [n < 10, 100 * rep > 20 * n, 10 * sym > n, 10 * dup > 3 * lines]
         count[r["source"]] += 1
         fails[r["source"]] = [a + b for a, b in zip(fails[r["source"]], r["bad"])]
-    worst = {}
+    out = set()
     for rule in range(4):
         total = sum(count.values())
         mean = sum(f[rule] for f in fails.values()) / total
         spread = sum(fails[s][rule] ** 2 / count[s] for s in count) / total - mean**2 - mean * (1 - mean) * len(count) / total
         strength = min(1e6, max(1.0, mean * (1 - mean) / spread - 1)) if spread > 0 else 1e6
         for s in count:
-            worst[s] = max(worst.get(s, 0), (fails[s][rule] + mean * strength) / (count[s] + strength))
-    return [r for r in rows if not r["bad"][0] and not r["bad"][1] and worst[r["source"]] <= 0.5]
+            rate = (fails[s][rule] + mean * strength) / (count[s] + strength)
+            if rate - 1.645 * math.sqrt(rate * (1 - rate) / (count[s] + strength + 1)) > min(0.5, max(0.2, 3 * mean)):
+                out.add(s)
+    return [r for r in rows if not r["bad"][0] and not r["bad"][1] and r["source"] not in out]
 
 
 def disclosing(rows):
