@@ -1,9 +1,9 @@
 """Toxicity by a chain of linear classifiers.
 
-Categories are predicted one after the other. Each category's model is logistic regression on words and on the logits of
-all earlier categories. For training, the earlier logits of a document come from models that haven't seen it: the labelled
-rows are dealt into folds by a hash, and each fold is predicted by models of the others. For prediction, models of all
-labelled rows are used.
+Categories are predicted one after the other. Each category's model is logistic regression on words and on the probabilities
+of all earlier categories. For training, the earlier probabilities of a document come from models that haven't seen it: the
+labelled rows are dealt into folds by a hash, and each fold is predicted by models of the others. For prediction, models of
+all labelled rows are used.
 
 Words are runs of letters and digits, lower-case, as 64-bit hashes; so are their first STEM bytes, which tell words that are
 built from a known stem. A document has a word or not, however long it is. Hashes are used whole: folded into fewer
@@ -14,8 +14,9 @@ scored, in one pass without a shuffle. A category is set where its probability r
 out-of-fold predictions.
 
 Null and empty texts have no words and get the probability that this gives. Labels that are null are left out. Without
-usable labels of both kinds a category's probability is its share of ones, or 0. Repeated rows are answered each; an
-empty table gives an empty table; clashing column names don't matter, as only ``keep`` is returned.
+usable labels of both kinds a category's probability is its share of ones, or 0. Words of equal statistics are taken by
+their hash. Very long texts are read whole, a few megabytes of texts at a time. Repeated rows are answered each; an empty
+table gives an empty table; clashing column names don't matter, as only ``keep`` is returned.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoquilt.llm.common import materialize
+from geoquilt.llm.common import materialize, slices
 from geoquilt.llm.shingles import mix, words_of
 
 STEM, FOLDS, RIDGE = 4, 5, 1.0
+#: Rows of the design matrix that are multiplied at a time.
+ROWS = 2048
 GAPS = np.zeros(256, bool)
 GAPS[[b for b in range(128) if not chr(b).isalnum()]] = True
 
@@ -52,8 +55,8 @@ def distinct_words(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at, n in slices(batch.column(len(keep)), 1 << 20):
+                part = batch.slice(at, n)
                 doc, word = words_and_stems(part.column(len(keep)))
                 order = np.lexsort((word, doc))
                 doc, word = doc[order], word[order]
@@ -67,32 +70,43 @@ def distinct_words(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     return rows.mapInArrow(run, f"{schema}, words array<long>")
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights and last the intercept of ridge logistic regression, by Newton's method."""
+def fit(x: np.ndarray, earlier: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of ``x`` and ``earlier`` and last the intercept of ridge logistic regression, by Newton's method."""
+    d = x.shape[1] + earlier.shape[1]
     if not len(y) or y.min() == y.max():
         p = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
-        return np.concatenate([np.zeros(x.shape[1]), [np.log(p / (1 - p))]])
-    x1 = np.concatenate([x, np.ones((len(x), 1))], 1)
-    ridge = np.full(x1.shape[1], RIDGE)
+        return np.concatenate([np.zeros(d), [np.log(p / (1 - p))]])
+    ridge = np.full(d + 1, RIDGE)
     ridge[-1] = 1e-6
-    w = np.zeros(x1.shape[1])
+    w = np.zeros(d + 1)
     w[-1] = np.log(y.mean() / (1 - y.mean()))
-    loss = np.inf
-    for _ in range(30):
-        z = np.clip(x1 @ w, -30, 30)
-        p = 1 / (1 + np.exp(-z))
-        now = float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum() + 0.5 * (ridge * w * w).sum())
-        if loss - now < 1e-6 * abs(now):
-            break
-        loss = now
-        weight = np.maximum(p * (1 - p), 1e-4)
-        step = np.linalg.solve((x1 * weight[:, None]).T @ x1 + np.diag(ridge), x1.T @ (y - p) - ridge * w)
+    loss, last, step = np.inf, w, w * 0
+    for _ in range(60):
+        now, slope, bend = 0.5 * (ridge * w * w).sum(), -ridge * w, np.diag(ridge)
+        for at in range(0, len(x), ROWS):
+            part = np.concatenate([x[at : at + ROWS], earlier[at : at + ROWS], np.ones((len(x[at : at + ROWS]), 1))], 1)
+            own = y[at : at + ROWS]
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            now -= (own * np.log(p) + (1 - own) * np.log(1 - p)).sum()
+            slope = slope + part.T @ (own - p)
+            bend = bend + (part * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ part
+        if now > loss * (1 + 1e-9):  # the step went too far
+            step = step / 2
+            w = last + step
+            continue
+        loss, last, step = now, w, np.linalg.solve(bend, slope)
         w = w + step
+        if abs(step).max() < 1e-7:
+            break
     return w
 
 
-def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.clip(x @ w[:-1] + w[-1], -30, 30)
+def logit(x: np.ndarray, earlier: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.clip(x @ w[: x.shape[1]] + earlier @ w[x.shape[1] : -1] + w[-1], -30, 30)
+
+
+def probability(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-z))
 
 
 def best_threshold(z: np.ndarray, y: np.ndarray) -> float:
@@ -112,28 +126,28 @@ def train_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> list[tup
     chain, earlier = [], np.zeros((len(x), 0))
     for c in range(labels.shape[1]):
         y, known = labels[:, c], ~np.isnan(labels[:, c])
-        inputs = np.concatenate([x, earlier], 1)
         unseen = np.zeros(len(x))
         for f in range(FOLDS):
-            inside = known & (fold != f)
-            unseen[fold == f] = logit(inputs[fold == f], fit(inputs[inside], y[inside]))
-        chain.append((fit(inputs[known], y[known]), best_threshold(unseen[known], y[known])))
-        earlier = np.concatenate([earlier, unseen[:, None]], 1)
+            inside, own = known & (fold != f), fold == f
+            unseen[own] = logit(x[own], earlier[own], fit(x[inside], earlier[inside], y[inside]))
+        chain.append((fit(x[known], earlier[known], y[known]), best_threshold(unseen[known], y[known])))
+        earlier = np.concatenate([earlier, probability(unseen)[:, None]], 1)
     return chain
 
 
 def telling_words(sample: DataFrame, categories: Sequence[str], most_words: int) -> list[int]:
-    """Words and stems with the largest chi-squared statistics, as many for each category."""
-    totals = sample.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in categories]).first()
-    n = float(totals["n"])
-    words = sample.select(F.explode("words").alias("word"), *categories).groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("df"), *[F.sum(c).cast("double").alias(c) for c in categories])
+    """Words and stems with the largest chi-squared statistics, as many for each category, among rows that it labels."""
+    counts = lambda c: (F.count(c).cast("double").alias(f"n_{c}"), F.sum(c).cast("double").alias(f"ones_{c}"))
+    totals = sample.agg(*[x for c in categories for x in counts(c)]).first()
+    words = sample.select(F.explode("words").alias("word"), *categories).groupBy("word").agg(*[x for c in categories for x in counts(c)])
     out: list[int] = []
     for c in categories:
-        ones = float(totals[c] or 0)
+        n, ones = totals[f"n_{c}"] or 0.0, totals[f"ones_{c}"] or 0.0
         if 0 < ones < n:
-            expected = F.col("df") * F.lit(ones / n)
-            score = (F.col(c) - expected) ** 2 / (expected * (F.lit(1.0) - F.col("df") / F.lit(n)) + F.lit(1.0))
-            top = words.filter(F.col("df") >= 3).orderBy(score.desc(), "word").limit(max(1, most_words // len(categories)))
+            df = F.col(f"n_{c}")
+            expected = df * F.lit(ones / n)
+            score = (F.col(f"ones_{c}") - expected) ** 2 / (expected * (F.lit(1.0) - df / F.lit(n)) + F.lit(1.0))
+            top = words.filter(df >= 3).orderBy(score.desc(), "word").limit(max(1, most_words // len(categories)))
             out += [r.word for r in top.select("word").collect()]
     return sorted(set(out))
 
@@ -148,7 +162,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, categories
     words = telling_words(sample, categories, most_words)
     own = F.array_intersect("words", F.lit(words).cast("array<long>")) if words else F.array().cast("array<long>")
     rows = sample.select(own.alias("own"), *categories, F.pmod(F.xxhash64("id", F.lit(5)), F.lit(FOLDS)).alias("fold")).orderBy(F.xxhash64("id", F.lit(11)), "id").collect()
-    x, place = np.zeros((len(rows), len(words))), {w: i for i, w in enumerate(words)}
+    x, place = np.zeros((len(rows), len(words)), np.float32), {w: i for i, w in enumerate(words)}
     for i, r in enumerate(rows):
         x[i, [place[b] for b in r["own"]]] = 1
     y = np.array([[np.nan if r[c] is None else r[c] for c in categories] for r in rows], float).reshape(len(rows), len(categories))
@@ -165,8 +179,8 @@ def classify(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at, n in slices(batch.column(len(keep)), 1 << 20):
+                part = batch.slice(at, n)
                 doc, word = words_and_stems(part.column(len(keep)))
                 at_word = np.searchsorted(telling, word)
                 found = (telling[at_word] == word) & (at_word < len(words))
@@ -178,9 +192,8 @@ def classify(docs: DataFrame, labels: DataFrame, categories: Sequence[str], doc_
                     z = np.bincount(doc, own[feature], part.num_rows) + w[-1]
                     for e, v in zip(earlier, w[len(words) : -1], strict=True):
                         z = z + v * e
-                    z = np.clip(z, -30, 30)
-                    earlier.append(z)
-                    p = 1 / (1 + np.exp(-z))
+                    p = probability(np.clip(z, -30, 30))
+                    earlier.append(p)
                     out += [pa.array(p), pa.array(p >= threshold)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *out], names=[*keep, *added])
 
