@@ -1,13 +1,15 @@
 """The main text of web pages from flat text blocks.
 
 A page is read once into a flat list of text blocks. Each block has its number of words, its share of words inside links,
-whether it stands in the article, in a part named as something else, or in a heading, and words and link share of the
-blocks before and after it. A decision tree, trained on the labelled table below, tells which blocks belong to the
+whether it stands in the article or in a heading, how much it stands in a part named as something else, and words and link
+share of the blocks before and after it. A name counts in full where it stands alone or with names of parts, by half among
+other words, where words, links and neighbours decide, and not beside words for a state (``no-sidebar``). A decision tree, trained on the labelled table below, tells which blocks belong to the
 article; these are joined in page order. Pages don't meet, so the job is one pass without a shuffle.
 
 Null or empty pages give an empty text. Broken markup is read as far as it can be told: an unclosed element ends with the
 element around it, text after an unclosed script or style is part of it. Repeated rows are answered each; an empty table
-gives an empty table; clashing column names don't matter, as only ``keep`` is returned.
+gives an empty table; clashing column names don't matter, as only ``keep`` is returned. Very long pages are read whole. A
+block on which the tree is undecided is kept.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from geoquilt.llm.common import slices
+
 # Fixed values
 BLOCK_TAGS = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 NESTING = frozenset("article aside blockquote body button details dialog div dl fieldset figure footer form header li main menu nav ol search section select table tbody td tfoot th thead tr ul span".split())
-RAW_TAGS = frozenset("head iframe noembed noframes noscript object script select style svg template textarea title math canvas audio video".split())
+RAW_TAGS = frozenset("head iframe noembed noframes noscript object script select style svg template textarea title canvas audio video".split())
 OTHER_TAGS = frozenset("aside button dialog fieldset footer form menu nav search".split())
 ARTICLE_TAGS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -34,6 +38,13 @@ OTHER_NAMES = frozenset(
     "subscribe subscription tags taboola teaser toolbar topbar widget complementary contentinfo alert".split()
 )
 PAGE_HEADER_NAMES = frozenset("header masthead".split())
+#: Words beside a name that tell a state of the page, and parts that such an element has.
+STATE_NAMES = frozenset("has have no not with without is open closed on off enabled disabled show shown hide layout format type status category tag full".split())
+PART_NAMES = frozenset(
+    "list box bar wrap wrapper container area section block left right top bottom main primary secondary inner outer item items link links post posts page site "
+    "global article articles form header title body content text author meta count button buttons icon icons group row column col panel region zone slot unit "
+    "message policy story stories news reader user thread small large mobile desktop sticky fixed the a an and for of by in us".split()
+)
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "article", "other", "heading")
 #: Labelled blocks: the FEATURES, then 1 for article text.
@@ -58,6 +69,11 @@ LABELLED = (
     (20, 0.0, 6, 0.0, 1, 1.0, 0, 0, 0, 1), (45, 0.0, 1, 1.0, 2, 0.5, 0, 0, 0, 1), (70, 0.1, 3, 1.0, 5, 1.0, 0, 0, 0, 1), (30, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
     (5, 0.0, 1, 1.0, 2, 0.0, 0, 0, 0, 0), (3, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (1, 0.0, 9, 0.0, 3, 1.0, 0, 0, 0, 0), (9, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0),
     (2, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 0), (10, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0, 0), (6, 0.0, 12, 0.9, 4, 0.0, 0, 0, 0, 0), (12, 1.0, 8, 1.0, 9, 1.0, 0, 0, 0, 0),
+    (45, 0.0, 50, 0.0, 45, 0.0, 1, 0.5, 0, 1), (30, 0.0, 6, 0.0, 20, 0.0, 1, 0.5, 0, 1), (22, 0.1, 60, 0.0, 1, 1.0, 1, 0.5, 0, 1), (60, 0.0, 0, 0.0, 3, 1.0, 0, 0.5, 0, 1),
+    (6, 0.0, 30, 0.0, 40, 0.0, 1, 0.5, 1, 1), (90, 0.2, 2, 0.0, 0, 0.0, 0, 0.5, 0, 1), (20, 0.0, 8, 0.0, 70, 0.0, 1, 0.5, 0, 1), (35, 0.0, 40, 0.0, 0, 0.0, 1, 0.5, 0, 1),
+    (4, 0.5, 20, 0.0, 4, 0.5, 1, 0.5, 0, 0), (3, 1.0, 3, 1.0, 3, 1.0, 0, 0.5, 0, 0), (8, 0.9, 40, 0.0, 8, 0.9, 1, 0.5, 0, 0), (5, 0.0, 60, 0.0, 4, 1.0, 1, 0.5, 0, 0),
+    (5, 0.0, 60, 0.0, 30, 0.0, 1, 0, 0, 1), (4, 0.0, 90, 0.0, 0, 0.0, 1, 0, 0, 1), (6, 0.0, 120, 0.0, 5, 0.0, 1, 0, 0, 1), (5, 0.0, 70, 0.0, 4, 1.0, 1, 0, 0, 1),
+    (25, 0.8, 20, 0.7, 18, 0.9, 1, 0.5, 0, 0), (2, 0.0, 1, 1.0, 6, 1.0, 0, 0.5, 1, 0), (7, 0.0, 3, 0.0, 2, 1.0, 0, 0.5, 0, 0), (12, 1.0, 9, 1.0, 60, 0.0, 0, 0.5, 0, 0),
     (25, 0.0, 1, 1.0, 3, 0.0, 0, 1, 0, 0), (2, 0.0, 1, 0.0, 9, 0.0, 0, 1, 0, 0), (50, 0.0, 1, 0.0, 60, 0.0, 1, 1, 0, 0), (5, 0.0, 30, 0.0, 1, 1.0, 1, 1, 0, 0),
 )
 
@@ -66,35 +82,38 @@ NAMED = re.compile(r"(?:^|[\s\"'/])(class|id|role|style|hidden|aria-hidden|itemp
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
-def named_other(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element says that it isn't article text."""
+def named_other(tag: str, attributes: str, in_article: bool) -> float:
+    """How much an element says that it isn't article text: 1 outright, 0.5 by a name among others, or 0."""
     if tag in OTHER_TAGS or tag == "header" and not in_article:
-        return True
+        return 1.0
     if not attributes or tag in ("html", "body", *ARTICLE_TAGS):
-        return False
+        return 0.0
+    most = 0.0
     for key, value in NAMED.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return 1.0
         if key in ("class", "id", "role"):
-            names = {x.lower() for x in NAME.findall(value)}
-            if names & OTHER_NAMES or not in_article and names & PAGE_HEADER_NAMES:
-                return True
-    return False
+            for word in value.split():
+                names = {x.lower() for x in NAME.findall(word)}
+                said = names & OTHER_NAMES or (set() if in_article else names & PAGE_HEADER_NAMES)
+                if said and not names & STATE_NAMES:
+                    most = max(most, 1.0 if names <= said | OTHER_NAMES | PART_NAMES else 0.5)
+    return most
 
 
-def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
+def blocks(page: str) -> list[tuple[str, int, int, int, float, int]]:
     """(text, words, words in links, article, other, heading) in page order."""
-    out: list[tuple[str, int, int, int, int, int]] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # tag, in the article, in something else
+    out: list[tuple[str, int, int, int, float, int]] = []
+    open_tags: list[tuple[str, bool, float]] = []  # tag, in the article, how much in something else
     parts: list[str] = []
     linked: list[str] = []
-    in_link, heading, article, other, at, raw_end = False, False, False, False, 0, {}
+    in_link, heading, article, other, at, raw_end = False, False, False, 0.0, 0, {}
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append((text, text.count(" ") + 1, len(html.unescape("".join(linked)).split()), int(article), int(other), int(heading)))
+            out.append((text, text.count(" ") + 1, len(html.unescape("".join(linked)).split()), int(article), other, int(heading)))
         parts.clear()
         linked.clear()
 
@@ -115,7 +134,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
             in_link = not closing
             continue
         if tag in RAW_TAGS and not closing:
-            if m[3].endswith("/") and tag in ("svg", "math"):
+            if m[3].endswith("/") and tag == "svg":
                 continue
             if tag in BLOCK_TAGS or tag == "head":
                 end_block()
@@ -143,13 +162,13 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
                 if tag == "li":
                     while open_tags and open_tags[-1][0] == "li":
                         open_tags.pop()
-                now = open_tags[-1] if open_tags else ("", False, False)
+                now = open_tags[-1] if open_tags else ("", False, 0.0)
                 was_other = named_other(tag, m[3], now[1])
-                if tag == "span" and was_other and not now[2]:
+                if tag == "span" and was_other > now[2]:
                     end_block()
-                open_tags.append((tag, now[1] or tag in ARTICLE_TAGS, now[2] or was_other))
+                open_tags.append((tag, now[1] or tag in ARTICLE_TAGS, max(now[2], was_other)))
             before = other
-            article, now_other = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, False)
+            article, now_other = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, 0.0)
             if tag == "span" and before != now_other:
                 end_block()
             other = now_other
@@ -157,7 +176,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
     return out
 
 
-def features(found: list[tuple[str, int, int, int, int, int]]) -> np.ndarray:
+def features(found: list[tuple[str, int, int, int, float, int]]) -> np.ndarray:
     x = np.zeros((len(found), len(FEATURES)))
     for i, (_, words, links, article, other, heading) in enumerate(found):
         x[i, [0, 1, 6, 7, 8]] = words, links / words, article, other, heading
@@ -209,8 +228,8 @@ def extract(pages: DataFrame, page: str = "html", keep: list[str] | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at, n in slices(batch.column(len(keep)), 1 << 20):
+                part = batch.slice(at, n)
                 texts = [main_text(t, tree) for t in part.column(len(keep)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, out])
 

@@ -38,6 +38,11 @@ def test_held_out_blocks():
         (f"<div class='sidebar-left'><p>{LONG}</p></div><div class='cookieNotice'>{LONG}</div><div class='content'><p>{LONG}</p></div>", LONG),
         (f"<article><p>a<script>var x = '<p>no</p>';</script>b</p><style>p{{}}</style><!-- <p>no</p> --><p title=\"a > b\">c</p><div class='ad-slot'>{LONG}</div></article>", "ab c"),
         (f"<article><p>{LONG}</p></div></span><p>tail</article><div class=ad>{LONG}", f"{LONG} tail"),
+        (f"<body><div class='content no-sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<div id='main' class='has-sidebar'><p>{LONG}</p><p>{LONG}</p></div><div id='sidebar'><p>{LONG}</p></div>", f"{LONG} {LONG}"),
+        (f"<div class='hentry tag-news comments-open'><p>{LONG}</p></div><div class='comments'><p>{LONG}</p></div>", LONG),
+        (f"<article><p>{LONG}</p><div class='related-work'><p>{LONG}</p></div><div class='related-reading'><a href='/'>One</a><a href='/'>Two</a></div></article>", f"{LONG} {LONG}"),
+        (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>", f"{LONG} x=2"),
         ("<p>unfinished <b", ""),
         ("<article><p>x<script>never closed", "x"),
     ],
