@@ -8,8 +8,10 @@ Queries go to every shard in blocks; a shard answers with exact distances in dou
 and a window keeps the nearest over all shards.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part; vectors meet those of their own
-length alone. Ties go to the smaller id. Rows with a null id take no part; rows that repeat id and vector count once. An
-empty table gives an empty table. Recall against brute force is measured in the tests.
+length alone. Ties go to the smaller id. Rows with a null id take no part; rows that repeat id and vector count once. An id
+with several vectors is a candidate with each, and as a query gets an answer for each, never with its own id. Graphs are
+of single precision, scores of the vectors as they came. Column names of the input don't matter but for the two that are
+named. An empty table gives an empty table. Recall against brute force is measured in the tests.
 """
 
 from __future__ import annotations
@@ -21,12 +23,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from geoquilt.llm.common import materialize
 
 LINKS, BUILD_BEAM, SEARCH_BEAM, BATCH, STEP = 16, 64, 96, 128, 4
-ROWS_PER_SHARD, QUERIES_PER_BLOCK = 4096, 8192
+QUERIES_PER_BLOCK = 8192
+#: Rows of a shard: a 1024th of all, within these bounds, so that shards grow with the input until they fill a task's memory.
+LEAST_ROWS, MOST_ROWS = 4096, 65_536
 
 
 def squared(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -177,29 +182,39 @@ def usable(vec: Column) -> Column:
 INDEX = "dim int, shard int, vectors binary, layers array<binary>, starts binary, ids binary"
 
 
-def index(vectors: DataFrame, most_ids: int, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
+def index(vectors: DataFrame, most_ids: int, rows_per_shard: int | None = None) -> DataFrame:
     """One row for each shard; ``vectors``: vec_id, vec, usable ones."""
+    kind = kind_of(vectors)
     same = Window.partitionBy("vec").orderBy("vec_id")
     kept = vectors.withColumn("rank", F.row_number().over(same)).filter(F.col("rank") <= most_ids)
     nodes = kept.groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     nodes = materialize(nodes.withColumn("dim", F.size("vec")), "nodes")
-    shards = nodes.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_shard)).cast("int").alias("shards"))
+    rows = F.lit(rows_per_shard) if rows_per_shard else F.least(F.lit(MOST_ROWS), F.greatest(F.lit(LEAST_ROWS), F.ceil(F.count(F.lit(1)) / 1024)))
+    shards = materialize(nodes.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("shards")), "shards")
+    tasks = int(shards.agg(F.sum("shards")).first()[0] or 1)
     dealt = nodes.join(shards, "dim").select("dim", F.pmod(F.xxhash64("vec"), F.col("shards")).cast("int").alias("shard"), "vec", "ids")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ids", key=lambda s: s.map(lambda v: v[0]))  # whichever way the rows came
-        x = np.stack(pdf["vec"].to_numpy()).astype(np.float32)
+        vectors = np.stack(pdf["vec"].to_numpy()).astype(kind)
+        x = vectors.astype(np.float32)
         ids = np.full((len(x), most_ids), -1, np.int64)
         for i, v in enumerate(pdf["ids"]):
             ids[i, : len(v)] = v
         layers, _, starts = build(x, int(key[1]))
-        return pd.DataFrame([[int(key[0]), int(key[1]), x.tobytes(), [a.astype(np.int32).tobytes() for a in layers], starts.tobytes(), ids.tobytes()]], columns=["dim", "shard", "vectors", "layers", "starts", "ids"])
+        return pd.DataFrame([[int(key[0]), int(key[1]), vectors.tobytes(), [a.astype(np.int32).tobytes() for a in layers], starts.tobytes(), ids.tobytes()]], columns=["dim", "shard", "vectors", "layers", "starts", "ids"])
 
-    return materialize(dealt.groupBy("dim", "shard").applyInPandas(run, INDEX), "index")
+    # building takes far longer than reading, so there are as many tasks as shards
+    return materialize(dealt.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(run, INDEX), "index")
 
 
-def answers(x: np.ndarray, ids: np.ndarray, found: np.ndarray, q: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
-    """(query, id, distance) of the k nearest rows of the found nodes, other than the query's own."""
+def kind_of(vectors: DataFrame) -> type:
+    """The numpy type of the elements of ``vec``."""
+    return np.float32 if isinstance(vectors.schema["vec"].dataType.elementType, T.FloatType) else np.float64
+
+
+def answers(x: np.ndarray, ids: np.ndarray, found: np.ndarray, q: np.ndarray, own: np.ndarray, asked: np.ndarray, k: int) -> Iterator[tuple[int, int, int, float]]:
+    """(query's id, query, id, distance) of the k nearest rows of the found nodes, other than the query's own."""
     for i, nodes in enumerate(found):
         nodes = nodes[nodes >= 0]
         dist = np.sqrt(((x[nodes].astype(np.float64) - q[i].astype(np.float64)) ** 2).sum(1))
@@ -207,33 +222,39 @@ def answers(x: np.ndarray, ids: np.ndarray, found: np.ndarray, q: np.ndarray, ow
         good = (rows >= 0) & (rows != own[i])
         rows, far = rows[good], far[good]
         for j in np.lexsort((rows, far))[:k]:
-            yield int(own[i]), int(rows[j]), float(far[j])
+            yield int(own[i]), int(asked[i]), int(rows[j]), float(far[j])
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vec: str = "embedding", k: int = 10, rows_per_shard: int = ROWS_PER_SHARD, width: int = SEARCH_BEAM) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vec: str = "embedding", k: int = 10, rows_per_shard: int | None = None, width: int = SEARCH_BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` its k nearest rows of ``vectors`` by Euclidean distance."""
-    plain = lambda df: df.select(df[vec_id].cast("long").alias("vec_id"), df[vec].cast("array<float>").alias("vec")).filter(F.col("vec_id").isNotNull() & usable(F.col("vec"))).distinct()
+    single = all(isinstance(df.schema[vec].dataType.elementType, T.FloatType) for df in (vectors, queries))
+    cast = "array<float>" if single else "array<double>"
+    plain = lambda df: df.select(df[vec_id].cast("long").alias("vec_id"), df[vec].cast(cast).alias("vec")).filter(F.col("vec_id").isNotNull() & usable(F.col("vec"))).distinct()
+    kind = np.float32 if single else np.float64
     graph = index(plain(vectors), k + 1, rows_per_shard)
-    asked = materialize(plain(queries).withColumn("dim", F.size("vec")), "queries")
+    asked = materialize(plain(queries).withColumn("dim", F.size("vec")).withColumn("query", F.monotonically_increasing_id()), "queries")
     blocks = max(1, math.ceil(asked.count() / QUERIES_PER_BLOCK))
     shards = graph.select(F.col("dim").alias("of_dim"), F.col("shard").alias("to_shard"))
-    by_block = graph.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    sent = asked.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("to_block")).join(shards, F.col("dim") == F.col("of_dim"))
+    tasks = max(1, graph.count() * blocks)
+    by_block = graph.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(tasks, "dim", "shard", "block")
+    sent = asked.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("to_block")).join(F.broadcast(shards), F.col("dim") == F.col("of_dim"))  # a row for each shard
+    sent = sent.repartition(tasks, "of_dim", "to_shard", "to_block")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, float]] = []
+        out: list[tuple[int, int, int, float]] = []
         if len(left) and len(right):
             g, dim = left.iloc[0], int(left.iloc[0]["dim"])
-            x = np.frombuffer(g["vectors"], np.float32).reshape(-1, dim)
+            exact = np.frombuffer(g["vectors"], kind).reshape(-1, dim)
+            x = exact.astype(np.float32)
             ids = np.frombuffer(g["ids"], np.int64).reshape(len(x), -1)
             layers = [np.frombuffer(a, np.int32).reshape(len(x), -1).astype(np.int64) for a in g["layers"]]
             starts = np.frombuffer(g["starts"], np.int64)
             for at in range(0, len(right), BATCH):
                 part = right.iloc[at : at + BATCH]
-                q, own = np.stack(part["vec"].to_numpy()).astype(np.float32), part["vec_id"].to_numpy()
-                out += answers(x, ids, search(x, layers, starts, q, width), q, own, k)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                q, own = np.stack(part["vec"].to_numpy()).astype(kind), part["vec_id"].to_numpy()
+                out += answers(exact, ids, search(x, layers, starts, q.astype(np.float32), width), q, own, part["query"].to_numpy(), k)
+        return pd.DataFrame(out, columns=["query_id", "query", "vec_id", "score"])
 
-    found = by_block.groupBy("dim", "shard", "block").cogroup(sent.groupBy("of_dim", "to_shard", "to_block")).applyInPandas(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.distinct().withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = by_block.groupBy("dim", "shard", "block").cogroup(sent.groupBy("of_dim", "to_shard", "to_block")).applyInPandas(run, "query_id long, query long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy("score", "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

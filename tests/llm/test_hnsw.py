@@ -57,6 +57,26 @@ def test_odd_rows(spark):
     assert hnsw.nearest(one, one).count() == 0
 
 
+def test_doubles_and_repeated_ids(spark):
+    """Scores are those of double vectors; an id with two vectors gets a list for each, without itself."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 8))
+    vectors = [(i, x[i].tolist()) for i in range(300)] + [(100, (x[7] + 1e-12).tolist())]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    rows = hnsw.nearest(df, df.filter("vec_id = 100"), rows_per_shard=100).collect()
+    assert len(rows) == 20
+    want = [[(r[1], r[0]) for r in sorted((float(np.sqrt(((np.array(v) - np.array(q)) ** 2).sum())), i) for i, v in vectors if i != 100)[:10]] for i, q in vectors if i == 100]
+    got = sorted((r["rank"], r.vec_id, r.score) for r in rows)
+    assert got == sorted((n + 1, i, d) for w in want for n, (i, d) in enumerate(w))
+
+
+def test_a_task_for_each_shard(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(600)], "vec_id long, vec array<float>")
+    files = hnsw.index(df, 11, rows_per_shard=100).inputFiles()
+    assert len(files) >= 3
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="needs the test tables")
 def test_query(spark):
     vectors = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
