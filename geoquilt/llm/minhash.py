@@ -8,12 +8,14 @@ their number concentrates as with independent samples.
 
 Texts with equal sets collapse to one class first. Classes whose sketches agree in a whole band belong to one family;
 families are cut into blocks, and each pair of blocks of a family is compared on full sets by products of incidence
-matrices, from which only a spanning forest of the links leaves the task. Links are exact. A pair above the threshold is
-missed with the probability that no band agrees, ``(1 - s**rows) ** bands``, unless its family meets otherwise. A family
-of n different texts costs n * n / 2 set comparisons, spread over tasks by pairs of blocks; copies cost nothing.
+matrices, from which only a spanning forest of the links leaves the task. Every link is confirmed on the full sets, whose
+members are 64-bit hashes of shingles (see ``shingles``). A pair above the threshold is with the probability that no band agrees, ``(1 - s**rows) ** bands``, unless its family meets otherwise. A family of n
+different texts costs n * n / 2 set comparisons, spread over tasks by pairs of blocks; copies cost nothing.
 
 Null and empty texts, or texts without words, have no shingles and stand alone. Rows that repeat an id and text are
-answered each. Null ids are answered with a null component and kept. An empty table gives an empty table.
+answered each; different texts of one id are linked each for itself. Null ids are answered with a null component and kept.
+Of a component whose smallest id stands at several texts, the one with the smallest hash is chosen. Very long texts are
+sketched and compared whole. An empty table gives an empty table; column names of the input don't matter.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoquilt.llm.common import broadcast_if_small, materialize
+from geoquilt.llm.common import broadcast_if_small, materialize, slices
 from geoquilt.operators.graph import components
 from geoquilt.llm.shingles import mix, shingle_sets
 
@@ -65,19 +67,26 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def features(docs: DataFrame, doc_id: str, text: str, k: int, bands: int, rows: int) -> DataFrame:
-    """(id, n_shingles, digest of the set, a key for each band)."""
+    """(id, text_hash, n_shingles, digest of the set, a key for each band)."""
+    names = ["id", "text_hash", "n_shingles", "digest", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                sets = shingle_sets(part.column(1), k)
+            for at, n in slices(batch.column(2), 1 << 20):
+                part = batch.slice(at, n)
+                sets = shingle_sets(part.column(2), k)
                 keys = band_keys(sketches(sets, bands * rows), bands, rows)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), flat], names=["id", "n_shingles", "digest", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), flat], names=names)
 
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id long, n_shingles long, digest binary, keys array<long>")
+    return with_hash(docs, doc_id, text).mapInArrow(run, "id long, text_hash long, n_shingles long, digest binary, keys array<long>")
+
+
+def with_hash(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, text_hash, text)"""
+    rows = docs.select(docs[doc_id].cast("long").alias("id"), docs[text].cast("string").alias("text"))
+    return rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
 
 
 def linked(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> np.ndarray:
@@ -123,24 +132,23 @@ def forest(link: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> list[tuple[i
 
 
 def links_within(family: DataFrame, k: int, percent: int) -> DataFrame:
-    """(a, b): links that connect each family's texts as all its links do. ``family``: family, id, text."""
+    """(a, b): links that connect each family's texts as all its links do. ``family``: family, node, text."""
     sized = family.withColumn("bytes", F.octet_length("text"))
     sizes = sized.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
     sizes = materialize(sizes.withColumn("blocks", F.greatest("blocks", F.lit(1))), "family-blocks")
     tasks = max(1, math.ceil((sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) / ROWS_PER_TASK))
-    placed = family.join(sizes.drop("n"), "family").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
+    placed = family.join(sizes.drop("n"), "family").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
     pairs = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = pairs.select("family", "id", "text", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    pairs = pairs.select("family", "node", "text", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
-        pdf = pdf.drop_duplicates("id")
         sides = [pdf] if i == j else [pdf[pdf["block"] == i], pdf[pdf["block"] == j]]
         if not all(len(s) for s in sides) or len(pdf) < 2:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         sets = [shingle_sets(pa.array(s["text"], pa.large_string()), k) for s in sides]
-        ids = [s["id"].to_numpy() for s in sides]
-        edges = forest(linked(sets[0], sets[1] if i != j else None, percent), ids[0], ids[-1])
+        nodes = [s["node"].to_numpy() for s in sides]
+        edges = forest(linked(sets[0], sets[1] if i != j else None, percent), nodes[0], nodes[-1])
         return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     # comparing takes far longer than reading, so tasks go by rows, not by bytes
@@ -148,20 +156,31 @@ def links_within(family: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 85, bands: int = 36, rows: int = 7) -> DataFrame:
-    """(id, n_shingles, component_id, kept), one row for each row of ``docs``; component_id is the smallest id reachable."""
+    """(id, n_shingles, component_id, kept, text_hash, chosen), one row for each row of ``docs``; component_id is the smallest
+    id reachable. ``chosen`` holds for the rows of one id and text of each component, and for rows that are in none."""
     feats = materialize(features(docs, doc_id, text, k, bands, rows), "sketches")
     have = feats.filter("n_shingles > 0 AND id IS NOT NULL")
-    classes = materialize(have.groupBy("digest").agg(F.min("id").alias("rep"), F.min(F.struct("id", "keys"))["keys"].alias("keys")), "classes")
-    member = materialize(classes.select(F.explode("keys").alias("key"), "rep"), "bands")
-    pivots = materialize(member.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("other")).filter("pivot <> other").select("key", "pivot"), "pivots")
-    near = member.join(pivots, "key").filter("rep <> pivot").select("pivot", "rep").distinct()
-    families = materialize(components(near, "pivot", "rep").select(F.col("node").alias("id"), F.col("root").alias("family")), "families")
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    texts = materialize(texts.join(broadcast_if_small(families, families.count(), 300_000), "id"), "family-texts")
+    least = F.min(F.struct("id", "text_hash", "keys"))
+    classes = have.groupBy("digest").agg(least.alias("m")).select("digest", F.col("m.id").alias("rep"), F.col("m.text_hash").alias("rep_hash"), F.col("m.keys").alias("keys"))
+    # sets are told apart by numbers that are written once, as ids may repeat
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    member = materialize(classes.select(F.explode("keys").alias("key"), "node"), "bands")
+    pivots = materialize(member.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).filter("pivot <> other").select("key", "pivot"), "pivots")
+    near = member.join(pivots, "key").filter("node <> pivot").select("pivot", "node").distinct()
+    families = components(near, "pivot", "node").select("node", F.col("root").alias("family"))
+    families = materialize(families.join(classes.select("node", "rep", "rep_hash"), "node"), "families")
+    sent = broadcast_if_small(families, families.count(), 300_000)
+    texts = with_hash(docs, doc_id, text).join(sent, (F.col("id") == F.col("rep")) & (F.col("text_hash") == F.col("rep_hash")))
+    texts = materialize(texts.select("family", "node", "text").dropDuplicates(["node"]), "family-texts")
     links = materialize(links_within(texts, k, percent), "links")
-    roots = components(links, "a", "b")
-    by_class = classes.select("digest", "rep").join(roots, F.col("rep") == F.col("node"), "left")
-    by_class = materialize(by_class.select("digest", F.coalesce("root", "rep").alias("component_id")), "class-roots")
-    answered = have.select("id", "n_shingles", "digest").join(by_class, "digest").select("id", "n_shingles", "component_id")
-    alone = feats.filter("n_shingles = 0 OR id IS NULL").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return answered.unionByName(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+    roots = materialize(components(links, "a", "b").join(classes.select("node", "rep", "rep_hash"), "node"), "roots")
+    firsts = roots.groupBy("root").agg(F.min(F.struct("rep", "rep_hash")).alias("first")).select("root", "first")
+    joined = roots.join(firsts, "root").select("node", "first")
+    own = F.struct("rep", "rep_hash")
+    by_class = classes.join(joined, "node", "left").select("digest", F.coalesce("first", own).alias("first"))
+    by_class = materialize(by_class.select("digest", F.col("first.rep").alias("component_id"), F.col("first.rep_hash").alias("first_hash")), "class-roots")
+    answered = have.select("id", "n_shingles", "text_hash", "digest").join(by_class, "digest")
+    answered = answered.select("id", "n_shingles", "component_id", "text_hash", ((F.col("id") == F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))).alias("chosen"))
+    alone = feats.filter("n_shingles = 0 OR id IS NULL").select("id", "n_shingles", F.col("id").alias("component_id"), "text_hash", F.lit(True).alias("chosen"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return answered.unionByName(alone).select("id", "n_shingles", "component_id", kept, "text_hash", "chosen")

@@ -1,18 +1,22 @@
-"""Word shingles of many texts at once, as 64-bit hashes, straight from Arrow's string buffers."""
+"""Word shingles of many texts at once, as 64-bit hashes, straight from Arrow's string buffers.
+
+Words of one length up to eight bytes never share a hash; two other words, or two shingles, do with a probability of
+2 ** -64. Words beyond 32 bytes are hashed by BLAKE2b.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
-_RNG = np.random.default_rng(20240607)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
-_BASE = int(_RNG.integers(2**61, 2**62)) * 2 + 1
-_PIECE = 1 << 20
+#: Bytes of a word up to which it is hashed in lanes of eight; longer ones are hashed one by one.
+_SHORT = 32
 
 _M1, _M2, _S = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -24,16 +28,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-_UP = powers(_BASE, _PIECE + 1)
-_DOWN = powers(pow(_BASE, -1, 2**64), _PIECE + 1)
-
-
 def words_of(data: np.ndarray, limits: np.ndarray, gaps: np.ndarray = _GAP, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, number of its text) for texts that lie end to end in ``data`` between ``limits``; of ``most`` leading bytes."""
     data = _LOWER[data]
@@ -47,21 +41,21 @@ def words_of(data: np.ndarray, limits: np.ndarray, gaps: np.ndarray = _GAP, most
     start[inner] |= word[1:-1][inner]
     end[inner - 1] |= word[1:-1][inner - 1]
     first, last = np.flatnonzero(start), np.flatnonzero(end)
-    out = np.empty(len(first), np.uint64)
-    # polynomial hashes from running sums, in pieces that bound memory; a word may be longer than a piece
-    at = 0
-    while at < len(first):
-        origin = first[at]
-        stop = max(int(np.searchsorted(last, origin + _PIECE)), at + 1)
-        length = int(last[stop - 1] - origin + 1)
-        up, down = (_UP, _DOWN) if length <= _PIECE else (powers(_BASE, length + 1), powers(pow(_BASE, -1, 2**64), length + 1))
-        sums = np.zeros(length + 1, np.uint64)
-        np.cumsum(_BYTE[data[origin : origin + length]] * up[:length], out=sums[1:])
-        a, b = first[at:stop] - origin, last[at:stop] - origin + 1
-        if most is not None:
-            b = np.minimum(b, a + most)
-        out[at:stop] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * _S)
-        at = stop
+    size = last - first + 1
+    if most is not None:
+        size = np.minimum(size, most)
+    # eight bytes from every position on, without copying them
+    lanes = np.ndarray(len(data) + _SHORT - 7, "<u8", np.concatenate([data, np.zeros(_SHORT, np.uint8)]).tobytes(), strides=(1,))
+    out = mix(size.astype(np.uint64) * _S)
+    for j in range(0, _SHORT, 8):
+        here = np.flatnonzero(size > j)
+        if not len(here):
+            break
+        rest = np.minimum(size[here] - j, 8).astype(np.uint64)
+        lane = lanes[first[here] + j] & (np.uint64(2**64 - 1) >> (np.uint64(64) - np.uint64(8) * rest))
+        out[here] = mix(out[here] ^ mix(lane + np.uint64(j + 1)))
+    for i in np.flatnonzero(size > _SHORT):
+        out[i] = int.from_bytes(hashlib.blake2b(data[first[i] : first[i] + size[i]].tobytes(), digest_size=8).digest(), "little")
     return out, np.searchsorted(limits, first, side="right") - 1
 
 
