@@ -124,6 +124,14 @@ def test_odd_documents(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == len(rows)
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """A text of a repeated id that copies an earlier document goes, and the id's own other text stays."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (2, a + " more"), (2, b), (2, b), (3, b + " more")]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(map(tuple, out.collect())) == [(1, a), (2, b)]
+
+
 def docs_column():
     from pyspark.sql import functions as F
 
