@@ -25,7 +25,7 @@ import re
 from array import array
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import pyarrow as pa
@@ -165,22 +165,29 @@ def near_terms(docs: DataFrame, text: str) -> DataFrame:
     return hashed(docs, text).mapInArrow(run, "kind string, term string, value string, digest long, n long")
 
 
-def term_counts(docs: DataFrame, text: str, only: frozenset[str] | None) -> DataFrame:
-    """(term, n): how often lower-case terms occur in all texts; ``only`` these, or all."""
+def counted_once(batches: Iterator[pa.RecordBatch], words: Callable[[pa.RecordBatch], Iterable[str]], only: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
+    """(term, n): how often lower-case words occur in a task's batches, each word once, unless so many differ that they go out in parts."""
+    total: Counter = Counter()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts(batches):
-            seen: Counter = Counter()
-            for t in part.column(0).to_pylist():
-                for span in spans(t) if t else ():
-                    seen.update(WORD.findall(span))
-            folded: Counter = Counter()
-            for w, n in seen.items():
-                w = w.lower()
-                if only is None or w in only:
-                    folded[w] += n
-            yield pa.RecordBatch.from_arrays([pa.array(list(folded), pa.string()), pa.array(list(folded.values()), pa.int64())], names=["term", "n"])
+    def out() -> pa.RecordBatch:
+        found = pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
+        total.clear()
+        return found
+
+    for batch in batches:
+        for w, n in Counter(words(batch)).items():
+            w = w.lower()
+            if only is None or w in only:
+                total[w] += n
+        if len(total) > SENT:
+            yield out()
+    yield out()
 
+
+def term_counts(docs: DataFrame, text: str, only: frozenset[str] | None) -> DataFrame:
+    """(term, n): how often lower-case terms occur in all texts; ``only`` these, or all."""
+    words = lambda part: (w for t in part.column(0).to_pylist() for span in (spans(t) if t else ()) for w in WORD.findall(span))
+    run = lambda batches: counted_once(parts(batches), words, only)
     found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "term string, n long")
     return found.groupBy("term").agg(F.sum("n").alias("n_all"))
 
@@ -199,13 +206,8 @@ def terms_of_texts(docs: DataFrame, text: str, only: frozenset[str] | None) -> D
 
 
 def text_counts(texts: DataFrame) -> DataFrame:
-    """(term, n_all): how many of the rows hold a term, added up in each batch first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = Counter(batch.column(0).flatten().to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
-
+    """(term, n_all): how many of the rows hold a term."""
+    run = lambda batches: counted_once(batches, lambda b: b.column(0).flatten().to_pylist(), None)
     return texts.select("terms").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_all"))
 
 
