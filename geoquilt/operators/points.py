@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -79,10 +81,11 @@ def thin(points: DataFrame, level: int) -> DataFrame:
     return points.filter(F.col("point_id") % (1 << level) == 0)
 
 
-def with_ids(points: DataFrame, order: list[str], name: str = "id", buckets: int = 64) -> DataFrame:
+def with_ids(points: DataFrame, order: list[str], name: str = "id", rows_per_range: int = 250_000) -> DataFrame:
     """Running ids from 0 in the given order, without gathering all rows: the order is cut into ranges, each is numbered
     on its own, and the rows of the ranges before it are added. ``order`` should be a key. The ranges come from a sample, so
-    they are written once, and counting and numbering see the same."""
+    they are written once, and counting and numbering see the same. The number of ranges follows the counted rows."""
+    buckets = max(8, math.ceil(points.count() / rows_per_range))
     ranged = materialize(points.repartitionByRange(buckets, *order).withColumn("_p", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.withColumn("_start", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).select("_p", "_start")

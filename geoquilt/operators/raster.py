@@ -157,13 +157,34 @@ def regions(mask: DataFrame) -> DataFrame:
     return named.select("image_id", F.explode(F.sequence("a", "b")).alias("x"), "y", "region")
 
 
+def enclosed(x: np.ndarray, y: np.ndarray) -> int:
+    """Pixels of a 4-connected region and of its holes: all that can't be reached from outside around it, corners included."""
+    grid = np.zeros((int(y.max() - y.min()) + 3, int(x.max() - x.min()) + 3), bool)
+    grid[y - y.min() + 1, x - x.min() + 1] = True
+    outside = np.zeros_like(grid)
+    front = np.array([[0, 0]])
+    outside[0, 0] = True
+    steps = np.array([(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx])
+    while len(front):
+        near = (front[:, None] + steps).reshape(-1, 2)
+        near = near[((near >= 0) & (near < grid.shape)).all(1)]
+        near = near[~grid[near[:, 0], near[:, 1]] & ~outside[near[:, 0], near[:, 1]]]
+        front = np.unique(near, axis=0)
+        outside[front[:, 0], front[:, 1]] = True
+    return int((~outside).sum())
+
+
 def remove_speckles(mask: DataFrame, most: int = 2) -> DataFrame:
-    """Foreground without regions whose enclosed area, holes included, is at most ``most`` pixels. A hole needs a region of
-    at least 8 pixels around it, so below that the enclosed area is the number of pixels."""
-    if most >= 8:
-        raise ValueError("regions of 8 pixels or more may have holes; most must be below 8")
+    """Foreground without regions whose enclosed area, holes included, is at most ``most`` pixels. Regions of more pixels than
+    that stay whatever they enclose; of the others, a hole needs at least 8 pixels around it, and those that may have one are
+    filled, each in a task that sees no more than ``most`` pixels of it."""
     r = regions(mask)
-    large = r.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select("region")
+    sizes = r.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.filter(F.col("n") > most).select("region")
+    if most >= 8:
+        fill = lambda pdf: pd.DataFrame({"region": pdf["region"].iloc[:1], "n": [enclosed(pdf["x"].to_numpy(), pdf["y"].to_numpy())]})
+        ringed = r.join(sizes.filter((F.col("n") >= 8) & (F.col("n") <= most)).select("region"), "region", "left_semi").groupBy("region").applyInPandas(fill, "region long, n long")
+        large = large.unionByName(ringed.filter(F.col("n") > most).select("region"))
     return r.join(large, "region", "left_semi").select("image_id", "x", "y")
 
 

@@ -39,12 +39,13 @@ def image_pairs(images: DataFrame, order: str, reverse: bool = False) -> DataFra
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
-    """For each point (lon, lat) the last box (largest cell_id) that holds it, null where none does. Every point stays."""
-    p = points.withColumns({"cell_x": F.floor(F.col("lon") / size), "cell_y": F.floor(F.col("lat") / size)})
+    """For each point (lon, lat) the last box (largest cell_id) that holds it, null where none does. Every row of points stays, repeated ids too."""
+    p = points.withColumns({"_row": F.monotonically_increasing_id(), "cell_x": F.floor(F.col("lon") / size), "cell_y": F.floor(F.col("lat") / size)})
     c = in_cells(boxes, size, *[F.col(k) for k in ("min_lon", "min_lat", "max_lon", "max_lat")])
     hit = (F.col("lon") >= F.col("min_lon")) & (F.col("lon") <= F.col("max_lon")) & (F.col("lat") >= F.col("min_lat")) & (F.col("lat") <= F.col("max_lat"))
     j = p.join(c, (p["cell_x"] == c["cell_x"]) & (p["cell_y"] == c["cell_y"]) & hit, "left")
-    return j.groupBy("gp_id").agg(F.first("lon").alias("lon"), F.first("lat").alias("lat"), F.max("cell_id").alias("cell_id"))
+    found = j.groupBy("_row").agg(*[F.first(c).alias(c) for c in ("gp_id", "lon", "lat")], F.max("cell_id").alias("cell_id"))
+    return found.drop("_row")
 
 
 def features_on_tiles(features: DataFrame, tile_deg: float) -> DataFrame:

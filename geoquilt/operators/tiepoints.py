@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Descriptors of a tile that are compared at once with as many others.
+BLOCK = 512
+
+
 @dataclass(frozen=True)
 class FilterSettings:
     """Limits of the outlier filters, in pixels, degrees and percent."""
@@ -233,26 +237,60 @@ def filter_with_parallax(matches: DataFrame, dx_dh: float, dy_dh: float, setting
     return matches.groupBy("tile_id").applyInPandas(run, SCHEMA)
 
 
-def distance(a: Column, b: Column, norm: str) -> Column:
-    """L1 or L2 distance of two vectors, or the number of differing bits of two arrays of bytes."""
-    if norm == "l1":
-        return F.aggregate(F.zip_with(a, b, lambda p, q: F.abs(p.cast("double") - q.cast("double"))), F.lit(0.0), lambda s, v: s + v)
-    if norm == "l2":
-        return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p.cast("double") - q.cast("double")) * (p.cast("double") - q.cast("double"))), F.lit(0.0), lambda s, v: s + v))
+def distances(a: np.ndarray, b: np.ndarray, norm: str) -> np.ndarray:
+    """L1 or L2 distances of the rows of ``a`` to those of ``b``, or the numbers of differing bits of rows of bytes."""
     if norm == "hamming":
-        return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    raise ValueError(f"unknown norm {norm}")
+        return np.bitwise_count(a[:, None] ^ b[None]).sum(2, dtype=np.int64).astype(float)
+    apart = a[:, None].astype(float) - b[None].astype(float)
+    return np.abs(apart).sum(2) if norm == "l1" else np.sqrt((apart * apart).sum(2))
 
 
 def descriptor_matches(left: DataFrame, right: DataFrame, k: int, norm: str = "l2") -> DataFrame:
     """For each descriptor of ``left`` its k nearest of ``right`` in the same tile: id_a, id_b, tile_id, distance, rank.
 
-    Exact; a search tile holds a bounded number of features, so the pairs of a tile are few."""
-    b = right.select(F.col("tile_id").alias("tile_b"), F.col("vec_id").alias("id_b"), F.col("embedding").alias("e_b"))
-    pairs = left.select("tile_id", F.col("vec_id").alias("id_a"), F.col("embedding").alias("e_a")).join(b, F.col("tile_id") == F.col("tile_b"))
-    far = pairs.select("tile_id", "id_a", "id_b", distance(F.col("e_a"), F.col("e_b"), norm).alias("distance"))
+    Exact. Both sides of a tile are cut into blocks of about BLOCK descriptors by a hash; each pair of blocks is a task's
+    group, which compares them as matrices and gives the k nearest of each descriptor alone, and a window merges these. So no
+    tile, however large, meets in one task, and pairs never become rows."""
+    if norm not in ("l1", "l2", "hamming"):
+        raise ValueError(f"unknown norm {norm}")
+
+    def blocked(df: DataFrame, own: str) -> tuple[DataFrame, DataFrame]:
+        rows = df.select(F.col("tile_id").alias(f"tile_{own}"), F.col("vec_id").alias(f"id_{own}"), F.col("embedding").alias(f"e_{own}")).filter(f"e_{own} IS NOT NULL")
+        counts = rows.groupBy(F.col(f"tile_{own}").alias("tile")).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias(f"n_{own}"))
+        return rows, counts
+
+    def spread(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row in its own block, once for each block of the other side."""
+        placed = rows.join(tiles, F.col(f"tile_{own}") == F.col("tile"))
+        placed = placed.withColumn(f"at_{own}", F.pmod(F.xxhash64(f"id_{own}", F.lit(9)), F.col(f"n_{own}")).cast("int"))
+        placed = placed.withColumn(f"with_{own}", F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
+        return placed.select(f"tile_{own}", f"at_{own}", f"with_{own}", F.col(f"id_{own}"), F.col(f"e_{own}"))
+
+    (a, n_a), (b, n_b) = blocked(left, "a"), blocked(right, "b")
+    tiles = n_a.join(n_b, "tile")
+    a, b = spread(a, "a", "b"), spread(b, "b", "a")
+
+    def run(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        out = {"tile_id": [], "id_a": [], "id_b": [], "distance": []}
+        if len(x) and len(y):
+            y = y.sort_values("id_b")  # ties go to the smaller id
+            ids, other = y["id_b"].to_numpy(), np.stack(y["e_b"].to_numpy())
+            for at in range(0, len(x), 64):
+                part = x.iloc[at : at + 64]
+                far = distances(np.stack(part["e_a"].to_numpy()), other, norm)
+                best = np.argsort(far, axis=1, kind="stable")[:, :k]
+                out["id_a"].append(np.repeat(part["id_a"].to_numpy(), best.shape[1]))
+                out["id_b"].append(ids[best].ravel())
+                out["distance"].append(np.take_along_axis(far, best, 1).ravel())
+            found = {c: np.concatenate(v) for c, v in out.items() if v}
+            return pd.DataFrame({"tile_id": key[0], **found})[["tile_id", "id_a", "id_b", "distance"]]
+        return pd.DataFrame(out)
+
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    schema = f"tile_id {kind(left, 'tile_id')}, id_a {kind(left, 'vec_id')}, id_b {kind(right, 'vec_id')}, distance double"
+    near = a.groupBy("tile_a", "at_a", "with_a").cogroup(b.groupBy("tile_b", "with_b", "at_b")).applyInPandas(run, schema)
     order = Window.partitionBy("id_a").orderBy("distance", "id_b")
-    return far.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def cross_check(forward: DataFrame, backward: DataFrame) -> DataFrame:

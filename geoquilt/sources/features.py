@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Decimals of written coordinates. Fixed value.
 DECIMALS = 8
-FEATURE = "type string, properties map<string,string>, geometry struct<type:string, coordinates:array<array<array<double>>>>"
+FEATURE = "type string, properties map<string,string>, geometry struct<type:string, coordinates:string, geometries:array<struct<type:string, coordinates:string>>>"
 
 
 def geojson(ring: Column, properties: Column, closed: bool = True) -> Column:
@@ -29,9 +29,21 @@ def scan_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_features(lines: DataFrame) -> DataFrame:
+    """Points, lines and polygons, single or multiple: each point, line or ring is a part. A collection gives a row for each of its geometries."""
     f = lines.select(F.from_json("value", FEATURE).alias("f")).filter("f.geometry IS NOT NULL")
-    rings = F.transform("f.geometry.coordinates", lambda r: F.transform(r, lambda v: F.struct(F.get(v, F.lit(0)).alias("x"), F.get(v, F.lit(1)).alias("y"))))
-    return f.select(F.col("f.properties").alias("properties"), F.col("f.geometry.type").alias("geom_type"), rings.alias("rings"))
+    own = F.array(F.struct(F.col("f.geometry.type").alias("type"), F.col("f.geometry.coordinates").alias("coordinates")))
+    each = F.when(F.col("f.geometry.type") == "GeometryCollection", F.col("f.geometry.geometries")).otherwise(own)
+    g = f.select(F.col("f.properties").alias("properties"), F.explode(each).alias("g"))
+    read = lambda depth: F.from_json("g.coordinates", "array<" * depth + "double" + ">" * depth)
+    rings = (
+        F.when(F.col("g.type") == "Point", F.array(F.array(read(1))))
+        .when(F.col("g.type") == "MultiPoint", F.transform(read(2), lambda v: F.array(v)))
+        .when(F.col("g.type") == "LineString", F.array(read(2)))
+        .when(F.col("g.type").isin("Polygon", "MultiLineString"), read(3))
+        .when(F.col("g.type") == "MultiPolygon", F.flatten(read(4)))
+    )
+    placed = F.transform(rings, lambda r: F.transform(r, lambda v: F.struct(F.get(v, F.lit(0)).alias("x"), F.get(v, F.lit(1)).alias("y"))))
+    return g.select("properties", F.col("g.type").alias("geom_type"), placed.alias("rings"))
 
 
 def vertices(features: DataFrame) -> DataFrame:

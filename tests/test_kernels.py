@@ -283,8 +283,49 @@ def test_regions_and_speckles(spark):
     size = pd.Series(list(want.values())).value_counts()
     kept = {(r.x, r.y) for r in rs.remove_speckles(df, 4).collect()}
     assert kept == {(int(x), int(y)) for (x, y), n in want.items() if size[n] > 4}
-    with pytest.raises(ValueError):
-        rs.remove_speckles(df, 8)
+    rings = [(x, y) for x in range(4) for y in range(4) if x in (0, 3) or y in (0, 3)]  # 12 pixels around 4
+    rings += [(10 + x, y) for x, y in [(0, 0), (1, 0), (2, 0), (0, 1), (2, 1), (0, 2), (1, 2)]]  # 7 pixels, open at a corner
+    rings += [(20 + i, 0) for i in range(15)]
+    ring = spark.createDataFrame([(0, x, y) for x, y in rings], "image_id int, x int, y int")
+    left = lambda most: {(r.x, r.y) for r in rs.remove_speckles(ring, most).collect()}
+    assert left(15) == {p for p in rings if p[0] < 10} and left(16) == set() and left(14) == {p for p in rings if p[0] < 10 or p[0] >= 20}
+
+
+def test_geometries_of_all_types(spark):
+    from geoquilt.sources import features
+
+    geometries = [
+        '{"type": "Point", "coordinates": [1, 2]}', '{"type": "MultiPoint", "coordinates": [[1, 2], [3, 4.5]]}', '{"type": "LineString", "coordinates": [[0, 0], [1, 1]]}',
+        '{"type": "MultiLineString", "coordinates": [[[0, 0], [1, 1]], [[2, 2], [3, 3]]]}', '{"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [0, 1], [0, 0]]]}',
+        '{"type": "MultiPolygon", "coordinates": [[[[0, 0], [1, 0], [0, 1], [0, 0]]], [[[5, 5], [6, 5], [5, 6], [5, 5]]]]}',
+        '{"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [9, 9]}, {"type": "LineString", "coordinates": [[0, 0], [1, 1]]}]}',
+    ]
+    lines = spark.createDataFrame([(f'{{"type": "Feature", "properties": {{"n": {i}}}, "geometry": {g}}}',) for i, g in enumerate(geometries)] + [('{"type": "Feature", "geometry": null}',)], "value string")
+    rows = features.vertices(features.parse_features(lines)).collect()
+    parts = {}
+    for r in sorted(rows, key=lambda r: (r.properties["n"], r.geom_type, r.part, r.vertex)):
+        parts.setdefault((int(r.properties["n"]), r.geom_type, r.part), []).append((r.x, r.y))
+    square = [(0, 0), (1, 0), (0, 1), (0, 0)]
+    assert parts == {
+        (0, "Point", 0): [(1, 2)], (1, "MultiPoint", 0): [(1, 2)], (1, "MultiPoint", 1): [(3, 4.5)], (2, "LineString", 0): [(0, 0), (1, 1)], (3, "MultiLineString", 0): [(0, 0), (1, 1)],
+        (3, "MultiLineString", 1): [(2, 2), (3, 3)], (4, "Polygon", 0): square, (5, "MultiPolygon", 0): square, (5, "MultiPolygon", 1): [(5, 5), (6, 5), (5, 6), (5, 5)],
+        (6, "Point", 0): [(9, 9)], (6, "LineString", 0): [(0, 0), (1, 1)],
+    }
+
+
+def test_descriptor_blocks(spark, monkeypatch):
+    monkeypatch.setattr(tp, "BLOCK", 7)
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(0, 3)), i, rng.integers(0, 4, 5).astype(float).tolist()) for i in range(90)]
+    df = spark.createDataFrame(rows, "tile_id int, vec_id long, embedding array<double>")
+    a, b = df.filter("vec_id % 2 = 0"), df.filter("vec_id % 2 = 1")
+    got = {(r.id_a, r["rank"]): (r.id_b, round(r.distance, 9)) for r in tp.descriptor_matches(a, b, 3).collect()}
+    want = {}
+    for t, i, e in rows:
+        if i % 2 == 0:
+            near = sorted((round(float(np.sqrt(((np.array(e) - np.array(f)) ** 2).sum())), 9), j) for u, j, f in rows if u == t and j % 2)
+            want |= {(i, n + 1): (j, d) for n, (d, j) in enumerate(near[:3])}
+    assert got == want
 
 
 def test_components_of_a_chain(spark):
