@@ -8,7 +8,8 @@ all, no sampling pass and no count to hold exactly; shares hold in expectation,
 
 Null sources form a source of their own; its key in ``weights`` is None. Null or empty texts count as mass 1, as every
 text counts its code points plus 1. Repeated rows draw the same count. A source of which ``weights`` has nothing gets
-weight 0 and so no copies. An empty table gives an empty table. Only DataFrame functions are used.
+weight 0 and so no copies. Equal shuffle keys stay in any order; very long texts travel as they are, once for each copy. An
+empty table gives an empty table. Only DataFrame functions are used.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ each byte of the content, so normalising here only makes a null text the empty o
 Copies are combined before they are shuffled. The last join meets two written tables, so a digest that very many
 documents share is split. One writer at a time may append to a cache. Repeated rows are answered each; an empty table
 gives an empty table and leaves the cache as it is; column names of the input can't clash, as only ``keep`` is returned.
+A very long text is encoded whole, alone in its slice.
 """
 
 from __future__ import annotations
