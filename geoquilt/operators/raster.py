@@ -16,9 +16,14 @@ from geoquilt.operators.graph import components
 TYPE_MAX = {"u8": 255.0, "s8": 127.0, "u16": 65535.0, "s16": 32767.0, "u32": 4294967295.0, "s32": 2147483647.0, "f32": 3.4028234663852886e38, "f64": 1.7976931348623157e308}
 
 
-def full_grid(images: DataFrame, width: int, height: int) -> DataFrame:
-    """Every position of each image."""
-    return images.withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1))))
+def full_grid(images: DataFrame, width: int, height: int, block: int = 256) -> DataFrame:
+    """Every position of each image. Addresses of blocks are dealt to tasks first, so no task makes a whole image."""
+    whole = lambda length: F.sequence(F.lit(0), F.lit((length - 1) // block))
+    inside = lambda at, length: F.sequence(F.col(at) * block, F.least(F.lit(length), (F.col(at) + 1) * block) - 1)
+    blocks = images.withColumn("_bx", F.explode(whole(width))).withColumn("_by", F.explode(whole(height)))
+    tasks = int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number is not coalesced by bytes
+    blocks = blocks.repartition(tasks, "image_id", "_bx", "_by")
+    return blocks.withColumn("x", F.explode(inside("_bx", width))).withColumn("y", F.explode(inside("_by", height))).drop("_bx", "_by")
 
 
 def tile_status(pixels: DataFrame, images: DataFrame, width: int, height: int, tile: int) -> DataFrame:
@@ -104,15 +109,25 @@ def histogram(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("image_id", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Overview levels that share an exchange: pixels go to the task of the block that is one pixel of the last of them.
+LEVELS_TOGETHER = 3
+
+
 def overviews(pixels: DataFrame, width: int, height: int, stop: int, method: str = "average") -> DataFrame:
-    """Levels 1, 2, ... (level, image_id, x, y, v), each half the one before and made from it, until the shorter side is at most ``stop``."""
+    """Levels 1, 2, ... (level, image_id, x, y, v), each half the one before and made from it, until the shorter side is at
+    most ``stop``. Averages of LEVELS_TOGETHER levels are made where one exchange by block puts their pixels; the next ones
+    start from the last of these, a 64th of the pixels."""
     now, out, level = pixels.select("image_id", "x", "y", F.col("v").cast("double").alias("v")), None, 0
+    half = lambda c: F.floor(F.col(c) / 2).cast("int").alias(c)
     while min(width, height) >> level > stop:
-        level += 1
         if method == "average":
-            now = now.groupBy("image_id", F.floor(F.col("x") / 2).cast("int").alias("x"), F.floor(F.col("y") / 2).cast("int").alias("y")).agg(F.avg("v").alias("v"))
+            if level % LEVELS_TOGETHER == 0:
+                block = lambda c: F.floor(F.col(c) / 2**LEVELS_TOGETHER).cast("int")
+                now = now.select("image_id", "x", "y", "v", block("x").alias("bx"), block("y").alias("by")).repartition("image_id", "bx", "by")
+            now = now.groupBy("image_id", "bx", "by", half("x"), half("y")).agg(F.avg("v").alias("v"))
         else:
             now = now.filter((F.col("x") % 2 == 0) & (F.col("y") % 2 == 0)).select("image_id", (F.col("x") / 2).cast("int").alias("x"), (F.col("y") / 2).cast("int").alias("y"), "v")
+        level += 1
         part = now.select(F.lit(level).alias("level"), "image_id", "x", "y", "v")
         out = part if out is None else out.unionByName(part)
     if out is None:
@@ -267,21 +282,51 @@ def detect_corners(pixels: DataFrame, tile: int = 64, most: int = 10, method: st
     return with_halo(pixels, tile, halo).groupBy("image_id", "tile_x", "tile_y").applyInPandas(run, schema)
 
 
-def template_matches(ref: DataFrame, cmp: DataFrame, features: DataFrame, radius: int, search: int, least: int) -> DataFrame:
+def correlations(patch: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pixels that both have, normalised correlation) of a patch at every place in a larger window, where NaN is null."""
+    views = np.lib.stride_tricks.sliding_window_view(window, patch.shape)
+    both = ~np.isnan(views) & ~np.isnan(patch)
+    a, b = np.where(both, patch, 0.0), np.where(both, views, 0.0)
+    total = lambda z: z.sum((2, 3))
+    n, sa, sb = total(both), total(a), total(b)
+    va, vb = n * total(a * a) - sa * sa, n * total(b * b) - sb * sb
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ncc = np.where((va > 0) & (vb > 0), (n * total(a * b) - sa * sb) / np.sqrt(va * vb), np.nan)
+    return n, ncc
+
+
+def template_matches(ref: DataFrame, cmp: DataFrame, features: DataFrame, radius: int, search: int, least: int, keys: tuple[str, ...] = (), tile: int = 64) -> DataFrame:
     """Normalised correlation of the patch around each feature (feature_id, x, y) at every offset: feature_id, dx, dy, n, ncc.
 
-    Patches and windows are equi-joins on pixels; sums make the correlation, over pixels that both images have."""
-    side = lambda r: F.sequence(F.lit(-r), F.lit(r))
-    patch = features.withColumn("px", F.explode(side(radius))).withColumn("py", F.explode(side(radius)))
-    patch = patch.select("feature_id", (F.col("x") + F.col("px")).alias("x"), (F.col("y") + F.col("py")).alias("y"))
-    a = patch.join(ref.select("x", "y", F.col("v").cast("double").alias("a")), ["x", "y"])
-    moved = a.withColumn("dx", F.explode(side(search))).withColumn("dy", F.explode(side(search))).select("feature_id", "dx", "dy", "a", (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"))
-    j = moved.join(cmp.select("x", "y", F.col("v").cast("double").alias("b")), ["x", "y"])
-    n = F.count(F.lit(1))
-    s = j.groupBy("feature_id", "dx", "dy").agg(n.alias("n"), *[F.sum(e).alias(k) for k, e in (("sa", F.col("a")), ("sb", F.col("b")), ("saa", F.col("a") * F.col("a")), ("sbb", F.col("b") * F.col("b")), ("sab", F.col("a") * F.col("b")))])
-    va, vb = F.col("n") * F.col("saa") - F.col("sa") * F.col("sa"), F.col("n") * F.col("sbb") - F.col("sb") * F.col("sb")
-    ncc = F.when((va > 0) & (vb > 0), (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / F.sqrt(va * vb))
-    return s.filter(F.col("n") >= least).select("feature_id", "dx", "dy", "n", ncc.alias("ncc")).filter("ncc IS NOT NULL")
+    ``keys``: columns that all three have, such as a pair of images; they come first in the result. Features and the pixels
+    of both images around them meet by tile, so a pixel travels once or, at borders, up to four times, whatever the patch,
+    the search and the number of features. Offsets at which fewer than ``least`` pixels are in both images, or either is
+    flat, have no row."""
+    keys, reach = list(keys), radius + search
+    rows = lambda df, kind, name, v: df.select(*keys, F.lit(kind).alias("kind"), name.cast("long").alias("feature_id"), F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), v.cast("double").alias("v"))
+    none = F.lit(None)
+    images = rows(ref, 0, none, F.col("v")).unionByName(rows(cmp, 1, none, F.col("v")))
+    placed = with_halo(images, tile, reach).unionByName(with_halo(rows(features, 2, F.col("feature_id"), none), tile, 0))
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        wanted = pdf[pdf["kind"] == 2].sort_values("feature_id")
+        x0, y0 = int(key[-2]) * tile - reach, int(key[-1]) * tile - reach
+        side = tile + 2 * reach
+        a, b = (dense(pdf[pdf["kind"] == k], x0, y0, side, side) for k in (0, 1)) if len(wanted) else (None, None)
+        dy, dx = np.mgrid[-search : search + 1, -search : search + 1]
+        parts = []
+        for f, x, y in zip(wanted["feature_id"], wanted["x"] - x0, wanted["y"] - y0, strict=True):
+            around = lambda z, r: z[y - r : y + r + 1, x - r : x + r + 1]  # noqa: B023, E731
+            n, ncc = correlations(around(a, radius), around(b, reach))
+            ok = (n >= least) & ~np.isnan(ncc)
+            parts.append(pd.DataFrame({"feature_id": f, "dx": dx[ok], "dy": dy[ok], "n": n[ok], "ncc": ncc[ok]}))
+        found = pd.concat(parts) if parts else pd.DataFrame({c: [] for c in ("feature_id", "dx", "dy", "n", "ncc")})
+        for i, c in enumerate(keys):
+            found.insert(i, c, key[i])
+        return found
+
+    kinds = "".join(f"{c} {ref.schema[c].dataType.simpleString()}, " for c in keys)
+    return placed.groupBy(*keys, "tile_x", "tile_y").applyInPandas(run, f"{kinds}feature_id long, dx int, dy int, n long, ncc double")
 
 
 def fourier(pixels: DataFrame, width: int, height: int, inverse: bool = False) -> DataFrame:
