@@ -29,6 +29,57 @@ def box_pairs(a: DataFrame, b: DataFrame, size: float, strict: bool = True) -> D
     return j.filter(meets & here).select("id_a", "id_b", "min_x", "min_y", "max_x", "max_y")
 
 
+def crossed(a: Column, b: Column, at: Column) -> Column:
+    """Twice the signed area of a triangle: positive where ``at`` lies to the left of the line from a to b (y upwards)."""
+    return (b["x"] - a["x"]) * (at["y"] - a["y"]) - (b["y"] - a["y"]) * (at["x"] - a["x"])
+
+
+def convex_overlap(subject: Column, clip: Column) -> Column:
+    """What two convex polygons have in common: arrays of vertices (x, y), counterclockwise, the first not repeated at the end.
+
+    The subject is cut along each side of the other polygon in turn. Polygons that share less than an area give fewer than
+    three different vertices or none; vertices may repeat where a corner lies on a side."""
+    following = lambda ring, i: F.element_at(ring, i % F.size(ring) + 1)
+
+    def cut(ring: Column, side: Column) -> Column:
+        def kept(i: Column) -> Column:
+            p, q = F.element_at(ring, i), following(ring, i)
+            dp, dq = crossed(side["a"], side["b"], p), crossed(side["a"], side["b"], q)
+            part = dp / (dp - dq)
+            met = F.struct((p["x"] + part * (q["x"] - p["x"])).alias("x"), (p["y"] + part * (q["y"] - p["y"])).alias("y"))
+            return F.concat(F.when(dp >= 0, F.array(p)).otherwise(F.slice(ring, 1, 0)), F.when(dp * dq < 0, F.array(met)).otherwise(F.slice(ring, 1, 0)))
+
+        return F.when(F.size(ring) == 0, ring).otherwise(F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(F.size(ring), F.lit(1))), kept)))
+
+    sides = F.transform(F.sequence(F.lit(1), F.size(clip)), lambda i: F.struct(F.element_at(clip, i).alias("a"), following(clip, i).alias("b")))
+    return F.aggregate(sides, subject, cut)
+
+
+def ring_area(ring: Column) -> Column:
+    """Area of a counterclockwise polygon; 0 without vertices."""
+    at = lambda i: F.element_at(ring, i)
+    after = lambda i: F.element_at(ring, i % F.size(ring) + 1)
+    doubled = F.transform(F.sequence(F.lit(1), F.greatest(F.size(ring), F.lit(1))), lambda i: at(i)["x"] * after(i)["y"] - after(i)["x"] * at(i)["y"])
+    return F.when(F.size(ring) == 0, 0.0).otherwise(F.aggregate(doubled, F.lit(0.0), lambda total, d: total + d) / 2)
+
+
+def footprint_overlaps(pairs: DataFrame, footprints: DataFrame, least_area: float = 0.0) -> DataFrame:
+    """Pairs (id_a, id_b) whose convex footprints (id, ring) have more than an edge in common and at least an area:
+    id_a, id_b, overlap (ring), area, and the bounding box min_x, min_y, max_x, max_y of the overlap."""
+    ring = lambda own: footprints.select(F.col("id").alias(f"id_{own}"), F.col("ring").alias(f"ring_{own}"))
+    j = pairs.select("id_a", "id_b").join(ring("a"), "id_a").join(ring("b"), "id_b")
+    j = j.withColumn("overlap", convex_overlap(F.col("ring_a"), F.col("ring_b"))).withColumn("area", ring_area(F.col("overlap")))
+    j = j.filter((F.col("area") > 0) & (F.col("area") >= least_area))
+    end = lambda f, c: f(F.transform("overlap", lambda v: v[c])).alias(f"{'min' if f is F.array_min else 'max'}_{c}")
+    return j.select("id_a", "id_b", "overlap", "area", end(F.array_min, "x"), end(F.array_min, "y"), end(F.array_max, "x"), end(F.array_max, "y"))
+
+
+def in_convex(ring: Column, x: Column, y: Column) -> Column:
+    """Whether a point lies in a counterclockwise convex polygon or on its border."""
+    at = F.struct(x.alias("x"), y.alias("y"))
+    return F.forall(F.sequence(F.lit(1), F.size(ring)), lambda i: crossed(F.element_at(ring, i), F.element_at(ring, i % F.size(ring) + 1), at) >= 0)
+
+
 def image_pairs(images: DataFrame, order: str, reverse: bool = False) -> DataFrame:
     """All ordered pairs (image_a, image_b) of the images of a request, of which there are few; with ``reverse`` both ways."""
     a, b = images.select(F.col(order).alias("image_a")), images.select(F.col(order).alias("image_b"))
@@ -95,7 +146,8 @@ def search_tiles(overlaps: DataFrame, side: int, grid: int, margin: int = 0) ->
     """Square search tiles over each overlap (image_id, x0, y0, width, height): image_id, x, y, w, h.
 
     Grid 0: steps of side less margin. Else the most steps, at most ``grid``, that are at least a side apart; a grid of 1
-    steps by the whole overlap. Fewer than 4 tiles make one tile of the overlap, if there is a grid."""
+    steps by the whole overlap. With a column ring, only tiles that lie in that convex polygon count. Fewer than 4 tiles
+    make one tile of the overlap, if there is a grid."""
 
     def step(length: str) -> Column:
         if grid == 0:
@@ -105,9 +157,11 @@ def search_tiles(overlaps: DataFrame, side: int, grid: int, margin: int = 0) ->
 
     o = overlaps.withColumns({"dx": F.greatest(F.lit(1), step("width")), "dy": F.greatest(F.lit(1), step("height"))})
     line = lambda at, length, d: F.when(F.col(length) >= side + 1, F.sequence(F.col(at), F.col(at) + F.col(length) - 1 - side, F.col(d).cast("int"))).otherwise(F.array().cast("array<int>"))
-    o = o.withColumns({"xs": line("x0", "width", "dx"), "ys": line("y0", "height", "dy")})
-    few = (F.size("xs") * F.size("ys") < 4) & F.lit(grid > 0)
-    tiles = o.filter(~few).withColumn("x", F.explode("xs")).withColumn("y", F.explode("ys")).select("image_id", "x", "y", F.lit(side).alias("w"), F.lit(side).alias("h"))
+    places = F.flatten(F.transform("xs", lambda x: F.transform("ys", lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    o = o.withColumns({"xs": line("x0", "width", "dx"), "ys": line("y0", "height", "dy")}).withColumn("places", places)
+    if "ring" in overlaps.columns:
+        corner = lambda p, dx, dy: in_convex(F.col("ring"), p["x"] + dx, p["y"] + dy)
+        o = o.withColumn("places", F.filter("places", lambda p: corner(p, 0, 0) & corner(p, side, 0) & corner(p, 0, side) & corner(p, side, side)))
+    few = (F.size("places") < 4) & F.lit(grid > 0)
+    tiles = o.filter(~few).select("image_id", F.explode("places").alias("p")).select("image_id", "p.x", "p.y", F.lit(side).alias("w"), F.lit(side).alias("h"))
     return tiles.unionByName(o.filter(few).select("image_id", F.col("x0").alias("x"), F.col("y0").alias("y"), F.col("width").alias("w"), F.col("height").alias("h")))
-
-

@@ -27,6 +27,35 @@ def j2(t):
     return spatial.box_pairs(boxes(t), boxes(t), 10.0).filter((F.col("id_a") < F.col("id_b")) & (area >= 5))
 
 
+DIAMONDS = """d AS MATERIALIZED (SELECT cell_id AS id, unnest([1, 2, 3, 4]) AS i, (min_lon + max_lon)/2 + unnest([0, 5.0 + cell_id % 3, 0, -5.0]) AS x, (min_lat + max_lat)/2 + unnest([-5.0, 0, 5.0 + cell_id % 2, 0]) AS y FROM footprints),
+e AS MATERIALIZED (SELECT a.id, a.i, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by FROM d a JOIN d b ON a.id = b.id AND b.i = a.i % 4 + 1)"""
+
+
+def diamonds(t):
+    """Convex footprints: the middles of a box's sides, two of them pushed out."""
+    x, y = (F.col("min_lon") + F.col("max_lon")) / 2, (F.col("min_lat") + F.col("max_lat")) / 2
+    east, north = x + 5.0 + F.col("cell_id") % 3, y + 5.0 + F.col("cell_id") % 2
+    ring = F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, y - 5.0), (east, y), (x, north), (x - 5.0, y))])
+    return t.footprints.select(F.col("cell_id").alias("id"), (x - 5.0).alias("min_x"), (y - 5.0).alias("min_y"), east.alias("max_x"), north.alias("max_y"), ring.alias("ring"))
+
+
+@query("j2_polygon_overlap", f"""WITH {DIAMONDS}, b AS (SELECT id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM d GROUP BY 1),
+p AS MATERIALIZED (SELECT a.id AS id_a, b.id AS id_b FROM b a JOIN b ON a.id < b.id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1),
+inside AS (SELECT id_a, id_b, x, y FROM (SELECT id_a, id_b, d.i, x, y, min((e.bx - e.ax)*(y - e.ay) - (e.by - e.ay)*(x - e.ax)) AS side FROM p JOIN d ON d.id = id_a JOIN e ON e.id = id_b GROUP BY ALL UNION ALL SELECT id_a, id_b, d.i, x, y, min((e.bx - e.ax)*(y - e.ay) - (e.by - e.ay)*(x - e.ax)) FROM p JOIN d ON d.id = id_b JOIN e ON e.id = id_a GROUP BY ALL) WHERE side >= 0),
+r AS (SELECT id_a, id_b, a.ax, a.ay, a.bx - a.ax AS ux, a.by - a.ay AS uy, b.ax AS cx, b.ay AS cy, b.bx - b.ax AS wx, b.by - b.ay AS wy FROM p JOIN e a ON a.id = id_a JOIN e b ON b.id = id_b),
+q AS (SELECT *, ((cx - ax)*wy - (cy - ay)*wx)/(ux*wy - uy*wx) AS s, ((cx - ax)*uy - (cy - ay)*ux)/(ux*wy - uy*wx) AS t FROM r WHERE abs(ux*wy - uy*wx) > 1e-12),
+v AS (SELECT * FROM inside UNION ALL SELECT id_a, id_b, ax + s*ux, ay + s*uy FROM q WHERE s BETWEEN 0 AND 1 AND t BETWEEN 0 AND 1),
+m AS (SELECT *, avg(x) OVER w AS mx, avg(y) OVER w AS my FROM v WINDOW w AS (PARTITION BY id_a, id_b)),
+n AS (SELECT *, coalesce(lead(x) OVER w, first_value(x) OVER w) AS nx, coalesce(lead(y) OVER w, first_value(y) OVER w) AS ny FROM m WINDOW w AS (PARTITION BY id_a, id_b ORDER BY atan2(y - my, x - mx), x, y)),
+g AS (SELECT id_a, id_b, sum((x - mx)*(ny - my) - (nx - mx)*(y - my))/2 AS area, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM n GROUP BY 1, 2)
+SELECT id_a, id_b, round(area, 6) AS area, round(x0, 6) AS min_x, round(y0, 6) AS min_y, round(x1, 6) AS max_x, round(y1, 6) AS max_y FROM g WHERE area >= 2.0001""")
+def j2_polygon(t):
+    f = diamonds(t)
+    pairs = spatial.box_pairs(f, f, 15.0).filter("id_a < id_b")
+    found = spatial.footprint_overlaps(pairs, f.select("id", "ring"), 2.0001)
+    return found.select("id_a", "id_b", *[F.round(c, 6).alias(c) for c in ("area", "min_x", "min_y", "max_x", "max_y")])
+
+
 @query("j3_point_in_cell", """SELECT gp_id, lon, lat, max(cell_id) AS cell_id FROM ground_points LEFT JOIN footprints ON lon >= min_lon AND lon <= max_lon AND lat >= min_lat AND lat <= max_lat GROUP BY gp_id, lon, lat""")
 def j3(t):
     return spatial.points_in_boxes(t.ground_points, t.footprints, 10.0)
