@@ -69,6 +69,15 @@ def rasterise(points: DataFrame, x0: float, y0: float, cell: float, rule: str) -
     return points.filter((F.col("x") >= x0) & (F.col("y") >= y0)).groupBy(at("x", x0).alias("cx"), at("y", y0).alias("cy")).agg(how.alias("z"))
 
 
+def fill_voids(cells: DataFrame) -> DataFrame:
+    """(cx, cy, z, filled) with absent cells that touch at least two present ones added, at the mean height of these."""
+    near = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    sent = cells.select("cx", "cy", "z", F.explode(near).alias("d")).select((F.col("cx") + F.col("d.dx")).alias("cx"), (F.col("cy") + F.col("d.dy")).alias("cy"), "z", ((F.col("d.dx") == 0) & (F.col("d.dy") == 0)).alias("own"))
+    inside = F.col("_z").isNotNull() | (F.col("_n") > 1)
+    met = sent.groupBy("cx", "cy").agg(F.max(F.when(F.col("own"), F.col("z"))).alias("_z"), F.avg("z").alias("_mean"), F.count(F.lit(1)).alias("_n"))
+    return met.filter(inside).select("cx", "cy", F.coalesce("_z", "_mean").alias("z"), F.col("_z").isNull().alias("filled"))
+
+
 def natural_cell(points: DataFrame) -> DataFrame:
     """Number of points, area, the cell size at which a cell holds one point, and the raster's size at it."""
     s = points.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))

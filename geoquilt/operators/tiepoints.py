@@ -289,7 +289,7 @@ def descriptor_matches(left: DataFrame, right: DataFrame, k: int, norm: str = "l
     kind = lambda df, c: df.schema[c].dataType.simpleString()
     schema = f"tile_id {kind(left, 'tile_id')}, id_a {kind(left, 'vec_id')}, id_b {kind(right, 'vec_id')}, distance double"
     near = a.groupBy("tile_a", "at_a", "with_a").cogroup(b.groupBy("tile_b", "with_b", "at_b")).applyInPandas(run, schema)
-    order = Window.partitionBy("id_a").orderBy("distance", "id_b")
+    order = Window.partitionBy("tile_id", "id_a").orderBy("distance", "id_b")
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 

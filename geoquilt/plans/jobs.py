@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,52 +17,101 @@ from geoquilt.operators import spatial
 from geoquilt.operators import tiepoints as tp
 from geoquilt.plans.catalog import query
 from geoquilt.plans.raster_queries import SIDE, filled
-from geoquilt.plans.time_queries import looks, pushed
+from geoquilt.plans.time_queries import states
 from geoquilt.sources import pyramid
 from geoquilt.sources.shared import materialize, new_path
 from geoquilt.streaming import tiles as st
 
 
+#: The tie-point jobs: patch radius and search tile in pixels, least part of a patch that both images have, and the
+#: positional error of an image and the size of a pixel in metres, which give the search.
+PATCH, TILE, SHARE, ERROR, GSD = 3, 64, 0.4, 50.0, 25.0
+
+
+def search_radius(error_a: float, error_b: float, gsd: float) -> int:
+    """Pixels by which the errors of two images can shift a feature."""
+    return math.ceil((error_a + error_b) / gsd)
+
+
 def stretched(t) -> DataFrame:
-    """Both images in 8 bits, written once, as every later step reads them."""
-    image = filled(t)
-    stats = rs.band_stats(image, t.images.filter("image_id < 0"))
-    return materialize(rs.stretch(image, stats), "stretched")
-
-
-def correlate(images: DataFrame, ref: int, cmp: int, settings: tp.FilterSettings, tile: int = 32) -> DataFrame:
-    """Candidates of the corners of one image in another: tile_id, tp_id, x, y, match_rank, dx, dy, confidence."""
-    corners = rs.detect(images.filter(F.col("image_id") == ref), "min_eigen", tile=tile, quality=0.01, most=settings.features_per_tile)
-    features = corners.select((F.col("tile_x") * 4096 + F.col("tile_y")).cast("long").alias("tile_id"), (F.col("x").cast("long") * 65536 + F.col("y")).alias("feature_id"), "x", "y")
-    features = materialize(features, "corners")
-    found = rs.template_matches(images.filter(F.col("image_id") == ref), images.filter(F.col("image_id") == cmp), features, 3, 3, 20)
-    m = found.join(features, "feature_id").select("tile_id", F.col("feature_id").alias("tp_id"), "x", "y", F.lit(0).alias("match_rank"), F.col("dx").cast("double").alias("dx"), F.col("dy").cast("double").alias("dy"), F.col("ncc").alias("confidence"))
+    """All images at the working scale and in 8 bits, written once, as every later step reads them."""
+    image = materialize(filled(t), "resampled")
+    return materialize(rs.stretch(image, rs.band_stats(image, t.images.filter("image_id < 0"))), "stretched")
+
+
+def search_tiles(images: DataFrame, pairs: DataFrame, settings: tp.FilterSettings) -> DataFrame:
+    """Search tiles over what the footprints of each pair of images have in common: image_a, image_b, tile_id, x, y, w, h.
+
+    Images have numbers below 4096 and positions below 65,536; a tile's id holds the pair and its corner."""
+    ends = images.groupBy("image_id").agg(*[f(c).cast("double").alias(f"{n}{c}") for n, f in (("a", F.min), ("b", F.max)) for c in "xy"])
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    outlines = ends.select(F.col("image_id").alias("id"), F.array(corner("ax", "ay"), corner("bx", "ay"), corner("bx", "by"), corner("ax", "by")).alias("ring"))
+    window = 2 * PATCH + 1
+    asked = pairs.select(F.col("image_a").alias("id_a"), F.col("image_b").alias("id_b"))
+    shared = spatial.footprint_overlaps(asked, outlines, settings.features_per_tile * window**2 / 2)
+    whole = lambda c: F.col(c).cast("int")
+    overlaps = shared.select((F.col("id_a").cast("long") * 4096 + F.col("id_b")).alias("image_id"), whole("min_x").alias("x0"), whole("min_y").alias("y0"), (whole("max_x") - whole("min_x") + 1).alias("width"), (whole("max_y") - whole("min_y") + 1).alias("height"), F.col("overlap").alias("ring"))
+    tiles = spatial.search_tiles(overlaps, TILE, 0)
+    pair = F.col("image_id")
+    tile_id = pair * F.lit(1 << 32) + F.col("x") * 65536 + F.col("y")
+    return tiles.select(F.floor(pair / 4096).cast("int").alias("image_a"), (pair % 4096).cast("int").alias("image_b"), tile_id.alias("tile_id"), "x", "y", "w", "h")
+
+
+def on_tiles(corners: DataFrame, tiles: DataFrame, image: str, most: int, cell: int = 32) -> DataFrame:
+    """The strongest corners of an image of each pair in each of the pair's search tiles: image_a, image_b, tile_id,
+    feature_id, x, y. Tiles meet the corners by the cells that these were found in."""
+    cells = lambda at, length: F.explode(F.sequence(F.floor(F.col(at) / cell).cast("int"), F.floor((F.col(at) + F.col(length) - 1) / cell).cast("int")))
+    t = tiles.withColumn("tile_x", cells("x", "w")).withColumn("tile_y", cells("y", "h")).withColumnsRenamed({"x": "x0", "y": "y0"}).withColumn("image_id", F.col(image))
+    inside = (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x0") + F.col("w")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y0") + F.col("h"))
+    found = t.join(corners, ["image_id", "tile_x", "tile_y"]).filter(inside).withColumn("feature_id", F.col("x").cast("long") * 65536 + F.col("y"))
+    return tp.cap_features(found, "response", most, "feature_id").select("image_a", "image_b", "tile_id", "feature_id", "x", "y")
+
+
+def correlate(images: DataFrame, features: DataFrame, pairs: DataFrame, settings: tp.FilterSettings, search: int) -> DataFrame:
+    """The best places of each feature (image_a, image_b, tile_id, feature_id, x, y) in the other image of its pair:
+    tile_id, tp_id, match_rank, dx, dy, confidence."""
+    of = lambda image: pairs.join(images, F.col(image) == F.col("image_id")).select("image_a", "image_b", "x", "y", "v")
+    once = features.select("image_a", "image_b", "feature_id", "x", "y").distinct()
+    found = rs.template_matches(of("image_a"), of("image_b"), once, PATCH, search, math.ceil(SHARE * (2 * PATCH + 1) ** 2), ("image_a", "image_b"))
+    m = found.join(features, ["image_a", "image_b", "feature_id"]).select("tile_id", F.col("feature_id").alias("tp_id"), (F.col("dy") * 4096 + F.col("dx")).alias("match_rank"), F.col("dx").cast("double").alias("dx"), F.col("dy").cast("double").alias("dy"), F.col("ncc").alias("confidence"))
     return tp.best_matches(m, 0.1, settings.matches_per_feature)
 
 
+def of_pairs(points: DataFrame) -> DataFrame:
+    """Tie points with the images that their tile's id names."""
+    pair = F.shiftright("tile_id", 32)
+    return points.select(F.floor(pair / 4096).cast("int").alias("image_a"), (pair % 4096).cast("int").alias("image_b"), *points.columns)
+
+
 @query("p1_tie_points_correlation")
 def p1(t):
-    settings = tp.FilterSettings()
-    pair = spatial.image_pairs(t.images, "image_id").first()  # a request names its images
-    images = stretched(t)
-    candidates = correlate(images, pair.image_a, pair.image_b, settings)
-    return tp.top_points(tp.filter_without_parallax(candidates, settings), settings.points_per_tile)
+    """Tie points of all pairs of images, both ways, by correlation of patches around corners."""
+    settings, images = tp.FilterSettings(), stretched(t)
+    pairs = spatial.image_pairs(t.images, "image_id", reverse=True)
+    corners = rs.detect(images, "min_eigen", tile=32, quality=0.01, most=settings.features_per_tile)
+    features = materialize(on_tiles(corners, search_tiles(images, pairs, settings), "image_a", settings.features_per_tile), "features")
+    candidates = correlate(images, features, pairs, settings, search_radius(ERROR, ERROR, GSD))
+    return of_pairs(tp.top_points(tp.filter_without_parallax(candidates, settings), settings.points_per_tile))
 
 
 @query("p2_tie_points_descriptor")
 def p2(t):
-    settings = tp.FilterSettings()
-    images = stretched(t)
+    """Tie points of all pairs of images by descriptors that are each other's nearest in a search tile."""
+    settings, images = tp.FilterSettings(), stretched(t)
     corners = materialize(rs.detect(images, "min_eigen", tile=32, quality=0.01, most=settings.features_per_tile), "corners")
-    d = rs.patch_descriptors(images, corners).join(corners.select("image_id", "tile_x", "tile_y", "x", "y"), ["image_id", "x", "y"])
-    d = d.select("image_id", (F.col("tile_x") * 4096 + F.col("tile_y")).cast("long").alias("tile_id"), (F.col("x").cast("long") * 65536 + F.col("y")).alias("vec_id"), "embedding")
-    d = materialize(d, "descriptors")
-    a, b = d.filter("image_id = 0"), d.filter("image_id = 1")
-    found = tp.strengths(tp.descriptor_matches(a, b, settings.matches_per_feature))
-    at = lambda c: (F.floor(F.col(c) / 65536), F.col(c) % 65536)
-    (xa, ya), (xb, yb) = at("id_a"), at("id_b")
-    m = found.select("tile_id", F.col("id_a").alias("tp_id"), F.col("rank").alias("match_rank"), (xb - xa).cast("double").alias("dx"), (yb - ya).cast("double").alias("dy"), F.col("strength").alias("confidence"))
-    return tp.top_points(tp.filter_without_parallax(m, tp.FilterSettings(min_vector_difference=30.0)), settings.points_per_tile)
+    described = materialize(rs.patch_descriptors(images, corners), "descriptors")
+    tiles = materialize(search_tiles(images, spatial.image_pairs(t.images, "image_id"), settings), "search-tiles")
+
+    def side(image: str) -> DataFrame:
+        f = on_tiles(corners, tiles, image, 8 * settings.features_per_tile).withColumn("image_id", F.col(image))
+        return f.join(described, ["image_id", "x", "y"]).select("tile_id", (F.shiftright("tile_id", 32) * F.lit(1 << 32) + F.col("feature_id")).alias("vec_id"), "embedding")
+
+    a, b = materialize(side("image_a"), "left"), materialize(side("image_b"), "right")
+    both = tp.strengths(tp.cross_check(tp.descriptor_matches(a, b, 1), tp.descriptor_matches(b, a, 1).select("id_a", "id_b", "rank")))
+    x, y = (lambda c: F.floor(F.col(c) / 65536) % 65536), (lambda c: F.col(c) % 65536)
+    m = both.select("tile_id", (F.col("id_a") % F.lit(1 << 32)).alias("tp_id"), F.lit(1).alias("match_rank"), (x("id_b") - x("id_a")).cast("double").alias("dx"), (y("id_b") - y("id_a")).cast("double").alias("dy"), F.col("strength").alias("confidence"))
+    m = tp.cap_features(m, "confidence", settings.features_per_tile, "tp_id")
+    return of_pairs(tp.top_points(tp.filter_without_parallax(m, tp.FilterSettings(min_vector_difference=30.0)), settings.points_per_tile))
 
 
 def pyramid_tiles(t, tile: int = 32) -> DataFrame:
@@ -107,24 +158,50 @@ def p4(t):
     return p.groupBy("view_id").agg(F.count(F.lit(1)).alias("n"), F.sum("p.v").cast("long").alias("total"))
 
 
-@query("p5_surface_model")
-def p5(t):
-    """Rays of two looks at each point, the point midway between them, and the highest point of each cell of a grid."""
-    first = pushed(looks(t)).filter("gx IS NOT NULL")
+#: Two looks of a push-broom sensor: seconds of the first line of each, seconds a line, radians a column, the middle column,
+#: and the pitch with which the second looks back to what the first saw from above.
+FIRST, SECOND, LINE, COLUMN, MIDDLE = 60.0, 80.0, 1e-3, 1e-5, SIDE / 2
+_W = 0.00104 * (SECOND - FIRST)
+PITCH = -math.atan2(sensors.A * math.sin(_W), 7178137.0 - sensors.A * math.cos(_W))
+
+
+def surface_points(t, matches: DataFrame, most: float = 25.0) -> DataFrame:
+    """Matches (feature_id, x, y in the first look, dx, dy to the second) as points in space: feature_id, lon, lat, h, miss.
+
+    Each look has the platform's state at the time of its own line and the ray of its own column. The point lies midway
+    between the rays where they pass nearest; matches whose rays miss each other by more than ``most`` metres have none."""
+    own = ["feature_id", "x", "y", "dx", "dy"]
+    one = states(t, matches.select(*own).withColumn("t", FIRST + F.col("y") * LINE)).withColumnsRenamed({c: f"{c}_a" for c in ("px", "py", "vx", "vy")})
+    two = states(t, one.withColumn("t", SECOND + (F.col("y") + F.col("dy")) * LINE))
 
     def compute(pdf):
-        g = pdf[["gx", "gy", "gz"]].to_numpy(float)
-        p1 = np.stack([pdf["px"], pdf["py"], np.zeros(len(pdf))], 1).astype(float)
-        turn = np.array([[np.cos(0.05), -np.sin(0.05), 0], [np.sin(0.05), np.cos(0.05), 0], [0, 0, 1]])
-        p2 = p1 @ turn.T  # where the platform is some time later
-        u1, u2 = pdf[["ux", "uy", "uz"]].to_numpy(float), (g - p2) / np.linalg.norm(g - p2, axis=1, keepdims=True)
-        mid, miss = sensors.two_ray_point(p1, u1, p2, u2)
-        return {"mx": mid[:, 0], "my": mid[:, 1], "mz": mid[:, 2], "miss": miss}
-
-    met = sensors.over_batches(first, {c: "double" for c in ("mx", "my", "mz", "miss")}, compute, ["point_id"]).filter("miss < 1.0")
+        zero = np.zeros(len(pdf))
+        at = lambda x, y, z: np.stack([pdf[x].to_numpy(float), pdf[y].to_numpy(float), z], 1)
+        level = np.zeros((len(pdf), 3))
+        aside = (pdf["x"].to_numpy(float) - MIDDLE) * COLUMN
+        p1, v1, p2, v2 = at("px_a", "py_a", zero), at("vx_a", "vy_a", zero), at("px", "py", zero), at("vx", "vy", zero)
+        u1 = sensors.pushbroom_ray(p1, v1, level, zero, aside)
+        u2 = sensors.pushbroom_ray(p2, v2, level, zero + PITCH, aside + pdf["dx"].to_numpy(float) * COLUMN)
+        middle, miss = sensors.two_ray_point(p1, u1, p2, u2)
+        return {"mx": middle[:, 0], "my": middle[:, 1], "mz": middle[:, 2], "miss": miss}
+
+    met = sensors.over_batches(two, {c: "double" for c in ("mx", "my", "mz", "miss")}, compute, ["feature_id"]).filter(F.col("miss") <= most)
     lon, lat, h = to.ecef_to_geodetic(F.col("mx"), F.col("my"), F.col("mz"))
-    cloud = met.select("point_id", (F.degrees(lon) + 180.0).alias("x"), (F.degrees(lat) + 90.0).alias("y"), h.alias("z"))
-    return pc.rasterise(cloud, 0.0, 0.0, 0.25, "highest")
+    return met.select("feature_id", F.degrees(lon).alias("lon"), F.degrees(lat).alias("lat"), h.alias("h"), "miss")
+
+
+@query("p5_surface_model")
+def p5(t):
+    """A surface from matches at every fourth pixel of each pair of images: points in space, the highest of each cell, and
+    voids filled from the cells around them."""
+    images, settings = stretched(t), tp.FilterSettings()
+    pairs = spatial.image_pairs(t.images, "image_id")
+    steps = rs.full_grid(t.images, SIDE, SIDE).filter("x % 4 = 0 AND y % 4 = 0").join(pairs, F.col("image_id") == F.col("image_a"))
+    features = steps.select("image_a", "image_b", (F.col("image_a").cast("long") * 4096 + F.col("image_b")).alias("tile_id"), (F.col("x").cast("long") * 65536 + F.col("y")).alias("feature_id"), "x", "y")
+    found = correlate(images, materialize(features, "steps"), pairs, settings.with_overrides({"matches_per_feature": 1}), search_radius(ERROR, ERROR, GSD))
+    matches = found.select(F.col("tp_id").alias("feature_id"), F.floor(F.col("tp_id") / 65536).alias("x"), (F.col("tp_id") % 65536).alias("y"), "dx", "dy")
+    cloud = surface_points(t, matches).select(F.col("feature_id").alias("point_id"), F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("h").alias("z"))
+    return pc.fill_voids(pc.rasterise(cloud, 0.0, -1.0, 0.0005, "highest"))
 
 
 @query("p6_raster_to_vectors")

@@ -138,10 +138,12 @@ def j8(t):
     return states(t).select("point_id", "t", "px", "vx", "py", "vy")
 
 
-def states(t):
-    """Image points with the platform's position and velocity at their time."""
+def states(t, points=None):
+    """Points (t and others; image points, if none are given) with the platform's position and velocity at their time."""
+    points = t.image_points if points is None else points
     state = to.hermite(F.col("nodes"), F.col("t"), {"px": "vx", "py": "vy"})
-    return on_orbit(t).select("point_id", "image_id", "col", "line", "t", "h", state.alias("s")).select("point_id", "image_id", "col", "line", "t", "h", "s.*")
+    on = points.withColumn("orbit", F.lit(0)).join(F.broadcast(orbit(t)), "orbit")
+    return on.select(*points.columns, state.alias("s")).select(*points.columns, "s.*")
 
 
 def _vectors(pdf):

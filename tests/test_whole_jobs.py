@@ -30,3 +30,36 @@ def test_written_pyramid_has_every_pixel(spark):
     t = Inputs(spark, SF)
     full = jobs.pyramid_tiles(t).filter("zoom_level = 3").agg(F.sum(F.size("data")).alias("n")).first()
     assert full.n == t.pixels.count()
+
+
+def test_surface_from_independent_looks(spark):
+    """Points of a known surface, seen by two looks with their own states and found in the second to a tenth of a pixel."""
+    import numpy as np
+    import pandas as pd
+
+    from geoquilt.functions import sensors
+    from geoquilt.plans import jobs
+
+    rng = np.random.default_rng(3)
+    x, y = (c.ravel().astype(float) for c in np.meshgrid(np.arange(0, 256, 16), np.arange(0, 256, 16)))
+    height = 60 * np.sin(x / 40) + 40 * np.cos(y / 30)
+
+    def ray(column, line, start, pitch):
+        w = 0.00104
+        turn, zero = w * (start + line * jobs.LINE), np.zeros(len(line))
+        p = 7178137.0 * np.stack([np.cos(turn), np.sin(turn), zero], 1)
+        v = 7178137.0 * w * np.stack([-np.sin(turn), np.cos(turn), zero], 1)
+        return p, sensors.pushbroom_ray(p, v, np.zeros((len(line), 3)), zero + pitch, (column - jobs.MIDDLE) * jobs.COLUMN)
+
+    place = lambda g: (np.arctan2(g[:, 1], g[:, 0]) * 1e6, g[:, 2])
+    ground = sensors.meet_ellipsoid(*ray(x, y, jobs.FIRST, 0.0), height)
+    rows = pd.DataFrame({"h": height})
+    seen = lambda part, c, r: place(sensors.meet_ellipsoid(*ray(c, r, jobs.SECOND, jobs.PITCH), part["h"].to_numpy()))
+    at, _ = sensors.invert(seen, rows, np.stack(place(ground), 1), np.stack([x, y], 1), 0.5, 1e-6, 30)
+    assert np.isfinite(at).all() and np.abs(at - np.stack([x, y], 1)).max() > 2
+    at += rng.normal(0, 0.1, at.shape)
+    m = spark.createDataFrame(pd.DataFrame({"feature_id": np.arange(len(x)), "x": x.astype(int), "y": y.astype(int), "dx": at[:, 0] - x, "dy": at[:, 1] - y}))
+    found = jobs.surface_points(Inputs(spark, SF), m).toPandas().sort_values("feature_id")
+    assert len(found) == len(x)
+    off = found["h"].to_numpy() - height
+    assert np.sqrt((off**2).mean()) < 12 and np.corrcoef(found["h"], height)[0, 1] > 0.95 and found["miss"].max() > 1e-3
