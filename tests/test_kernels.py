@@ -440,3 +440,37 @@ def test_components_without_sending(spark, monkeypatch):
             root[a] = root[b] = min(root[a], root[b])
     want = {n: root[n] for p in pairs for n in p if p[0] != p[1]}
     assert {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()} == want
+
+
+def test_convex_overlap_and_tiles_inside(spark):
+    v = lambda *points: [(float(x), float(y)) for x, y in points]
+    square, corner = v((0, 0), (100, 0), (100, 100), (0, 100)), v((0, 0), (200, 0), (0, 200))
+    df = spark.createDataFrame([(1, square), (2, corner), (3, v((100, 0), (150, 0), (150, 50))), (4, v((300, 300), (301, 300), (300, 301)))], "id int, ring array<struct<x double, y double>>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 2)], "id_a int, id_b int")
+    found = {(r.id_a, r.id_b): r for r in spatial.footprint_overlaps(pairs, df).collect()}
+    assert set(found) == {(1, 2), (2, 2)}  # one side in common is no area
+    assert found[1, 2].area == 10_000 and found[2, 2].area == 20_000 and found[1, 2].max_x == 100
+    o = spark.createDataFrame([(7, 0, 0, 200, 200, corner)], "image_id int, x0 int, y0 int, width int, height int, ring array<struct<x double, y double>>")
+    tiles = {(r.x, r.y) for r in spatial.search_tiles(o, 50, 0).collect()}
+    assert tiles == {(x, y) for x in (0, 50, 100) for y in (0, 50, 100) if x + y + 100 <= 200}
+    assert spatial.search_tiles(o.drop("ring"), 50, 0).count() == 9
+
+
+def test_templates_on_any_tile(spark):
+    a = image(8, 48, 0.9)
+    b = np.roll(a, (1, -2), (0, 1))
+    features = spark.createDataFrame([(1, 15, 16), (2, 16, 31), (3, 30, 20)], "feature_id long, x int, y int")
+    got = [{(r.feature_id, r.dx, r.dy): (r.n, round(r.ncc, 9)) for r in rs.template_matches(pixels(spark, a), pixels(spark, b), features, 2, 3, 9, tile=tile).collect()} for tile in (8, 16, 64)]
+    assert got[0] == got[1] == got[2] and all(got[0][f, -2, 1][1] == 1.0 for f in (1, 2, 3))
+
+
+def test_overviews_share_an_exchange(spark):
+    a = image(6, 64, 0.8)
+    plan = rs.overviews(pixels(spark, a), 64, 64, 8)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(set(line.split("RepartitionByExpression")[1] for line in plan.splitlines() if "RepartitionByExpression" in line)) <= 3
+    deep = {(r.level, r.x, r.y): r.v for r in rs.overviews(pixels(spark, a), 64, 64, 1).collect()}
+    now, level = a, 0
+    while len(now) > 1:
+        now, level = np.nanmean(np.stack([now[::2, ::2], now[1::2, ::2], now[::2, 1::2], now[1::2, 1::2]]), 0), level + 1
+        want = {(level, x, y): now[y, x] for y in range(len(now)) for x in range(len(now)) if not np.isnan(now[y, x])}
+        assert want.keys() == {k for k in deep if k[0] == level} and all(abs(deep[k] - want[k]) < 1e-9 for k in want)

@@ -63,3 +63,42 @@ def test_surface_from_independent_looks(spark):
     assert len(found) == len(x)
     off = found["h"].to_numpy() - height
     assert np.sqrt((off**2).mean()) < 12 and np.corrcoef(found["h"], height)[0, 1] > 0.95 and found["miss"].max() > 1e-3
+
+
+@pytest.fixture(scope="module")
+def shifted(spark):
+    """Two images of one scene, the second two pixels to the right and one up."""
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    scene = rng.uniform(0, 200, (300, 300))
+    for _ in range(2):
+        scene = (scene + np.roll(scene, 1, 0) + np.roll(scene, 1, 1) + np.roll(scene, (1, 1), (0, 1))) / 4
+    parts = []
+    for image, (dx, dy) in enumerate(((0, 0), (2, -1))):
+        part = scene[20 - dy : 276 - dy, 20 - dx : 276 - dx]
+        y, x = (c.ravel() for c in np.mgrid[0:256, 0:256])
+        parts.append(pd.DataFrame({"image_id": image, "x": x, "y": y, "v": part.ravel()}).sample(frac=0.97, random_state=image))
+    pixels = spark.createDataFrame(pd.concat(parts), "image_id int, x int, y int, v double")
+    return SimpleNamespace(spark=spark, pixels=pixels, images=spark.createDataFrame([(0,), (1,)], "image_id int"))
+
+
+def test_correlation_finds_the_shift(shifted):
+    from geoquilt.plans import jobs
+
+    found = jobs.p1(shifted).toPandas()
+    tiles = found.groupby(["image_a", "image_b"])["tile_id"].nunique()
+    assert dict(tiles) == {(0, 1): 9, (1, 0): 9} and len(found) == 36
+    sign = found["image_b"] - found["image_a"]
+    assert (found["dx"] == 2 * sign).all() and (found["dy"] == -sign).all() and (found["confidence"] > 0.8).all()
+
+
+def test_descriptors_find_the_shift(shifted):
+    from geoquilt.plans import jobs
+
+    found = jobs.p2(shifted).toPandas()
+    assert found["tile_id"].nunique() == 9 and set(found["image_a"]) == {0} and set(found["image_b"]) == {1}
+    assert ((found["dx"] == 2) & (found["dy"] == -1)).mean() > 0.9
