@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from geoquilt.operators.graph import components
+from geoquilt.sources.shared import materialize
 
 #: Largest values of scalar types. Fixed values.
 TYPE_MAX = {"u8": 255.0, "s8": 127.0, "u16": 65535.0, "s16": 32767.0, "u32": 4294967295.0, "s32": 2147483647.0, "f32": 3.4028234663852886e38, "f64": 1.7976931348623157e308}
@@ -172,6 +173,51 @@ def regions(mask: DataFrame) -> DataFrame:
     return named.select("image_id", F.explode(F.sequence("a", "b")).alias("x"), "y", "region")
 
 
+def straight_sides(edges: DataFrame) -> DataFrame:
+    """Unit edges of a boundary joined where they go straight on: image_id, x0, y0, x1, y1, the direction dx, dy, and side, a
+    number of its own (images below 2 ** 20, positions below 2 ** 20)."""
+    flat = F.col("y0") == F.col("y1")
+    e = edges.withColumns({"dx": F.col("x1") - F.col("x0"), "dy": F.col("y1") - F.col("y0"), "line": F.when(flat, F.col("y0")).otherwise(F.col("x0")), "at": F.when(flat, F.least("x0", "x1")).otherwise(F.least("y0", "y1"))})
+    along = ("image_id", "dx", "dy", "line")
+    e = e.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy(*along).orderBy("at")))
+    s = e.groupBy(*along, "run").agg(F.min("at").alias("a"), (F.max("at") + 1).alias("b"))
+    first, last = F.when(F.col("dx") + F.col("dy") > 0, F.col("a")).otherwise(F.col("b")), F.when(F.col("dx") + F.col("dy") > 0, F.col("b")).otherwise(F.col("a"))
+    spot = lambda at: (F.when(F.col("dy") == 0, at).otherwise(F.col("line")).cast("int"), F.when(F.col("dy") == 0, F.col("line")).otherwise(at).cast("int"))
+    (x0, y0), (x1, y1) = spot(first), spot(last)
+    s = s.select("image_id", x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), "dx", "dy")
+    forward = (F.col("dx") + F.col("dy") > 0).cast("long")  # two sides that begin at one corner go opposite ways
+    return s.withColumn("side", ((F.col("image_id").cast("long") * F.lit(1 << 20) + F.col("y0")) * F.lit(1 << 20) + F.col("x0")) * 2 + forward)
+
+
+def rings(mask: DataFrame) -> DataFrame:
+    """Closed outlines of 4-connected foreground: image_id, ring, seq from 0, x, y (a corner), and of the side that begins
+    there x1, y1, dx, dy. The foreground is at the left hand, so holes run the other way round than outlines.
+
+    Where two pixels touch at a corner only, a ring turns left and stays with its pixel. A ring is named by its smallest
+    side, found as a component; places along it come from doubling jumps back to that side, so there are as many rounds as
+    the longest ring has binary digits and no ring is gathered."""
+    sides = materialize(straight_sides(boundary_edges(mask)), "sides")
+    left = (F.col("n.dx") == F.col("s.dy")) & (F.col("n.dy") == -F.col("s.dx"))
+    meet = sides.alias("s").join(sides.alias("n"), (F.col("s.image_id") == F.col("n.image_id")) & (F.col("s.x1") == F.col("n.x0")) & (F.col("s.y1") == F.col("n.y0")))
+    after = materialize(meet.groupBy(F.col("s.side").alias("side")).agg(F.min_by(F.col("n.side"), F.when(left, 0).otherwise(1)).alias("next")), "next-sides")
+    roots = components(after, "side", "next").withColumnsRenamed({"node": "side", "root": "ring"})
+    back = after.select(F.col("next").alias("side"), F.col("side").alias("to")).join(roots, "side")
+    first = F.col("side") == F.col("ring")
+    now = materialize(back.select("side", "ring", F.when(first, F.col("side")).otherwise(F.col("to")).alias("to"), F.when(first, 0).otherwise(1).cast("long").alias("seq")), "places")
+    while now.filter("to <> ring").limit(1).count():
+        there = now.select(F.col("side").alias("to"), F.col("to").alias("to2"), F.col("seq").alias("seq2"))
+        now = materialize(now.join(there, "to").select("side", "ring", F.col("to2").alias("to"), (F.col("seq") + F.col("seq2")).alias("seq")), "places")
+    return sides.join(now.select("side", "ring", "seq"), "side").select("image_id", "ring", "seq", F.col("x0").alias("x"), F.col("y0").alias("y"), "x1", "y1", "dx", "dy")
+
+
+def ring_areas(outlines: DataFrame) -> DataFrame:
+    """(image_id, ring, area, px, py): pixels in each ring, negative for holes, and a pixel of the region that it bounds, the
+    one to the left of the ring's first side."""
+    left = lambda c, d: F.min_by(F.col(c) + d, "seq").cast("int")
+    dx, dy = F.col("dx"), F.col("dy")
+    return outlines.groupBy("image_id", "ring").agg((F.sum(F.col("x1").cast("long") * F.col("y") - F.col("x").cast("long") * F.col("y1")) / 2).cast("long").alias("area"), left("x", F.when((dx < 0) | (dy < 0), -1).otherwise(0)).alias("px"), left("y", F.when((dx > 0) | (dy < 0), -1).otherwise(0)).alias("py"))
+
+
 def enclosed(x: np.ndarray, y: np.ndarray) -> int:
     """Pixels of a 4-connected region and of its holes: all that can't be reached from outside around it, corners included."""
     grid = np.zeros((int(y.max() - y.min()) + 3, int(x.max() - x.min()) + 3), bool)

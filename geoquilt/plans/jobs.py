@@ -7,7 +7,6 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from geoquilt.functions import grid, sensors
 from geoquilt.functions import timeorbit as to
@@ -204,17 +203,31 @@ def p5(t):
     return pc.fill_voids(pc.rasterise(cloud, 0.0, -1.0, 0.0005, "highest"))
 
 
+def outlined(t) -> tuple[DataFrame, DataFrame]:
+    """Foreground without speckles, and its rings."""
+    mask = materialize(rs.remove_speckles(t.pixels.filter("v > 10").select("image_id", "x", "y"), 4), "mask")
+    return mask, materialize(rs.rings(mask), "rings")
+
+
 @query("p6_raster_to_vectors")
 def p6(t):
-    """Outlines of regions without speckles as straight segments in degrees, with the region that each bounds."""
-    mask = materialize(rs.remove_speckles(t.pixels.filter("v > 10").select("image_id", "x", "y"), 4), "mask")
-    e = rs.boundary_edges(mask).withColumns({"flat": F.col("y0") == F.col("y1"), "line": F.when(F.col("y0") == F.col("y1"), F.col("y0")).otherwise(F.col("x0")), "at": F.when(F.col("y0") == F.col("y1"), F.least("x0", "x1")).otherwise(F.least("y0", "y1")), "back": F.when(F.col("y0") == F.col("y1"), F.col("x1") < F.col("x0")).otherwise(F.col("y1") < F.col("y0"))})
-    row = Window.partitionBy("image_id", "flat", "line", "back").orderBy("at")
-    s = e.withColumn("g", F.col("at") - F.row_number().over(row)).groupBy("image_id", "flat", "line", "back", "g").agg(F.min("at").alias("a"), (F.max("at") + 1).alias("b"))
-    end = lambda c: (F.when(F.col("flat"), F.col(c)).otherwise(F.col("line")), F.when(F.col("flat"), F.col("line")).otherwise(F.col(c)))
-    (xa, ya), (xb, yb) = end("a"), end("b")
-    (lon_a, lat_a), (lon_b, lat_b) = grid.pixel_to_lonlat(xa, ya, 0), grid.pixel_to_lonlat(xb, yb, 0)
-    return s.select("image_id", "back", lon_a.alias("lon_a"), lat_a.alias("lat_a"), lon_b.alias("lon_b"), lat_b.alias("lat_b"))
+    """Outlines of regions without speckles as rings in degrees, first corner repeated at the end: image_id, region, ring,
+    hole, pixels inside, and GeoJSON coordinates."""
+    mask, rings = outlined(t)
+    named = rs.ring_areas(rings).join(rs.regions(mask).withColumnsRenamed({"x": "px", "y": "py"}), ["image_id", "px", "py"])
+    lon, lat = grid.pixel_to_lonlat(F.col("x"), F.col("y"), 0)
+    corners = rings.select("ring", F.struct("seq", F.array(F.round(lon, 8), F.round(lat, 8)).alias("c")).alias("v")).groupBy("ring").agg(F.sort_array(F.collect_list("v")).alias("v"))
+    closed = F.to_json(F.transform(F.concat("v", F.slice("v", 1, 1)), lambda v: v["c"]))
+    return named.join(corners, "ring").select("image_id", "region", "ring", (F.col("area") < 0).alias("hole"), F.abs("area").alias("n_pixels"), closed.alias("coordinates"))
+
+
+@query("p6_masked_lines")
+def p6_lines(t):
+    """Outlines cut where their corners lie on masked pixels, as open lines of at least three corners."""
+    _, rings = outlined(t)
+    masked = t.pixels.filter("v % 7 = 0").select("image_id", "x", "y", F.lit(True).alias("hit"))
+    path = rings.select("image_id", F.col("ring").alias("path"), "seq", "x", "y").join(masked, ["image_id", "x", "y"], "left")
+    return rs.split_paths(path.withColumn("masked", F.coalesce("hit", F.lit(False))).drop("hit")).select("image_id", "path", "piece", "seq", "x", "y")
 
 
 def levels(t) -> DataFrame:

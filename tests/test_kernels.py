@@ -474,3 +474,26 @@ def test_overviews_share_an_exchange(spark):
         now, level = np.nanmean(np.stack([now[::2, ::2], now[1::2, ::2], now[::2, 1::2], now[1::2, 1::2]]), 0), level + 1
         want = {(level, x, y): now[y, x] for y in range(len(now)) for x in range(len(now)) if not np.isnan(now[y, x])}
         assert want.keys() == {k for k in deep if k[0] == level} and all(abs(deep[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_rings_bound_their_regions(spark):
+    """Corners of a ring follow one another, areas and holes equal a flood fill, and pixels that touch at a corner part."""
+    rng = np.random.default_rng(11)
+    a = rng.random((24, 24)) < 0.62
+    a[2:12, 2:12] = True
+    a[4:10, 4:10] = False
+    a[6, 6] = True  # an island in a hole
+    ys, xs = np.nonzero(a)
+    mask = spark.createDataFrame([(0, int(x), int(y)) for x, y in zip(xs, ys)], "image_id int, x int, y int")
+    rings = rs.rings(mask).toPandas().sort_values(["ring", "seq"])
+    assert len(rings) == rs.straight_sides(rs.boundary_edges(mask)).count()
+    for _, r in rings.groupby("ring"):
+        assert list(r["seq"]) == list(range(len(r)))
+        assert list(zip(r["x1"], r["y1"])) == list(zip(np.roll(r["x"], -1), np.roll(r["y"], -1)))
+        assert (r["dx"] * np.roll(r["dx"], 1) + r["dy"] * np.roll(r["dy"], 1) == 0).all()
+    areas = rs.ring_areas(rs.rings(mask)).toPandas()
+    label = plain_regions(a)
+    region = [label[x, y] for x, y in zip(areas["px"], areas["py"])]
+    sizes = pd.Series(list(label.values())).value_counts()
+    assert areas.groupby(region)["area"].sum().to_dict() == sizes.to_dict()  # the outline less the holes
+    assert (areas[areas["area"] > 0].groupby([r for r, n in zip(region, areas["area"]) if n > 0]).size() == 1).all() and (areas["area"] < 0).any()
