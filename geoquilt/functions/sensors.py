@@ -125,3 +125,52 @@ def over_batches(df: DataFrame, columns: dict[str, str], compute: Callable[[pd.D
         schema = schema.add(name, T.DataType.fromDDL(kind))
     out = df.mapInPandas(run, schema)
     return out.select(*keep, *[F.when(~F.isnan(c), F.col(c)).alias(c) if k == "double" else F.col(c) for c, k in columns.items()])
+
+
+def bilinear(grid: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Values (n, 2) of a grid (rows, columns, 2) at columns u and rows v; beyond its edge the outer cell goes on as a plane."""
+    i = np.clip(np.floor(u), 0, grid.shape[1] - 2).astype(int)
+    j = np.clip(np.floor(v), 0, grid.shape[0] - 2).astype(int)
+    a, b = (u - i)[:, None], (v - j)[:, None]
+    return (grid[j, i] * (1 - a) + grid[j, i + 1] * a) * (1 - b) + (grid[j + 1, i] * (1 - a) + grid[j + 1, i + 1] * a) * b
+
+
+def in_outline(outline: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether points lie in a polygon (n, 2), by the parity of the sides to their right; on a side either may be."""
+    inside = np.zeros(len(x), bool)
+    for (x0, y0), (x1, y1) in zip(outline, np.roll(outline, -1, 0), strict=True):
+        if y0 != y1:
+            inside ^= ((y0 > y) != (y1 > y)) & (x < x0 + (y - y0) / (y1 - y0) * (x1 - x0))
+    return inside
+
+
+def place_in_grids(places: DataFrame, grids: DataFrame, tolerance: float = 0.1, rounds: int = 20, block: int = 65_536) -> DataFrame:
+    """(image_id, point_id, samp, line) at which the grid model of an image gives each place (image_id, point_id, lon, lat).
+
+    ``grids`` has a node of every column gx and row gy of an image from 0 on, a few thousand by contract: image_id, gx, gy,
+    lon, lat. The search starts at the middle, steps by one cell and ends within the tolerance. Places outside the image's
+    outline, null places and those not found within the rounds have nulls; an image whose grid crosses the date line counts
+    longitudes from 0 to 360. Images without a grid of two rows and columns give nulls. Places of an image are dealt out by
+    blocks, each with a copy of the grid, so no image meets in one task."""
+    counts = places.groupBy("image_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    dealt = places.join(counts, "image_id").select("image_id", "point_id", F.col("lon").cast("double").alias("lon"), F.col("lat").cast("double").alias("lat"), F.pmod(F.xxhash64("point_id"), F.col("blocks")).cast("int").alias("block"))
+    copies = grids.join(counts, "image_id").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("image_id", "block", "gx", "gy", "lon", "lat")
+
+    def run(key: tuple, asked: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+        found = np.full((len(asked), 2), np.nan)
+        if len(asked) and len(nodes) and nodes["gx"].max() > 0 and nodes["gy"].max() > 0:
+            grid = np.full((int(nodes["gy"].max()) + 1, int(nodes["gx"].max()) + 1, 2), np.nan)
+            grid[nodes["gy"], nodes["gx"]] = nodes[["lon", "lat"]].to_numpy(float)
+            target = asked[["lon", "lat"]].to_numpy(float)
+            if np.nanmax(grid[..., 0]) - np.nanmin(grid[..., 0]) > 180:
+                for lon in (grid[..., 0], target[:, 0]):
+                    lon[lon < 0] += 360
+            outline = np.concatenate([grid[0], grid[1:, -1], grid[-1, -2::-1], grid[-2:0:-1, 0]])
+            ok = np.flatnonzero(in_outline(outline, target[:, 0], target[:, 1]))
+            start = np.tile((np.array(grid.shape[1::-1]) - 1) / 2, (len(ok), 1))
+            found[ok], _ = invert(lambda part, u, v: tuple(bilinear(grid, u, v).T), asked.iloc[ok], target[ok], start, 1.0, tolerance, rounds)
+        return asked[["image_id", "point_id"]].assign(samp=found[:, 0], line=found[:, 1])
+
+    kind = lambda c: places.schema[c].dataType.simpleString()
+    out = dealt.groupBy("image_id", "block").cogroup(copies.groupBy("image_id", "block")).applyInPandas(run, f"image_id {kind('image_id')}, point_id {kind('point_id')}, samp double, line double")
+    return out.select("image_id", "point_id", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("samp", "line")])

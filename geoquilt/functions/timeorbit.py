@@ -175,6 +175,74 @@ def inertial_to_earth(angle: Column, p: list[Column], v: list[Column]) -> tuple[
     return [p[0] * c + p[1] * s, -p[0] * s + p[1] * c, p[2]], [wx * c + wy * s, -wx * s + wy * c, v[2]]
 
 
+#: Nutation of 1980, its nine largest terms. Multiples of the Moon's and the Sun's mean anomaly, the Moon's
+#: distance from its node, its elongation and the node's longitude; then radians of longitude (sine) and obliquity (cosine).
+NUTATION = (
+    (0, 0, 0, 0, 1, -0.8338601e-4, 0.4461498e-4),
+    (0, 0, 2, -2, 2, -0.6393238e-5, 0.2780891e-5),
+    (0, 0, 2, 0, 2, -0.1102466e-5, 0.4736630e-6),
+    (0, 0, 0, 0, 2, 0.9996858e-6, -0.4339082e-6),
+    (0, 1, 0, 0, 0, 0.6913443e-6, 0.2617994e-7),
+    (1, 0, 0, 0, 0, 0.3451873e-6, -0.3393696e-8),
+    (0, 1, 2, -2, 2, -0.2506487e-6, 0.1085983e-6),
+    (0, 0, 2, 0, 1, -0.1871381e-6, 0.9696274e-7),
+    (1, 0, 2, 0, 2, -0.1459289e-6, 0.6254096e-7),
+)
+#: The five angles as polynomials in days, the day that these count from, and the obliquity. Fixed values.
+ANGLES = (
+    (2.355548394, 0.2280271437, 0.1137830e-12),
+    (6.240035939, 0.01720197005, -0.2096864e-14),
+    (1.627901934, 0.2308957196, -0.4817699e-13),
+    (5.198469514, 0.2127687104, -0.2504244e-13),
+    (2.182438624, -0.9242175478e-3, 0.2709206e-13),
+)
+NUTATION_DAY, OBLIQUITY = 2451540.5, math.radians(23 + (26 + 21.4119 / 60) / 60)
+
+
+def nutation(jd: Column) -> tuple[Column, Column]:
+    """(longitude, obliquity): how far the true equinox of a Julian day lies from the mean one, in radians."""
+    t = jd - NUTATION_DAY
+    angles = [F.lit(a) + t * (F.lit(b) + t * c) for a, b, c in ANGLES]
+    psi = eps = F.lit(0.0)
+    for *multiples, sine, cosine in NUTATION:
+        arg = sum((m * angle for m, angle in zip(multiples, angles, strict=True) if m), F.lit(0.0))
+        psi, eps = psi + F.sin(arg) * sine, eps + F.cos(arg) * cosine
+    return psi, eps
+
+
+def turned(angle: Column, a: Column, b: Column) -> tuple[Column, Column]:
+    """The coordinates of a point of a plane after its axes turn by an angle from the first to the second."""
+    return a * F.cos(angle) + b * F.sin(angle), b * F.cos(angle) - a * F.sin(angle)
+
+
+def mean_inertial_to_earth(angle: Column, psi: Column, eps: Column, p: list[Column], v: list[Column]) -> tuple[list[Column], list[Column]]:
+    """Position and velocity of the mean inertial frame of a day in the rotating Earth's frame, at a supplied sidereal angle:
+    the axes follow the nutation of the day, then the Earth's turn. Let psi and eps be columns made before, as both occur often."""
+    tilt = psi * math.sin(OBLIQUITY)
+
+    def true(q: list[Column]) -> list[Column]:
+        z, x = turned(tilt, q[2], q[0])
+        z, y = turned(eps, z, q[1])
+        return [x, y, z]
+
+    (px, py, pz), (vx, vy, vz) = true(p), true(v)
+    (px, py), (vx, vy) = turned(angle, px, py), turned(angle, vx, vy)
+    return [px, py, pz], [vx + EARTH_RATE * py, vy - EARTH_RATE * px, vz]
+
+
+def earth_to_mean_inertial(angle: Column, psi: Column, eps: Column, p: list[Column], v: list[Column]) -> tuple[list[Column], list[Column]]:
+    """The way back from ``mean_inertial_to_earth``."""
+    tilt = psi * math.sin(OBLIQUITY)
+
+    def back(q: list[Column]) -> list[Column]:
+        x, y = turned(-angle, q[0], q[1])
+        z, y = turned(-eps, q[2], y)
+        z, x = turned(-tilt, z, x)
+        return [x, y, z]
+
+    return back(p), back([v[0] - EARTH_RATE * p[1], v[1] + EARTH_RATE * p[0], v[2]])
+
+
 def ecef_to_geodetic(x: Column, y: Column, z: Column, a: float = 6378137.0, b: float = 6356752.3142, rounds: int = 8) -> tuple[Column, Column, Column]:
     """(lon, lat, height) in radians and metres, by Newton's method on the reduced latitude; the rounds are more than it needs."""
     u, k = F.sqrt(x * x + y * y), a * a - b * b

@@ -95,6 +95,15 @@ def r10(t):
     return v.select(F.col("properties")["cell_id"].cast("long").alias("cell_id"), "geom_type", "part", "vertex", "x", "y")
 
 
+@query("a19_layer_info", """SELECT CASE WHEN cell_id % 3 = 0 THEN 'cells' ELSE 'boxes' END AS layer, count(*) AS n_features, ['Polygon'] AS geom_types, 5*count(*) AS n_vertices, min(min_lon) AS min_x, min(min_lat) AS min_y, max(max_lon) AS max_x, max(max_lat) AS max_y FROM footprints GROUP BY 1
+UNION ALL SELECT 'places', count(*), ['Point'], count(*), min(lon), min(lat), max(lon), max(lat) FROM ground_points""")
+def a19_layers(t):
+    named = F.when(F.col("cell_id") % 3 == 0, "cells").otherwise("boxes")
+    boxes = spatial.rings_of_boxes(t.footprints).select(named.alias("layer"), F.lit("Polygon").alias("geom_type"), F.array("ring").alias("rings"))
+    place = F.array(F.array(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))))
+    return vf.layer_info(boxes.unionByName(t.ground_points.select(F.lit("places").alias("layer"), F.lit("Point").alias("geom_type"), place.alias("rings"))))
+
+
 @query("r11_query_layer", "SELECT cell_id, min_lon FROM footprints WHERE max_lat > 50 UNION ALL SELECT gp_id, lon FROM ground_points")
 def r11(t):
     layers = {"cells": t.footprints, "places": t.ground_points}

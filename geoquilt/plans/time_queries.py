@@ -162,6 +162,28 @@ def located(df):
     return sensors.over_batches(df, {"gx": "double", "gy": "double", "gz": "double", "status": "int"}, compute, [c for c in df.columns])
 
 
+def nutated(t: str) -> str:
+    """SQL of both nutation angles of the days in a table."""
+    angle = lambda k: f"({to.ANGLES[k][0]} + d*({to.ANGLES[k][1]} + d*({to.ANGLES[k][2]})))"
+    args = [" + ".join(f"{m}*{angle(k)}" for k, m in enumerate(row[:5]) if m) for row in to.NUTATION]
+    psi = " + ".join(f"({row[5]})*sin({arg})" for row, arg in zip(to.NUTATION, args, strict=True))
+    eps = " + ".join(f"({row[6]})*cos({arg})" for row, arg in zip(to.NUTATION, args, strict=True))
+    return f"SELECT *, ({psi})*sin({to.OBLIQUITY}) AS n, {eps} AS e FROM {t}"
+
+
+@query("s21_nutation", f"""WITH g AS (SELECT *, t*CAST(0.01 AS DOUBLE) AS a, CAST(2451545.0 - 2451540.5 AS DOUBLE) + t AS d FROM ephemeris), m AS ({nutated("g")}),
+r AS (SELECT *, cos(a)*cos(n) - sin(a)*sin(e)*sin(n) AS p11, sin(a)*cos(e) AS p12, -sin(a)*cos(n) - cos(a)*sin(e)*sin(n) AS p21, cos(a)*cos(e) AS p22, cos(e)*sin(n) AS p31, sin(e) AS p32 FROM m),
+k AS (SELECT *, p11*px + p12*py AS x, p21*px + p22*py AS y FROM r)
+SELECT t, round(x, 5) AS x, round(y, 5) AS y, round(p31*px + p32*py, 5) AS z, round(p11*vx + p12*vy + 2*pi()/86164.09054*y, 5) AS u, round(p21*vx + p22*vy - 2*pi()/86164.09054*x, 5) AS v, round(p31*vx + p32*vy, 5) AS w, round(px, 5) AS back_x, round(vy, 5) AS back_v FROM k""")
+def s21_nutation(t):
+    zero, angle, psi, eps = F.lit(0.0), F.col("t") * 0.01, F.col("psi"), F.col("eps")
+    days = t.ephemeris.withColumns(dict(zip(("psi", "eps"), to.nutation(F.col("t") + 2451545.0), strict=True)))
+    p, v = to.mean_inertial_to_earth(angle, psi, eps, [F.col("px"), F.col("py"), zero], [F.col("vx"), F.col("vy"), zero])
+    e = days.select("t", "psi", "eps", *[c.alias(n) for n, c in zip("xyzuvw", [*p, *v], strict=True)])
+    bp, bv = to.earth_to_mean_inertial(angle, psi, eps, [F.col(c) for c in "xyz"], [F.col(c) for c in "uvw"])
+    return e.select("t", *[F.round(c, 5).alias(c) for c in "xyzuvw"], F.round(bp[0], 5).alias("back_x"), F.round(bv[1], 5).alias("back_v"))
+
+
 @query("s22_sar_locate")
 def s22(t):
     one = F.lit(1.0)
@@ -186,6 +208,25 @@ def s23(t):
     return out.select("point_id", F.round("samp", 3).alias("samp"), F.round("found_line", 3).alias("line"))
 
 
+GRIDS = "SELECT CAST(floor((gy - 1)/50) AS INT) AS image_id, CAST(gx AS INT) AS gx, CAST((gy - 1) % 50 AS INT) AS gy, lon, lat FROM swath_grid WHERE gy IN (SELECT gy FROM swath_grid GROUP BY gy HAVING count(*) = 40)"
+
+
+@query("s23_grid_search", f"""WITH g AS ({GRIDS}), s AS (SELECT image_id, max(gy) AS n FROM g GROUP BY 1 HAVING max(gy) > 0),
+p AS (SELECT point_id, CAST(point_id % 8 AS INT) AS image_id, col/4096*50 - 5 + 0.0123456 AS u, line/4096*(n + 4) - 2 + 0.0171456 AS v, n FROM image_points JOIN s ON s.image_id = point_id % 8)
+SELECT image_id, point_id, CASE WHEN u > 0 AND u < 39 AND v > 0 AND v < n THEN round(u, 4) END AS samp, CASE WHEN u > 0 AND u < 39 AND v > 0 AND v < n THEN round(v, 4) END AS line FROM p""")
+def s23_grid(t):
+    """Places in and around grids of positions over the date line, 50 rows an image, as the cell that each lies in."""
+    full = t.swath_grid.groupBy("gy").agg(F.count(F.lit(1)).alias("n")).filter("n = 40").select("gy")
+    grids = t.swath_grid.join(full, "gy").select(F.floor((F.col("gy") - 1) / 50).cast("int").alias("image_id"), "gx", ((F.col("gy") - 1) % 50).cast("int").alias("gy"), "lon", "lat")
+    sizes = grids.groupBy("image_id").agg(F.max("gy").alias("last")).filter("last > 0")
+    at = t.image_points.withColumn("image_id", (F.col("point_id") % 8).cast("int")).join(sizes, "image_id")
+    u, v = F.col("col") / 4096 * 50 - 5 + 0.0123456, F.col("line") / 4096 * (F.col("last") + 4) - 2 + 0.0171456
+    row = v + 1 + F.col("image_id") * 50
+    lon, lat = F.lit(178.5) + u * 0.05 + row * 0.002, F.lit(10.0) + row * 0.05 + u * 0.001
+    places = at.select("image_id", "point_id", F.when(lon > 180, lon - 360).otherwise(lon).alias("lon"), lat.alias("lat"))
+    return sensors.place_in_grids(places, grids).select("image_id", "point_id", F.round("samp", 4).alias("samp"), F.round("line", 4).alias("line"))
+
+
 def pushed(df):
     """Ground positions by a push-broom sensor with small attitude angles and column look angles psi."""
 

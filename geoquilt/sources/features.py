@@ -52,6 +52,17 @@ def vertices(features: DataFrame) -> DataFrame:
     return parts.select("*", F.posexplode("ring").alias("vertex", "v")).select(*[c for c in parts.columns if c != "ring"], "vertex", F.col("v.x").alias("x"), F.col("v.y").alias("y"))
 
 
+def layer_info(features: DataFrame, layer: str = "layer") -> DataFrame:
+    """A row for each layer: layer, n_features, geometry types in order, n_vertices, and the extent min_x, min_y, max_x, max_y.
+
+    One pass with partial sums; features without vertices count, and a layer of only such has a null extent."""
+    points = F.flatten("rings")
+    end = lambda inner, outer, c: outer(inner(F.transform(points, lambda v: v[c])))
+    extent = [end(inner, outer, c).alias(f"{name}_{c}") for name, inner, outer in (("min", F.array_min, F.min), ("max", F.array_max, F.max)) for c in "xy"]
+    count = F.coalesce(F.sum(F.size(F.coalesce(points, F.array().cast("array<struct<x:double,y:double>>")))), F.lit(0)).cast("long")
+    return features.groupBy(layer).agg(F.count(F.lit(1)).alias("n_features"), F.sort_array(F.collect_set("geom_type")).alias("geom_types"), count.alias("n_vertices"), *extent)
+
+
 def layer(spark: SparkSession, layers: dict[str, DataFrame], query: str | None = None, name: str | None = None, index: int | None = None) -> DataFrame:
     """A layer: what a query over the layers gives, else the named one, else the one with an index."""
     if query is not None:

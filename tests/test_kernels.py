@@ -497,3 +497,42 @@ def test_rings_bound_their_regions(spark):
     sizes = pd.Series(list(label.values())).value_counts()
     assert areas.groupby(region)["area"].sum().to_dict() == sizes.to_dict()  # the outline less the holes
     assert (areas[areas["area"] > 0].groupby([r for r, n in zip(region, areas["area"]) if n > 0]).size() == 1).all() and (areas["area"] < 0).any()
+
+
+def test_nutation_frames_return(spark):
+    df = spark.createDataFrame([(0.3, 2451600.25, 7e6, 1e5, 2e6, 10.0, 7e3, -3.0)], "a double, jd double, x double, y double, z double, u double, v double, w double")
+    df = df.withColumns(dict(zip(("psi", "eps"), to.nutation(F.col("jd")), strict=True)))
+    p, v = to.mean_inertial_to_earth(F.col("a"), F.col("psi"), F.col("eps"), [F.col(c) for c in "xyz"], [F.col(c) for c in "uvw"])
+    there = df.select("a", "psi", "eps", *[c.alias(n) for n, c in zip("xyzuvw", [*p, *v], strict=True)])
+    bp, bv = to.earth_to_mean_inertial(F.col("a"), F.col("psi"), F.col("eps"), [F.col(c) for c in "xyz"], [F.col(c) for c in "uvw"])
+    assert np.allclose(list(there.select(*bp, *bv).first()), [7e6, 1e5, 2e6, 10.0, 7e3, -3.0])
+    plain, _ = to.inertial_to_earth(F.col("a"), [F.col(c) for c in "xyz"], [F.col(c) for c in "uvw"])
+    apart = np.array(list(df.select(*plain).first())) - np.array(list(there.select("x", "y", "z").first()))
+    assert 1 < np.linalg.norm(apart) < 7.3e6 * 1.2e-4  # the nutation turns the frame, by 24 seconds of arc at most
+
+
+def test_grid_search_over_a_curved_grid(spark):
+    where = lambda u, v: (179.0 + 0.2 * u + 0.02 * v + 0.003 * u * v, 10.0 + 0.15 * v - 0.01 * u + 0.002 * v * v)
+    wrap = lambda lon: lon - 360 if lon > 180 else lon
+    nodes = [(1, u, v, wrap(where(u, v)[0]), where(u, v)[1]) for u in range(9) for v in range(7)]
+    grids = spark.createDataFrame([*nodes, (2, 0, 0, 1.0, 1.0)], "image_id int, gx int, gy int, lon double, lat double")
+    rng = np.random.default_rng(5)
+    grid = np.array([[where(u, v) for u in range(9)] for v in range(7)])
+    truth = {i: (float(rng.uniform(0.01, 7.99)), float(rng.uniform(0.01, 5.99))) for i in range(300)}
+    rows = []
+    for i, (u, v) in truth.items():
+        lon, lat = sensors.bilinear(grid, np.array([u]), np.array([v]))[0]
+        rows.append((1, i, wrap(float(lon)), float(lat)))
+    odd = [(1, 900, 100.0, 10.0), (1, 901, None, 10.0), (2, 902, 1.0, 1.0), (3, 903, 1.0, 1.0)]
+    places = spark.createDataFrame(rows + odd, "image_id int, point_id long, lon double, lat double")
+    got = {r.point_id: (r.samp, r.line) for r in sensors.place_in_grids(places, grids, tolerance=1e-9, block=64).collect()}
+    assert set(got) == set(truth) | {900, 901, 902, 903}
+    assert all(np.allclose(got[i], truth[i], atol=1e-6) for i in truth)
+    assert all(got[i] == (None, None) for i in (900, 901, 902, 903))
+
+
+def test_layer_info(spark):
+    lines = ['{"type":"Feature","properties":{"layer":"a"},"geometry":{"type":"Point","coordinates":[1,2]}}', '{"type":"Feature","properties":{"layer":"a"},"geometry":{"type":"LineString","coordinates":[[0,5],[3,4]]}}', '{"type":"Feature","properties":{"layer":"b"},"geometry":{"type":"Polygon","coordinates":[]}}']
+    f = vf.parse_features(spark.createDataFrame([(x,) for x in lines], "value string")).withColumn("layer", F.col("properties")["layer"])
+    got = {r.layer: tuple(r)[1:] for r in vf.layer_info(f).collect()}
+    assert got == {"a": (2, ["LineString", "Point"], 3, 0.0, 2.0, 3.0, 5.0), "b": (1, ["Polygon"], 0, None, None, None, None)}
