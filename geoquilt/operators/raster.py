@@ -418,3 +418,34 @@ def patch_descriptors(pixels: DataFrame, features: DataFrame, radius: int = 3) -
     around = around.withColumns({"x": F.col("fx") + F.col("dx"), "y": F.col("fy") + F.col("dy")}).join(pixels, ["image_id", "x", "y"], "left")
     lists = around.groupBy("image_id", "fx", "fy").agg(F.avg("v").alias("m"), F.sort_array(F.collect_list(F.struct("dy", "dx", "v"))).alias("p"))
     return lists.select("image_id", F.col("fx").alias("x"), F.col("fy").alias("y"), F.transform("p", lambda s: F.coalesce(s["v"] - F.col("m"), F.lit(0.0)).cast("float")).alias("embedding"))
+
+
+def census_descriptors(pixels: DataFrame, features: DataFrame, radius: int = 3) -> DataFrame:
+    """(image_id, x, y, embedding): a bit for each pixel around a feature, in raster order, that is brighter than the mean of
+    them, eight to a number from 0 to 255; null pixels give 0. For matchers that count differing bits."""
+    p, n = patch_descriptors(pixels, features, radius), (2 * radius + 1) ** 2
+    byte = lambda at: sum((F.when(F.get("embedding", F.lit(at + i)) > 0, 1 << i).otherwise(0) for i in range(min(8, n - at))), F.lit(0))
+    return p.select("image_id", "x", "y", F.array(*[byte(at).cast("int") for at in range(0, n, 8)]).alias("embedding"))
+
+
+#: Descriptors by name, as functions of pixels and features; users add their own.
+DESCRIPTORS: dict[str, Callable[..., DataFrame]] = {"patch": patch_descriptors, "census": census_descriptors}
+
+
+def register_descriptor(name: str, descriptor: Callable[..., DataFrame]) -> None:
+    DESCRIPTORS[name] = descriptor
+
+
+def describe(pixels: DataFrame, features: DataFrame, name: str, **options) -> DataFrame:
+    if name not in DESCRIPTORS:
+        raise ValueError(f"unknown descriptor {name}; there are {sorted(DESCRIPTORS)}")
+    return DESCRIPTORS[name](pixels, features, **options)
+
+
+def raster_steps(tiles: DataFrame, step: int = 1) -> DataFrame:
+    """Every ``step``-th pixel of each search tile (x, y, w, h), from its upper left corner, as a feature to correlate where
+    no detector is asked: the other columns of ``tiles``, feature_id, x, y. Positions are below 65,536."""
+    along = lambda at, length: F.explode(F.sequence(F.col(at), F.col(at) + F.col(length) - 1, F.lit(step)))
+    keep = [c for c in tiles.columns if c not in ("x", "y", "w", "h")]
+    at = tiles.filter("w > 0 AND h > 0").withColumn("px", along("x", "w")).withColumn("py", along("y", "h"))
+    return at.select(*keep, (F.col("px").cast("long") * 65536 + F.col("py")).alias("feature_id"), F.col("px").cast("int").alias("x"), F.col("py").cast("int").alias("y"))

@@ -7,6 +7,7 @@ The active candidate is the one with the lowest rank that hasn't been given up.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -322,3 +323,22 @@ def approximate_matches(left: DataFrame, right: DataFrame, k: int, bucket: float
     pairs = found.select(F.col("datasetA.tile_id").alias("tile_id"), F.col("datasetA.vec_id").alias("id_a"), F.col("datasetB.vec_id").alias("id_b"), "distance")
     order = Window.partitionBy("id_a").orderBy("distance", "id_b")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+#: Matchers by name, as functions of both sides and k: exact ones by their distance, and hashed ones; users add their own.
+MATCHERS: dict[str, Callable[..., DataFrame]] = {
+    "l2": lambda left, right, k: descriptor_matches(left, right, k, "l2"),
+    "l1": lambda left, right, k: descriptor_matches(left, right, k, "l1"),
+    "hamming": lambda left, right, k: descriptor_matches(left, right, k, "hamming"),
+    "lsh": lambda left, right, k, bucket=2.0, tables=8, limit=float("inf"): approximate_matches(left, right, k, bucket, tables, limit),
+}
+
+
+def register_matcher(name: str, matcher: Callable[..., DataFrame]) -> None:
+    MATCHERS[name] = matcher
+
+
+def match(left: DataFrame, right: DataFrame, k: int, name: str, **options) -> DataFrame:
+    if name not in MATCHERS:
+        raise ValueError(f"unknown matcher {name}; there are {sorted(MATCHERS)}")
+    return MATCHERS[name](left, right, k, **options)

@@ -186,6 +186,16 @@ def t4(t):
     return pyramid.probe(t.tile_stream)
 
 
+@query("t4_probe_shapes", """WITH w AS (SELECT 'table' || (tile_column * 8 + tile_row) AS table_name, * FROM tile_stream), f AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY zoom_level DESC, event_id) = 1)
+SELECT n.table_name, f.zoom_level, coalesce(CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 3 AS INT) END, 3) AS bands, coalesce(CASE WHEN event_id % 2 = 1 THEN 'u16' END, 'u8') AS scalar, coalesce(CAST(64 + event_id % 4 * 64 AS INT), 256) AS tile_width, coalesce(CASE WHEN event_id % 4 > 0 THEN CAST(event_id % 4 * 128 AS INT) END, 256) AS tile_height FROM (SELECT DISTINCT table_name FROM w UNION ALL SELECT 'empty') n LEFT JOIN f USING (table_name)""")
+def t4_shapes(t):
+    e = F.col("event_id")
+    w = t.tile_stream.withColumn("table_name", F.concat(F.lit("table"), F.col("tile_column") * 8 + F.col("tile_row")))
+    shape = {"bands": F.when(e % 3 > 0, (e % 3).cast("int")), "scalar": F.when(e % 2 == 1, "u16"), "tile_width": (64 + e % 4 * 64).cast("int"), "tile_height": F.when(e % 4 > 0, (e % 4 * 128).cast("int"))}
+    names = w.select("table_name").distinct().unionByName(t.spark.range(1).select(F.lit("empty").alias("table_name")))
+    return pyramid.probe_shapes(w.withColumns(shape).withColumn("tile_id", e), names)
+
+
 @query("u2_disjoint_levels", "SELECT zoom_level FROM levels WHERE table_name = 'ASIA' INTERSECT SELECT zoom_level FROM levels WHERE table_name = 'AFRICA' AND zoom_level > 2")
 def u2(t):
     return t.levels.filter("table_name = 'ASIA'").select("zoom_level").intersect(t.levels.filter("table_name = 'AFRICA' AND zoom_level > 2").select("zoom_level"))

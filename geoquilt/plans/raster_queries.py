@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from geoquilt.operators import raster as rs
+from geoquilt.operators import tiepoints as tp
 from geoquilt.plans.catalog import INPUTS, query
 
 SIDE = 256
@@ -149,6 +150,15 @@ def k3(t):
     return rs.patch_descriptors(image, rs.detect(image, "harris", tile=32, quality=0.01, most=5))
 
 
+@query("k3_named_matcher")
+def k3_matcher(t):
+    """Corners of both images by a detector, a descriptor and a matcher that are given by name, over the whole images."""
+    image = filled(t)
+    found = rs.describe(image, rs.detect(image, "harris", tile=32, quality=0.01, most=5), "census")
+    named = found.select("image_id", F.lit(0).alias("tile_id"), (F.col("x").cast("long") * 65536 + F.col("y")).alias("vec_id"), "embedding")
+    return tp.match(named.filter("image_id = 0"), named.filter("image_id = 1"), 2, "hamming")
+
+
 PATCH = """WITH f AS (SELECT a*256 + b AS feature_id, a AS x, b AS y FROM range(16, 256, 32) p(a), range(16, 256, 32) q(b)), o AS (SELECT d FROM range(-2, 3) r(d)), px AS MATERIALIZED (SELECT * FROM pixels),
 fp AS MATERIALIZED (SELECT feature_id, x + a.d AS x, y + b.d AS y FROM f, o a, o b), r AS MATERIALIZED (SELECT feature_id, fp.x, fp.y, CAST(v AS DOUBLE) AS a FROM fp JOIN px ON image_id = 0 AND px.x = fp.x AND px.y = fp.y),
 m AS MATERIALIZED (SELECT feature_id, CAST(e.d AS INT) AS dx, CAST(g.d AS INT) AS dy, a, x + e.d AS x, y + g.d AS y FROM r, o e, o g), j AS (SELECT feature_id, dx, dy, a, CAST(v AS DOUBLE) AS b FROM m JOIN px ON image_id = 1 AND px.x = m.x AND px.y = m.y),
@@ -166,6 +176,15 @@ def j11(t):
     return correlations(t).withColumn("ncc", F.round("ncc", 9))
 
 
+@query("j11_raster_step", PATCH.replace("a*256 + b AS", "a*65536 + b AS").replace("range(16, 256, 32)", "range(0, 256, 16)") + " SELECT * FROM n")
+def j11_step(t):
+    """Correlation at every 16th pixel of the tiles of an image, without a detector."""
+    cell = F.explode(F.sequence(F.lit(0), F.lit(SIDE - 1), F.lit(64)))
+    tiles = t.images.filter("image_id = 0").withColumn("x", cell).withColumn("y", cell).select("x", "y", F.lit(64).alias("w"), F.lit(64).alias("h"))
+    found = rs.template_matches(t.pixels.filter("image_id = 0"), t.pixels.filter("image_id = 1"), rs.raster_steps(tiles, 16), 2, 2, 4)
+    return found.withColumn("ncc", F.round("ncc", 9))
+
+
 @query("k4_fourier")
 def k4(t):
     return rs.fourier(t.pixels, SIDE, SIDE)

@@ -139,3 +139,15 @@ def probe(tiles: DataFrame) -> DataFrame:
     """The first tile of the finest level, as what a reader learns a pyramid's bands and sizes from."""
     best = tiles.agg(F.max("zoom_level").alias("zoom_level"))
     return tiles.join(F.broadcast(best), "zoom_level").agg(F.min_by(F.struct("zoom_level", "tile_column", "tile_row", "event_id"), "event_id").alias("t")).select("t.*")
+
+
+#: What a reader takes a pyramid's tiles to be where none tells. Fixed values.
+TILE_DEFAULTS = {"bands": 3, "scalar": "u8", "tile_width": 256, "tile_height": 256}
+
+
+def probe_shapes(tiles: DataFrame, tables: DataFrame) -> DataFrame:
+    """(table_name, zoom_level, bands, scalar, tile_width, tile_height) of each of ``tables`` (table_name): what the first
+    tile, by tile_id, of its finest level has, and the defaults for what that lacks or where a table has no tile."""
+    shape = F.struct("zoom_level", *TILE_DEFAULTS)
+    first = tiles.groupBy("table_name").agg(F.min_by(shape, F.struct(-F.col("zoom_level"), F.col("tile_id"))).alias("t"))
+    return tables.join(first, "table_name", "left").select("table_name", "t.zoom_level", *[F.coalesce(F.col(f"t.{c}"), F.lit(v)).alias(c) for c, v in TILE_DEFAULTS.items()])

@@ -536,3 +536,43 @@ def test_layer_info(spark):
     f = vf.parse_features(spark.createDataFrame([(x,) for x in lines], "value string")).withColumn("layer", F.col("properties")["layer"])
     got = {r.layer: tuple(r)[1:] for r in vf.layer_info(f).collect()}
     assert got == {"a": (2, ["LineString", "Point"], 3, 0.0, 2.0, 3.0, 5.0), "b": (1, ["Polygon"], 0, None, None, None, None)}
+
+
+def test_descriptors_and_matchers_by_name(spark):
+    a = image(3, 24, 0.9)
+    pixels = spark.createDataFrame([(0, x, y, float(a[y, x])) for y in range(24) for x in range(24) if not np.isnan(a[y, x])], "image_id int, x int, y int, v double")
+    features = spark.createDataFrame([(0, x, y) for x in (0, 5, 12, 23) for y in (3, 11, 20)], "image_id int, x int, y int")
+    found = rs.describe(pixels, features, "census", radius=2)
+    bits = {}
+    for r in found.collect():
+        around = np.full((5, 5), np.nan)
+        for j in range(5):
+            for i in range(5):
+                x, y = r.x + i - 2, r.y + j - 2
+                if 0 <= x < 24 and 0 <= y < 24:
+                    around[j, i] = a[y, x]
+        want = (np.nan_to_num(around - np.nanmean(around)) > 1e-9).ravel()
+        got = np.unpackbits(np.array(r.embedding, np.uint8), bitorder="little")[:25].astype(bool)
+        assert len(r.embedding) == 4 and (got == want).all()
+        bits[r.x * 100 + r.y] = want
+    left = found.select(F.lit(0).alias("tile_id"), (F.col("x") * 100 + F.col("y")).cast("long").alias("vec_id"), "embedding")
+    for r in tp.match(left, left, 2, "hamming").filter("rank = 2").collect():
+        others = sorted((int((bits[r.id_a] != b).sum()), k) for k, b in bits.items())
+        assert r.distance == others[1][0]
+    near = tp.match(left, left, 1, "lsh").collect()
+    assert len(near) == len(bits) and all(r.distance == 0 for r in near)
+    rs.register_descriptor("plain", lambda pixels, features: rs.patch_descriptors(pixels, features, 1))
+    assert len(rs.describe(pixels, features, "plain").first().embedding) == 9
+    for call in (lambda: rs.describe(pixels, features, "none"), lambda: tp.match(left, left, 1, "none")):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_raster_steps_and_probed_defaults(spark):
+    tiles = spark.createDataFrame([(7, 2, 3, 5, 4), (8, 0, 0, 1, 1), (9, 0, 0, 0, 4)], "tile_id int, x int, y int, w int, h int")
+    got = sorted((r.tile_id, r.x, r.y) for r in rs.raster_steps(tiles, 2).collect())
+    assert got == [(7, x, y) for x in (2, 4, 6) for y in (3, 5)] + [(8, 0, 0)]
+    shape = "table_name string, zoom_level int, tile_id long, bands int, scalar string, tile_width int, tile_height int"
+    rows = spark.createDataFrame([("a", 1, 5, 4, "u16", 128, None), ("a", 0, 1, 1, "u8", 64, 64), ("a", 1, 9, 2, "u8", 64, 64)], shape)
+    names = spark.createDataFrame([("a",), ("b",)], "table_name string")
+    assert sorted(tuple(r) for r in pyramid.probe_shapes(rows, names).collect()) == [("a", 1, 4, "u16", 128, 256), ("b", None, 3, "u8", 256, 256)]
