@@ -136,14 +136,17 @@ def overviews(pixels: DataFrame, width: int, height: int, stop: int, method: str
     return out
 
 
-def resample(pixels: DataFrame, targets: DataFrame) -> DataFrame:
-    """Bilinear values at source positions (sx, sy) of target pixels; null neighbours lend their weight to the others."""
+def resample(pixels: DataFrame, targets: DataFrame, source: tuple[str, ...] = ("image_id",), keys: tuple[str, ...] = ("image_id",)) -> DataFrame:
+    """Bilinear values at source positions (sx, sy) of target pixels; null neighbours lend their weight to the others.
+
+    ``source``: columns by which targets find their pixels; ``keys``: columns of targets that tell the results apart."""
     fx, fy = F.floor("sx"), F.floor("sy")
     wx, wy = F.col("sx") - fx, F.col("sy") - fy
     corner = lambda dx, dy: F.struct((fx + dx).cast("int").alias("x"), (fy + dy).cast("int").alias("y"), ((wx if dx else 1 - wx) * (wy if dy else 1 - wy)).alias("w"))
-    near = targets.select("image_id", "tx", "ty", F.explode(F.array(*[corner(dx, dy) for dy in (0, 1) for dx in (0, 1)])).alias("c")).select("image_id", "tx", "ty", "c.*").filter("w > 0")
-    j = near.join(pixels, ["image_id", "x", "y"])
-    return j.groupBy("image_id", "tx", "ty").agg((F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("v"))
+    own = list(dict.fromkeys([*source, *keys, "tx", "ty"]))
+    near = targets.select(*own, F.explode(F.array(*[corner(dx, dy) for dy in (0, 1) for dx in (0, 1)])).alias("c")).select(*own, "c.*").filter("w > 0")
+    j = near.join(pixels, [*source, "x", "y"])
+    return j.groupBy(*keys, "tx", "ty").agg((F.sum(F.col("w") * F.col("v")) / F.sum("w")).alias("v"))
 
 
 def outside_mask(vertices: DataFrame, mask: DataFrame) -> DataFrame:

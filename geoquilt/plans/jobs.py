@@ -146,6 +146,72 @@ def tile_sums(tiles: DataFrame) -> DataFrame:
     return tiles.select("table_name", "zoom_level", "tile_column", "tile_row", F.size("data").alias("n"), F.round(F.aggregate("data", F.lit(0.0), lambda s, p: s + p["v"]), 6).alias("total"))
 
 
+def scaled_pyramid(pixels: DataFrame, images: DataFrame, tile: int, epsg: int = 4326) -> DataFrame:
+    """Tiles of a world pyramid in degrees: table_name, zoom_level, tile_column, tile_row, data, n_pixels, status.
+
+    ``images``: image_id, width, height, gsd (degrees a pixel), ul_lon, ul_lat. Levels are those that the size and the gsd
+    of each image ask for (S5), their pixels those whose centres lie in its rectangle (S6, S7). A target pixel is
+    interpolated (K5) in the overview (A9) whose pixels are the next finer ones, so that coarse levels use every source
+    pixel. Pixels without a source are absent, which is their alpha; a tile is FULL or PARTIAL by them, and empty tiles are
+    not stored. Target tiles are dealt out by address before they become pixels."""
+    size = images.agg(F.coalesce(F.max("width"), F.lit(0)).alias("w"), F.coalesce(F.max("height"), F.lit(0)).alias("h")).first()
+    sources = pixels.select(F.lit(0).alias("level"), "image_id", "x", "y", F.col("v").cast("double").alias("v"))
+    if min(size) > 1:
+        sources = sources.unionByName(rs.overviews(pixels, size.w, size.h, 1))
+    zoomed = images.withColumn("zoom_level", F.explode(grid.zoom_levels(F.col("width"), F.col("height"), F.col("gsd"), epsg, tile=tile)))
+    g = F.col("g")
+    zoomed = zoomed.withColumn("g", grid.zoom_gsd(epsg, F.col("zoom_level"), tile, tile)[0])
+    zoomed = zoomed.withColumns({"level": F.greatest(F.lit(0), F.floor(F.log2(g / F.col("gsd")))).cast("int"), "min_x": F.col("ul_lon"), "max_x": F.col("ul_lon") + F.col("width") * F.col("gsd"), "min_y": F.col("ul_lat") - F.col("height") * F.col("gsd"), "max_y": F.col("ul_lat")})
+    zoomed = grid.aoi_from_rect(zoomed, g)
+    tiles = zoomed
+    for name, lo, hi in (("tile_column", "ul_x", "lr_x"), ("tile_row", "ul_y", "lr_y")):
+        tiles = tiles.filter(F.col(lo) <= F.col(hi)).withColumn(name, F.explode(F.sequence(F.floor(F.col(lo) / tile).cast("int"), F.floor(F.col(hi) / tile).cast("int"))))
+    tasks = int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = tiles.repartition(tasks, "image_id", "zoom_level", "tile_column", "tile_row")
+    inside = lambda at, lo, hi: F.explode(F.sequence(F.greatest(F.col(at).cast("long") * tile, F.col(lo)), F.least((F.col(at).cast("long") + 1) * tile - 1, F.col(hi))))
+    targets = tiles.withColumn("tx", inside("tile_column", "ul_x", "lr_x")).withColumn("ty", inside("tile_row", "ul_y", "lr_y"))
+    power = F.pow(F.lit(2.0), F.col("level"))
+    sx = (F.lit(-180.0) + (F.col("tx") + 0.5) * g - F.col("ul_lon")) / F.col("gsd") / power - 0.5
+    sy = (F.col("ul_lat") - (F.lit(90.0) - (F.col("ty") + 0.5) * g)) / F.col("gsd") / power - 0.5
+    values = rs.resample(sources, targets.select("image_id", "level", "zoom_level", "tx", "ty", sx.alias("sx"), sy.alias("sy")), ("image_id", "level"), ("image_id", "zoom_level"))
+    placed = values.withColumns({"tile_column": F.floor(F.col("tx") / tile).cast("int"), "tile_row": F.floor(F.col("ty") / tile).cast("int")})
+    point = F.struct((F.col("ty") % tile).cast("int").alias("py"), (F.col("tx") % tile).cast("int").alias("px"), "v")
+    packed = placed.groupBy("image_id", "zoom_level", "tile_column", "tile_row").agg(F.sort_array(F.collect_list(point)).alias("data")).withColumn("n_pixels", F.size("data"))
+    status = F.when(F.col("n_pixels") == tile * tile, "FULL").otherwise("PARTIAL")
+    return packed.select(F.concat(F.lit("image"), F.col("image_id")).alias("table_name"), "zoom_level", "tile_column", "tile_row", "data", "n_pixels", status.alias("status"))
+
+
+def located_images(t) -> DataFrame:
+    return t.images.select("image_id", F.lit(SIDE).alias("width"), F.lit(SIDE).alias("height"), (F.lit(0.003) + F.col("image_id") * F.lit(0.004)).alias("gsd"), (F.lit(10.1) + F.col("image_id")).alias("ul_lon"), F.lit(50.2).alias("ul_lat"))
+
+
+def scaled_sql() -> str:
+    """Rows of the pyramid that scaled_pyramid makes of the test images."""
+    means = ["SELECT 0 AS level, image_id, x, y, CAST(v AS DOUBLE) AS v FROM pixels"]
+    steps = [f"o0 AS MATERIALIZED ({means[0]})"] + [f"o{k} AS MATERIALIZED (SELECT {k} AS level, image_id, x // 2 AS x, y // 2 AS y, avg(v) AS v FROM o{k - 1} GROUP BY image_id, x // 2, y // 2)" for k in range(1, 6)]
+    source = " UNION ALL ".join(f"SELECT * FROM o{k}" for k in range(6))
+    d = lambda x: f"CAST({x} AS DOUBLE)"
+    return f"""WITH {", ".join(steps)}, o AS MATERIALIZED ({source}),
+i AS (SELECT image_id, {d(0.003)} + image_id*{d(0.004)} AS gsd, {d(10.1)} + image_id AS lo, {d(50.2)} AS la FROM images),
+s AS (SELECT i.*, (SELECT min(q) FROM range(0, 40) r(q) WHERE {d(5.625)}/pow(2, q) <= gsd*1.5) AS top FROM i),
+z AS (SELECT s.*, q AS z, {d(5.625)}/pow(2, q) AS g FROM s, range(0, 40) r(q) WHERE q BETWEEN top - 5 AND top),
+w AS (SELECT *, CAST(greatest(0, floor(log2(g/gsd))) AS INT) AS level, floor((lo + 180)/g + 0.5) AS x0, floor((lo + 256*gsd - g + 180)/g + 0.5) AS x1, floor((90 - la)/g + 0.5) AS y0, floor((90 - (la - 256*gsd) - g)/g + 0.5) AS y1 FROM z),
+t AS (SELECT *, x0 + a AS tx, y0 + b AS ty FROM w, range(0, 700) p(a), range(0, 700) q(b) WHERE x0 + a <= x1 AND y0 + b <= y1),
+p AS (SELECT image_id, z, level, tx, ty, (-180 + (tx + 0.5)*g - lo)/gsd/pow(2, level) - 0.5 AS sx, (la - (90 - (ty + 0.5)*g))/gsd/pow(2, level) - 0.5 AS sy FROM t),
+c AS (SELECT image_id, z, level, tx, ty, floor(sx) + dx AS x, floor(sy) + dy AS y, (CASE WHEN dx = 1 THEN sx - floor(sx) ELSE 1 - (sx - floor(sx)) END) * (CASE WHEN dy = 1 THEN sy - floor(sy) ELSE 1 - (sy - floor(sy)) END) AS k FROM p, (VALUES (0), (1)) q(dx), (VALUES (0), (1)) r(dy)),
+v AS (SELECT c.image_id, z, tx, ty, sum(k*v)/sum(k) AS v FROM c JOIN o ON c.image_id = o.image_id AND c.level = o.level AND c.x = o.x AND c.y = o.y WHERE k > 0 GROUP BY 1, 2, 3, 4)
+SELECT 'image' || image_id AS table_name, CAST(z AS INT) AS zoom_level, CAST(floor(tx/32) AS INT) AS tile_column, CAST(floor(ty/32) AS INT) AS tile_row, CAST(count(*) AS INT) AS n, round(sum(v), 3) AS total, CASE WHEN count(*) = 1024 THEN 'FULL' ELSE 'PARTIAL' END AS status FROM v GROUP BY 1, 2, 3, 4"""
+
+
+@query("p3_scaled_pyramid", scaled_sql())
+def p3_scaled(t):
+    """A written world pyramid at the scales of the images, read again."""
+    path = new_path(t.spark, "scaled")
+    pyramid.write_pyramid(materialize(scaled_pyramid(t.pixels, located_images(t), 32), "scaled-tiles"), path)
+    total = F.round(F.aggregate("data", F.lit(0.0), lambda s, p: s + p["v"]), 3)
+    return t.spark.read.parquet(path).select("table_name", "zoom_level", "tile_column", "tile_row", F.col("n_pixels").alias("n"), total.alias("total"), "status")
+
+
 @query("p4_pyramid_read", "SELECT w.image_id AS view_id, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM views w JOIN pixels p ON p.image_id = w.image_id % 2 AND p.x BETWEEN w.x0 AND w.x0 + w.width - 1 AND p.y BETWEEN w.y0 AND w.y0 + w.height - 1 GROUP BY 1")
 def p4(t):
     """Pixels of arbitrary views, through the tiles that hold them: an equi-join on addresses, then a clip."""

@@ -1,5 +1,6 @@
 """Queries do their whole job: every row of the input is met."""
 
+import math
 import os
 
 import pytest
@@ -102,3 +103,37 @@ def test_descriptors_find_the_shift(shifted):
     found = jobs.p2(shifted).toPandas()
     assert found["tile_id"].nunique() == 9 and set(found["image_a"]) == {0} and set(found["image_b"]) == {1}
     assert ((found["dx"] == 2) & (found["dy"] == -1)).mean() > 0.9
+
+
+def test_scaled_pyramid_keeps_a_plane(spark):
+    """A plane of values stays one at every scale, so each target pixel's value is that of its centre's place."""
+    from geoquilt.plans import jobs
+
+    gsd, lon, lat = 0.004, 12.0, 47.0
+    pixels = spark.range(64 * 64).select(F.lit(0).alias("image_id"), (F.col("id") % 64).cast("int").alias("x"), F.floor(F.col("id") / 64).cast("int").alias("y"))
+    pixels = pixels.withColumn("v", 3.0 * F.col("x") - 2.0 * F.col("y") + 500.0)
+    images = spark.createDataFrame([(0, 64, 64, gsd, lon, lat)], "image_id int, width int, height int, gsd double, ul_lon double, ul_lat double")
+    tiles = jobs.scaled_pyramid(pixels, images, 16).collect()
+    assert len({t.zoom_level for t in tiles}) > 3 and {t.status for t in tiles} == {"FULL", "PARTIAL"}
+    seen = 0
+    for t in tiles:
+        g = 180.0 / 16 / 2**t.zoom_level
+        level = max(0, math.floor(math.log2(g / gsd)))
+        margin = 2**level  # at the image's border, neighbours that aren't there lend their weight
+        for p in t.data:
+            x = (-180 + (t.tile_column * 16 + p.px + 0.5) * g - lon) / gsd - 0.5
+            y = (lat - (90 - (t.tile_row * 16 + p.py + 0.5) * g)) / gsd - 0.5
+            if margin <= x <= 63 - margin and margin <= y <= 63 - margin:
+                assert abs(p.v - (3 * x - 2 * y + 500)) < 1e-6
+                seen += 1
+    assert seen > 1000
+    none = jobs.scaled_pyramid(pixels.limit(0), images.limit(0), 16)
+    assert none.count() == 0
+
+
+def test_scaled_pyramid_reads_by_address(spark):
+    from geoquilt.plans import jobs
+
+    got = jobs.p3_scaled(Inputs(spark, SF)).filter("table_name = 'image0' AND zoom_level = 10 AND tile_column = 1082")
+    plan = got._jdf.queryExecution().toString()
+    assert "EqualTo(tile_column,1082)" in plan and "zoom_level#" in plan[plan.index("PartitionFilters") :]
