@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquilt.llm import bpe, hnsw, html_text, minhash, mixing, pii, quality, sharding, token_counts, toxicity
+from geoquilt.llm import bpe, exact_dedup, filter_audit, hnsw, html_text, minhash, mixing, pii, quality, sharding, spelling, token_counts, toxicity
 from geoquilt.llm.common import new_path, uniform_sql
 
 
@@ -81,6 +81,20 @@ def op10_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op11_term_matrix_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.groups(table(spark, sf_dir, "documents"), keep="largest")
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_gram_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spelling.with_slips(spelling.letter_runs(table(spark, sf_dir, "documents"), "doc_id", "text", 7))
+    return spelling.variants(spelling.count_words(rows))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # stands beside the package; the operators do without it
 
@@ -149,6 +163,48 @@ SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d
 FROM d LEFT JOIN z USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON d.doc_id = m.a
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+f AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x : x <> '') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY 1),
+s AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+  CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+  || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS fails FROM f LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM s GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+p AS (SELECT filter_order, CAST(step AS INT) AS step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before FROM o, range(1, 6) r(step)),
+q AS (SELECT c.*, p.*, contains(fails, f) AS bad, translate(fails, before, '') <> fails AS gone FROM c, p),
+r AS (SELECT part, filter_order, step, f, sum(CASE WHEN NOT bad AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN bad AND NOT gone THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN bad AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN bad AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN bad AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost FROM q GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r
+"""
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256 FROM d WINDOW w AS (PARTITION BY t)
+"""
+
+# words one edit apart share what a letter left out makes of them: at one place, or of the longer one alone
+OP13_SQL = r"""
+WITH RECURSIVE k AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(0, 8)), lambda c, k : CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(0, 256) r(i))),
+g AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+u AS (SELECT doc_id, w, count(*) AS m, coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || w AS b FROM g WHERE length(w) >= 7 GROUP BY 1, 2),
+y AS (SELECT w, m, list_transform(string_split(regexp_replace(hex(encode(b)), '(..)', '\1 ', 'g'), ' ')[:strlen(b)], lambda x : CAST('0x' || x AS BIGINT)) AS bytes FROM u),
+h AS (SELECT w, m, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b : xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM y, k),
+c AS MATERIALIZED (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, CAST(sum(m) AS BIGINT) AS n FROM h GROUP BY 1 HAVING sum(m) >= 2),
+v AS MATERIALIZED (SELECT word, n FROM c WHERE length(word) >= 7),
+z AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (SELECT a.word AS a, b.word AS b FROM z a JOIN z b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word UNION SELECT z.word, v.word FROM z JOIN v ON z.cut = v.word UNION SELECT v.word, z.word FROM z JOIN v ON z.cut = v.word),
+j AS (SELECT a, b, v.n, row_number() OVER (PARTITION BY a ORDER BY v.n DESC, b) AS r, count(*) OVER (PARTITION BY a) AS n_near FROM e JOIN v ON v.word = b),
+f AS MATERIALIZED (SELECT word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN j.n >= 10 * v.n THEN b END AS form, CASE WHEN j.n >= 10 * v.n THEN j.n END AS form_n FROM v LEFT JOIN j ON a = word AND r = 1),
+s(word, last, form) AS (SELECT word, word, form FROM f UNION ALL SELECT s.word, f.word, f.form FROM s JOIN f ON f.word = s.form)
+SELECT f.word, f.form, s.last AS root, f.n, f.n_near, f.form_n FROM f JOIN s ON s.word = f.word AND s.form IS NULL
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -162,9 +218,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_cached_counts": op8_cached_counts,
         "op9_rendezvous": op9_rendezvous,
         "op10_fast_sketch_dedup": op10_fast_sketch_dedup,
+        "op11_term_matrix_audit": op11_term_matrix_audit,
+        "op12_content_sort": op12_content_sort,
+        "op13_gram_variants": op13_gram_variants,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_host_quality": OP2_SQL, "op4_poisson_mix": OP4_SQL, "op9_rendezvous": OP9_SQL, "op10_fast_sketch_dedup": OP10_SQL}
+    return {
+        "op2_host_quality": OP2_SQL,
+        "op4_poisson_mix": OP4_SQL,
+        "op9_rendezvous": OP9_SQL,
+        "op10_fast_sketch_dedup": OP10_SQL,
+        "op11_term_matrix_audit": OP11_SQL,
+        "op12_content_sort": OP12_SQL,
+        "op13_gram_variants": OP13_SQL,
+    }
