@@ -7,16 +7,19 @@ other words, where words, links and neighbours decide, and not beside words for
 article; these are joined in page order. Pages don't meet, so the job is one pass without a shuffle.
 
 Null or empty pages give an empty text. Broken markup is read as far as it can be told: an unclosed element ends with the
-element around it, text after an unclosed script or style is part of it. Repeated rows are answered each; an empty table
-gives an empty table; clashing column names don't matter, as only ``keep`` is returned. Very long pages are read whole. A
-block on which the tree is undecided is kept.
+element around it, paragraphs and items end where the next begins, text after an unclosed script or style is part of it.
+What isn't shown (``hidden``, ``display: none``) and what drawings, media and other objects hold isn't read. Repeated rows are answered each; an empty table
+gives an empty table; clashing column names don't matter, as only ``keep`` is returned. Very long pages are read whole, in a time that
+goes with their length. A block on which the tree is undecided is kept.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +28,10 @@ from pyspark.sql import DataFrame
 from geoquilt.llm.common import slices
 
 # Fixed values
-BLOCK_TAGS = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
-NESTING = frozenset("article aside blockquote body button details dialog div dl fieldset figure footer form header li main menu nav ol search section select table tbody td tfoot th thead tr ul span".split())
-RAW_TAGS = frozenset("head iframe noembed noframes noscript object script select style svg template textarea title canvas audio video".split())
+BLOCK_TAGS = frozenset("address article aside blockquote body br button center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
+VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW_TAGS = frozenset("iframe noembed noframes noscript script style textarea title xmp".split())
+UNREAD_TAGS = frozenset("audio canvas object select svg template video".split())
 OTHER_TAGS = frozenset("aside button dialog fieldset footer form menu nav search".split())
 ARTICLE_TAGS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -38,6 +42,9 @@ OTHER_NAMES = frozenset(
     "subscribe subscription tags taboola teaser toolbar topbar widget complementary contentinfo alert".split()
 )
 PAGE_HEADER_NAMES = frozenset("header masthead".split())
+#: Elements that end where another one begins beside them.
+_CELL, _ROW = ("td", "th"), ("td", "th", "tr")
+ENDED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "td": _CELL, "th": _CELL, "tr": _ROW, "tbody": _ROW, "thead": _ROW, "tfoot": _ROW} | dict.fromkeys(HEADINGS, tuple(HEADINGS))
 #: Words beside a name that tell a state of the page, and parts that such an element has.
 STATE_NAMES = frozenset("has have no not with without is open closed on off enabled disabled show shown hide layout format type status category tag full".split())
 PART_NAMES = frozenset(
@@ -77,22 +84,25 @@ LABELLED = (
     (25, 0.0, 1, 1.0, 3, 0.0, 0, 1, 0, 0), (2, 0.0, 1, 0.0, 9, 0.0, 0, 1, 0, 0), (50, 0.0, 1, 0.0, 60, 0.0, 1, 1, 0, 0), (5, 0.0, 30, 0.0, 1, 1.0, 1, 1, 0, 0),
 )
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)>|<[!?/][^>]*>", re.S)
-NAMED = re.compile(r"(?:^|[\s\"'/])(class|id|role|style|hidden|aria-hidden|itemprop)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?", re.I)
+TAG = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+#: A value in quotes, or the end of a tag.
+VALUE_OR_END = re.compile(r">|=\s*+(?:\"[^\"]*+\"|'[^']*+')")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]*+))?")
+HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: How much an element is something else if it isn't shown at all.
+HIDDEN = 2.0
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 def named_other(tag: str, attributes: str, in_article: bool) -> float:
-    """How much an element says that it isn't article text: 1 outright, 0.5 by a name among others, or 0."""
-    if tag in OTHER_TAGS or tag == "header" and not in_article:
-        return 1.0
+    """How much an element says that it isn't article text: HIDDEN, 1 outright, 0.5 by a name among others, or 0."""
+    most = 1.0 if tag in OTHER_TAGS or tag == "header" and not in_article else 0.0
     if not attributes or tag in ("html", "body", *ARTICLE_TAGS):
-        return 0.0
-    most = 0.0
-    for key, value in NAMED.findall(attributes):
+        return most
+    for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return 1.0
+        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and HIDING.search(value):
+            return HIDDEN
         if key in ("class", "id", "role"):
             for word in value.split():
                 names = {x.lower() for x in NAME.findall(word)}
@@ -102,76 +112,154 @@ def named_other(tag: str, attributes: str, in_article: bool) -> float:
     return most
 
 
+def tags(page: str) -> Iterator[tuple[str, str, str, bool]]:
+    """(text before it, name, attributes, closing) of each tag in page order, then the text behind the last one with no name.
+
+    One pass: every character is looked at a bounded number of times. Raw elements come with nothing between their tags. A
+    value whose quotes hide every later end of a tag has no quotes: from there on tags end at the next ``>``. An unfinished
+    tag at the end of a page is left out."""
+    at, text, quotes = 0, [], True
+    while (lt := page.find("<", at)) >= 0:
+        text.append(page[at:lt])
+        if page.startswith("<!--", lt):
+            end = page.find("-->", lt + 2)  # <!--> is a comment, too
+            at = len(page) if end < 0 else end + 3
+            continue
+        m = TAG.match(page, lt)
+        if m is None and page[lt + 1 : lt + 2] not in ("!", "?", "/"):
+            text.append("<")
+            at = lt + 1
+            continue
+        gt = -1
+        if quotes and m is not None:
+            gt = next((v.start() for v in VALUE_OR_END.finditer(page, m.end()) if v[0] == ">"), -1)
+            quotes = gt >= 0
+        if gt < 0 and (gt := page.find(">", lt)) < 0:
+            at = len(page)
+            break
+        at = gt + 1
+        if m is None:
+            continue
+        name, closing = m[1].lower(), page[lt + 1] == "/"
+        yield "".join(text), name, page[m.end() : gt], closing
+        text = []
+        if name in RAW_TAGS and not closing:
+            found = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+            at = found.start() if found else len(page)
+    yield "".join([*text, page[at:]]), "", "", False
+
+
+class Element(NamedTuple):
+    tag: str
+    article: bool
+    other: float
+    heading: bool
+    unread: bool
+
+
+class Elements:
+    """Open elements. An article is a scope that end tags of other elements don't reach out of. Places of blocks, and those
+    of paragraphs, are kept on stacks of their own, so nothing is searched for."""
+
+    def __init__(self) -> None:
+        self.open: list[Element] = []
+        self.scopes: list[Counter] = [Counter()]
+        self.articles: Counter = Counter()
+        self.blocks: list[int] = []
+        self.paragraphs: list[int] = []
+
+    def now(self) -> Element:
+        return self.open[-1] if self.open else Element("", False, 0.0, False, False)
+
+    def push(self, e: Element, block: bool) -> None:
+        if e.tag in ARTICLE_TAGS:
+            self.scopes.append(Counter())
+            self.articles[e.tag] += 1
+        self.scopes[-1][e.tag] += 1
+        if e.tag == "p":
+            self.paragraphs.append(len(self.open))
+        elif block:
+            self.blocks.append(len(self.open))
+        self.open.append(e)
+
+    def pop(self) -> str:
+        tag = self.open.pop().tag
+        self.scopes[-1][tag] -= 1
+        if tag in ARTICLE_TAGS:
+            self.scopes.pop()
+            self.articles[tag] -= 1
+        for places in (self.blocks, self.paragraphs):
+            if places and places[-1] == len(self.open):
+                places.pop()
+        return tag
+
+    def has(self, tag: str) -> bool:
+        return (self.articles if tag in ARTICLE_TAGS else self.scopes[-1])[tag] > 0
+
+    def end(self, tag: str) -> None:
+        while self.has(tag) and self.pop() != tag:
+            pass
+
+    def make_room(self, tag: str) -> None:
+        """End what a block that begins now ends: a paragraph, an item before it, a heading, a drawing."""
+        if self.paragraphs and (not self.blocks or self.paragraphs[-1] > self.blocks[-1]):
+            self.end("p")
+        while self.blocks and (before := self.open[self.blocks[-1]].tag) in (*ENDED_BY.get(tag, ()), "svg"):
+            self.end(before)
+
+
 def blocks(page: str) -> list[tuple[str, int, int, int, float, int]]:
     """(text, words, words in links, article, other, heading) in page order."""
     out: list[tuple[str, int, int, int, float, int]] = []
-    open_tags: list[tuple[str, bool, float]] = []  # tag, in the article, how much in something else
+    elements = Elements()
     parts: list[str] = []
     linked: list[str] = []
-    in_link, heading, article, other, at, raw_end = False, False, False, 0.0, 0, {}
+    in_link = False
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append((text, text.count(" ") + 1, len(html.unescape("".join(linked)).split()), int(article), other, int(heading)))
+            now = elements.now()
+            out.append((text, text.count(" ") + 1, len(html.unescape("".join(linked)).split()), int(now.article), now.other, int(now.heading)))
         parts.clear()
         linked.clear()
 
-    while at < len(page):
-        m = TOKEN.search(page, at)
-        text = page[at : m.start() if m else len(page)]
-        if text:
+    for text, tag, attributes, closing in tags(page):
+        now = elements.now()
+        if text and not now.unread:
             parts.append(text)
             if in_link:
                 linked += [text, " "]
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag, closing = m[2].lower(), bool(m[1])
         if tag == "a":
             in_link = not closing
-            continue
-        if tag in RAW_TAGS and not closing:
-            if m[3].endswith("/") and tag == "svg":
-                continue
-            if tag in BLOCK_TAGS or tag == "head":
-                end_block()
-            # where a raw element has no end it takes the rest, but an unclosed head ends where the body begins
-            ends = raw_end.setdefault(tag, re.compile(rf"</{tag}\s*>" + (r"|(?=<body\b)" if tag == "head" else ""), re.I))
-            found = ends.search(page, at)
-            at = found.end() if found else len(page)
-            continue
-        if tag in BLOCK_TAGS or tag == "button":
+        block = tag in BLOCK_TAGS
+        if block:
             end_block()
             in_link = in_link and not closing and tag == "br"
-            if tag in HEADINGS:
-                heading = not closing
-            elif tag in NESTING:
-                heading = False
-        if tag in NESTING:
-            if closing:
-                for i in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[i][0] == tag:
-                        del open_tags[i:]
-                        break
-                    if open_tags[i][0] in ARTICLE_TAGS and tag not in ("body", "main", "article"):
-                        break  # a stray end tag doesn't end the article
-            elif not m[3].endswith("/"):
-                if tag == "li":
-                    while open_tags and open_tags[-1][0] == "li":
-                        open_tags.pop()
-                now = open_tags[-1] if open_tags else ("", False, 0.0)
-                was_other = named_other(tag, m[3], now[1])
-                if tag == "span" and was_other > now[2]:
+        if closing:
+            if elements.has(tag):
+                if not block and (now.tag != tag or not now.unread):
                     end_block()
-                open_tags.append((tag, now[1] or tag in ARTICLE_TAGS, max(now[2], was_other)))
-            before = other
-            article, now_other = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, 0.0)
-            if tag == "span" and before != now_other:
+                elements.end(tag)
+            continue
+        if tag in VOID_TAGS or tag in ("", "html", "body", "head") or tag in RAW_TAGS:
+            if tag == "hr":
+                elements.make_room(tag)
+            continue
+        if block:
+            elements.make_room(tag)
+            now = elements.now()
+        if attributes.endswith("/"):
+            continue
+        own = named_other(tag, attributes, now.article)
+        other = max(now.other, own)
+        # inside a line what is named outright is left out, so that the words around it stay one block
+        unread = now.unread or tag in UNREAD_TAGS or own == HIDDEN or not block and other > now.other and other >= 1
+        heading = tag in HEADINGS or now.heading and not block
+        if block or unread != now.unread or other > now.other or elements.has(tag):
+            if not block and not unread:
                 end_block()
-            other = now_other
+            elements.push(Element(tag, now.article or tag in ARTICLE_TAGS, other, heading, unread), block or tag in UNREAD_TAGS)
     end_block()
     return out
 

@@ -4,8 +4,10 @@ Every key draws one number in (0, 1) for each shard; the shard with the largest
 A shard's draws don't depend on the other shards, so a new shard only takes records into itself, and a changed weight
 only moves records from or to that shard.
 
-Null keys count as the text ``null``. Repeated rows go to the same shard and get slots of their own.
-An empty table gives an empty table. Columns of the input may have any names but those that are added.
+Null keys count as the text ``null``; an empty text is a key like any other. Repeated rows go to the same shard and get slots
+of their own; rows whose digests tie stand in the order of their columns. Very long texts are only hashed, never compared or
+gathered, if they are in the numbered columns. An empty table gives an empty table. A column of the input that is named like
+an added one is replaced.
 """
 
 from __future__ import annotations
@@ -33,9 +35,7 @@ def shard_of(key: Column | str, weights: Sequence[float], seed: int = 0) -> Colu
 
 
 def assign(df: DataFrame, key: str, weights: Sequence[float], seed: int = 0, out: str = "shard") -> DataFrame:
-    """``df`` with the shard of each row; one projection, no shuffle."""
-    if out in df.columns:
-        raise ValueError(f"the input has a column {out} already")
+    """``df`` with the shard of each row; one projection, no shuffle. A column of that name is replaced, the key's too."""
     return df.withColumn(out, shard_of(df[key], weights, seed))
 
 

@@ -6,7 +6,7 @@ encoded once each and appended; then every document is joined to its count. Voca
 each byte of the content, so normalising here only makes a null text the empty one.
 
 Copies are combined before they are shuffled. The last join meets two written tables, so a digest that very many
-documents share is split. One writer at a time may append to a cache. Repeated rows are answered each; an empty table
+documents share is split. Writers that overlap may store a digest twice; it is read once. Repeated rows are answered each; an empty table
 gives an empty table and leaves the cache as it is; column names of the input can't clash, as only ``keep`` is returned.
 A very long text is encoded whole, alone in its slice.
 """
@@ -56,14 +56,15 @@ def count_each(texts: DataFrame, path: str) -> DataFrame:
 
 
 def read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame:
-    """The counts of one version; none if the cache isn't there yet."""
+    """The counts of one version, one row a digest; none if the cache isn't there yet."""
     try:
         found = spark.read.schema(CACHE).parquet(cache)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         found = spark.createDataFrame([], CACHE)
-    return found.filter(F.col("version") == version).select("digest", "n_tokens")
+    # overlapping writers, or a job that is run again, may have stored a digest more than once
+    return found.filter(F.col("version") == version).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
 
 
 def count_tokens(docs: DataFrame, text: str, path: str, cache: str, keep: list[str]) -> DataFrame:

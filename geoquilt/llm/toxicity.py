@@ -8,7 +8,8 @@ all labelled rows are used.
 Words are runs of letters and digits, lower-case, as 64-bit hashes; so are their first STEM bytes, which tell words that are
 built from a known stem. A document has a word or not, however long it is. Hashes are used whole: folded into fewer
 buckets, rare words of clean documents would fall on the telling ones.
-Models are fitted on at most ``most_rows`` labelled rows, the first by a hash of their id, and on the ``most_words``
+Models are fitted on at most ``most_rows`` labelled ids, the first by a hash of the id, each with one text (that of the
+smallest hash, where an id has several) and one row of labels (the smallest), and on the ``most_words``
 words and stems whose presence tells most about a category by the chi-squared statistic. Whole texts of all documents are
 scored, in one pass without a shuffle. A category is set where its probability reaches the threshold that was best on
 out-of-fold predictions.
@@ -155,9 +156,12 @@ def telling_words(sample: DataFrame, categories: Sequence[str], most_words: int)
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, categories: Sequence[str], most_rows: int, most_words: int) -> tuple[list[int], list[tuple[np.ndarray, float]]]:
     """(words, chain) from labelled documents; ``labels``: doc_id and a 0/1 column for each category."""
     chosen = labels.select(F.col(doc_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in categories]).filter(F.col("id").isNotNull())
-    chosen = chosen.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(most_rows)
+    one = chosen.groupBy("id").agg(F.min(F.struct(*categories)).alias("l")).select("id", "l.*")
+    chosen = one.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(most_rows)
     texts = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text"))
-    sample = distinct_words(texts.join(F.broadcast(chosen), "id"), ["id", *categories])  # most_rows rows at most
+    # one text of each id, so most_rows rows at most are learnt from, however often an id stands in the documents
+    texts = texts.join(F.broadcast(chosen), "id").groupBy("id", *categories).agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("t"))
+    sample = distinct_words(texts.select("id", *categories, F.col("t.text").alias("text")), ["id", *categories])
     sample = materialize(sample, "labelled")
     words = telling_words(sample, categories, most_words)
     own = F.array_intersect("words", F.lit(words).cast("array<long>")) if words else F.array().cast("array<long>")

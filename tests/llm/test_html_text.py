@@ -1,6 +1,7 @@
 import html
 import os
 import re
+import time
 
 import numpy as np
 import pytest
@@ -43,6 +44,16 @@ def test_held_out_blocks():
         (f"<div class='hentry tag-news comments-open'><p>{LONG}</p></div><div class='comments'><p>{LONG}</p></div>", LONG),
         (f"<article><p>{LONG}</p><div class='related-work'><p>{LONG}</p></div><div class='related-reading'><a href='/'>One</a><a href='/'>Two</a></div></article>", f"{LONG} {LONG}"),
         (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>", f"{LONG} x=2"),
+        (f"<article><p>{LONG}</p><p hidden>{LONG}</p><p style='display: none'>{LONG}</p><p class=advert>{LONG}</p><h3 class='related'>More of this</h3><p aria-hidden=TRUE>{LONG}</p></article>", LONG),
+        (f"<article><p>{LONG} <a class='advert' href='x'>buy this</a>now</p><p>a<span hidden>b<span>c</span></span>d</p></article>", f"{LONG} now ad"),
+        (f"<article><p title='x class=advert hidden'>{LONG}</p></article>", LONG),
+        (f"<article><p>{LONG}<svg><path d='x'><text>no</text><p>{LONG}</p><video src='x'/><p>{LONG}</p><object>no<b>no</b></object></article>", f"{LONG} {LONG} {LONG}"),
+        (f"<article><div>{LONG}<video><source src='x'>no</div><p>{LONG}</p></article>", f"{LONG} {LONG}"),
+        (f"<article><ul><li class=ad>{LONG}<li>{LONG}</ul><table><tr><td class=promo>{LONG}<td>{LONG}</table></article>", f"{LONG} {LONG}"),
+        (f"<article><h2>A heading of it<p>{LONG}</p></article>", f"A heading of it {LONG}"),
+        (f"<article><p>1 < 2 <> 3 <!> {LONG}<!--></p>{LONG}", f"1 < 2 <> 3 {LONG} {LONG}"),
+        (f"<article><p>{LONG}<b x='>", LONG),
+        (f"<article><p>{LONG}</p><i x='y>{LONG}</i><p>{LONG}</p>", f"{LONG} {LONG} {LONG}"),
         ("<p>unfinished <b", ""),
         ("<article><p>x<script>never closed", "x"),
     ],
@@ -69,3 +80,12 @@ def test_query(spark):
         inner = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1]
         want = " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(p|h1|br)>", " ", inner))).split())
         assert r.text == want and r.n_chars == len(want)
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<!x", "<a b=\"", "<a b='>'", "<a b=\">\"", "</x>", "<b class=ad>", "<svg>", "<script>", "<!--", "<", "<div class='", "<p><button><b hidden>x", "<li><i class='x ad'>", "<a =", "<a class class", "<article><div></p></div>"])
+def test_hostile_pages_take_time_by_length(piece):
+    page = "<article><div>" + piece * (600_000 // len(piece))
+    began = time.process_time()
+    html_text.main_text(page, TREE)
+    html_text.main_text(page + "</div></x>" * 50_000, TREE)
+    assert time.process_time() - began < 12

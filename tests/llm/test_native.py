@@ -100,8 +100,10 @@ def test_rendezvous_moves_little(spark):
     assert abs(sum(r.more == 8 for r in rows) / 20_000 - 1 / 9) < 0.01 and abs(sum(r.heavy == 0 for r in rows) / 20_000 - 2 / 9) < 0.015 and not any(r.less == 0 for r in rows)
     with pytest.raises(ValueError):
         sharding.shard_of("key", [])
-    with pytest.raises(ValueError):
-        sharding.assign(df.withColumn("shard", F.lit(1)), "key", w)
+    clash = sharding.assign(df.select("id", "key", F.lit(99).alias("shard")), "key", w)
+    assert clash.columns == ["id", "key", "shard"] and {(r.id, r.shard) for r in clash.collect()} == {(r.id, r.shard) for r in rows}
+    by_clash = sharding.assign(df.select("id", F.col("key").alias("shard")), "shard", w)
+    assert {(r.id, r.shard) for r in by_clash.collect()} == {(r.id, r.shard) for r in rows}
     nulls = spark.createDataFrame([(None,), (None,)], "key string")
     assert len({r.shard for r in sharding.assign(nulls, "key", w).collect()}) == 1
     assert sharding.assign(nulls.limit(0), "key", w).count() == 0

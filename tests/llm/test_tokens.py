@@ -77,6 +77,10 @@ def test_cache(spark):
     two = spark.createDataFrame([(1, "twice"), (2, "new")], "doc_id long, text string")
     assert sorted(map(tuple, token_counts.count_tokens(two, "text", BYTE, other, ["doc_id"]).collect())) == [(1, 5, 99), (2, 3, 1)]
     assert spark.read.parquet(other).count() == 3
+    # a cache in which all stands twice answers each row once all the same
+    spark.read.parquet(other).write.parquet(other + "-copy")
+    spark.read.parquet(other + "-copy").write.mode("append").parquet(other)
+    assert sorted(map(tuple, token_counts.count_tokens(two, "text", BYTE, other, ["doc_id"]).collect())) == [(1, 5, 99), (2, 3, 1)]
     assert token_counts.count_tokens(two.limit(0), "text", BYTE, other, ["doc_id"]).count() == 0
 
 

@@ -120,3 +120,16 @@ def test_held_out_accuracy(spark):
     called, toxic = sum(r.is_toxic for r in rows), sum(r.toxic for r in rows)
     assert hits / toxic >= 0.9 and hits / called >= 0.9  # of documents that training hasn't seen
     assert not re.search("nan", str(rows[0]))
+
+
+def test_repeated_ids_are_learnt_from_once(spark, monkeypatch):
+    """Ids that stand a thousand times, with other texts and labels, give no more rows to learn from than ids."""
+    rows = [(i % 4, f"text {i % 7} of {i % 4}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)] * 3, "doc_id long, toxic int")
+    seen = []
+    real = toxicity.train_chain
+    monkeypatch.setattr(toxicity, "train_chain", lambda x, y, fold: seen.append(len(x)) or real(x, y, fold))
+    assert toxicity.classify(docs, labels, ["toxic"], most_rows=2).count() == 4000
+    assert toxicity.classify(docs, labels, ["toxic"]).count() == 4000
+    assert seen == [2, 4]
