@@ -34,8 +34,8 @@ FILTERS = "ABCDE"
 MARKS = "#$%&*|"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: Bytes of text of a shard.
-SHARD_BYTES = 4 << 20
+#: Bytes of text of a shard. The larger, the fewer words are named by more than one shard.
+SHARD_BYTES = 32 << 20
 LOCAL = "part int, piece int, docs array<{}>, starts array<int>, columns array<int>, counts array<int>, words array<binary>"
 STEP = "struct<filter: int, before: int, filter_order: string, step: int>"
 
@@ -44,17 +44,23 @@ def local_shards(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
     """Shards (LOCAL): row i, the document ``docs[i]`` of the ``keep`` columns, has ``counts[starts[i]:starts[i + 1]]`` of the
     words in these ``columns`` of the shard's dictionary."""
 
+    def coded(texts: pa.Array) -> tuple[pa.DictionaryArray, list[int]]:
+        found = [(t or "").encode().split() for t in texts.to_pylist()]  # splits at \x20 and \x09-\x0D
+        return pa.array([w for ws in found for w in ws], pa.binary()).dictionary_encode(), [len(ws) for ws in found]
+
     def shard(part: int, piece: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [(t or "").encode().split() for t in batch.column(0).to_pylist()]  # splits at \x20 and \x09-\x0D
-        sizes = np.array([len(w) for w in found], np.int64)
-        coded = pa.array([w for ws in found for w in ws], pa.binary()).dictionary_encode()
-        width = max(1, len(coded.dictionary))
-        cells, counts = np.unique(np.repeat(np.arange(len(found)), sizes) * width + coded.indices.to_numpy(), return_counts=True)
-        starts = np.searchsorted(cells, np.arange(len(found) + 1) * width)
+        pieces = [coded(batch.column(0)[at : at + n]) for at, n in slices(batch.column(0))]
+        whole = pa.chunked_array([p[0] for p in pieces]).unify_dictionaries()  # exact, so a word has one number
+        codes = np.concatenate([c.indices.to_numpy() for c in whole.chunks]) if whole.num_chunks else np.zeros(0, np.int64)
+        words = whole.chunk(0).dictionary if whole.num_chunks else pa.array([], pa.binary())
+        sizes = np.array([n for p in pieces for n in p[1]], np.int64)
+        width = max(1, len(words))
+        cells, counts = np.unique(np.repeat(np.arange(len(sizes)), sizes) * width + codes, return_counts=True)
+        starts = np.searchsorted(cells, np.arange(len(sizes) + 1) * width)
         kept = pa.StructArray.from_arrays(batch.columns[1:], names=list(keep))
         one = lambda values: pa.ListArray.from_arrays([0, len(values)], values)
         flat = [pa.array(x.astype(np.int32)) for x in (starts, cells % width, counts)]
-        arrays = [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), one(kept), *map(one, flat), one(coded.dictionary)]
+        arrays = [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), one(kept), *map(one, flat), one(words)]
         return pa.RecordBatch.from_arrays(arrays, names=["part", "piece", "docs", "starts", "columns", "counts", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,10 +77,14 @@ def local_shards(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
 def term_matrix(docs: DataFrame, keep: Sequence[str], text: str) -> tuple[DataFrame, DataFrame]:
     """The dictionary (word, term), and shards (part, piece, docs, starts, terms, counts) of the matrix in its numbers."""
     local = materialize(local_shards(docs, keep, text), "local-shards")
-    named = local.select("part", "piece", F.posexplode("words").alias("pos", "word"))
-    words = materialize(named.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), "dictionary")
-    numbered = named.join(words, "word").groupBy("part", "piece").agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("own"))
-    shards = local.drop("words").join(numbered.select("part", "piece", F.col("own.term").alias("own")), ["part", "piece"], "left")
+    # a word comes once from each shard; all its rows meet in one task, which takes the number of one of them for all
+    named = local.select("part", "piece", F.posexplode("words").alias("pos", "word")).repartition("word")
+    term = F.min("id").over(Window.partitionBy("word"))
+    named = named.withColumn("id", F.monotonically_increasing_id()).withColumn("term", term)
+    named = materialize(named.select("part", "piece", "pos", "term", F.when(F.col("id") == F.col("term"), F.col("word")).alias("word")), "dictionary")
+    words = named.filter("word IS NOT NULL").select("word", "term")
+    own = named.groupBy("part", "piece").agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("own"))
+    shards = local.drop("words").join(own.select("part", "piece", F.col("own.term").alias("own")), ["part", "piece"], "left")
     terms = F.coalesce(F.transform("columns", lambda c: F.get("own", c)), F.array().cast("array<long>"))
     return words, shards.select("part", "piece", "docs", "starts", terms.alias("terms"), "counts")
 
@@ -100,13 +110,13 @@ def row_sums(shards: DataFrame) -> DataFrame:
 def failed_filters(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:
     """(id, part, failed) of each document: ``failed`` is a sum of 1, 2, 4, 8, 16 for A to E."""
     t = F.coalesce(docs[text].cast("string"), F.lit(""))
-    upper, marks = (F.length(t) - F.length(F.translate(t, chars, "")) for chars in (UPPER, MARKS))
+    upper = F.length(t) - F.length(F.translate(t, UPPER, ""))
     flagged = docs.select(
         docs[doc_id].cast("long").alias("id"),
         F.coalesce(docs[part].cast("string"), F.lit("")).alias("part"),
         F.unhex(F.sha2(t, 256)).alias("digest"),
         (F.lit(100) * upper > F.lit(5) * F.length(t)).alias("c"),
-        (marks > 0).alias("d"),
+        t.rlike(f"[{MARKS}]").alias("d"),
         t.alias("_text"),
     )
     _, shards = term_matrix(flagged, ["id", "part", "digest", "c", "d"], "_text")
