@@ -3,7 +3,7 @@
 A and B read a sparse document-term matrix over all documents. Tasks build shards of it, compressed sparse rows with a
 dictionary of their own; only these dictionaries are shuffled, as a shard names each of its words once. The distinct words
 get global numbers, every shard's columns are renumbered, and row sums and numbers of nonzeros are words and distinct words
-of a document. C and D are expressions on the text, E compares digests (SHA-256) of whole texts with the smallest id that
+of a document. C and D are told from the bytes of the text, E compares digests (SHA-256) of whole texts with the smallest id that
 has them. A document is then a set of failed filters; documents are counted by part and set (32 sets a part at most), and
 all orders follow from the counts, as what a filter removes depends on which filters came before it, not on their order.
 
@@ -18,7 +18,8 @@ from __future__ import annotations
 import itertools
 import json
 import math
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,19 +35,23 @@ FILTERS = "ABCDE"
 MARKS = "#$%&*|"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+#: Bytes of UTF-8 that carry on a code point.
+CARRYING = bytes(range(0x80, 0xC0))
 #: Bytes of text of a shard. The larger, the fewer words are named by more than one shard.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 LOCAL = "part int, piece int, docs array<{}>, starts array<int>, columns array<int>, counts array<int>, words array<binary>"
 STEP = "struct<filter: int, before: int, filter_order: string, step: int>"
 
 
-def local_shards(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
-    """Shards (LOCAL): row i, the document ``docs[i]`` of the ``keep`` columns, has ``counts[starts[i]:starts[i + 1]]`` of the
-    words in these ``columns`` of the shard's dictionary."""
+def local_shards(docs: DataFrame, keep: Sequence[str], text: str, flags: Mapping[str, Callable[[bytes], bool]]) -> DataFrame:
+    """Shards (LOCAL): row i, the document ``docs[i]`` of the ``keep`` columns and flags of its text (UTF-8), has
+    ``counts[starts[i]:starts[i + 1]]`` of the words in these ``columns`` of the shard's dictionary."""
 
-    def coded(texts: pa.Array) -> tuple[pa.DictionaryArray, list[int]]:
-        found = [(t or "").encode().split() for t in texts.to_pylist()]  # splits at \x20 and \x09-\x0D
-        return pa.array([w for ws in found for w in ws], pa.binary()).dictionary_encode(), [len(ws) for ws in found]
+    def coded(texts: pa.Array) -> tuple[pa.DictionaryArray, list[int], list[list[bool]]]:
+        raw = [(t or "").encode() for t in texts.to_pylist()]
+        found = [t.split() for t in raw]  # at \x20 and \x09-\x0D
+        words = pa.array([w for ws in found for w in ws], pa.binary()).dictionary_encode()
+        return words, [len(ws) for ws in found], [[f(t) for t in raw] for f in flags.values()]
 
     def shard(part: int, piece: int, batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces = [coded(batch.column(0)[at : at + n]) for at, n in slices(batch.column(0))]
@@ -57,7 +62,8 @@ def local_shards(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
         width = max(1, len(words))
         cells, counts = np.unique(np.repeat(np.arange(len(sizes)), sizes) * width + codes, return_counts=True)
         starts = np.searchsorted(cells, np.arange(len(sizes) + 1) * width)
-        kept = pa.StructArray.from_arrays(batch.columns[1:], names=list(keep))
+        told = [pa.array([x for p in pieces for x in p[2][i]], pa.bool_()) for i in range(len(flags))]
+        kept = pa.StructArray.from_arrays([*batch.columns[1:], *told], names=[*keep, *flags])
         one = lambda values: pa.ListArray.from_arrays([0, len(values)], values)
         flat = [pa.array(x.astype(np.int32)) for x in (starts, cells % width, counts)]
         arrays = [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), one(kept), *map(one, flat), one(words)]
@@ -71,56 +77,75 @@ def local_shards(docs: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
                 piece += 1
 
     rows = docs.select(docs[text].cast("string").alias("_text"), *[docs[c] for c in keep])
-    return rows.mapInArrow(run, LOCAL.format(docs.select(*keep).schema.simpleString()))
+    schema = docs.select(*keep).schema
+    for name in flags:
+        schema = schema.add(name, "boolean")
+    return rows.mapInArrow(run, LOCAL.format(schema.simpleString()))
 
 
-def term_matrix(docs: DataFrame, keep: Sequence[str], text: str) -> tuple[DataFrame, DataFrame]:
-    """The dictionary (word, term), and shards (part, piece, docs, starts, terms, counts) of the matrix in its numbers."""
-    local = materialize(local_shards(docs, keep, text), "local-shards")
-    # a word comes once from each shard; all its rows meet in one task, which takes the number of one of them for all
-    named = local.select("part", "piece", F.posexplode("words").alias("pos", "word")).repartition("word")
-    term = F.min("id").over(Window.partitionBy("word"))
-    named = named.withColumn("id", F.monotonically_increasing_id()).withColumn("term", term)
-    named = materialize(named.select("part", "piece", "pos", "term", F.when(F.col("id") == F.col("term"), F.col("word")).alias("word")), "dictionary")
-    words = named.filter("word IS NOT NULL").select("word", "term")
-    own = named.groupBy("part", "piece").agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("own"))
-    shards = local.drop("words").join(own.select("part", "piece", F.col("own.term").alias("own")), ["part", "piece"], "left")
-    terms = F.coalesce(F.transform("columns", lambda c: F.get("own", c)), F.array().cast("array<long>"))
-    return words, shards.select("part", "piece", "docs", "starts", terms.alias("terms"), "counts")
+class TermMatrix:
+    """A sparse document-term matrix: ``dictionary`` (word, term), shards with dictionaries of their own, and for each of these
+    the global numbers of its words. A shard and its numbers meet in a task of their own."""
 
+    def __init__(self, docs: DataFrame, keep: Sequence[str], text: str, flags: Mapping[str, Callable[[bytes], bool]] | None = None):
+        self.local = materialize(local_shards(docs, keep, text, flags or {}), "local-shards")
+        # a word comes once from each shard; all its rows meet in one task, which takes the number of one of them for all
+        named = self.local.select("part", "piece", F.posexplode("words").alias("pos", "word")).repartition("word")
+        term = F.min("id").over(Window.partitionBy("word"))
+        named = named.withColumn("id", F.monotonically_increasing_id()).withColumn("term", term)
+        self.named = materialize(named.select("part", "piece", "pos", "term", F.when(F.col("id") == F.col("term"), F.col("word")).alias("word")), "dictionary")
+        self.dictionary = self.named.filter("word IS NOT NULL").select("word", "term")
+        self.docs = self.local.schema["docs"].dataType.elementType
 
-def row_sums(shards: DataFrame) -> DataFrame:
-    """The documents of a matrix with the sum of a row's counts and the number of its terms: total, nonzero."""
+    def by_shard(self, of: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+        """What ``of`` makes of each shard's row and the global numbers of its entries."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                docs, starts, terms, counts = (batch.column(c)[k].values for c in range(4))
-                starts = starts.to_numpy()
-                before = np.concatenate([[0], np.cumsum(counts.to_numpy(), dtype=np.int64)])
-                known = np.concatenate([[0], np.cumsum(terms.is_valid().to_numpy(zero_copy_only=False), dtype=np.int64)])
-                sums = [pa.array(np.diff(x[starts])) for x in (before, known)]
-                yield pa.RecordBatch.from_arrays([*docs.flatten(), *sums], names=[*docs.type.names, "total", "nonzero"])
+        def run(shard: pa.Table, named: pa.Table) -> pa.Table:
+            own = np.zeros(named.num_rows, np.int64)
+            own[named.column("pos").to_numpy()] = named.column("term").to_numpy()
+            return of(shard, own[shard.column("columns").combine_chunks().values.to_numpy()])
+
+        shards, named = self.local.drop("words"), self.named.select("part", "piece", "pos", "term")
+        return shards.groupBy("part", "piece").cogroup(named.groupBy("part", "piece")).applyInArrow(run, schema)
+
+    def shards(self) -> DataFrame:
+        """(part, piece, docs, starts, terms, counts): compressed sparse rows in global numbers."""
+
+        def of(shard: pa.Table, terms: np.ndarray) -> pa.Table:
+            flat = pa.ListArray.from_arrays([0, len(terms)], pa.array(terms))
+            return pa.table([*(shard.column(c) for c in ("part", "piece", "docs", "starts")), flat, shard.column("counts")], names=["part", "piece", "docs", "starts", "terms", "counts"])
 
-    kept = shards.schema["docs"].dataType.elementType
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields)
-    return shards.select("docs", "starts", "terms", "counts").mapInArrow(run, f"{names}, total long, nonzero long")
+        return self.by_shard(of, f"part int, piece int, docs array<{self.docs.simpleString()}>, starts array<int>, terms array<long>, counts array<int>")
+
+    def row_sums(self) -> DataFrame:
+        """The documents with the sum of a row's counts and the number of its different terms: total, nonzero."""
+
+        def of(shard: pa.Table, terms: np.ndarray) -> pa.Table:
+            docs, starts, counts = (shard.column(c).combine_chunks().values for c in ("docs", "starts", "counts"))
+            starts = starts.to_numpy()
+            total = np.diff(np.concatenate([[0], np.cumsum(counts.to_numpy(), dtype=np.int64)])[starts])
+            row = np.repeat(np.arange(len(docs)), np.diff(starts))
+            order = np.lexsort((terms, row))
+            first = np.ones(len(terms), bool)
+            first[1:] = (terms[order][1:] != terms[order][:-1]) | (row[order][1:] != row[order][:-1])
+            nonzero = np.bincount(row[order][first], minlength=len(docs))
+            return pa.table([*docs.flatten(), pa.array(total), pa.array(nonzero.astype(np.int64))], names=[*docs.type.names, "total", "nonzero"])
+
+        names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.docs.fields)
+        return self.by_shard(of, f"{names}, total long, nonzero long")
 
 
 def failed_filters(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:
     """(id, part, failed) of each document: ``failed`` is a sum of 1, 2, 4, 8, 16 for A to E."""
     t = F.coalesce(docs[text].cast("string"), F.lit(""))
-    upper = F.length(t) - F.length(F.translate(t, UPPER, ""))
-    flagged = docs.select(
-        docs[doc_id].cast("long").alias("id"),
-        F.coalesce(docs[part].cast("string"), F.lit("")).alias("part"),
-        F.unhex(F.sha2(t, 256)).alias("digest"),
-        (F.lit(100) * upper > F.lit(5) * F.length(t)).alias("c"),
-        t.rlike(f"[{MARKS}]").alias("d"),
-        t.alias("_text"),
-    )
-    _, shards = term_matrix(flagged, ["id", "part", "digest", "c", "d"], "_text")
-    rows = materialize(row_sums(shards), "row-sums")
+    rows = docs.select(docs[doc_id].cast("long").alias("id"), F.coalesce(docs[part].cast("string"), F.lit("")).alias("part"), F.unhex(F.sha2(t, 256)).alias("digest"), t.alias("_text"))
+    many, marked = UPPER.encode(), re.compile(f"[{MARKS}]".encode())
+    # letters A-Z are single bytes; code points are the bytes that don't carry on another one
+    flags = {
+        "c": lambda b: 100 * (len(b) - len(b.translate(None, many))) > 5 * len(b.translate(None, CARRYING)),
+        "d": lambda b: marked.search(b) is not None,
+    }
+    rows = materialize(TermMatrix(rows, ["id", "part", "digest"], "_text", flags).row_sums(), "row-sums")
     # both sides are written tables, so a digest that very many documents share is split
     first = materialize(rows.groupBy("digest").agg(F.min("id").alias("first")), "first-ids")
     a, b = F.col("total") < 50, F.lit(100) * F.col("nonzero") < F.lit(65) * F.col("total")

@@ -68,17 +68,17 @@ def test_matrix_has_one_number_for_a_word(spark, monkeypatch):
     monkeypatch.setattr(filter_audit, "SHARD_BYTES", 40)
     texts = ["b a b", None, "c b", "", "a a a d", "é b É"] * 9
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    words, shards = filter_audit.term_matrix(df, ["doc_id"], "text")
-    number = {bytes(r.word).decode(): r.term for r in words.collect()}
+    matrix = filter_audit.TermMatrix(df, ["doc_id"], "text")
+    number = {bytes(r.word).decode(): r.term for r in matrix.dictionary.collect()}
     assert len(set(number.values())) == len(number) == 6
     name = {v: k for k, v in number.items()}
     rows = {}
-    for s in shards.collect():
+    for s in matrix.shards().collect():
         for k, doc in enumerate(s.docs):
             at = slice(s.starts[k], s.starts[k + 1])
             rows[doc.doc_id] = Counter({name[t]: c for t, c in zip(s.terms[at], s.counts[at], strict=True)})
     assert rows == {i: Counter((t or "").split()) for i, t in enumerate(texts)}
-    assert {r.doc_id: (r.total, r.nonzero) for r in filter_audit.row_sums(shards).collect()} == {i: (len((t or "").split()), len({*(t or "").split()})) for i, t in enumerate(texts)}
+    assert {r.doc_id: (r.total, r.nonzero) for r in matrix.row_sums().collect()} == {i: (len((t or "").split()), len({*(t or "").split()})) for i, t in enumerate(texts)}
 
 
 def test_sql(spark):
