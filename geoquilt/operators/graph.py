@@ -42,3 +42,19 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         if state == was:
             break
     return now.select(F.col("x").alias("node"), F.col("y").alias("root")).unionByName(now.select(F.col("y").alias("node"), F.col("y").alias("root")).distinct())
+
+
+def cycles(after: DataFrame) -> DataFrame:
+    """(node, ring, seq) of nodes on closed paths, given as (node, next), each node being the next of one: ``ring`` is the
+    smallest node of a path, ``seq`` counts from it. Places come from jumps of doubling length back to the start, so there are as many
+    rounds as the longest path has binary digits and no path is gathered."""
+    after = materialize(after.select("node", "next"), "next-nodes")
+    # a path of one node has no edge between two, so it is no component
+    roots = components(after, "node", "next").select("node", F.col("root").alias("ring"))
+    back = after.select(F.col("next").alias("node"), F.col("node").alias("to")).join(roots, "node", "left").withColumn("ring", F.coalesce("ring", "node"))
+    first = F.col("node") == F.col("ring")
+    now = materialize(back.select("node", "ring", F.when(first, F.col("node")).otherwise(F.col("to")).alias("to"), F.when(first, 0).otherwise(1).cast("long").alias("seq")), "places")
+    while now.filter("to <> ring").limit(1).count():
+        there = now.select(F.col("node").alias("to"), F.col("to").alias("to2"), F.col("seq").alias("seq2"))
+        now = materialize(now.join(there, "to").select("node", "ring", F.col("to2").alias("to"), (F.col("seq") + F.col("seq2")).alias("seq")), "places")
+    return now.select("node", "ring", "seq")

@@ -78,6 +78,40 @@ def fill_voids(cells: DataFrame) -> DataFrame:
     return met.filter(inside).select("cx", "cy", F.coalesce("_z", "_mean").alias("z"), F.col("_z").isNull().alias("filled"))
 
 
+def fill_all_voids(cells: DataFrame) -> DataFrame:
+    """(cx, cy, z, filled) of every cell of the extent: absent ones are filled from coarser levels, however large the void.
+
+    Push: levels halve, a cell being the mean of the present ones of its four, until a level has no void (three levels share
+    an exchange by block). Pull: from there down, an absent cell is interpolated between the four nearest cells of the level
+    above, of those that are inside the extent (weights 9, 3, 3, 1). Present cells stay as they are. Each level going down is
+    one exchange; coarse levels are small. No cells give none."""
+    e = cells.agg(*[f(c).alias(f"{n}_{c}") for n, f in (("lo", F.min), ("hi", F.max)) for c in ("cx", "cy")]).first()
+    if e.lo_cx is None:
+        return cells.select("cx", "cy", "z", F.lit(False).alias("filled"))
+    bounds = lambda k: (e.lo_cx >> k, e.hi_cx >> k, e.lo_cy >> k, e.hi_cy >> k)
+    whole = lambda k: (bounds(k)[1] - bounds(k)[0] + 1) * (bounds(k)[3] - bounds(k)[2] + 1)
+    half = lambda c: F.shiftright(c, 1).alias(c)
+    known, together = [materialize(cells.select("cx", "cy", F.col("z").cast("double").alias("z")), "cells")], 3
+    while known[-1].count() < whole(len(known) - 1):
+        now = known[-1].select("cx", "cy", "z", F.shiftright("cx", together).alias("bx"), F.shiftright("cy", together).alias("by")).repartition("bx", "by")
+        for _ in range(together):
+            now = now.groupBy("bx", "by", half("cx"), half("cy")).agg(F.avg("z").alias("z"))
+            known.append(now.select("cx", "cy", "z"))
+        known[-1] = materialize(known[-1], "coarse-cells")
+    none = F.lit(None).cast("double")
+    around = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(float((3 if dx in (0, 1) else 1) * (3 if dy in (0, 1) else 1))).alias("w")) for dx in range(-1, 3) for dy in range(-1, 3)])
+    full = next(k for k in range(len(known)) if known[k].count() == whole(k))
+    out = known[full].select("cx", "cy", "z", F.lit(False).alias("filled"))
+    for k in range(full - 1, -1, -1):
+        x0, x1, y0, y1 = bounds(k)
+        sent = out.select("z", "cx", "cy", F.explode(around).alias("a")).select((F.col("cx") * 2 + F.col("a.dx")).alias("cx"), (F.col("cy") * 2 + F.col("a.dy")).alias("cy"), (F.col("z") * F.col("a.w")).alias("wz"), F.col("a.w").alias("w"), none.alias("own"))
+        sent = sent.filter(F.col("cx").between(x0, x1) & F.col("cy").between(y0, y1))
+        met = sent.unionByName(known[k].select("cx", "cy", none.alias("wz"), none.alias("w"), F.col("z").alias("own"))).groupBy("cx", "cy")
+        met = met.agg(F.max("own").alias("own"), (F.sum("wz") / F.sum("w")).alias("between"))
+        out = materialize(met.select("cx", "cy", F.coalesce("own", "between").alias("z"), F.col("own").isNull().alias("filled")), "filled-cells")
+    return out
+
+
 def natural_cell(points: DataFrame) -> DataFrame:
     """Number of points, area, the cell size at which a cell holds one point, and the raster's size at it."""
     s = points.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))

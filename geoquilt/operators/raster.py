@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geoquilt.operators.graph import components
+from geoquilt.operators.graph import components, cycles
 from geoquilt.sources.shared import materialize
 
 #: Largest values of scalar types. Fixed values.
@@ -163,12 +163,23 @@ def boundary_edges(mask: DataFrame) -> DataFrame:
     return s.join(m, ["image_id", "nx", "ny"], "left_anti").select("image_id", "x0", "y0", "x1", "y1")
 
 
+#: Type of the names of regions, rings and places.
+NAME = "decimal(38,0)"
+
+
+def place_name(image: Column, y: Column, x: Column) -> Column:
+    """A number for a place of an image, in the order of image, y, x; places of any 32-bit numbers have different ones."""
+    part = lambda c: c.cast("decimal(11,0)") + F.lit(1 << 31)
+    width = F.lit(10**10).cast("decimal(11,0)")  # more than there are 32-bit numbers
+    return ((part(image) * width + part(y)) * width + part(x)).cast(NAME)
+
+
 def regions(mask: DataFrame) -> DataFrame:
-    """(image_id, x, y, region): 4-connected foreground, named by the smallest run in it. Rows become runs first, so the
-    graph has a node for each run and an edge where runs of neighbouring rows overlap."""
+    """(image_id, x, y, region): 4-connected foreground, named by the first run in it in raster order. Rows become runs first,
+    so the graph has a node for each run and an edge where runs of neighbouring rows overlap."""
     row = Window.partitionBy("image_id", "y").orderBy("x")
     runs = mask.withColumn("_g", F.col("x") - F.row_number().over(row)).groupBy("image_id", "y", "_g").agg(F.min("x").alias("a"), F.max("x").alias("b"))
-    runs = runs.withColumn("run", (F.col("image_id").cast("long") * F.lit(1 << 40)) + F.col("y").cast("long") * F.lit(1 << 20) + F.col("a")).drop("_g")
+    runs = runs.withColumn("run", place_name(F.col("image_id"), F.col("y"), F.col("a"))).drop("_g")
     up = runs.select("image_id", (F.col("y") + 1).alias("y"), F.col("a").alias("ua"), F.col("b").alias("ub"), F.col("run").alias("up"))
     touching = runs.join(up, ["image_id", "y"]).filter((F.col("a") <= F.col("ub")) & (F.col("b") >= F.col("ua")))
     roots = components(touching, "run", "up")
@@ -178,7 +189,7 @@ def regions(mask: DataFrame) -> DataFrame:
 
 def straight_sides(edges: DataFrame) -> DataFrame:
     """Unit edges of a boundary joined where they go straight on: image_id, x0, y0, x1, y1, the direction dx, dy, and side, a
-    number of its own (images below 2 ** 20, positions below 2 ** 20)."""
+    number of its own."""
     flat = F.col("y0") == F.col("y1")
     e = edges.withColumns({"dx": F.col("x1") - F.col("x0"), "dy": F.col("y1") - F.col("y0"), "line": F.when(flat, F.col("y0")).otherwise(F.col("x0")), "at": F.when(flat, F.least("x0", "x1")).otherwise(F.least("y0", "y1"))})
     along = ("image_id", "dx", "dy", "line")
@@ -188,8 +199,8 @@ def straight_sides(edges: DataFrame) -> DataFrame:
     spot = lambda at: (F.when(F.col("dy") == 0, at).otherwise(F.col("line")).cast("int"), F.when(F.col("dy") == 0, F.col("line")).otherwise(at).cast("int"))
     (x0, y0), (x1, y1) = spot(first), spot(last)
     s = s.select("image_id", x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), "dx", "dy")
-    forward = (F.col("dx") + F.col("dy") > 0).cast("long")  # two sides that begin at one corner go opposite ways
-    return s.withColumn("side", ((F.col("image_id").cast("long") * F.lit(1 << 20) + F.col("y0")) * F.lit(1 << 20) + F.col("x0")) * 2 + forward)
+    forward = (F.col("dx") + F.col("dy") > 0).cast("int")  # two sides that begin at one corner go opposite ways
+    return s.withColumn("side", (place_name(F.col("image_id"), F.col("y0"), F.col("x0")) * F.lit(2).cast("decimal(1,0)") + forward).cast(NAME))
 
 
 def rings(mask: DataFrame) -> DataFrame:
@@ -197,20 +208,13 @@ def rings(mask: DataFrame) -> DataFrame:
     there x1, y1, dx, dy. The foreground is at the left hand, so holes run the other way round than outlines.
 
     Where two pixels touch at a corner only, a ring turns left and stays with its pixel. A ring is named by its smallest
-    side, found as a component; places along it come from doubling jumps back to that side, so there are as many rounds as
-    the longest ring has binary digits and no ring is gathered."""
+    side, at which it begins; no ring is gathered (see ``cycles``)."""
     sides = materialize(straight_sides(boundary_edges(mask)), "sides")
     left = (F.col("n.dx") == F.col("s.dy")) & (F.col("n.dy") == -F.col("s.dx"))
     meet = sides.alias("s").join(sides.alias("n"), (F.col("s.image_id") == F.col("n.image_id")) & (F.col("s.x1") == F.col("n.x0")) & (F.col("s.y1") == F.col("n.y0")))
-    after = materialize(meet.groupBy(F.col("s.side").alias("side")).agg(F.min_by(F.col("n.side"), F.when(left, 0).otherwise(1)).alias("next")), "next-sides")
-    roots = components(after, "side", "next").withColumnsRenamed({"node": "side", "root": "ring"})
-    back = after.select(F.col("next").alias("side"), F.col("side").alias("to")).join(roots, "side")
-    first = F.col("side") == F.col("ring")
-    now = materialize(back.select("side", "ring", F.when(first, F.col("side")).otherwise(F.col("to")).alias("to"), F.when(first, 0).otherwise(1).cast("long").alias("seq")), "places")
-    while now.filter("to <> ring").limit(1).count():
-        there = now.select(F.col("side").alias("to"), F.col("to").alias("to2"), F.col("seq").alias("seq2"))
-        now = materialize(now.join(there, "to").select("side", "ring", F.col("to2").alias("to"), (F.col("seq") + F.col("seq2")).alias("seq")), "places")
-    return sides.join(now.select("side", "ring", "seq"), "side").select("image_id", "ring", "seq", F.col("x0").alias("x"), F.col("y0").alias("y"), "x1", "y1", "dx", "dy")
+    after = meet.groupBy(F.col("s.side").alias("side")).agg(F.min_by(F.col("n.side"), F.when(left, 0).otherwise(1)).alias("next"))
+    now = cycles(after.select(F.col("side").alias("node"), "next")).withColumnRenamed("node", "side")
+    return sides.join(now, "side").select("image_id", "ring", "seq", F.col("x0").alias("x"), F.col("y0").alias("y"), "x1", "y1", "dx", "dy")
 
 
 def ring_areas(outlines: DataFrame) -> DataFrame:
@@ -247,7 +251,7 @@ def remove_speckles(mask: DataFrame, most: int = 2) -> DataFrame:
     large = sizes.filter(F.col("n") > most).select("region")
     if most >= 8:
         fill = lambda pdf: pd.DataFrame({"region": pdf["region"].iloc[:1], "n": [enclosed(pdf["x"].to_numpy(), pdf["y"].to_numpy())]})
-        ringed = r.join(sizes.filter((F.col("n") >= 8) & (F.col("n") <= most)).select("region"), "region", "left_semi").groupBy("region").applyInPandas(fill, "region long, n long")
+        ringed = r.join(sizes.filter((F.col("n") >= 8) & (F.col("n") <= most)).select("region"), "region", "left_semi").groupBy("region").applyInPandas(fill, f"region {NAME}, n long")
         large = large.unionByName(ringed.filter(F.col("n") > most).select("region"))
     return r.join(large, "region", "left_semi").select("image_id", "x", "y")
 
@@ -378,6 +382,75 @@ def template_matches(ref: DataFrame, cmp: DataFrame, features: DataFrame, radius
     return placed.groupBy(*keys, "tile_x", "tile_y").applyInPandas(run, f"{kinds}feature_id long, dx int, dy int, n long, ncc double")
 
 
+def window_sums(a: np.ndarray, r: int) -> np.ndarray:
+    """Sums over the windows of 2r + 1 squared that lie inside, from a summed-area table."""
+    s = np.zeros((a.shape[0] + 1, a.shape[1] + 1))
+    np.cumsum(np.cumsum(a, 0), 1, out=s[1:, 1:])
+    n = 2 * r + 1
+    return s[n:, n:] - s[:-n, n:] - s[n:, :-n] + s[:-n, :-n]
+
+
+def dense_correlations(a: np.ndarray, b: np.ndarray, radius: int, search: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pixels that both have, normalised correlation) of the patch around every inner pixel of ``a`` at every offset into
+    ``b``: arrays offset (dy, then dx), y, x. Both arrays reach radius + search beyond the inner pixels; NaN is null."""
+    middle = np.round(np.nanmean(a)) if not np.isnan(a).all() else 0.0  # correlation doesn't change, sums stay small
+    have_a, have_b = ~np.isnan(a), ~np.isnan(b)
+    va, vb = np.where(have_a, a - middle, 0.0), np.where(have_b, b - middle, 0.0)
+    inner = slice(search, a.shape[0] - search)
+    n_all, ncc_all = [], []
+    for dy in range(-search, search + 1):
+        for dx in range(-search, search + 1):
+            at = slice(search + dy, a.shape[0] - search + dy), slice(search + dx, a.shape[1] - search + dx)
+            both = have_a[inner, inner] & have_b[at]
+            x, y = va[inner, inner] * both, vb[at] * both
+            n, sx, sy, sxx, syy, sxy = (window_sums(z, radius) for z in (both.astype(float), x, y, x * x, y * y, x * y))
+            px, py = n * sxx - sx * sx, n * syy - sy * sy
+            ok = (px > 1e-9 * n * sxx) & (py > 1e-9 * n * syy)  # what rounding leaves of a flat patch isn't a slope
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ncc_all.append(np.where(ok, (n * sxy - sx * sy) / np.sqrt(px * py), np.nan))
+            n_all.append(n)
+    return np.round(np.stack(n_all)).astype(np.int64), np.stack(ncc_all)
+
+
+def dense_matches(ref: DataFrame, cmp: DataFrame, tiles: DataFrame, radius: int, search: int, least: int, keys: tuple[str, ...] = (), most: int | None = None, tile: int = 64) -> DataFrame:
+    """Correlation of the patch around every pixel of search tiles (x, y, w, h) at every offset, or at the ``most`` best ones
+    (ties: smallest dy, then dx): x, y, dx, dy, n, ncc, as ``template_matches`` gives for ``raster_steps`` of 1.
+
+    Tiles of a pair don't overlap. A pixel travels as there; in a task all patches are correlated at once, an offset at a
+    time, from summed-area tables, so the work doesn't grow with the size of the patch."""
+    keys, reach = list(keys), radius + search
+    number = lambda v, kind="int": v.cast(kind)
+    none = F.lit(None)
+    rows = lambda df, kind, v, w, h: df.select(*keys, F.lit(kind).alias("kind"), number(F.col("x")).alias("x"), number(F.col("y")).alias("y"), number(v, "double").alias("v"), number(w).alias("w"), number(h).alias("h"))
+    placed = with_halo(rows(ref, 0, F.col("v"), none, none).unionByName(rows(cmp, 1, F.col("v"), none, none)), tile, reach)
+    span = lambda at, size: F.explode(F.sequence(F.floor(F.col(at) / tile).cast("int"), F.floor((F.col(at) + F.col(size) - 1) / tile).cast("int")))
+    wanted = rows(tiles.filter("w > 0 AND h > 0"), 2, none, F.col("w"), F.col("h")).withColumn("tile_x", span("x", "w")).withColumn("tile_y", span("y", "h"))
+    names = ["x", "y", "dx", "dy", "n", "ncc"]
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x0, y0 = int(key[-2]) * tile, int(key[-1]) * tile
+        asked = np.zeros((tile, tile), bool)
+        for r in pdf[pdf["kind"] == 2].itertuples():
+            asked[max(0, r.y - y0) : max(0, int(r.y + r.h) - y0), max(0, r.x - x0) : max(0, int(r.x + r.w) - x0)] = True
+        found = pd.DataFrame({c: [] for c in names})
+        if asked.any():
+            side = tile + 2 * reach
+            n, ncc = dense_correlations(*(dense(pdf[pdf["kind"] == k], x0 - reach, y0 - reach, side, side) for k in (0, 1)), radius, search)
+            ok = (n >= least) & ~np.isnan(ncc) & asked
+            order = np.argsort(np.where(ok, -ncc, np.inf), axis=0, kind="stable")[:most]
+            good = np.take_along_axis(ok, order, 0)
+            _, y, x = np.nonzero(good)
+            at = order[good]
+            dy, dx = at // (2 * search + 1) - search, at % (2 * search + 1) - search
+            found = pd.DataFrame({"x": x + x0, "y": y + y0, "dx": dx, "dy": dy, "n": n[at, y, x], "ncc": ncc[at, y, x]})
+        for i, c in enumerate(keys):
+            found.insert(i, c, key[i])
+        return found
+
+    kinds = "".join(f"{c} {ref.schema[c].dataType.simpleString()}, " for c in keys)
+    return placed.unionByName(wanted).groupBy(*keys, "tile_x", "tile_y").applyInPandas(run, f"{kinds}x int, y int, dx int, dy int, n long, ncc double")
+
+
 def fourier(pixels: DataFrame, width: int, height: int, inverse: bool = False) -> DataFrame:
     """(image_id, x, y, re, im): the 2-D transform, rows first, then columns; forward over width * height, inverse unscaled.
     Null pixels count as 0. Input: re and im, or v."""
@@ -445,10 +518,19 @@ def describe(pixels: DataFrame, features: DataFrame, name: str, **options) -> Da
     return DESCRIPTORS[name](pixels, features, **options)
 
 
+def pixel_number(x: Column, y: Column) -> Column:
+    """A number for a pixel of an image; pixels are at 31-bit positions, so x is its upper part and y its lower one."""
+    return F.shiftleft(x.cast("long"), 31).bitwiseOR(y.cast("long"))
+
+
+def pixel_of(number: Column) -> tuple[Column, Column]:
+    return F.shiftright(number, 31).cast("int"), number.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+
+
 def raster_steps(tiles: DataFrame, step: int = 1) -> DataFrame:
     """Every ``step``-th pixel of each search tile (x, y, w, h), from its upper left corner, as a feature to correlate where
-    no detector is asked: the other columns of ``tiles``, feature_id, x, y. Positions are below 65,536."""
+    no detector is asked: the other columns of ``tiles``, feature_id (see ``pixel_number``), x, y."""
     along = lambda at, length: F.explode(F.sequence(F.col(at), F.col(at) + F.col(length) - 1, F.lit(step)))
     keep = [c for c in tiles.columns if c not in ("x", "y", "w", "h")]
     at = tiles.filter("w > 0 AND h > 0").withColumn("px", along("x", "w")).withColumn("py", along("y", "h"))
-    return at.select(*keep, (F.col("px").cast("long") * 65536 + F.col("py")).alias("feature_id"), F.col("px").cast("int").alias("x"), F.col("py").cast("int").alias("y"))
+    return at.select(*keep, pixel_number(F.col("px"), F.col("py")).alias("feature_id"), F.col("px").cast("int").alias("x"), F.col("py").cast("int").alias("y"))

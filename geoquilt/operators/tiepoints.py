@@ -295,9 +295,10 @@ def descriptor_matches(left: DataFrame, right: DataFrame, k: int, norm: str = "l
 
 
 def cross_check(forward: DataFrame, backward: DataFrame) -> DataFrame:
-    """Pairs that are each other's nearest."""
-    back = backward.filter("rank = 1").select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"))
-    return forward.filter("rank = 1").join(back, ["id_a", "id_b"]).drop("rank")
+    """Pairs that are each other's nearest; in a tile, if both sides name it."""
+    tile = [c for c in ("tile_id",) if c in forward.columns and c in backward.columns]
+    back = backward.filter("rank = 1").select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"), *tile)
+    return forward.filter("rank = 1").join(back, ["id_a", "id_b", *tile]).drop("rank")
 
 
 def strengths(pairs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from geoquilt.functions import grid, sensors
 from geoquilt.functions import timeorbit as to
@@ -38,22 +39,35 @@ def stretched(t) -> DataFrame:
     return materialize(rs.stretch(image, rs.band_stats(image, t.images.filter("image_id < 0"))), "stretched")
 
 
-def search_tiles(images: DataFrame, pairs: DataFrame, settings: tp.FilterSettings) -> DataFrame:
-    """Search tiles over what the footprints of each pair of images have in common: image_a, image_b, tile_id, x, y, w, h.
+def image_boxes(images: DataFrame) -> DataFrame:
+    """(id, min_x, min_y, max_x, max_y) of the pixels of each image."""
+    ends = [f(c).cast("double").alias(f"{n}_{c}") for n, f in (("min", F.min), ("max", F.max)) for c in "xy"]
+    return images.groupBy(F.col("image_id").alias("id")).agg(*ends).select("id", "min_x", "min_y", "max_x", "max_y")
 
-    Images have numbers below 4096 and positions below 65,536; a tile's id holds the pair and its corner."""
-    ends = images.groupBy("image_id").agg(*[f(c).cast("double").alias(f"{n}{c}") for n, f in (("a", F.min), ("b", F.max)) for c in "xy"])
+
+def overlapping_pairs(boxes: DataFrame, reverse: bool = False, cell: float = 4096.0) -> DataFrame:
+    """(image_a, image_b) of images whose boxes overlap, the smaller number first; with ``reverse`` both ways."""
+    pairs = spatial.box_pairs(boxes, boxes, cell).filter("id_a < id_b").select(F.col("id_a").alias("image_a"), F.col("id_b").alias("image_b"))
+    if reverse:
+        pairs = pairs.unionByName(pairs.select(F.col("image_b").alias("image_a"), F.col("image_a").alias("image_b")))
+    return pairs
+
+
+def search_tiles(images: DataFrame, settings: tp.FilterSettings, reverse: bool = False) -> DataFrame:
+    """Search tiles over what the footprints of pairs of images have in common: image_a, image_b, tile_id, x, y, w, h.
+
+    Pairs come from the grid join of the images' boxes. Tiles are numbered as they are written, the smaller image of a pair
+    first; the numbers have no meaning."""
+    boxes = materialize(image_boxes(images), "image-boxes")
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    outlines = ends.select(F.col("image_id").alias("id"), F.array(corner("ax", "ay"), corner("bx", "ay"), corner("bx", "by"), corner("ax", "by")).alias("ring"))
-    window = 2 * PATCH + 1
-    asked = pairs.select(F.col("image_a").alias("id_a"), F.col("image_b").alias("id_b"))
-    shared = spatial.footprint_overlaps(asked, outlines, settings.features_per_tile * window**2 / 2)
+    outlines = boxes.select("id", F.array(corner("min_x", "min_y"), corner("max_x", "min_y"), corner("max_x", "max_y"), corner("min_x", "max_y")).alias("ring"))
+    asked = overlapping_pairs(boxes, reverse).select(F.col("image_a").alias("id_a"), F.col("image_b").alias("id_b"))
+    shared = spatial.footprint_overlaps(asked, outlines, settings.features_per_tile * (2 * PATCH + 1) ** 2 / 2)
     whole = lambda c: F.col(c).cast("int")
-    overlaps = shared.select((F.col("id_a").cast("long") * 4096 + F.col("id_b")).alias("image_id"), whole("min_x").alias("x0"), whole("min_y").alias("y0"), (whole("max_x") - whole("min_x") + 1).alias("width"), (whole("max_y") - whole("min_y") + 1).alias("height"), F.col("overlap").alias("ring"))
-    tiles = spatial.search_tiles(overlaps, TILE, 0)
-    pair = F.col("image_id")
-    tile_id = pair * F.lit(1 << 32) + F.col("x") * 65536 + F.col("y")
-    return tiles.select(F.floor(pair / 4096).cast("int").alias("image_a"), (pair % 4096).cast("int").alias("image_b"), tile_id.alias("tile_id"), "x", "y", "w", "h")
+    pair = F.struct(F.col("id_a").alias("image_a"), F.col("id_b").alias("image_b"))
+    overlaps = shared.select(pair.alias("image_id"), whole("min_x").alias("x0"), whole("min_y").alias("y0"), (whole("max_x") - whole("min_x") + 1).alias("width"), (whole("max_y") - whole("min_y") + 1).alias("height"), F.col("overlap").alias("ring"))
+    tiles = spatial.search_tiles(overlaps, TILE, 0).select("image_id.*", "x", "y", "w", "h")
+    return materialize(tiles.withColumn("tile_id", F.monotonically_increasing_id()), "search-tiles")
 
 
 def on_tiles(corners: DataFrame, tiles: DataFrame, image: str, most: int, cell: int = 32) -> DataFrame:
@@ -62,35 +76,47 @@ def on_tiles(corners: DataFrame, tiles: DataFrame, image: str, most: int, cell:
     cells = lambda at, length: F.explode(F.sequence(F.floor(F.col(at) / cell).cast("int"), F.floor((F.col(at) + F.col(length) - 1) / cell).cast("int")))
     t = tiles.withColumn("tile_x", cells("x", "w")).withColumn("tile_y", cells("y", "h")).withColumnsRenamed({"x": "x0", "y": "y0"}).withColumn("image_id", F.col(image))
     inside = (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x0") + F.col("w")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y0") + F.col("h"))
-    found = t.join(corners, ["image_id", "tile_x", "tile_y"]).filter(inside).withColumn("feature_id", F.col("x").cast("long") * 65536 + F.col("y"))
+    found = t.join(corners, ["image_id", "tile_x", "tile_y"]).filter(inside).withColumn("feature_id", rs.pixel_number(F.col("x"), F.col("y")))
     return tp.cap_features(found, "response", most, "feature_id").select("image_a", "image_b", "tile_id", "feature_id", "x", "y")
 
 
-def correlate(images: DataFrame, features: DataFrame, pairs: DataFrame, settings: tp.FilterSettings, search: int) -> DataFrame:
+def pixels_around(images: DataFrame, features: DataFrame, image: str, reach: int, cell: int = 64) -> DataFrame:
+    """(image_a, image_b, x, y, v): pixels of an image of each pair, in the cells of a grid that the pair's features reach."""
+    span = lambda c: F.explode(F.sequence(F.floor((F.col(c) - reach) / cell).cast("int"), F.floor((F.col(c) + reach) / cell).cast("int")))
+    cells = features.select("image_a", "image_b", F.col(image).alias("image_id"), "x", "y").withColumn("cell_x", span("x")).withColumn("cell_y", span("y"))
+    cells = cells.select("image_a", "image_b", "image_id", "cell_x", "cell_y").distinct()
+    placed = images.withColumns({"cell_x": F.floor(F.col("x") / cell).cast("int"), "cell_y": F.floor(F.col("y") / cell).cast("int")})
+    return placed.join(cells, ["image_id", "cell_x", "cell_y"]).select("image_a", "image_b", "x", "y", "v")
+
+
+def correlate(images: DataFrame, features: DataFrame, settings: tp.FilterSettings, search: int) -> DataFrame:
     """The best places of each feature (image_a, image_b, tile_id, feature_id, x, y) in the other image of its pair:
-    tile_id, tp_id, match_rank, dx, dy, confidence."""
-    of = lambda image: pairs.join(images, F.col(image) == F.col("image_id")).select("image_a", "image_b", "x", "y", "v")
+    tile_id, tp_id, match_rank, dx, dy, confidence. Only pixels that features reach are copied to pairs."""
     once = features.select("image_a", "image_b", "feature_id", "x", "y").distinct()
-    found = rs.template_matches(of("image_a"), of("image_b"), once, PATCH, search, math.ceil(SHARE * (2 * PATCH + 1) ** 2), ("image_a", "image_b"))
-    m = found.join(features, ["image_a", "image_b", "feature_id"]).select("tile_id", F.col("feature_id").alias("tp_id"), (F.col("dy") * 4096 + F.col("dx")).alias("match_rank"), F.col("dx").cast("double").alias("dx"), F.col("dy").cast("double").alias("dy"), F.col("ncc").alias("confidence"))
-    return tp.best_matches(m, 0.1, settings.matches_per_feature)
+    of = lambda image, reach: pixels_around(images, once, image, reach)
+    found = rs.template_matches(of("image_a", PATCH), of("image_b", PATCH + search), once, PATCH, search, math.ceil(SHARE * (2 * PATCH + 1) ** 2), ("image_a", "image_b"))
+    order = Window.partitionBy("image_a", "image_b", "feature_id").orderBy(F.desc("ncc"), "dy", "dx")
+    m = found.filter("ncc >= 0.1").withColumn("match_rank", F.row_number().over(order)).filter(F.col("match_rank") <= settings.matches_per_feature)
+    m = m.join(features.drop("x", "y"), ["image_a", "image_b", "feature_id"])
+    return m.select("tile_id", F.col("feature_id").alias("tp_id"), "match_rank", F.col("dx").cast("double").alias("dx"), F.col("dy").cast("double").alias("dy"), F.col("ncc").alias("confidence"))
 
 
-def of_pairs(points: DataFrame) -> DataFrame:
-    """Tie points with the images that their tile's id names."""
-    pair = F.shiftright("tile_id", 32)
-    return points.select(F.floor(pair / 4096).cast("int").alias("image_a"), (pair % 4096).cast("int").alias("image_b"), *points.columns)
+def of_pairs(points: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Tie points with the images of their tile and their place in the first of them."""
+    x, y = rs.pixel_of(F.col("tp_id"))
+    found = points.join(tiles.select("tile_id", "image_a", "image_b"), "tile_id")
+    return found.select("image_a", "image_b", x.alias("x"), y.alias("y"), *points.columns)
 
 
 @query("p1_tie_points_correlation")
 def p1(t):
     """Tie points of all pairs of images, both ways, by correlation of patches around corners."""
     settings, images = tp.FilterSettings(), stretched(t)
-    pairs = spatial.image_pairs(t.images, "image_id", reverse=True)
+    tiles = search_tiles(images, settings, reverse=True)
     corners = rs.detect(images, "min_eigen", tile=32, quality=0.01, most=settings.features_per_tile)
-    features = materialize(on_tiles(corners, search_tiles(images, pairs, settings), "image_a", settings.features_per_tile), "features")
-    candidates = correlate(images, features, pairs, settings, search_radius(ERROR, ERROR, GSD))
-    return of_pairs(tp.top_points(tp.filter_without_parallax(candidates, settings), settings.points_per_tile))
+    features = materialize(on_tiles(corners, tiles, "image_a", settings.features_per_tile), "features")
+    candidates = correlate(images, features, settings, search_radius(ERROR, ERROR, GSD))
+    return of_pairs(tp.top_points(tp.filter_without_parallax(candidates, settings), settings.points_per_tile), tiles)
 
 
 @query("p2_tie_points_descriptor")
@@ -99,18 +125,18 @@ def p2(t):
     settings, images = tp.FilterSettings(), stretched(t)
     corners = materialize(rs.detect(images, "min_eigen", tile=32, quality=0.01, most=settings.features_per_tile), "corners")
     described = materialize(rs.patch_descriptors(images, corners), "descriptors")
-    tiles = materialize(search_tiles(images, spatial.image_pairs(t.images, "image_id"), settings), "search-tiles")
+    tiles = search_tiles(images, settings)
 
     def side(image: str) -> DataFrame:
         f = on_tiles(corners, tiles, image, 8 * settings.features_per_tile).withColumn("image_id", F.col(image))
-        return f.join(described, ["image_id", "x", "y"]).select("tile_id", (F.shiftright("tile_id", 32) * F.lit(1 << 32) + F.col("feature_id")).alias("vec_id"), "embedding")
+        return f.join(described, ["image_id", "x", "y"]).select("tile_id", F.col("feature_id").alias("vec_id"), "embedding")
 
     a, b = materialize(side("image_a"), "left"), materialize(side("image_b"), "right")
-    both = tp.strengths(tp.cross_check(tp.descriptor_matches(a, b, 1), tp.descriptor_matches(b, a, 1).select("id_a", "id_b", "rank")))
-    x, y = (lambda c: F.floor(F.col(c) / 65536) % 65536), (lambda c: F.col(c) % 65536)
-    m = both.select("tile_id", (F.col("id_a") % F.lit(1 << 32)).alias("tp_id"), F.lit(1).alias("match_rank"), (x("id_b") - x("id_a")).cast("double").alias("dx"), (y("id_b") - y("id_a")).cast("double").alias("dy"), F.col("strength").alias("confidence"))
+    both = tp.strengths(tp.cross_check(tp.descriptor_matches(a, b, 1), tp.descriptor_matches(b, a, 1)))
+    (ax, ay), (bx, by) = rs.pixel_of(F.col("id_a")), rs.pixel_of(F.col("id_b"))
+    m = both.select("tile_id", F.col("id_a").alias("tp_id"), F.lit(1).alias("match_rank"), (bx - ax).cast("double").alias("dx"), (by - ay).cast("double").alias("dy"), F.col("strength").alias("confidence"))
     m = tp.cap_features(m, "confidence", settings.features_per_tile, "tp_id")
-    return of_pairs(tp.top_points(tp.filter_without_parallax(m, tp.FilterSettings(min_vector_difference=30.0)), settings.points_per_tile))
+    return of_pairs(tp.top_points(tp.filter_without_parallax(m, tp.FilterSettings(min_vector_difference=30.0)), settings.points_per_tile), tiles)
 
 
 def pyramid_tiles(t, tile: int = 32) -> DataFrame:
@@ -257,16 +283,18 @@ def surface_points(t, matches: DataFrame, most: float = 25.0) -> DataFrame:
 
 @query("p5_surface_model")
 def p5(t):
-    """A surface from matches at every fourth pixel of each pair of images: points in space, the highest of each cell, and
-    voids filled from the cells around them."""
-    images, settings = stretched(t), tp.FilterSettings()
-    pairs = spatial.image_pairs(t.images, "image_id")
-    steps = rs.full_grid(t.images, SIDE, SIDE).filter("x % 4 = 0 AND y % 4 = 0").join(pairs, F.col("image_id") == F.col("image_a"))
-    features = steps.select("image_a", "image_b", (F.col("image_a").cast("long") * 4096 + F.col("image_b")).alias("tile_id"), (F.col("x").cast("long") * 65536 + F.col("y")).alias("feature_id"), "x", "y")
-    found = correlate(images, materialize(features, "steps"), pairs, settings.with_overrides({"matches_per_feature": 1}), search_radius(ERROR, ERROR, GSD))
-    matches = found.select(F.col("tp_id").alias("feature_id"), F.floor(F.col("tp_id") / 65536).alias("x"), (F.col("tp_id") % 65536).alias("y"), "dx", "dy")
+    """A surface from matches at every pixel that pairs of images have in common: points in space, the highest of each cell,
+    and voids of any size filled from coarser cells."""
+    settings, images = tp.FilterSettings(), stretched(t)
+    tiles, search = search_tiles(images, settings), search_radius(ERROR, ERROR, GSD)
+    corners = tiles.withColumn("places", F.array(*[F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y")) for dx in (F.lit(0), F.col("w") - 1) for dy in (F.lit(0), F.col("h") - 1)]))
+    ends = corners.select("image_a", "image_b", F.inline("places"))
+    of = lambda image, reach: pixels_around(images, ends, image, TILE + reach)  # noqa: E731  a tile's corners reach all of it
+    found = rs.dense_matches(of("image_a", PATCH), of("image_b", PATCH + search), tiles, PATCH, search, math.ceil(SHARE * (2 * PATCH + 1) ** 2), ("image_a", "image_b"), 1)
+    found = materialize(found.filter("ncc >= 0.1"), "dense-matches")
+    matches = found.select(F.monotonically_increasing_id().alias("feature_id"), "x", "y", "dx", "dy")
     cloud = surface_points(t, matches).select(F.col("feature_id").alias("point_id"), F.col("lon").alias("x"), F.col("lat").alias("y"), F.col("h").alias("z"))
-    return pc.fill_voids(pc.rasterise(cloud, 0.0, -1.0, 0.0005, "highest"))
+    return pc.fill_all_voids(pc.rasterise(cloud, 0.0, -1.0, 0.0005, "highest"))
 
 
 def outlined(t) -> tuple[DataFrame, DataFrame]:

@@ -64,3 +64,22 @@ def a13(t):
 @query("w7_point_ids", "SELECT point_id, row_number() OVER (ORDER BY point_id) - 1 AS id FROM points")
 def w7(t):
     return pc.with_ids(t.points.select("point_id"), ["point_id"])
+
+
+def voids_sql(levels: int = 9) -> str:
+    """Rows of fill_all_voids of the test points: means up over more levels than are needed, then down again."""
+    up = ["k0 AS MATERIALIZED (SELECT CAST(trunc(x/0.25) AS INT) AS cx, CAST(trunc(y/0.25) AS INT) AS cy, max(z) AS z FROM points GROUP BY 1, 2)", "e AS (SELECT min(cx) AS x0, max(cx) AS x1, min(cy) AS y0, max(cy) AS y1 FROM k0)"]
+    up += [f"k{k} AS MATERIALIZED (SELECT cx >> 1 AS cx, cy >> 1 AS cy, avg(z) AS z FROM k{k - 1} GROUP BY 1, 2)" for k in range(1, levels + 1)]
+    down = [f"f{levels} AS (SELECT cx, cy, z, false AS filled FROM k{levels})"]
+    for k in range(levels - 1, -1, -1):
+        down.append(f"""f{k} AS MATERIALIZED (SELECT cx, cy, coalesce(max(own), sum(wz)/sum(w)) AS z, max(own) IS NULL AS filled FROM (
+SELECT cx*2 + d.a AS cx, cy*2 + g.a AS cy, z*d.w*g.w AS wz, d.w*g.w AS w, CAST(NULL AS DOUBLE) AS own FROM f{k + 1}, wts d, wts g UNION ALL SELECT cx, cy, NULL, NULL, z FROM k{k}) q, e
+WHERE cx BETWEEN x0 >> {k} AND x1 >> {k} AND cy BETWEEN y0 >> {k} AND y1 >> {k} GROUP BY 1, 2)""")
+    wts = "wts(a, w) AS (VALUES (-1, CAST(1 AS DOUBLE)), (0, 3), (1, 3), (2, 1))"
+    return f"WITH {', '.join([wts, *up, *down])} SELECT CAST(cx AS INT) AS cx, CAST(cy AS INT) AS cy, round(z, 6) AS z, filled FROM f0"
+
+
+@query("p5_filled_voids", voids_sql())
+def p5_voids(t):
+    """A raster of the points in which three cells of four are void, with all voids filled."""
+    return pc.fill_all_voids(pc.rasterise(t.points, 0.0, 0.0, 0.25, "highest")).withColumn("z", F.round("z", 6))

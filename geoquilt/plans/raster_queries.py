@@ -181,7 +181,16 @@ def j11_step(t):
     """Correlation at every 16th pixel of the tiles of an image, without a detector."""
     cell = F.explode(F.sequence(F.lit(0), F.lit(SIDE - 1), F.lit(64)))
     tiles = t.images.filter("image_id = 0").withColumn("x", cell).withColumn("y", cell).select("x", "y", F.lit(64).alias("w"), F.lit(64).alias("h"))
-    found = rs.template_matches(t.pixels.filter("image_id = 0"), t.pixels.filter("image_id = 1"), rs.raster_steps(tiles, 16), 2, 2, 4)
+    steps = rs.raster_steps(tiles, 16).withColumn("feature_id", F.col("x").cast("long") * 65536 + F.col("y"))
+    found = rs.template_matches(t.pixels.filter("image_id = 0"), t.pixels.filter("image_id = 1"), steps, 2, 2, 4)
+    return found.withColumn("ncc", F.round("ncc", 9))
+
+
+@query("j11_dense", PATCH.replace("a*256 + b AS", "a*65536 + b AS").replace("range(16, 256, 32)", "range(0, 256)") + " SELECT CAST(feature_id // 65536 AS INT) AS x, CAST(feature_id % 65536 AS INT) AS y, dx, dy, n, ncc FROM n")
+def j11_dense(t):
+    """Correlation at every pixel of an image and every offset, from summed-area tables."""
+    whole = t.images.filter("image_id = 0").select(F.lit(0).alias("x"), F.lit(0).alias("y"), F.lit(SIDE).alias("w"), F.lit(SIDE).alias("h"))
+    found = rs.dense_matches(t.pixels.filter("image_id = 0"), t.pixels.filter("image_id = 1"), whole, 2, 2, 4)
     return found.withColumn("ncc", F.round("ncc", 9))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geoquilt.operators import spatial
+from geoquilt.operators import polygons, spatial
 from geoquilt.plans.catalog import query
 from geoquilt.sources import features as vf
 
@@ -126,3 +126,45 @@ def s28(t):
     curve = F.array(F.struct(p(0, 0).alias("a"), p(10.0, 40.0).alias("b"), p(50.0, 45.0).alias("c"), p(60.0, 0).alias("d")))
     v = t.rects.select("image_id", F.posexplode(flatten_curves(curve)).alias("i", "v"))
     return v.select("image_id", (F.col("i") + 1).alias("vertex"), F.round("v.x", 9).alias("x"), F.round("v.y", 9).alias("y"))
+
+
+#: Shapes in a box of ten by ten: an L with a hole, and an arrow with a hole and a second outline in its notch. Outlines run
+#: counterclockwise, holes clockwise.
+SHAPES = {
+    0: (((0, 0), (10, 0), (10, 4), (4, 4), (4, 10), (0, 10)), ((1, 1), (1, 3), (3, 3), (3, 1))),
+    1: (((0, 0), (10, 2), (3, 5), (10, 8), (0, 10)), ((1, 4), (1, 6), (2, 5)), ((6.5, 4.5), (8, 4.5), (8, 5.5), (6.5, 5.5))),
+}
+
+
+def shaped(t):
+    """A polygon for each footprint, of one of two shapes: id, rings."""
+    v = lambda p: F.struct((F.col("min_lon") + float(p[0])).alias("x"), (F.col("min_lat") + float(p[1])).alias("y"))
+    of = lambda k: F.array(*[F.array(*[v(p) for p in ring]) for ring in SHAPES[k]])
+    return t.footprints.select(F.col("cell_id").alias("id"), F.when(F.col("cell_id") % 2 == 0, of(0)).otherwise(of(1)).alias("rings"))
+
+
+def general_overlap_sql() -> str:
+    """Areas of overlaps by a scan over slabs in which no edges cross: at the middle of each, widths between the crossed edges."""
+    rows = [f"({k}, CAST({a[0]} AS DOUBLE), CAST({a[1]} AS DOUBLE), CAST({b[0]} AS DOUBLE), CAST({b[1]} AS DOUBLE))" for k, rings in SHAPES.items() for r in rings for a, b in zip(r, (*r[1:], r[0]), strict=True)]
+    return f"""WITH s(kind, px, py, qx, qy) AS (VALUES {", ".join(rows)}),
+e AS MATERIALIZED (SELECT cell_id AS id, min_lon + px AS px, min_lat + py AS py, min_lon + qx AS qx, min_lat + qy AS qy FROM footprints JOIN s ON kind = cell_id % 2),
+p AS MATERIALIZED (SELECT a.cell_id AS id_a, b.cell_id AS id_b FROM footprints a JOIN footprints b ON a.cell_id < b.cell_id AND a.min_lon < b.max_lon AND b.min_lon < a.max_lon AND a.min_lat < b.max_lat AND b.min_lat < a.max_lat),
+c AS (SELECT id_a, id_b, a.py + (a.qy - a.py) * ((b.px - a.px) * (b.qy - b.py) - (b.py - a.py) * (b.qx - b.px)) / ((a.qx - a.px) * (b.qy - b.py) - (a.qy - a.py) * (b.qx - b.px)) AS y
+  FROM p JOIN e a ON a.id = id_a JOIN e b ON b.id = id_b WHERE (a.qx - a.px) * (b.qy - b.py) <> (a.qy - a.py) * (b.qx - b.px)),
+y AS (SELECT DISTINCT id_a, id_b, round(y, 9) AS y FROM (SELECT * FROM c UNION ALL SELECT id_a, id_b, py FROM p JOIN e ON id = id_a OR id = id_b)),
+l AS (SELECT id_a, id_b, (y + lead(y) OVER w) / 2 AS y, lead(y) OVER w - y AS height FROM y WINDOW w AS (PARTITION BY id_a, id_b ORDER BY y)),
+x AS (SELECT id_a, id_b, y, height, id = id_a AS first, px + (y - py) / (qy - py) * (qx - px) AS x FROM l JOIN e ON (id = id_a OR id = id_b) AND (py > y) <> (qy > y)),
+q AS (SELECT *, lead(x) OVER w - x AS width, sum(CAST(first AS INT)) OVER w AS in_a, sum(1 - CAST(first AS INT)) OVER w AS in_b FROM x WINDOW w AS (PARTITION BY id_a, id_b, y ORDER BY x, first))
+SELECT id_a, id_b, round(sum(width * height), 6) AS area FROM q WHERE in_a % 2 = 1 AND in_b % 2 = 1 GROUP BY 1, 2 HAVING sum(width * height) > 0.0000005"""
+
+
+def shape_pairs(t):
+    boxes = t.footprints.select(F.col("cell_id").alias("id"), *[F.col(c).alias(n) for c, n in (("min_lon", "min_x"), ("min_lat", "min_y"), ("max_lon", "max_x"), ("max_lat", "max_y"))])
+    return spatial.box_pairs(boxes, boxes, 10.0).filter("id_a < id_b").select("id_a", "id_b")
+
+
+@query("j2_general_overlap", general_overlap_sql())
+def j2_general(t):
+    """What polygons with dents, holes and several outlines have in common, as polygons, with their areas by pair."""
+    found = polygons.overlaps(shape_pairs(t), shaped(t), 10.0)
+    return found.groupBy("id_a", "id_b").agg(F.round(F.sum("area"), 6).alias("area")).filter("area > 0")

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 #: Decimals of written coordinates. Fixed value.
 DECIMALS = 8
-FEATURE = "type string, properties map<string,string>, geometry struct<type:string, coordinates:string, geometries:array<struct<type:string, coordinates:string>>>"
+GEOMETRY = "struct<type:string, coordinates:string, geometries:array<struct<type:string, coordinates:string>>>"
+ONE = f"struct<properties:map<string,string>, geometry:{GEOMETRY}>"
+#: A feature, a collection of features, or a bare geometry.
+DOCUMENT = f"type string, properties map<string,string>, geometry {GEOMETRY}, features array<{ONE}>, coordinates string, geometries array<struct<type:string, coordinates:string>>"
+GEOMETRIES = ("Point", "MultiPoint", "LineString", "MultiLineString", "Polygon", "MultiPolygon", "GeometryCollection")
 
 
 def geojson(ring: Column, properties: Column, closed: bool = True) -> Column:
@@ -23,14 +27,45 @@ def write_geojson(features: DataFrame, rings: str, properties: list[str], path:
     features.select(geojson(F.col(rings), props, closed).alias("value")).write.text(path)
 
 
-def scan_features(spark: SparkSession, path: str) -> DataFrame:
-    """Features of line-wise GeoJSON: properties as strings, geometry type, and rings of vertices."""
-    return parse_features(spark.read.text(path))
+def scan_features(spark: SparkSession, path: str, by_line: bool | None = None) -> DataFrame:
+    """Features of GeoJSON files: properties as strings, geometry type, and rings of vertices.
+
+    Files are line-wise (a document in each line, read in splits), or hold one document over several lines; a file counts as
+    line-wise if its first line with more than white space is a whole document. Files of the other kind are read whole, one
+    a task at a time. To tell, the text is read once before; ``by_line`` says it instead. What is no document is counted by
+    ``unread_documents``."""
+    return parse_features(documents(spark, path, by_line))
+
+
+def documents(spark: SparkSession, path: str, by_line: bool | None = None) -> DataFrame:
+    """(value): the GeoJSON documents of files, from lines and from files that are one document."""
+    if by_line is not None:
+        return spark.read.text(path, wholetext=not by_line)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.filter("trim(value) <> ''").withColumn("place", F.monotonically_increasing_id())
+    # a file's first line stands in its first split, before the file's others
+    first = first.groupBy("file").agg(F.min_by("value", F.struct("at", "place")).alias("line"))
+    split = first.filter(F.from_json("line", DOCUMENT, {"mode": "PERMISSIVE"})["type"].isNull()).select("file")
+    by_line = lines.join(split, "file", "left_anti").select("value")
+    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    return by_line.unionByName(whole.join(split, "file", "left_semi").select("value"))
+
+
+def unread_documents(documents: DataFrame) -> DataFrame:
+    """(n_documents, n_unread): how many there are, and how many are no feature, collection or geometry."""
+    kind = F.from_json("value", DOCUMENT)["type"]
+    known = F.coalesce(kind.isin("Feature", "FeatureCollection", *GEOMETRIES), F.lit(False))
+    return documents.filter("trim(value) <> ''").agg(F.count(F.lit(1)).alias("n_documents"), F.count_if(~known).alias("n_unread"))
 
 
 def parse_features(lines: DataFrame) -> DataFrame:
-    """Points, lines and polygons, single or multiple: each point, line or ring is a part. A collection gives a row for each of its geometries."""
-    f = lines.select(F.from_json("value", FEATURE).alias("f")).filter("f.geometry IS NOT NULL")
+    """Points, lines and polygons, single or multiple: each point, line or ring is a part. A collection of geometries gives a
+    row for each of them, a collection of features the rows of its features, a bare geometry rows without properties."""
+    d = lines.select(F.from_json("value", DOCUMENT).alias("d"))
+    feature = F.struct(F.col("d.properties").alias("properties"), F.col("d.geometry").alias("geometry"))
+    bare = F.struct(F.lit(None).cast("map<string,string>").alias("properties"), F.struct(F.col("d.type").alias("type"), F.col("d.coordinates").alias("coordinates"), F.col("d.geometries").alias("geometries")).alias("geometry"))
+    each = F.when(F.col("d.type") == "FeatureCollection", F.col("d.features")).when(F.col("d.type").isin(*GEOMETRIES), F.array(bare)).otherwise(F.array(feature))
+    f = d.select(F.explode(each.cast(f"array<{ONE}>")).alias("f")).filter("f.geometry IS NOT NULL")
     own = F.array(F.struct(F.col("f.geometry.type").alias("type"), F.col("f.geometry.coordinates").alias("coordinates")))
     each = F.when(F.col("f.geometry.type") == "GeometryCollection", F.col("f.geometry.geometries")).otherwise(own)
     g = f.select(F.col("f.properties").alias("properties"), F.explode(each).alias("g"))

@@ -576,3 +576,63 @@ def test_raster_steps_and_probed_defaults(spark):
     rows = spark.createDataFrame([("a", 1, 5, 4, "u16", 128, None), ("a", 0, 1, 1, "u8", 64, 64), ("a", 1, 9, 2, "u8", 64, 64)], shape)
     names = spark.createDataFrame([("a",), ("b",)], "table_name string")
     assert sorted(tuple(r) for r in pyramid.probe_shapes(rows, names).collect()) == [("a", 1, 4, "u16", 128, 256), ("b", None, 3, "u8", 256, 256)]
+
+
+def test_regions_and_rings_far_out(spark):
+    """Places beyond 2 ** 20, and large image numbers, don't clash: in packed numbers (2 ** 20 + 5, 0) would be (5, 1)."""
+    far = [(7, (1 << 20) + 5, 0), (7, 5, 1), (7, 6, 1), (7, (1 << 30) + 1, (1 << 30)), (7, (1 << 30) + 2, (1 << 30)), (2_000_000_000, 5, 1)]
+    df = spark.createDataFrame(far, "image_id int, x int, y int")
+    groups = {}
+    for r in rs.regions(df).collect():
+        groups.setdefault(r.region, set()).add((r.image_id, r.x, r.y))
+    assert sorted(map(sorted, groups.values())) == [[far[1], far[2]], [far[0]], [far[3], far[4]], [far[5]]]
+    assert {(r.image_id, r.x, r.y) for r in rs.remove_speckles(df, 1).collect()} == {far[1], far[2], far[3], far[4]}
+    rings = rs.rings(df)
+    assert sorted((r.image_id, abs(r.area)) for r in rs.ring_areas(rings).collect()) == [(7, 1), (7, 2), (7, 2), (2_000_000_000, 1)]
+    assert rings.count() == 16 and rings.select("ring").distinct().count() == 4
+
+
+def test_collections_and_files_of_one_document(spark, tmp_path):
+    one = '{"type":"Feature","properties":{"a":"%s"},"geometry":{"type":"Point","coordinates":[%s,2]}}'
+    both = '{"type":"FeatureCollection","name":"layer","features":[' + one % ("x", 1) + ",\n" + one % ("y", 2) + ',{"type":"Feature","properties":null,"geometry":null}]}'
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.json").write_text("\n" + one % ("p", 3) + "\n" + both.replace("\n", "") + "\nnonsense\n" + '{"type":"Point","coordinates":[9,2]}\n')
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "whole" / "b.geojson").write_text("\n  " + both.replace("[", "[\n"))
+    (tmp_path / "whole" / "c.geojson").write_text(one % ("z", 4))
+    got = lambda df: sorted(((r.properties or {}).get("a", "-"), r.rings[0][0].x) for r in df.collect())
+    assert got(vf.scan_features(spark, str(tmp_path / "lines"))) == [("-", 9.0), ("p", 3.0), ("x", 1.0), ("y", 2.0)]
+    assert got(vf.scan_features(spark, str(tmp_path / "whole"))) == [("x", 1.0), ("y", 2.0), ("z", 4.0)]
+    assert got(vf.scan_features(spark, str(tmp_path / "lines"), by_line=True)) == [("-", 9.0), ("p", 3.0), ("x", 1.0), ("y", 2.0)]
+    assert tuple(vf.unread_documents(vf.documents(spark, str(tmp_path / "lines"))).first()) == (4, 1)
+    assert tuple(vf.unread_documents(vf.documents(spark, str(tmp_path / "whole"))).first()) == (2, 0)
+
+
+def test_dense_correlation_is_that_of_steps(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, x, y, float(rng.integers(0, 9))) for i in (0, 1) for x in range(70) for y in range(20) if rng.random() < 0.7]
+    px = spark.createDataFrame(rows, "image_id int, x int, y int, v double")
+    a, b = (px.filter(f"image_id = {i}").select(F.lit(3).alias("pair"), "x", "y", "v") for i in (0, 1))
+    tiles = spark.createDataFrame([(3, 0, 0, 30, 20), (3, 30, 5, 40, 10)], "pair int, x int, y int, w int, h int")
+    steps = rs.raster_steps(tiles, 1)
+    x, y = rs.pixel_of(F.col("feature_id"))
+    want = rs.template_matches(a, b, steps, 2, 1, 6, ("pair",), 16).select("pair", x.alias("x"), y.alias("y"), "dx", "dy", "n", F.round("ncc", 9).alias("ncc"))
+    got = rs.dense_matches(a, b, tiles, 2, 1, 6, ("pair",), None, 16).withColumn("ncc", F.round("ncc", 9))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 5000
+    best = {}
+    for r in got.collect():
+        best.setdefault((r.x, r.y), []).append((-r.ncc, r.dy, r.dx))
+    top = rs.dense_matches(a, b, tiles, 2, 1, 6, ("pair",), 1, 16).collect()
+    assert len(top) == len(best) and all(abs(-r.ncc - min(best[r.x, r.y])[0]) < 1e-8 for r in top)
+
+
+def test_voids_of_any_size(spark):
+    from geoquilt.operators import points as pc
+
+    known = [(-3, 5, 1.0), (60, 5, 3.0), (0, 40, 2.0)]
+    out = pc.fill_all_voids(spark.createDataFrame(known, "cx int, cy int, z double")).collect()
+    assert len(out) == 64 * 36 and {(r.cx, r.cy) for r in out} == {(x, y) for x in range(-3, 61) for y in range(5, 41)}
+    assert {(r.cx, r.cy, r.z) for r in out if not r.filled} == set(known) and all(1.0 <= r.z <= 3.0 for r in out)
+    full = spark.createDataFrame([(0, 0, 1.0), (1, 0, 2.0)], "cx int, cy int, z double")
+    assert sorted(map(tuple, pc.fill_all_voids(full).collect())) == [(0, 0, 1.0, False), (1, 0, 2.0, False)]
+    assert pc.fill_all_voids(full.limit(0)).count() == 0

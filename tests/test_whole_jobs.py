@@ -137,3 +137,25 @@ def test_scaled_pyramid_reads_by_address(spark):
     got = jobs.p3_scaled(Inputs(spark, SF)).filter("table_name = 'image0' AND zoom_level = 10 AND tile_column = 1082")
     plan = got._jdf.queryExecution().toString()
     assert "EqualTo(tile_column,1082)" in plan and "zoom_level#" in plan[plan.index("PartitionFilters") :]
+
+
+def test_far_images_and_pairs_without_overlap(spark):
+    """Large image numbers and far positions keep their pairs, and a pair without overlap moves no pixel."""
+    import numpy as np
+
+    from geoquilt.operators import tiepoints as tp
+    from geoquilt.plans import jobs
+
+    rng = np.random.default_rng(1)
+    x0, scene = 70_000, rng.uniform(0, 255, (128, 128))
+    rows = [(image, x0 + at + x, y, float(scene[y, x])) for image, at in ((5000, 0), (5001, 0), (9000, 500)) for x in range(128) for y in range(128)]
+    images = spark.createDataFrame(rows, "image_id int, x int, y int, v double")
+    tiles = jobs.search_tiles(images, tp.FilterSettings())
+    got = tiles.collect()
+    assert {(r.image_a, r.image_b) for r in got} == {(5000, 5001)} and all(x0 <= r.x < x0 + 128 for r in got)
+    ends = tiles.select("image_a", "image_b", "x", "y")
+    assert {(r.image_a, r.image_b) for r in jobs.pixels_around(images, ends, "image_b", 64).select("image_a", "image_b").distinct().collect()} == {(5000, 5001)}
+    features = tiles.select("image_a", "image_b", "tile_id", F.col("x") + 20, F.col("y") + 20).toDF("image_a", "image_b", "tile_id", "x", "y")
+    features = features.withColumn("feature_id", jobs.rs.pixel_number(F.col("x"), F.col("y")))
+    found = jobs.of_pairs(jobs.correlate(images, features, tp.FilterSettings(), 2).filter("match_rank = 1"), tiles).collect()
+    assert len(found) == len(got) and all((r.image_a, r.image_b, r.dx, r.dy) == (5000, 5001, 0.0, 0.0) and r.x >= x0 for r in found)
