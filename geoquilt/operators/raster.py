@@ -174,14 +174,48 @@ def place_name(image: Column, y: Column, x: Column) -> Column:
     return ((part(image) * width + part(y)) * width + part(x)).cast(NAME)
 
 
-def regions(mask: DataFrame) -> DataFrame:
-    """(image_id, x, y, region): 4-connected foreground, named by the first run in it in raster order. Rows become runs first,
-    so the graph has a node for each run and an edge where runs of neighbouring rows overlap."""
+def corner_contacts(mask: DataFrame) -> DataFrame:
+    """(image_id, x, y, falling) of corners at which two pixels touch and their other two neighbours are not there; falling:
+    the upper left and the lower right one touch."""
+    around = F.array(*[F.struct(F.lit(1 - dx).alias("dx"), F.lit(1 - dy).alias("dy"), F.lit(1 << (2 * dy + dx)).alias("bit")) for dy in (0, 1) for dx in (0, 1)])
+    s = mask.select("image_id", "x", "y", F.explode(around).alias("s")).select("image_id", (F.col("x") + F.col("s.dx")).alias("x"), (F.col("y") + F.col("s.dy")).alias("y"), "s.bit")
+    met = s.groupBy("image_id", "x", "y").agg(F.sum("bit").alias("bits"))
+    return met.filter(F.col("bits").isin(9, 6)).select("image_id", "x", "y", (F.col("bits") == 9).alias("falling"))
+
+
+#: Half sides of the windows around a corner whose borders are counted. Fixed values.
+WINDOWS = (2, 3, 4)
+
+
+def minority_contacts(mask: DataFrame) -> DataFrame:
+    """The corner contacts at which the foreground is joined, as it is the minority there: of the borders of growing windows
+    around the corner, the first on which foreground and background aren't equally many decides; if none does, it is joined."""
+    contacts = corner_contacts(mask)
+    border = [(dx, dy, w) for w in WINDOWS for dx in range(-w, w) for dy in range(-w, w) if max(abs(2 * dx + 1), abs(2 * dy + 1)) == 2 * w - 1]
+    places = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(w).alias("w")) for dx, dy, w in border])
+    at = contacts.select("image_id", F.col("x").alias("cx"), F.col("y").alias("cy"), "falling", F.explode(places).alias("p"))
+    at = at.select("image_id", "cx", "cy", "falling", (F.col("cx") + F.col("p.dx")).alias("x"), (F.col("cy") + F.col("p.dy")).alias("y"), "p.w")
+    seen = at.join(mask.select("image_id", "x", "y", F.lit(1).alias("there")), ["image_id", "x", "y"], "left")
+    more = {w: F.sum(F.when(F.col("w") == w, F.when(F.col("there").isNull(), -1).otherwise(1))) for w in WINDOWS}
+    counted = seen.groupBy("image_id", "cx", "cy", "falling").agg(*[more[w].alias(f"m{w}") for w in WINDOWS])
+    first = F.coalesce(*[F.when(F.col(f"m{w}") != 0, F.col(f"m{w}")) for w in WINDOWS], F.lit(-1))
+    return counted.filter(first < 0).select("image_id", F.col("cx").alias("x"), F.col("cy").alias("y"), "falling")
+
+
+def regions(mask: DataFrame, joined: DataFrame | None = None) -> DataFrame:
+    """(image_id, x, y, region): 4-connected foreground, named by the first run in it in raster order; at the corner contacts
+    of ``joined`` it is connected too. Rows become runs first, so the graph has a node for each run and an edge where runs
+    of neighbouring rows overlap, or end and begin at a contact."""
     row = Window.partitionBy("image_id", "y").orderBy("x")
     runs = mask.withColumn("_g", F.col("x") - F.row_number().over(row)).groupBy("image_id", "y", "_g").agg(F.min("x").alias("a"), F.max("x").alias("b"))
     runs = runs.withColumn("run", place_name(F.col("image_id"), F.col("y"), F.col("a"))).drop("_g")
     up = runs.select("image_id", (F.col("y") + 1).alias("y"), F.col("a").alias("ua"), F.col("b").alias("ub"), F.col("run").alias("up"))
-    touching = runs.join(up, ["image_id", "y"]).filter((F.col("a") <= F.col("ub")) & (F.col("b") >= F.col("ua")))
+    touching = runs.join(up, ["image_id", "y"]).filter((F.col("a") <= F.col("ub")) & (F.col("b") >= F.col("ua"))).select("run", "up")
+    if joined is not None:
+        for falling, own, above in ((True, F.col("a"), F.col("ub") + 1), (False, F.col("b") + 1, F.col("ua"))):
+            at = joined.filter(F.col("falling") == falling).select("image_id", "y", F.col("x").alias("corner"))
+            met = runs.withColumn("corner", own).join(at, ["image_id", "y", "corner"]).join(up.withColumn("corner", above), ["image_id", "y", "corner"])
+            touching = touching.unionByName(met.select("run", "up"))
     roots = components(touching, "run", "up")
     named = runs.join(roots, F.col("run") == F.col("node"), "left").withColumn("region", F.coalesce("root", "run"))
     return named.select("image_id", F.explode(F.sequence("a", "b")).alias("x"), "y", "region")
@@ -203,16 +237,21 @@ def straight_sides(edges: DataFrame) -> DataFrame:
     return s.withColumn("side", (place_name(F.col("image_id"), F.col("y0"), F.col("x0")) * F.lit(2).cast("decimal(1,0)") + forward).cast(NAME))
 
 
-def rings(mask: DataFrame) -> DataFrame:
-    """Closed outlines of 4-connected foreground: image_id, ring, seq from 0, x, y (a corner), and of the side that begins
+def rings(mask: DataFrame, joined: DataFrame | None = None) -> DataFrame:
+    """Closed outlines of foreground that is 4-connected, and connected at the corner contacts of ``joined``: image_id, ring, seq from 0, x, y (a corner), and of the side that begins
     there x1, y1, dx, dy. The foreground is at the left hand, so holes run the other way round than outlines.
 
-    Where two pixels touch at a corner only, a ring turns left and stays with its pixel. A ring is named by its smallest
+    Where two pixels touch at a corner only, a ring turns left and stays with its pixel, or right, to the other one, where
+    they are joined. A ring is named by its smallest
     side, at which it begins; no ring is gathered (see ``cycles``)."""
     sides = materialize(straight_sides(boundary_edges(mask)), "sides")
     left = (F.col("n.dx") == F.col("s.dy")) & (F.col("n.dy") == -F.col("s.dx"))
     meet = sides.alias("s").join(sides.alias("n"), (F.col("s.image_id") == F.col("n.image_id")) & (F.col("s.x1") == F.col("n.x0")) & (F.col("s.y1") == F.col("n.y0")))
-    after = meet.groupBy(F.col("s.side").alias("side")).agg(F.min_by(F.col("n.side"), F.when(left, 0).otherwise(1)).alias("next"))
+    after = meet.select(F.col("s.side").alias("side"), F.col("n.side").alias("next"), F.col("s.image_id").alias("image_id"), F.col("s.x1").alias("x"), F.col("s.y1").alias("y"), F.when(left, 0).otherwise(1).alias("turn"))
+    if joined is not None:
+        at = joined.select("image_id", "x", "y", F.lit(1).alias("joined"))
+        after = after.join(at, ["image_id", "x", "y"], "left").withColumn("turn", F.col("turn").bitwiseXOR(F.coalesce("joined", F.lit(0))))
+    after = after.groupBy("side").agg(F.min_by("next", "turn").alias("next"))
     now = cycles(after.select(F.col("side").alias("node"), "next")).withColumnRenamed("node", "side")
     return sides.join(now, "side").select("image_id", "ring", "seq", F.col("x0").alias("x"), F.col("y0").alias("y"), "x1", "y1", "dx", "dy")
 
@@ -225,6 +264,45 @@ def ring_areas(outlines: DataFrame) -> DataFrame:
     return outlines.groupBy("image_id", "ring").agg((F.sum(F.col("x1").cast("long") * F.col("y") - F.col("x").cast("long") * F.col("y1")) / 2).cast("long").alias("area"), left("x", F.when((dx < 0) | (dy < 0), -1).otherwise(0)).alias("px"), left("y", F.when((dx > 0) | (dy < 0), -1).otherwise(0)).alias("py"))
 
 
+def nest_rings(outlines: DataFrame) -> DataFrame:
+    """(image_id, ring, hole, parent, outline) of rings: the ring right around each, null where there is none, and the outline of
+    the region that it bounds, for an outline itself.
+
+    A ring's leftmost upright side looks to the left along its row of pixels: what it meets first is the other bound of one
+    piece of foreground or background, so that ring is around it, or they have the ring around them in common; chains of
+    the latter kind shorten by doubling jumps. Only rows with a leftmost side are looked at, and no ring is gathered."""
+    upright = outlines.filter("dx = 0").select("image_id", "ring", "x", "dy", F.least("y", "y1").alias("top"), F.greatest("y", "y1").alias("bottom"))
+    upright = materialize(upright, "upright-sides")
+    first = upright.groupBy("image_id", "ring").agg(F.min(F.struct("x", F.col("top").alias("row"), "dy")).alias("f"))
+    # foreground to the right of the leftmost side is an outline's, to the left a hole's
+    first = materialize(first.select("image_id", "ring", "f.x", "f.row", (F.col("f.dy") < 0).alias("hole")), "leftmost-sides")
+    cells = upright.select("image_id", "ring", "x", F.explode(F.sequence(F.col("top"), F.col("bottom") - 1)).alias("row"))
+    cells = cells.join(first.select("image_id", "row").distinct(), ["image_id", "row"], "left_semi")
+    before = F.lag("ring").over(Window.partitionBy("image_id", "row").orderBy("x"))
+    looked = cells.withColumn("met", before).join(first, ["image_id", "ring", "row", "x"]).select("image_id", "ring", "hole", "met")
+    kinds = first.select(F.col("ring").alias("met"), F.col("hole").alias("met_hole"))
+    linked = looked.join(kinds, "met", "left").select("image_id", "ring", "hole", F.col("met").alias("parent"), (F.col("met").isNotNull() & (F.col("hole") == F.col("met_hole"))).alias("beside"))
+    now = materialize(linked, "ring-links")
+    while now.filter("beside").limit(1).count():
+        there = now.select(F.col("ring").alias("parent"), F.col("parent").alias("_up"), F.col("beside").alias("_beside"))
+        jumped = now.filter("beside").join(there, "parent").select("image_id", "ring", "hole", F.col("_up").alias("parent"), F.col("_beside").alias("beside"))
+        now = materialize(now.filter("NOT beside").unionByName(jumped), "ring-links")
+    return now.select("image_id", "ring", "hole", "parent", F.when(F.col("hole"), F.col("parent")).otherwise(F.col("ring")).alias("outline"))
+
+
+def ring_polygons(outlines: DataFrame) -> DataFrame:
+    """A polygon for each outline: image_id, outline, px, py (the region's first pixel in raster order), n_pixels, n_holes, and
+    rings, the outline's first and then its holes', as arrays of corners (x, y), the first repeated at the end."""
+    tree = nest_rings(outlines)
+    area = F.sum(F.col("x1").cast("long") * F.col("y") - F.col("x").cast("long") * F.col("y1")) / 2
+    corner = F.min(F.struct("y", "x"))
+    each = outlines.groupBy("image_id", "ring").agg(area.cast("long").alias("area"), corner.alias("first"), F.sort_array(F.collect_list(F.struct("seq", "x", "y"))).alias("c"))
+    closed = F.transform(F.concat("c", F.slice("c", 1, 1)), lambda v: F.struct(v["x"].cast("double").alias("x"), v["y"].cast("double").alias("y")))
+    each = each.join(tree, ["image_id", "ring"]).select("image_id", "outline", "area", F.struct("hole", "first", closed.alias("v")).alias("r"))
+    parts = each.groupBy("image_id", "outline").agg(F.sort_array(F.collect_list("r")).alias("r"), F.sum("area").alias("n_pixels"))
+    return parts.select("image_id", "outline", F.get("r", F.lit(0))["first"]["x"].alias("px"), F.get("r", F.lit(0))["first"]["y"].alias("py"), "n_pixels", (F.size("r") - 1).alias("n_holes"), F.col("r.v").alias("rings"))
+
+
 def enclosed(x: np.ndarray, y: np.ndarray) -> int:
     """Pixels of a 4-connected region and of its holes: all that can't be reached from outside around it, corners included."""
     grid = np.zeros((int(y.max() - y.min()) + 3, int(x.max() - x.min()) + 3), bool)

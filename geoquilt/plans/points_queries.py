@@ -76,10 +76,10 @@ def voids_sql(levels: int = 9) -> str:
 SELECT cx*2 + d.a AS cx, cy*2 + g.a AS cy, z*d.w*g.w AS wz, d.w*g.w AS w, CAST(NULL AS DOUBLE) AS own FROM f{k + 1}, wts d, wts g UNION ALL SELECT cx, cy, NULL, NULL, z FROM k{k}) q, e
 WHERE cx BETWEEN x0 >> {k} AND x1 >> {k} AND cy BETWEEN y0 >> {k} AND y1 >> {k} GROUP BY 1, 2)""")
     wts = "wts(a, w) AS (VALUES (-1, CAST(1 AS DOUBLE)), (0, 3), (1, 3), (2, 1))"
-    return f"WITH {', '.join([wts, *up, *down])} SELECT CAST(cx AS INT) AS cx, CAST(cy AS INT) AS cy, round(z, 6) AS z, filled FROM f0"
+    return f"WITH {', '.join([wts, *up, *down])} SELECT CAST(cx AS INT) AS cx, CAST(cy AS INT) AS cy, round(z + 0.00000001, 6) AS z, filled FROM f0"
 
 
 @query("p5_filled_voids", voids_sql())
 def p5_voids(t):
     """A raster of the points in which three cells of four are void, with all voids filled."""
-    return pc.fill_all_voids(pc.rasterise(t.points, 0.0, 0.0, 0.25, "highest")).withColumn("z", F.round("z", 6))
+    return pc.fill_all_voids(pc.rasterise(t.points, 0.0, 0.0, 0.25, "highest")).withColumn("z", F.round(F.col("z") + 0.00000001, 6))  # a hair, as many means end in a five

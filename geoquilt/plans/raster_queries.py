@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from geoquilt.operators import raster as rs
 from geoquilt.operators import tiepoints as tp
 from geoquilt.plans.catalog import INPUTS, query
+from geoquilt.sources.shared import materialize
 
 SIDE = 256
 INPUTS["images"] = "SELECT DISTINCT CAST(l_suppkey % 2 AS INT) AS image_id FROM lineitem"
@@ -128,6 +129,50 @@ def a17(t):
     return rs.remove_speckles(t.pixels.filter("v > 10").select("image_id", "x", "y"))
 
 
+def region_sql(joined: str) -> str:
+    """Regions of the mask by closure: r with image_id, x, y and the first pixel py, px; j are further links."""
+    return f"""m AS MATERIALIZED (SELECT image_id, x, y FROM pixels WHERE v > 10), {joined}
+l AS MATERIALIZED (SELECT m.image_id, m.x, m.y, o.x AS bx, o.y AS yy FROM m JOIN m o ON o.image_id = m.image_id AND o.x = m.x + 1 AND o.y = m.y UNION ALL SELECT m.image_id, m.x, m.y, o.x, o.y FROM m JOIN m o ON o.image_id = m.image_id AND o.x = m.x AND o.y = m.y + 1 UNION ALL SELECT image_id, x, y, bx, yy FROM j),
+b AS MATERIALIZED (SELECT * FROM l UNION ALL SELECT image_id, bx, yy, x, y FROM l),
+c(image_id, x, y, bx, yy) AS (SELECT image_id, x, y, x, y FROM m UNION SELECT c.image_id, c.x, c.y, b.bx, b.yy FROM c JOIN b ON b.image_id = c.image_id AND b.x = c.bx AND b.y = c.yy),
+r AS MATERIALIZED (SELECT image_id, x, y, min(yy * 1000 + bx) // 1000 AS py, min(yy * 1000 + bx) % 1000 AS px FROM c GROUP BY 1, 2, 3)"""
+
+
+#: Corners at which two pixels touch alone, and of these those at which the foreground is the minority.
+MINORITY = """k AS MATERIALIZED (SELECT m.image_id, m.x + 1 AS x, m.y + 1 AS y, true AS falling FROM m JOIN m o ON o.image_id = m.image_id AND o.x = m.x + 1 AND o.y = m.y + 1 WHERE NOT EXISTS (SELECT 1 FROM m q WHERE q.image_id = m.image_id AND q.x = m.x + 1 AND q.y = m.y) AND NOT EXISTS (SELECT 1 FROM m q WHERE q.image_id = m.image_id AND q.x = m.x AND q.y = m.y + 1)
+UNION ALL SELECT m.image_id, m.x, m.y + 1, false FROM m JOIN m o ON o.image_id = m.image_id AND o.x = m.x - 1 AND o.y = m.y + 1 WHERE NOT EXISTS (SELECT 1 FROM m q WHERE q.image_id = m.image_id AND q.x = m.x - 1 AND q.y = m.y) AND NOT EXISTS (SELECT 1 FROM m q WHERE q.image_id = m.image_id AND q.x = m.x AND q.y = m.y + 1)),
+w AS (SELECT k.image_id, k.x, k.y, falling, greatest(abs(2 * (m.x - k.x) + 1), abs(2 * (m.y - k.y) + 1)) AS ring, count(*) AS n FROM k JOIN m ON m.image_id = k.image_id AND m.x BETWEEN k.x - 4 AND k.x + 3 AND m.y BETWEEN k.y - 4 AND k.y + 3 GROUP BY ALL),
+n AS (SELECT k.image_id, k.x, k.y, k.falling, coalesce(sum(n) FILTER (ring = 3), 0) - 6 AS a, coalesce(sum(n) FILTER (ring = 5), 0) - 10 AS b, coalesce(sum(n) FILTER (ring = 7), 0) - 14 AS c FROM k LEFT JOIN w ON w.image_id = k.image_id AND w.x = k.x AND w.y = k.y AND w.falling = k.falling GROUP BY ALL),
+j AS (SELECT image_id, CASE WHEN falling THEN x - 1 ELSE x END AS x, y - 1 AS y, CASE WHEN falling THEN x ELSE x - 1 END AS bx, y AS yy FROM n WHERE CASE WHEN a <> 0 THEN a WHEN b <> 0 THEN b WHEN c <> 0 THEN c ELSE -1 END < 0),"""
+NO_LINKS = "j AS (SELECT image_id, x, y, x AS bx, y AS yy FROM m WHERE false),"
+
+
+def masked(t):
+    return materialize(t.pixels.filter("v > 10").select("image_id", "x", "y"), "mask")
+
+
+@query("a17_minority", f"WITH RECURSIVE {region_sql(MINORITY)} SELECT image_id, CAST(px AS INT) AS px, CAST(py AS INT) AS py, count(*) AS n_pixels FROM r GROUP BY ALL")
+def a17_minority(t):
+    """Regions that are joined at corners where the foreground is the minority: their first pixel and size."""
+    mask = masked(t)
+    first = F.min(F.struct("y", "x"))
+    found = rs.regions(mask, materialize(rs.minority_contacts(mask), "joined")).groupBy("image_id", "region").agg(first.alias("f"), F.count(F.lit(1)).alias("n_pixels"))
+    return found.select("image_id", F.col("f.x").alias("px"), F.col("f.y").alias("py"), "n_pixels")
+
+
+#: Regions with their holes: one less the Euler number of their pixels, neighbouring pairs and full squares.
+HOLES = """SELECT image_id, CAST(px AS INT) AS px, CAST(py AS INT) AS py, count(*) AS n_pixels, CAST(1 - count(*) + sum(side) - sum(four) AS INT) AS n_holes FROM (
+SELECT r.*, (SELECT count(*) FROM m WHERE m.image_id = r.image_id AND ((m.x = r.x + 1 AND m.y = r.y) OR (m.x = r.x AND m.y = r.y + 1))) AS side,
+(SELECT CAST(count(*) = 3 AS INT) FROM m WHERE m.image_id = r.image_id AND ((m.x = r.x + 1 AND m.y = r.y) OR (m.x = r.x AND m.y = r.y + 1) OR (m.x = r.x + 1 AND m.y = r.y + 1))) AS four FROM r) GROUP BY ALL"""
+
+
+@query("p6_polygons", f"WITH RECURSIVE {region_sql(NO_LINKS)} {HOLES}")
+def p6_polygons(t):
+    """A polygon for each region, its outline and holes: the first pixel, pixels and number of holes."""
+    found = rs.ring_polygons(materialize(rs.rings(masked(t)), "rings"))
+    return found.select("image_id", "px", "py", "n_pixels", "n_holes")
+
+
 @query("w4_split_paths", """WITH p AS (SELECT *, sum(masked::INT) OVER (PARTITION BY path ORDER BY seq) AS piece FROM paths), q AS (SELECT path, seq, piece, count(*) OVER (PARTITION BY path, piece) AS n FROM p WHERE NOT masked) SELECT path, seq, CAST(piece AS BIGINT) AS piece FROM q WHERE n >= 3""")
 def w4(t):
     return rs.split_paths(t.paths)
