@@ -80,9 +80,10 @@ class Block:
         self.codes = np.frombuffer("".join(self.words).encode("utf-32-le"), np.uint32)
         self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def counts(self, letters: np.ndarray) -> np.ndarray:
-        at = np.repeat(np.arange(len(self.words)), self.sizes) * len(letters) + np.searchsorted(letters, self.codes)
-        return np.bincount(at, minlength=len(self.words) * len(letters)).reshape(len(self.words), len(letters))
+    def counts(self, place: np.ndarray, letters: int) -> np.ndarray:
+        """Letter counts; ``place`` has the column of each code point."""
+        at = np.repeat(np.arange(len(self.words)) * letters, self.sizes) + place[self.codes]
+        return np.bincount(at, minlength=len(self.words) * letters).reshape(len(self.words), letters)
 
     def row(self, at: np.ndarray, size: int, of: np.ndarray) -> np.ndarray:
         """Code points of positions ``at`` of the words ``of``, all of ``size``."""
@@ -114,18 +115,18 @@ def one_edit(a: Block, i: np.ndarray, b: Block, j: np.ndarray) -> np.ndarray:
 
 def near_pairs(a: Block, b: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (rows of a, rows of b) one edit apart; words of ``b`` are as long as those of ``a`` or one longer."""
-    letters = np.unique(np.concatenate([a.codes, b.codes]))
+    seen = np.zeros(int(max(a.codes.max(), b.codes.max())) + 1, bool)
+    seen[a.codes] = seen[b.codes] = True
+    place, letters = np.cumsum(seen) - 1, int(seen.sum())
     # whole numbers of up to twice a length's square, which single precision holds for words of up to 2048 letters
     kind = np.float32 if b.sizes.max() <= 2048 else np.float64
-    x, y = a.counts(letters).astype(kind), b.counts(letters).astype(kind)
-    own, other = (x * x).sum(axis=1), (y * y).sum(axis=1)
-    wanted = (2 - (b.sizes - a.sizes[0])).astype(kind)  # words of a block have one length
+    x, y = a.counts(place, letters).astype(kind), b.counts(place, letters).astype(kind)
+    wanted = 2 - (b.sizes - a.sizes[0])  # words of a block have one length
+    # with two more columns the product is the squared distance itself, less what it has to be
+    x = np.concatenate([-2 * x, (x * x).sum(axis=1, keepdims=True), np.ones((len(x), 1), kind)], axis=1)
+    y = np.concatenate([y, np.ones((len(y), 1), kind), ((y * y).sum(axis=1) - wanted.astype(kind))[:, None]], axis=1)
     for at in range(0, len(x), ROWS):
-        gram = x[at : at + ROWS] @ y.T
-        gram *= -2
-        gram += own[at : at + ROWS, None]
-        gram += other[None, :]
-        i, j = np.nonzero(gram == wanted[None, :])
+        i, j = np.divmod(np.flatnonzero(x[at : at + ROWS] @ y.T == 0), len(y))
         good = one_edit(a, i + at, b, j)
         yield i[good] + at, j[good]
 
@@ -154,7 +155,7 @@ def best_near(table: pa.Table) -> pa.RecordBatch:
 
 def facing(words: DataFrame) -> DataFrame:
     """(block, part, facing, home, same, word, n): the words of each part of a block, and those of adjacent blocks that face it."""
-    numbers = block_of("word")
+    numbers = [F.col(f"g{i}") for i in range(GROUPS)]
     keyed = words.select("word", "n", key(numbers).alias("block"), F.array(*[key(numbers, s, -1) for s in STEPS]).alias("homes"))
     weight = F.ceil(F.length("word") / F.lit(64))  # a long word counts as several, so parts stay small
     sizes = materialize(keyed.groupBy("block", "homes").agg(F.sum(weight).alias("size")), "block-sizes")
@@ -172,7 +173,9 @@ def facing(words: DataFrame) -> DataFrame:
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """(word, n_near, best_n, best): for words with near words, how many, and the one of largest n (ties: the smallest)."""
+    """(word, n_near, best_n, best): for words with near words, how many, and the one of largest n (ties: the smallest).
+
+    ``words``: word, n, and how many letters fall into each group, g0 and so on."""
 
     def run(table: pa.Table) -> pa.Table:
         return pa.Table.from_batches([best_near(table.combine_chunks())])
@@ -200,7 +203,8 @@ def roots(links: DataFrame) -> DataFrame:
 def variants(words: DataFrame, word: str = "word", n: str = "n", ratio: int = 10) -> DataFrame:
     """(word, form, root, n, n_near, form_n): a word's form is its most frequent near word, if ``ratio`` times as frequent."""
     words = words.select(words[word].cast("string").alias("word"), words[n].cast("long").alias("n")).filter("word IS NOT NULL")
-    words = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    words = words.groupBy("word").agg(F.sum("n").alias("n"))
+    words = materialize(words.withColumns({f"g{i}": g for i, g in enumerate(block_of("word"))}), "words")
     found = words.join(near_words(words), "word", "left")
     is_form = F.col("best_n") >= F.lit(ratio) * F.col("n")
     found = materialize(found.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(is_form, F.col("best")).alias("form"), F.when(is_form, F.col("best_n")).alias("form_n")), "near-words")
