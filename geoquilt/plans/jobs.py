@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from geoquilt.functions import grid, sensors
 from geoquilt.functions import timeorbit as to
+from geoquilt.operators import coarse
 from geoquilt.operators import points as pc
 from geoquilt.operators import raster as rs
 from geoquilt.operators import spatial
@@ -35,8 +36,7 @@ def search_radius(error_a: float, error_b: float, gsd: float) -> int:
 
 def stretched(t) -> DataFrame:
     """All images at the working scale and in 8 bits, written once, as every later step reads them."""
-    image = materialize(filled(t), "resampled")
-    return materialize(rs.stretch(image, rs.band_stats(image, t.images.filter("image_id < 0"))), "stretched")
+    return eight_bits(materialize(filled(t), "resampled"))
 
 
 def image_boxes(images: DataFrame) -> DataFrame:
@@ -108,10 +108,22 @@ def of_pairs(points: DataFrame, tiles: DataFrame) -> DataFrame:
     return found.select("image_a", "image_b", x.alias("x"), y.alias("y"), *points.columns)
 
 
+def eight_bits(images: DataFrame) -> DataFrame:
+    """Images with values from 0 to 255, written once, as every later step reads them."""
+    none = images.select("image_id").limit(0)
+    return materialize(rs.stretch(images, rs.band_stats(images, none)), "stretched")
+
+
 @query("p1_tie_points_correlation")
 def p1(t):
     """Tie points of all pairs of images, both ways, by correlation of patches around corners."""
-    settings, images = tp.FilterSettings(), stretched(t)
+    return correlated(stretched(t))
+
+
+def correlated(images: DataFrame) -> DataFrame:
+    """Tie points of all pairs of images of one raster that overlap, both ways: image_a, image_b, x, y, and the columns of
+    matches."""
+    settings = tp.FilterSettings()
     tiles = search_tiles(images, settings, reverse=True)
     corners = rs.detect(images, "min_eigen", tile=32, quality=0.01, most=settings.features_per_tile)
     features = materialize(on_tiles(corners, tiles, "image_a", settings.features_per_tile), "features")
@@ -139,6 +151,48 @@ def p2(t):
     return of_pairs(tp.top_points(tp.filter_without_parallax(m, tp.FilterSettings(min_vector_difference=30.0)), settings.points_per_tile), tiles)
 
 
+#: Where the test images lie when they are turned and scaled: degrees a pixel, turn in radians, place of the first pixel.
+TURNED = {0: (0.001, 0.0, 10.0, 50.0), 1: (0.0014, 0.3, 10.02, 50.01)}
+VIEW = (9.99937, 50.00063, 0.0013)
+
+
+def turned(points: DataFrame) -> DataFrame:
+    """Places of pixels of the turned and scaled test images."""
+    of = lambda i: F.when(F.col("image_id") % 2 == 0, TURNED[0][i]).otherwise(TURNED[1][i])
+    x, y, c, s = F.col("x") * of(0), F.col("y") * of(0), F.cos(of(1)), F.sin(of(1))
+    return points.withColumns({"lon": of(2) + x * c - y * s, "lat": of(3) - x * s - y * c})
+
+
+def in_view(t, model: coarse.Model, view: tuple[float, float, float]) -> DataFrame:
+    """The images of a request in one common raster, through coarse grids of their models."""
+    sizes = t.pixels.groupBy("image_id").agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
+    cells = materialize(coarse.coarse_cells(materialize(sizes, "image-sizes"), model), "coarse-cells")
+    return coarse.common_view(t.pixels, cells, *view)
+
+
+def view_sql() -> str:
+    rows = ", ".join(f"({i}, {', '.join(f'{v!r}::DOUBLE' for v in r)})" for i, r in TURNED.items())
+    lon0, lat0, gsd = (f"{v!r}::DOUBLE" for v in VIEW)
+    return f"""WITH m(image_id, size, turn, lon, lat) AS (VALUES {rows}), n AS (SELECT image_id, max(x) AS mx, max(y) AS my FROM pixels GROUP BY 1), f AS (SELECT *, 256.0 * ceil(mx / 256.0) AS w, 256.0 * ceil(my / 256.0) AS h FROM n),
+g AS (SELECT image_id, tx, ty, {lon0} + tx * {gsd} - lon AS e, lat - ({lat0} - ty * {gsd}) AS s, size, turn, w, h FROM m JOIN f USING (image_id), range(-400, 600) a(tx), range(-400, 600) b(ty)),
+q AS (SELECT image_id, tx, ty, (e * cos(turn) + s * sin(turn)) / size AS sx, (s * cos(turn) - e * sin(turn)) / size AS sy, w, h FROM g),
+k AS MATERIALIZED (SELECT * FROM q WHERE sx BETWEEN 0 AND w AND sy BETWEEN 0 AND h),
+c AS (SELECT image_id, tx, ty, floor(sx) + dx AS x, floor(sy) + dy AS y, (CASE WHEN dx = 1 THEN sx - floor(sx) ELSE 1 - (sx - floor(sx)) END) * (CASE WHEN dy = 1 THEN sy - floor(sy) ELSE 1 - (sy - floor(sy)) END) AS w FROM k, (VALUES (0), (1)) q(dx), (VALUES (0), (1)) r(dy))
+SELECT c.image_id, CAST(tx AS INT) AS x, CAST(ty AS INT) AS y, round(sum(w * v) / sum(w), 4) AS v FROM c JOIN pixels p ON c.image_id = p.image_id AND c.x = p.x AND c.y = p.y GROUP BY 1, 2, 3"""
+
+
+@query("k5_common_view", view_sql())
+def k5_view(t):
+    """Two images of other scale and turn on one common raster."""
+    return in_view(t, turned, VIEW).withColumn("v", F.round("v", 4))
+
+
+@query("p1_common_view")
+def p1_view(t):
+    """Tie points between images of other scale and turn, by correlation in their common view."""
+    return correlated(eight_bits(materialize(in_view(t, turned, VIEW), "common-view")))
+
+
 def pyramid_tiles(t, tile: int = 32) -> DataFrame:
     """Tiles of the full level and the three below, the coarsest at zoom 0; blank tiles are absent."""
     full = t.pixels.select(F.lit(0).alias("level"), "image_id", "x", "y", F.col("v").cast("double").alias("v"))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from geoquilt.functions import sensors
 from geoquilt.functions import timeorbit as to
+from geoquilt.operators import coarse
 from geoquilt.plans.catalog import INPUTS, query
+from geoquilt.sources.shared import materialize
 
 INPUTS["image_points"] = "SELECT o_orderkey AS point_id, CAST(o_custkey % 5 AS INT) AS image_id, CAST(o_orderkey % 4096 AS DOUBLE) AS col, CAST(o_custkey % 4096 AS DOUBLE) AS line, CAST(o_orderkey % 2400 AS DOUBLE) / 10.0 + 0.03 AS t, CAST(o_custkey % 5000 AS DOUBLE) AS h FROM orders"
 Q = lambda c, n=9: F.round(c, n).alias(c)
@@ -249,6 +251,49 @@ def s24(t):
     return pushed(looks(t)).select("point_id", "gx", "gy", "gz")
 
 
+def bent(points):
+    """Places by a model with a ripple whose strength goes with the image."""
+    x, y, k = F.col("x"), F.col("y"), (F.col("image_id") % 5).cast("double")
+    lon = F.lit(20.0) + x * 0.0005 + F.sin(x / 400.0) * k * 0.002 + y * 0.00005
+    return points.withColumns({"lon": lon, "lat": F.lit(45.0) - y * 0.0005 + F.cos(y / 300.0) * k * 0.001 + x * 0.00002})
+
+
+def coarse_sql() -> str:
+    """The cells of the coarse grids of ``bent`` by recursion."""
+    lon = lambda x, y: f"(20.0::DOUBLE + {x} * 0.0005::DOUBLE + sin({x} / 400.0::DOUBLE) * k * 0.002::DOUBLE + {y} * 0.00005::DOUBLE)"
+    lat = lambda x, y: f"(45.0::DOUBLE - {y} * 0.0005::DOUBLE + cos({y} / 300.0::DOUBLE) * k * 0.001::DOUBLE + {x} * 0.00002::DOUBLE)"
+    at = {n: (f"(x0 + {dx / 2}::DOUBLE * side)", f"(y0 + {dy / 2}::DOUBLE * side)") for n, (dx, dy) in (coarse.CORNERS | coarse.TESTS).items()}
+    points = ", ".join(f"{lon(*xy)} AS p_{n}, {lat(*xy)} AS q_{n}" for n, xy in at.items())
+    between = {"c": ("00", "10", "01", "11"), "n": ("00", "10"), "s": ("01", "11"), "w": ("00", "01"), "e": ("10", "11")}
+    mean = lambda c, n: f"(({' + '.join(f'{c}_{k}' for k in between[n])}) / {len(between[n])})"
+    slopes = ", ".join(f"({mean(c, hi)} - {mean(c, lo)}) / side AS {c}{d}" for c in "pq" for d, lo, hi in (("x", "w", "e"), ("y", "n", "s")))
+    off = lambda n: f"sqrt(pow((p_{n} - {mean('p', n)}) * qy - (q_{n} - {mean('q', n)}) * py, 2) + pow(px * (q_{n} - {mean('q', n)}) - qx * (p_{n} - {mean('p', n)}), 2)) / abs(px * qy - qx * py)"
+    error = lambda source: f"SELECT *, greatest({', '.join(map(off, coarse.TESTS))}) AS error FROM (SELECT *, {slopes} FROM (SELECT *, {points} FROM {source}))"
+    return f"""WITH RECURSIVE i AS (SELECT image_id, width, height, CAST(image_id % 5 AS DOUBLE) AS k FROM rects),
+c(image_id, width, height, k, x0, y0, side) AS (SELECT image_id, width, height, k, 256.0::DOUBLE * p, 256.0::DOUBLE * q, 256.0::DOUBLE FROM i, range(0, 40) a(p), range(0, 40) b(q) WHERE p < greatest(1, ceil((width - 1) / 256.0)) AND q < greatest(1, ceil((height - 1) / 256.0))
+UNION ALL SELECT image_id, width, height, k, x0 + dx * side / 2, y0 + dy * side / 2, side / 2 FROM ({error("c")}) e, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) s(dx, dy) WHERE error > 0.1 AND side > 1 AND x0 + dx * side / 2 <= greatest(width - 1, 1) AND y0 + dy * side / 2 <= greatest(height - 1, 1))
+SELECT image_id, CAST(side AS INT) AS side, count(*) AS n_cells, round(max(error), 6) AS largest_error FROM ({error("c")}) WHERE error <= 0.1 GROUP BY 1, 2"""
+
+
+@query("s23_coarse_grid", coarse_sql())
+def s23_coarse(t):
+    """Coarse grids of images with models of their own: cells by size, and the largest error of each size in pixels."""
+    cells = coarse.coarse_cells(t.rects.select("image_id", "width", "height"), bent)
+    return cells.groupBy("image_id", F.col("side").cast("int").alias("side")).agg(F.count(F.lit(1)).alias("n_cells"), F.round(F.max("error"), 6).alias("largest_error"))
+
+
+@query("s23_coarse_inversion", """SELECT point_id, image_id, round(x, 1) AS x, round(y, 1) AS y FROM (SELECT o_orderkey AS point_id, s_suppkey AS image_id, CAST(o_orderkey * 7919 % (width - 1) AS DOUBLE) AS x, CAST(o_orderkey * 104729 % (height - 1) AS DOUBLE) AS y
+FROM orders JOIN supplier ON s_suppkey = o_orderkey % 100 + 1 JOIN rects ON image_id = s_suppkey WHERE s_suppkey % 5 = 0)""")
+def s23_inversion(t):
+    """Places of pixels, found again through the coarse grids; those of models without a ripple, which interpolation meets."""
+    sizes = t.rects.select("image_id", "width", "height").filter("image_id % 5 = 0")
+    cells = materialize(coarse.coarse_cells(sizes, bent), "coarse-cells")
+    at = t.orders.withColumn("image_id", (F.col("o_orderkey") % 100 + 1).cast("long")).join(sizes, "image_id")
+    at = at.select(F.col("o_orderkey").alias("point_id"), "image_id", (F.col("o_orderkey") * 7919 % (F.col("width") - 1)).cast("double").alias("x"), (F.col("o_orderkey") * 104729 % (F.col("height") - 1)).cast("double").alias("y"))
+    places = bent(at).select("point_id", "image_id", "lon", "lat")
+    return coarse.pixels_of(places, cells, ["point_id", "image_id"], 0.125).select("point_id", "image_id", F.round("x", 1).alias("x"), F.round("y", 1).alias("y"))
+
+
 @query("p7_sar_geolocation")
 def p7(t):
     b = to.bias_fit(t.gcps)
