@@ -7,11 +7,12 @@ The active candidate is the one with the lowest rank that hasn't been given up.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -114,15 +115,12 @@ def parallax_value(dx_dh: float, dy_dh: float) -> tuple[Column, float, bool]:
 
 
 def within_parallax(points: DataFrame, dx_dh: float, dy_dh: float, max_deviations: float, max_pixels: float) -> DataFrame:
-    """Points within the accepted distance of their tile's line, as windows over one exchange by tile."""
-    c, scale, centred = parallax_value(dx_dh, dy_dh)
-    tile = Window.partitionBy("tile_id")
-    n = F.count(F.lit(1)).over(tile)
-    at = points.withColumn("_c", c)
-    off = F.avg("_c").over(tile) if centred else F.lit(0.0)
-    sigma = F.sqrt(F.var_pop("_c").over(tile) * n / (n - 1)) * F.lit(scale) if centred else F.sqrt(F.sum(F.col("_c") * F.col("_c")).over(tile) / (n - 1))
-    limit = F.greatest(F.when(n > 1, F.lit(max_deviations) * sigma).otherwise(F.lit(0.0)), F.lit(max_pixels))
-    return at.withColumns({"distance": F.abs(F.col("_c") - off) * F.lit(scale), "max_distance": limit}).filter(F.col("distance") <= F.col("max_distance")).drop("_c")
+    """Points within the accepted distance of their tile's line: statistics from partial sums, joined back, so no tile meets
+    in one task."""
+    c, scale, _ = parallax_value(dx_dh, dy_dh)
+    stats = parallax_statistics(points, dx_dh, dy_dh, max_deviations, max_pixels).select("tile_id", "line_offset", "max_distance")
+    j = points.join(stats, "tile_id").withColumn("distance", F.abs(c - F.col("line_offset")) * F.lit(scale))
+    return j.filter(F.col("distance") <= F.col("max_distance")).drop("line_offset")
 
 
 def consistency(points: DataFrame, settings: FilterSettings) -> DataFrame:
@@ -144,49 +142,168 @@ def cap_features(points: DataFrame, strength: str, most: int, tie: str) -> DataF
     return points.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= most).drop("rn")
 
 
-def _candidates(pdf: pd.DataFrame) -> list[tuple[int, np.ndarray]]:
-    """(tp_id, rows match_rank, dx, dy, confidence) in the order of tp_id, ranks ascending."""
-    pdf = pdf.sort_values(["tp_id", "match_rank"])
-    return [(int(tp), g[["match_rank", "dx", "dy", "confidence"]].to_numpy(float)) for tp, g in pdf.groupby("tp_id", sort=True)]
-
-
-def _result(tile: int, points: list, at: list) -> pd.DataFrame:
-    rows = [(tile, tp, int(m[i][0]), m[i][1], m[i][2], m[i][3]) for (tp, m), i in zip(points, at, strict=True)]
-    return pd.DataFrame(rows, columns=["tile_id", "tp_id", "match_rank", "dx", "dy", "confidence"])
-
-
 SCHEMA = "tile_id long, tp_id long, match_rank int, dx double, dy double, confidence double"
 
+#: Cells (tiles, points of the largest, candidates of the largest point) that are filtered at once; a larger tile is alone.
+CELLS = 1 << 21
+
+
+class Tiles:
+    """Some whole tiles side by side: points of a tile in the order of tp_id, candidates in that of match_rank.
+
+    ``dx``, ``dy``: arrays tile, point, candidate; ``count``: candidates of each point, 0 where a tile has fewer points;
+    ``row``: the table's row of each cell."""
+
+    def __init__(self, table: pa.Table):
+        tile, point = table.column("tile_id").to_numpy(), table.column("tp_id").to_numpy()
+        new_tile = np.concatenate([[True], tile[1:] != tile[:-1]])
+        new_point = new_tile | np.concatenate([[True], point[1:] != point[:-1]])
+        t = np.cumsum(new_tile) - 1
+        p_all, p_first = np.cumsum(new_point) - 1, np.flatnonzero(new_point)
+        p = p_all - p_all[np.flatnonzero(new_tile)][t]
+        m = np.arange(len(tile)) - p_first[p_all]
+        shape = (int(t[-1]) + 1, int(p.max()) + 1, int(m.max()) + 1)
+        self.row = np.full(shape, -1)
+        self.row[t, p, m] = np.arange(len(tile))
+        self.count = (self.row >= 0).sum(axis=2)
+        self.dx, self.dy = np.zeros(shape), np.zeros(shape)
+        self.dx[t, p, m], self.dy[t, p, m] = table.column("dx").to_numpy(), table.column("dy").to_numpy()
+
+    def active(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = at[:, :, None]
+        return np.take_along_axis(self.dx, place, 2)[:, :, 0], np.take_along_axis(self.dy, place, 2)[:, :, 0]
+
+
+def _agreed(tiles: Tiles, settings: FilterSettings) -> tuple[np.ndarray, np.ndarray]:
+    """(points left, candidate of each) of the filter without parallax: all tiles take a step of it at a time."""
+    at, left = np.zeros(tiles.count.shape, int), tiles.count > 0
+    if not settings.min_consistent:
+        return left, at
+    left[left.sum(axis=1) < settings.min_consistent] = False
+    cosine_limit = math.cos(math.radians(settings.max_angle))
+    x, y = tiles.active(at)
+    r = np.hypot(x, y)
+    here = np.zeros(len(at), int)  # the point that is tested
+    last = x.shape[1]
+    while True:
+        # on to the next point that is left
+        while (gone := (here < last) & ~left[np.arange(len(here)), np.minimum(here, last - 1)]).any():
+            here[gone] += 1
+        k = np.flatnonzero(here < last)
+        if not len(k):
+            return left, at
+        i = here[k]
+        own_x, own_y, own_r = x[k, i][:, None], y[k, i][:, None], r[k, i][:, None]
+        xs, ys, rs, others = x[k], y[k], r[k], left[k]
+        n = others.sum(axis=1)
+        others[np.arange(len(k)), i] = False
+        close = np.hypot(xs - own_x, ys - own_y) < settings.min_vector_difference
+        both = (rs > 0) & (own_r > 0)
+        cosine = np.where(both, (xs * own_x + ys * own_y) / np.where(both, own_r * rs, 1.0), 1.0)
+        along = (2 * np.abs(rs - own_r) < settings.max_magnitude_ratio * (own_r + rs)) & (cosine > cosine_limit)
+        needed = np.maximum(np.ceil(settings.percent_consistent * (n - 1) / 100), settings.min_consistent)
+        passes = ((close | along) & others).sum(axis=1) >= needed
+        here[k[passes]] += 1
+        more = ~passes & (at[k, i] + 1 < tiles.count[k, i])
+        tk, ti = k[more], i[more]
+        at[tk, ti] += 1
+        x[tk, ti], y[tk, ti] = tiles.dx[tk, ti, at[tk, ti]], tiles.dy[tk, ti, at[tk, ti]]
+        r[tk, ti] = np.hypot(x[tk, ti], y[tk, ti])
+        none = ~passes & ~more
+        left[k[none], i[none]] = False
+
+
+def _on_the_line(tiles: Tiles, settings: FilterSettings, dx_dh: float, dy_dh: float) -> tuple[np.ndarray, np.ndarray]:
+    """(points left, candidate of each) of the filter with parallax: all tiles take a round of it at a time."""
+    at, left = np.zeros(tiles.count.shape, int), tiles.count > 0
+    if not settings.min_consistent:
+        return left, at
+    left[left.sum(axis=1) < settings.min_consistent] = False
+    slope = dy_dh / dx_dh if dx_dh else 0.0
+    across = tiles.dx if dx_dh == 0 else tiles.dy if dy_dh == 0 else tiles.dy - slope * tiles.dx
+    scale, centred = (1 / math.hypot(slope, 1), True) if dx_dh and dy_dh else (1.0, False)
+    there = tiles.row >= 0
+    places = np.arange(tiles.row.shape[2])
+    going, rounds = np.ones(len(at), bool), np.zeros(len(at), int)
+    while going.any():
+        n = left.sum(axis=1)
+        left[going & (n < 2)] = False
+        going &= n >= 2
+        k = np.flatnonzero(going)
+        now = np.where(left[k], np.take_along_axis(across[k], at[k][:, :, None], 2)[:, :, 0], 0.0)
+        off = now.sum(axis=1) / n[k] if centred else np.zeros(len(k))
+        far = np.where(left[k], np.abs(now - off[:, None]) * scale, 0.0)
+        limit = np.maximum(settings.max_parallax_deviations * np.sqrt((far**2).sum(axis=1) / (n[k] - 1)), settings.max_parallax_pixels)
+        cleared = (rounds[k] == settings.max_rounds) & (limit > settings.max_parallax_pixels)
+        left[k[cleared]] = False
+        going[k[cleared]] = False
+        k, off, limit = k[~cleared], off[~cleared], limit[~cleared]
+        # the first candidate from the active one on that lies within the limit
+        fits = there[k] & (places >= at[k][:, :, None]) & (np.abs(across[k] - off[:, None, None]) * scale <= limit[:, None, None])
+        found, first = fits.any(axis=2), fits.argmax(axis=2)
+        changed = (left[k] & (~found | (first != at[k]))).any(axis=1)
+        at[k] = np.where(left[k] & found, first, at[k])
+        left[k] &= found
+        going[k[~changed]] = False
+        rounds[k] = np.minimum(rounds[k] + 1, settings.max_rounds)
+    return left, at
+
+
+def _tile_by_tile(matches: DataFrame, of: Callable[[Tiles], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Candidates that a filter of tiles leaves. Rows are dealt out by tile and sorted, and each task goes over its rows once:
+    whole tiles are filtered as they come, the open one waits for the next batch. A tile holds few points by contract."""
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
+
+    def parts(table: pa.Table) -> Iterator[pa.Table]:
+        """Whole tiles, as many as fit into CELLS."""
+        tile, point = table.column("tile_id").to_numpy(), table.column("tp_id").to_numpy()
+        new_tile = np.concatenate([[True], tile[1:] != tile[:-1]])
+        firsts = np.flatnonzero(new_tile | np.concatenate([[True], point[1:] != point[:-1]]))
+        candidates = np.diff(np.append(firsts, len(tile)))
+        starts = np.flatnonzero(new_tile)
+        ends = np.append(starts[1:], len(tile))
+        points = np.searchsorted(firsts, ends) - np.searchsorted(firsts, starts)
+        most = np.maximum.reduceat(candidates, np.searchsorted(firsts, starts))
+        at = 0
+        while at < len(starts):
+            near = slice(at, at + CELLS)
+            cells = np.maximum.accumulate(points[near]) * np.maximum.accumulate(most[near]) * np.arange(1, len(points[near]) + 1)
+            end = at + max(1, int(np.searchsorted(cells, CELLS, side="right")))
+            yield table.slice(int(starts[at]), int(ends[end - 1] - starts[at]))
+            at = end
+
+    def filtered(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for part in parts(table):
+            tiles = Tiles(part)
+            left, at = of(tiles)
+            rows = np.sort(np.take_along_axis(tiles.row, at[:, :, None], 2)[:, :, 0][left])
+            yield from part.take(pa.array(rows)).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tile = batch.column(0).to_numpy()
+            start = int(np.searchsorted(tile, tile[-1]))  # tiles come sorted, so the open one starts here
+            if start or (waiting and waiting[0].column(0)[0].as_py() != tile[0]):
+                whole = pa.Table.from_batches([*waiting, batch.slice(0, start)])
+                if whole.num_rows:
+                    yield from filtered(whole)
+                waiting = []
+            waiting.append(batch.slice(start))
+        if waiting:
+            yield from filtered(pa.Table.from_batches(waiting))
+
+    kinds = dict(f.split() for f in SCHEMA.split(", "))
+    rows = matches.select(*[F.col(c).cast(kinds[c]).alias(c) for c in names])
+    return rows.repartition("tile_id").sortWithinPartitions("tile_id", "tp_id", "match_rank").mapInArrow(run, SCHEMA)
+
 
 def filter_without_parallax(matches: DataFrame, settings: FilterSettings) -> DataFrame:
     """The sequential filter: a point that too few agree with takes its next candidate and is tested again, or is dropped;
-    later points meet the shrunken list. Points go in the order of tp_id. A tile holds at most a few points, so each is one group."""
-    cosine_limit = math.cos(math.radians(settings.max_angle))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tile, points = int(pdf["tile_id"].iloc[0]), _candidates(pdf)
-        if settings.min_consistent and len(points) < settings.min_consistent:
-            return _result(tile, [], [])
-        at, i = [0] * len(points), 0
-        while i < len(points) and settings.min_consistent:
-            now = np.array([m[k][1:3] for (_, m), k in zip(points, at, strict=True)])
-            own, others = now[i], np.delete(now, i, 0)
-            r0, r1 = math.hypot(*own), np.hypot(others[:, 0], others[:, 1])
-            close = np.hypot(*(others - own).T) < settings.min_vector_difference
-            cosine = np.ones(len(others))
-            both = (r1 > 0) & (r0 > 0)
-            cosine[both] = (others[both] @ own) / (r0 * r1[both])
-            along = (2 * np.abs(r1 - r0) < settings.max_magnitude_ratio * (r0 + r1)) & (cosine > cosine_limit)
-            needed = max(math.ceil(settings.percent_consistent * (len(points) - 1) / 100), settings.min_consistent)
-            if int((close | along).sum()) >= needed:
-                i += 1
-            elif at[i] + 1 < len(points[i][1]):
-                at[i] += 1
-            else:
-                del points[i], at[i]
-        return _result(tile, points, at)
-
-    return matches.groupBy("tile_id").applyInPandas(run, SCHEMA)
+    later points meet the shrunken list. Points go in the order of tp_id."""
+    return _tile_by_tile(matches, lambda tiles: _agreed(tiles, settings))
 
 
 def filter_with_parallax(matches: DataFrame, dx_dh: float, dy_dh: float, settings: FilterSettings) -> DataFrame:
@@ -195,47 +312,7 @@ def filter_with_parallax(matches: DataFrame, dx_dh: float, dy_dh: float, setting
     below 1 leave nothing to tell, so the other filter runs. Distances are unsigned for either rate at 0."""
     if abs(dx_dh) < 1 and abs(dy_dh) < 1:
         return filter_without_parallax(matches, settings)
-    slope = dy_dh / dx_dh if dx_dh else 0.0
-
-    def across(r: np.ndarray) -> np.ndarray:
-        if dx_dh == 0:
-            return r[:, 0]
-        return r[:, 1] if dy_dh == 0 else r[:, 1] - slope * r[:, 0]
-
-    scale = 1 / math.hypot(slope, 1) if dx_dh and dy_dh else 1.0
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tile, points = int(pdf["tile_id"].iloc[0]), _candidates(pdf)
-        at, rounds = [0] * len(points), 0
-        if not settings.min_consistent:
-            return _result(tile, points, at)
-        if len(points) < settings.min_consistent:
-            return _result(tile, [], [])
-        while True:
-            if len(points) < 2:
-                return _result(tile, [], [])
-            c = across(np.array([m[k][1:3] for (_, m), k in zip(points, at, strict=True)]))
-            off = c.mean() if dx_dh and dy_dh else 0.0
-            far = np.abs(c - off) * scale
-            limit = max(settings.max_parallax_deviations * math.sqrt((far**2).sum() / (len(c) - 1)), settings.max_parallax_pixels)
-            if rounds == settings.max_rounds and limit > settings.max_parallax_pixels:
-                return _result(tile, [], [])
-            changed, kept_points, kept_at = False, [], []
-            for (tp, m), k, d in zip(points, at, far, strict=True):
-                while d > limit and k + 1 < len(m):
-                    k, changed = k + 1, True
-                    d = float(abs(across(m[k : k + 1, 1:3])[0] - off) * scale)
-                if d <= limit:
-                    kept_points.append((tp, m))
-                    kept_at.append(k)
-                else:
-                    changed = True
-            points, at = kept_points, kept_at
-            if not changed:
-                return _result(tile, points, at)
-            rounds = min(rounds + 1, settings.max_rounds)
-
-    return matches.groupBy("tile_id").applyInPandas(run, SCHEMA)
+    return _tile_by_tile(matches, lambda tiles: _on_the_line(tiles, settings, dx_dh, dy_dh))
 
 
 def distances(a: np.ndarray, b: np.ndarray, norm: str) -> np.ndarray:
@@ -303,8 +380,9 @@ def cross_check(forward: DataFrame, backward: DataFrame) -> DataFrame:
 
 def strengths(pairs: DataFrame) -> DataFrame:
     """1 - distance / largest distance of the tile; 1 where all distances are 0."""
-    most = F.max("distance").over(Window.partitionBy("tile_id"))
-    return pairs.withColumn("strength", F.when(most > 0, F.lit(1.0) - F.col("distance") / most).otherwise(F.lit(1.0)))
+    most = pairs.groupBy("tile_id").agg(F.max("distance").alias("_most"))
+    strength = F.when(F.col("_most") > 0, F.lit(1.0) - F.col("distance") / F.col("_most")).otherwise(F.lit(1.0))
+    return pairs.join(most, "tile_id").withColumn("strength", strength).drop("_most")
 
 
 def global_best(pairs: DataFrame, factor: float, most: int) -> DataFrame:

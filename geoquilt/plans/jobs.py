@@ -287,7 +287,7 @@ SELECT 'image' || image_id AS table_name, CAST(z AS INT) AS zoom_level, CAST(flo
 def p3_scaled(t):
     """A written world pyramid at the scales of the images, read again."""
     path = new_path(t.spark, "scaled")
-    pyramid.write_pyramid(materialize(scaled_pyramid(t.pixels, located_images(t), 32), "scaled-tiles"), path)
+    pyramid.write_pyramid(scaled_pyramid(t.pixels, located_images(t), 32), path)
     total = F.round(F.aggregate("data", F.lit(0.0), lambda s, p: s + p["v"]), 3)
     return t.spark.read.parquet(path).select("table_name", "zoom_level", "tile_column", "tile_row", F.col("n_pixels").alias("n"), total.alias("total"), "status")
 

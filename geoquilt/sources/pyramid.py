@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from geoquilt.sources.shared import materialize
+
 
 def entries(sets: DataFrame, levels: DataFrame, extents: DataFrame, srs: DataFrame) -> DataFrame:
     """One row for each pyramid that has levels: levels and extents as lists, finest first; reference system and extents may be missing."""
@@ -38,13 +40,19 @@ def tiles_for_rect(rects: DataFrame, tile_w: int, tile_h: int) -> DataFrame:
     return r.withColumns(clip).drop("_x0", "_y0", "_x1", "_y1")
 
 
-def frames_for_rect(frames: DataFrame, rects: DataFrame) -> DataFrame:
-    """Frames (image_id, col, row, w, h) of uneven sizes that each rectangle meets; a frame starts where those before it end."""
+def frames_for_rect(frames: DataFrame, rects: DataFrame, size: int = 1024) -> DataFrame:
+    """Frames (image_id, col, row, w, h) of uneven sizes that each rectangle meets; a frame starts where those before it end.
+
+    Frames and rectangles meet in bins of ``size`` pixels on both axes, and a pair is kept in the first bin that both are in."""
     before = lambda part, order, size: F.coalesce(F.sum(size).over(Window.partitionBy("image_id", part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = frames.withColumns({"px": before("row", "col", "w"), "py": before("col", "row", "h")})
-    r = rects.select("image_id", "x0", "y0", "width", "height")
+    placed = frames.withColumns({"px": before("row", "col", "w"), "py": before("col", "row", "h")}).filter("w > 0 AND h > 0")
+    r = rects.select("image_id", "x0", "y0", "width", "height").filter("width > 0 AND height > 0")
+    bins = lambda at, length: F.explode(F.sequence(F.floor(F.col(at) / size), F.floor((F.col(at) + F.col(length) - 1) / size)))
+    a = placed.withColumn("_bx", bins("px", "w")).withColumn("_by", bins("py", "h"))
+    b = r.withColumn("_bx", bins("x0", "width")).withColumn("_by", bins("y0", "height"))
     meets = (F.col("px") < F.col("x0") + F.col("width")) & (F.col("px") + F.col("w") > F.col("x0")) & (F.col("py") < F.col("y0") + F.col("height")) & (F.col("py") + F.col("h") > F.col("y0"))
-    return placed.join(r, "image_id").filter(meets)
+    here = (F.col("_bx") == F.floor(F.greatest("px", "x0") / size)) & (F.col("_by") == F.floor(F.greatest("py", "y0") / size))
+    return a.join(b, ["image_id", "_bx", "_by"]).filter(meets & here).drop("_bx", "_by")
 
 
 def payload_type(data: Column) -> Column:
@@ -54,12 +62,24 @@ def payload_type(data: Column) -> Column:
     return F.when(long_enough & head.rlike("^FFD8FF(E0|DB)"), "image/jpeg").when(long_enough & (head == "89504E470D0A1A0A"), "image/png").otherwise("unknown")
 
 
+#: Tiles that a task writes into one file.
+TILES_PER_FILE = 4096
+
+
 def write_pyramid(tiles: DataFrame, path: str) -> None:
-    """Write tiles partitioned by table and zoom; an address that occurs twice is an error."""
-    twice = tiles.groupBy("table_name", "zoom_level", "tile_column", "tile_row").count().filter("count > 1").limit(1).count()
-    if twice:
+    """Write tiles partitioned by table and zoom; an address that occurs twice is an error.
+
+    The input is worked out once. A level is dealt to as many tasks as its counted tiles ask for, so the finest one, which
+    has most of them, isn't held up by a few."""
+    address = ["table_name", "zoom_level", "tile_column", "tile_row"]
+    tiles = materialize(tiles, "tiles")
+    if tiles.groupBy(*address).count().filter("count > 1").limit(1).count():
         raise ValueError("a tile address occurs more than once")
-    tiles.repartition("table_name", "zoom_level", F.pmod(F.xxhash64("tile_column", "tile_row"), F.lit(64))).write.partitionBy("table_name", "zoom_level").parquet(path)
+    parts = tiles.groupBy("table_name", "zoom_level").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILES_PER_FILE)).cast("int").alias("_parts"))
+    parts = materialize(parts, "level-parts")
+    most = parts.agg(F.coalesce(F.sum("_parts"), F.lit(1)).cast("int")).first()[0]
+    placed = tiles.join(F.broadcast(parts), ["table_name", "zoom_level"]).withColumn("_part", F.pmod(F.xxhash64("tile_column", "tile_row"), F.col("_parts")))  # a row for each level
+    placed.repartition(max(1, most), "table_name", "zoom_level", "_part").drop("_parts", "_part").write.partitionBy("table_name", "zoom_level").parquet(path)
 
 
 def append_levels(spark: SparkSession, path: str, tiles: DataFrame, table: str) -> None:

@@ -109,6 +109,55 @@ def test_sequential_filters(spark, seed):
     assert tp.filter_without_parallax(df, s.with_overrides({"min_consistent": 0})).count() == len({r[1] for r in rows})
 
 
+@pytest.mark.parametrize("cells", [1, 300, 1 << 21])
+def test_filters_over_batches_and_parts(spark, monkeypatch, cells):
+    """Tiles that are cut by batches, and parts of any size, give what tiles on their own give."""
+    monkeypatch.setattr(tp, "CELLS", cells)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        s = tp.FilterSettings()
+        every, want, line = [], {}, {}
+        for seed in range(3, 9):
+            tiles = candidates(seed)
+            every += [(tile + 100 * seed, t + 1000 * seed, r, float(x), float(y), c) for tile, pts in tiles.items() for t, ms in pts.items() for r, x, y, c in ms]
+            want |= {t + 1000 * seed: m[0] for pts in tiles.values() for t, m in plain_without(pts, s).items()}
+            line |= {t + 1000 * seed: m[0] for pts in tiles.values() for t, m in plain_with(pts, 2.0, 1.0, s).items()}
+        df = spark.createDataFrame(every, tp.SCHEMA).repartition(3)
+        assert {r.tp_id: r.match_rank for r in tp.filter_without_parallax(df, s).collect()} == want
+        assert {r.tp_id: r.match_rank for r in tp.filter_with_parallax(df, 2.0, 1.0, s).collect()} == line
+        assert tp.filter_without_parallax(df.limit(0), s).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_frames_meet_by_bins(spark):
+    frames = spark.createDataFrame([(i, c, r, 700 + 100 * c, 300 + 50 * r) for i in (0, 1) for c in range(5) for r in range(6)], "image_id int, col int, row int, w int, h int")
+    rects = spark.createDataFrame([(0, 650, 290, 900, 1200), (0, 0, 0, 1, 1), (1, 100, 100, 0, 9), (1, 3300, 100, 5, 5)], "image_id int, x0 int, y0 int, width int, height int")
+    found = pyramid.frames_for_rect(frames, rects)
+    want = set()
+    for i, x0, y0, w, h in [tuple(r) for r in rects.collect()]:
+        for c in range(5):
+            for r in range(6):
+                px, py = sum(700 + 100 * k for k in range(c)), sum(300 + 50 * k for k in range(r))
+                if w and h and px < x0 + w and px + 700 + 100 * c > x0 and py < y0 + h and py + 300 + 50 * r > y0:
+                    want.add((i, c, r, x0, y0))
+    got = [(r.image_id, r.col, r.row, r.x0, r.y0) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    joins = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
+    assert len(joins) == 1 and "_bx" in joins[0] and "_by" in joins[0]
+
+
+def test_levels_are_written_by_as_many_tasks_as_they_need(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pyramid, "TILES_PER_FILE", 10)
+    rows = [("t", z, c, r, z) for z in range(5) for c in range(1 << z) for r in range(1 << z)]
+    df = spark.createDataFrame(rows, "table_name string, zoom_level int, tile_column int, tile_row int, v int")
+    pyramid.write_pyramid(df, str(tmp_path / "p"))
+    files = {z: len(list((tmp_path / "p" / "table_name=t" / f"zoom_level={z}").glob("*.parquet"))) for z in range(5)}
+    assert files[0] == files[1] == 1 and 8 <= files[4] <= 26 and spark.read.parquet(str(tmp_path / "p")).count() == len(rows)
+    with pytest.raises(ValueError):
+        pyramid.write_pyramid(df.unionByName(df.limit(1)), str(tmp_path / "q"))
+
+
 def test_settings_layers():
     s = tp.FilterSettings().with_overrides({"points_per_tile": 3, "max_angle": 5.0}, {"points_per_tile": 4})
     assert (s.points_per_tile, s.max_angle, s.features_per_tile) == (4, 5.0, 10)
