@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
+from dataclasses import astuple, dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from geoquilt.sources.shared import materialize
@@ -32,6 +35,94 @@ def in_bounds(points: DataFrame, min_x: float, min_y: float, max_x: float, max_y
     return points.filter((F.col("x") >= min_x) & (F.col("x") <= max_x) & (F.col("y") >= min_y) & (F.col("y") <= max_y))
 
 
+@dataclass(frozen=True)
+class Layout:
+    """A space-filling order of places in an extent: keys interleave ``bits`` bits of x and of y, leading bits make zones."""
+
+    min_x: float
+    min_y: float
+    max_x: float
+    max_y: float
+    bits: int = 20
+    zone_bits: int = 3
+
+    def step(self, c: Column | float, axis: str):
+        """The cell of a coordinate along an axis, 0 to 2 ** bits - 1; what lies beyond the extent is in the outer cell."""
+        lo, hi, n = getattr(self, f"min_{axis}"), getattr(self, f"max_{axis}"), 1 << self.bits
+        width = (hi - lo) or 1.0
+        if isinstance(c, Column):
+            return F.least(F.lit(n - 1), F.greatest(F.lit(0), F.floor((c - lo) / width * n))).cast("long")
+        return min(n - 1, max(0, math.floor((c - lo) / width * n)))
+
+    def key(self, x: Column, y: Column) -> Column:
+        """The Morton key: bit 2i is bit i of x, bit 2i + 1 that of y."""
+
+        def apart(v: Column) -> Column:
+            for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+                v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+            return v
+
+        return apart(self.step(x, "x")).bitwiseOR(F.shiftleft(apart(self.step(y, "y")), 1))
+
+    def key_ranges(self, min_x: float, min_y: float, max_x: float, max_y: float, most: int = 32) -> list[tuple[int, int]]:
+        """At most ``most`` ranges of keys (ends included) that hold every place of a rectangle, and few others: squares that the
+        rectangle cuts are halved as long as there are few enough ranges."""
+        want = (self.step(min_x, "x"), self.step(max_x, "x"), self.step(min_y, "y"), self.step(max_y, "y"))
+        if want[0] > want[1] or want[2] > want[3]:
+            return []
+        ranges, open_squares = [], [(0, 0, 0)]  # level, x, y
+        for level in range(self.bits + 1):
+            nearer = []
+            for _, x, y in open_squares:
+                size = 1 << (self.bits - level)
+                if x * size > want[1] or (x + 1) * size - 1 < want[0] or y * size > want[3] or (y + 1) * size - 1 < want[2]:
+                    continue
+                first = sum(((x >> i & 1) << 2 * i) | ((y >> i & 1) << 2 * i + 1) for i in range(level)) * size * size
+                inside = x * size >= want[0] and (x + 1) * size - 1 <= want[1] and y * size >= want[2] and (y + 1) * size - 1 <= want[3]
+                (ranges if inside else nearer).append((first, first + size * size - 1, x, y))
+            if level == self.bits or not nearer or len(ranges) + 4 * len(nearer) > most:
+                break
+            open_squares = [(level + 1, 2 * x + dx, 2 * y + dy) for _, _, x, y in nearer for dy in (0, 1) for dx in (0, 1)]
+        merged: list[tuple[int, int]] = []
+        for first, last, *_ in sorted(ranges + nearer):
+            if merged and first <= merged[-1][1] + 1:
+                merged[-1] = (merged[-1][0], max(last, merged[-1][1]))
+            else:
+                merged.append((first, last))
+        return merged
+
+
+def write_clustered(points: DataFrame, path: str, bits: int = 20, zone_bits: int = 3) -> Layout:
+    """Write points in a space-filling order: folders by zone, files and row groups by ranges of keys. Returns the layout, which
+    is stored beside them.
+
+    Ranges come from a sample; points of one place are cut by their other columns, so no place is too large for a task."""
+    spark = points.sparkSession
+    e = points.agg(*[f(c).cast("double").alias(f"{n}_{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))]).first()
+    none = e.min_x is None
+    layout = Layout(*([0.0, 0.0, 1.0, 1.0] if none else [e.min_x, e.min_y, e.max_x, e.max_y]), bits, zone_bits)
+    keyed = points.withColumn("key", layout.key(F.col("x"), F.col("y"))).withColumn("zone", F.shiftright("key", 2 * (bits - zone_bits)).cast("int"))
+    order = ["zone", "key", "x", "y", *[c for c in ("point_id",) if c in points.columns]]
+    keyed.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("zone").parquet(path)
+    kinds = ", ".join(f"{f.name} {'int' if f.name.endswith('bits') else 'double'}" for f in fields(Layout))
+    spark.createDataFrame([(*astuple(layout), keyed.schema.json())], f"{kinds}, table_schema string").coalesce(1).write.parquet(f"{path}/_layout")
+    return layout
+
+
+def clustered_in_bounds(spark: SparkSession, path: str, min_x: float, min_y: float, max_x: float, max_y: float) -> DataFrame:
+    """Points of a clustered table in a rectangle, its border included: zones choose folders, key ranges are pushed down to the
+    row groups of the files, and the coordinates decide."""
+    *values, schema = spark.read.parquet(f"{path}/_layout").first()
+    layout = Layout(*values)
+    found = layout.key_ranges(min_x, min_y, max_x, max_y)
+    zones = sorted({z for a, b in found for z in range(a >> 2 * (layout.bits - layout.zone_bits), (b >> 2 * (layout.bits - layout.zone_bits)) + 1)})
+    keys = F.lit(False)
+    for a, b in found:
+        keys = keys | F.col("key").between(a, b)
+    table = spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(path)
+    return in_bounds(table.filter(F.col("zone").isin(zones) & keys), min_x, min_y, max_x, max_y).drop("key", "zone")
+
+
 def ranges(points: DataFrame, fields: list[str]) -> DataFrame:
     """One row with min_ and max_ of each field; the colours share one range."""
     rgb = [c for c in COLOURS if c in fields]

@@ -89,12 +89,34 @@ def image_pairs(images: DataFrame, order: str, reverse: bool = False) -> DataFra
     return pairs
 
 
-def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
-    """For each point (lon, lat) the last box (largest cell_id) that holds it, null where none does. Every row of points stays, repeated ids too."""
+#: Points of a cell from which on it is cut into finer ones, how many of these a side has, and hot cells that are sent at most.
+HOT, FINER, SENT = 100_000, 16, 100_000
+
+
+def hot_cells(points: DataFrame, hot: int) -> DataFrame:
+    """(cell_x, cell_y, _hot) of the cells that hold more than ``hot`` points. There is one in so many points at most; as many
+    as SENT go to all tasks, more are joined as a table."""
+    counts = points.groupBy("cell_x", "cell_y").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot).select("cell_x", "cell_y", F.lit(True).alias("_hot"))
+    some = counts.limit(SENT + 1).collect()
+    return F.broadcast(points.sparkSession.createDataFrame(some, counts.schema)) if len(some) <= SENT else counts
+
+
+def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float, hot: int = HOT) -> DataFrame:
+    """For each point (lon, lat) the last box (largest cell_id) that holds it, null where none does. Every row of points stays, repeated ids too.
+
+    Points and boxes meet by cell. A cell with more than ``hot`` points is cut into finer ones, for both sides."""
     p = points.withColumns({"_row": F.monotonically_increasing_id(), "cell_x": F.floor(F.col("lon") / size), "cell_y": F.floor(F.col("lat") / size)})
-    c = in_cells(boxes, size, *[F.col(k) for k in ("min_lon", "min_lat", "max_lon", "max_lat")])
+    busy, small = hot_cells(p, hot), size / FINER
+    cut = F.coalesce("_hot", F.lit(False))
+    fine = {"fine_x": F.when(cut, F.floor(F.col("lon") / small)).otherwise(F.lit(0)), "fine_y": F.when(cut, F.floor(F.col("lat") / small)).otherwise(F.lit(0))}
+    p = p.join(busy, ["cell_x", "cell_y"], "left").withColumns(fine).drop("_hot")
+    c = in_cells(boxes, size, *[F.col(k) for k in ("min_lon", "min_lat", "max_lon", "max_lat")]).join(busy, ["cell_x", "cell_y"], "left")
+    # of a cut cell, a box meets the finer cells between its own sides and those of the cell; rounding may ask for one more
+    part = lambda lo, hi, cell: F.explode(F.when(cut, F.sequence(F.greatest(F.floor(F.col(lo) / small), F.col(cell) * FINER - 1), F.least(F.floor(F.col(hi) / small), (F.col(cell) + 1) * FINER))).otherwise(F.array(F.lit(0).cast("long"))))
+    c = c.withColumn("fine_x", part("min_lon", "max_lon", "cell_x")).withColumn("fine_y", part("min_lat", "max_lat", "cell_y")).drop("_hot")
     hit = (F.col("lon") >= F.col("min_lon")) & (F.col("lon") <= F.col("max_lon")) & (F.col("lat") >= F.col("min_lat")) & (F.col("lat") <= F.col("max_lat"))
-    j = p.join(c, (p["cell_x"] == c["cell_x"]) & (p["cell_y"] == c["cell_y"]) & hit, "left")
+    same = [p[k] == c[k] for k in ("cell_x", "cell_y", "fine_x", "fine_y")]
+    j = p.join(c, same[0] & same[1] & same[2] & same[3] & hit, "left")
     found = j.groupBy("_row").agg(*[F.first(c).alias(c) for c in ("gp_id", "lon", "lat")], F.max("cell_id").alias("cell_id"))
     return found.drop("_row")
 

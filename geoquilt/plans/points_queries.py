@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from geoquilt.operators import points as pc
 from geoquilt.plans.catalog import query
+from geoquilt.sources.shared import new_path
 
 FIELDS = ["x", "y", "z", "intensity", "return_number"]
 
@@ -66,6 +67,14 @@ def w7(t):
     return pc.with_ids(t.points.select("point_id"), ["point_id"])
 
 
+@query("r8_clustered", "SELECT point_id, x, y, z FROM points WHERE x BETWEEN 10 AND 40 AND y BETWEEN 20 AND 70")
+def r8_clustered(t):
+    """Points of a rectangle, out of a table that is written in a space-filling order."""
+    path = new_path(t.spark, "clustered")
+    pc.write_clustered(t.points, path)
+    return pc.clustered_in_bounds(t.spark, path, 10, 20, 40, 70).select("point_id", "x", "y", "z")
+
+
 def voids_sql(levels: int = 9) -> str:
     """Rows of fill_all_voids of the test points: means up over more levels than are needed, then down again."""
     up = ["k0 AS MATERIALIZED (SELECT CAST(trunc(x/0.25) AS INT) AS cx, CAST(trunc(y/0.25) AS INT) AS cy, max(z) AS z FROM points GROUP BY 1, 2)", "e AS (SELECT min(cx) AS x0, max(cx) AS x1, min(cy) AS y0, max(cy) AS y1 FROM k0)"]

@@ -685,3 +685,43 @@ def test_voids_of_any_size(spark):
     full = spark.createDataFrame([(0, 0, 1.0), (1, 0, 2.0)], "cx int, cy int, z double")
     assert sorted(map(tuple, pc.fill_all_voids(full).collect())) == [(0, 0, 1.0, False), (1, 0, 2.0, False)]
     assert pc.fill_all_voids(full.limit(0)).count() == 0
+
+
+def test_clustered_points_prune_files(spark, tmp_path):
+    """A rectangle reads few files and row groups, and gives what a filter of all points gives."""
+    from geoquilt.operators import points as pc
+
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"point_id": np.arange(40_000), "x": rng.uniform(-180, 180, 40_000), "y": rng.uniform(-90, 90, 40_000)})
+    pdf.loc[:15_000, ["x", "y"]] = (12.5, 7.25)  # one place has many
+    df = spark.createDataFrame(pdf)
+    path = str(tmp_path / "c")
+    layout = pc.write_clustered(df, path)
+    for box in [(10.0, 5.0, 14.0, 9.0), (-180.0, -90.0, 180.0, 90.0), (100.0, 40.0, 100.5, 40.5), (12.5, 7.25, 12.5, 7.25), (200.0, 0.0, 300.0, 1.0), (5.0, 5.0, 4.0, 4.0)]:
+        inside = (pdf["x"] >= box[0]) & (pdf["x"] <= box[2]) & (pdf["y"] >= box[1]) & (pdf["y"] <= box[3])
+        assert sorted(r.point_id for r in pc.clustered_in_bounds(spark, path, *box).collect()) == list(pdf["point_id"][inside])
+        assert len(layout.key_ranges(*box)) <= 32
+    small = pc.clustered_in_bounds(spark, path, 100.0, 40.0, 100.5, 40.5)
+    small.collect()
+    leaf = small._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    files = lambda d: leaf.metrics().apply("numFiles").value()
+    total = len(list((tmp_path / "c").glob("zone=*/*.parquet")))
+    assert files(small) < total / 4
+    plan = leaf.verboseStringWithOperatorId()
+    assert "GreaterThanOrEqual(key" in plan and "PartitionFilters: [" in plan and "zone" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    ids = [r.point_id for r in spark.read.parquet(path).select("point_id").collect()]
+    assert sorted(ids) == list(range(40_000))
+    assert pc.clustered_in_bounds(spark, str(tmp_path / "d"), 0, 0, 1, 1).count() == 0 if pc.write_clustered(df.limit(0), str(tmp_path / "d")) else False
+
+
+def test_hot_cells_are_cut(spark):
+    """All points in one cell: both sides go one level deeper, and the answer is that of no cut."""
+    rng = np.random.default_rng(4)
+    pts = spark.createDataFrame([(i, float(rng.uniform(0, 10)), float(rng.uniform(0, 10)), 0.0) for i in range(4000)] + [(9000, -5.0, 3.0, 0.0), (9001, 10.0, 10.0, 0.0)], "gp_id long, lon double, lat double, h double")
+    boxes = spark.createDataFrame([(k, float(x), float(y), float(x + w), float(y + w)) for k in range(60) for x, y, w in [(rng.uniform(-12, 10), rng.uniform(-12, 10), rng.uniform(0, 9))]] + [(99, 10.0, 10.0, 10.0, 10.0)], "cell_id long, min_lon double, min_lat double, max_lon double, max_lat double")
+    rows = lambda df: sorted(map(tuple, df.select("gp_id", "cell_id").collect()))
+    want = rows(spatial.points_in_boxes(pts, boxes, 10.0))
+    assert rows(spatial.points_in_boxes(pts, boxes, 10.0, hot=500)) == want and len(want) == 4002
+    known = [tuple(b) for b in boxes.collect()]
+    plain = {i: max((k for k, a, b, c, d in known if a <= x <= c and b <= y <= d), default=None) for i, x, y, _ in pts.collect()}
+    assert dict(want) == plain
