@@ -239,6 +239,14 @@ def j11_dense(t):
     return found.withColumn("ncc", F.round("ncc", 9))
 
 
-@query("k4_fourier")
+#: Rows first, then columns, as sums of cosines and sines; what rounding leaves of nothing is nothing.
+FOURIER = """WITH w AS MATERIALIZED (SELECT k, cos(2*pi()*k/256) AS c, sin(2*pi()*k/256) AS s FROM range(0, 256) r(k)), u AS MATERIALIZED (SELECT u FROM range(0, 256) r(u)),
+a AS MATERIALIZED (SELECT image_id, y, u, sum(v*c)/256 AS re, -sum(v*s)/256 AS im FROM pixels, u, w WHERE k = (x*u) % 256 GROUP BY 1, 2, 3),
+b AS (SELECT image_id, a.u AS x, n.u AS y, sum(re*c + im*s)/256 AS re, sum(im*c - re*s)/256 AS im FROM a, u n, w WHERE k = (y*n.u) % 256 GROUP BY 1, 2, 3)
+SELECT image_id, CAST(x AS INT) AS x, CAST(y AS INT) AS y, CASE WHEN abs(re) < 0.0000005 THEN 0 ELSE round(re, 6) END AS re, CASE WHEN abs(im) < 0.0000005 THEN 0 ELSE round(im, 6) END AS im FROM b"""
+
+
+@query("k4_fourier", FOURIER)
 def k4(t):
-    return rs.fourier(t.pixels, SIDE, SIDE)
+    part = lambda c: F.when(F.abs(c) < 0.0000005, 0.0).otherwise(F.round(c, 6)).alias(c)
+    return rs.fourier(t.pixels, SIDE, SIDE).select("image_id", "x", "y", part("re"), part("im"))
