@@ -1,6 +1,9 @@
 import hashlib
+import math
 import os
+import random
 import re
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -119,3 +122,65 @@ def test_query(spark):
         text = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest() and r.spans.startswith(text)
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in want) for k in PATTERNS]
+
+
+def brute_disclosing(texts, min_values=5, least=0.8):
+    """The terms whose pointwise mutual information with a kind, or with a single value, reaches ``least`` of it, by counting."""
+    word = re.compile(r"[^\W\d_]+")
+    every = [t for t in texts if t]
+    all_words = sum(t.count(" ") + t.count("\n") + 1 for t in every)
+    near, held, anywhere, in_texts = Counter(), defaultdict(set), Counter(), defaultdict(set)
+    for t in every:
+        anywhere.update(w.lower() for w in word.findall(t))
+        for w in {w.lower() for w in word.findall(t)}:
+            in_texts[w].add(t)
+        for kind, a, b in brute(t):
+            left, right = t[:a].rpartition("\n")[2], t[b:].partition("\n")[0]
+            for w in word.findall(left)[-5:] + word.findall(right)[:5]:
+                near[kind, w.lower(), t[a:b].lower()] += 1
+                held[kind, t[a:b].lower(), w.lower()].add(t)
+    of_kind = Counter()
+    for (kind, _, _), n in near.items():
+        of_kind[kind] += n
+    best = defaultdict(float)
+    by_term = defaultdict(list)
+    for (kind, w, _), n in near.items():
+        by_term[kind, w].append(n)
+    for (kind, w), ns in by_term.items():
+        information = -math.log2(of_kind[kind] / all_words)
+        if len(ns) >= min_values and information > 0:
+            best[w] = max(best[w], math.log2(sum(ns) * all_words / (max(anywhere[w], sum(ns)) * of_kind[kind])) / information)
+    value_texts = defaultdict(set)
+    for (kind, value, _), ts in held.items():
+        value_texts[kind, value] |= ts
+    for (kind, value, w), ts in held.items():
+        n, information = len(ts), -math.log2(len(value_texts[kind, value]) / len(set(every)))
+        if information > 0:
+            given = -math.log2(n / len(in_texts[w]))
+            best[w] = max(best[w], (information - given) / information * n / (n + 1))
+    return {w for w, share in best.items() if share >= least}
+
+
+def test_query_spans_against_brute_force(spark, tmp_path):
+    """The full spans of the query, terms too, over documents in which names stand beside one value and words beside many."""
+    rng = random.Random(9)
+    words = [a + b for a in ("ka", "lo", "mi", "tu", "re", "so") for b in ("ban", "dor", "fel", "gim", "hul")]
+    say = lambda n: " ".join(rng.choices(words, k=n))
+    texts = [say(rng.randrange(5, 60)) for _ in range(300)]
+    texts += [f"{say(7)} Hotline +1 555 000 {i:04d} {say(8)}" for i in range(40)]
+    texts += [f"{say(8)} {who} {rng.choice(['of', 'at'])} {mail} {say(7)}" for who, mail in (("Wenzel", "w@one.org"), ("Ottilie", "o@two.org")) for _ in range(rng.randrange(25, 40))]
+    texts += [f"{say(6)} Bertram b@three.org"] * 30 + [f"{say(9)} host 10.0.0.{i} {say(5)}\nthe hotline\nWenzel" for i in range(30)] + [None, "", "hotline wenzel ottilie bertram w@one.org"]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    flagged = brute_disclosing(texts)
+    assert {"hotline", "ottilie"} & flagged and "bertram" not in flagged and not flagged & set(words)
+    got = {r.doc_id: r for r in op5_disclosure(spark, str(tmp_path)).collect()}
+    found = 0
+    for i, t in enumerate(texts):
+        base = brute(t)
+        terms = [("term", *m.span()) for m in re.finditer(r"[^\W\d_]+", t or "") if m[0].lower() in flagged and not any(a < m.end() and m.start() < b for _, a, b in base)]
+        found += len(terms)
+        assert got[i].spans == ",".join(f"{k}:{a}:{b}" for k, a, b in base + terms), t
+        assert got[i].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+    assert found > 60
+    print("flagged", flagged, "spans", found)
