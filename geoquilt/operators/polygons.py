@@ -124,6 +124,11 @@ def overlap_edges(pairs: DataFrame, polygons: DataFrame, size: float) -> DataFra
     return out
 
 
+def overlap_areas(pairs: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
+    """(id_a, id_b, area) of what the polygons of a pair have in common, from the edges of its outline alone: no rings are walked."""
+    return overlap_edges(pairs, polygons, size).groupBy("id_a", "id_b").agg(F.sum(signed_area()).alias("area"))
+
+
 def ring_walks(edges: DataFrame, keys: list[str]) -> DataFrame:
     """Edges (keys, END) with the inside at their left as closed rings: keys, ring, seq from 0, x, y, and the edge's other end
     bx, by. Where rings touch, an edge goes on by the sharpest turn to the left, so each stays with its own inside. A ring begins at
