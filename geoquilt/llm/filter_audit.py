@@ -3,7 +3,8 @@
 A and B read a sparse document-term matrix over all documents. Tasks build shards of it, compressed sparse rows with a
 dictionary of their own; only these dictionaries are shuffled, as a shard names each of its words once. The distinct words
 get global numbers, every shard's columns are renumbered, and row sums and numbers of nonzeros are words and distinct words
-of a document. C and D are told from the bytes of the text, E compares digests (SHA-256) of whole texts with the smallest id that
+of a document. Shards are written a document a row and their dictionaries in short lists, as what writers, readers and
+shuffles hold at once goes by rows. C and D are told from the bytes of the text, E compares digests (SHA-256) of whole texts with the smallest id that
 has them. A document is then a set of failed filters; documents are counted by part and set (32 sets a part at most), and
 all orders follow from the counts, as what a filter removes depends on which filters came before it, not on their order.
 
@@ -23,6 +24,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,13 +41,16 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CARRYING = bytes(range(0x80, 0xC0))
 #: Bytes of text of a shard. The larger, the fewer words are named by more than one shard.
 SHARD_BYTES = 16 << 20
-LOCAL = "part int, piece int, docs array<{}>, starts array<int>, columns array<int>, counts array<int>, words array<binary>"
+#: Words of a dictionary, and entries of a matrix, that are written as one value.
+LISTED, ENTRIES = 256, 1 << 16
+LOCAL = "part int, piece int, doc {}, columns array<int>, counts array<int>, first int, words array<binary>"
 STEP = "struct<filter: int, before: int, filter_order: string, step: int>"
 
 
 def local_shards(docs: DataFrame, keep: Sequence[str], text: str, flags: Mapping[str, Callable[[bytes], bool]]) -> DataFrame:
-    """Shards (LOCAL): row i, the document ``docs[i]`` of the ``keep`` columns and flags of its text (UTF-8), has
-    ``counts[starts[i]:starts[i + 1]]`` of the words in these ``columns`` of the shard's dictionary."""
+    """Shards (LOCAL). A document has a row: ``doc``, the ``keep`` columns and flags of its text (UTF-8), has ``counts`` of the
+    words in these ``columns`` of its shard's dictionary. Other rows, without a document, have this dictionary: ``words`` from
+    column ``first`` on."""
 
     def coded(texts: pa.Array) -> tuple[pa.DictionaryArray, list[int], list[list[bool]]]:
         raw = [(t or "").encode() for t in texts.to_pylist()]
@@ -53,7 +58,7 @@ def local_shards(docs: DataFrame, keep: Sequence[str], text: str, flags: Mapping
         words = pa.array([w for ws in found for w in ws], pa.binary()).dictionary_encode()
         return words, [len(ws) for ws in found], [[f(t) for t in raw] for f in flags.values()]
 
-    def shard(part: int, piece: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+    def shard(part: int, piece: int, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         pieces = [coded(batch.column(0)[at : at + n]) for at, n in slices(batch.column(0))]
         whole = pa.chunked_array([p[0] for p in pieces]).unify_dictionaries()  # exact, so a word has one number
         codes = np.concatenate([c.indices.to_numpy() for c in whole.chunks]) if whole.num_chunks else np.zeros(0, np.int64)
@@ -61,19 +66,26 @@ def local_shards(docs: DataFrame, keep: Sequence[str], text: str, flags: Mapping
         sizes = np.array([n for p in pieces for n in p[1]], np.int64)
         width = max(1, len(words))
         cells, counts = np.unique(np.repeat(np.arange(len(sizes)), sizes) * width + codes, return_counts=True)
-        starts = np.searchsorted(cells, np.arange(len(sizes) + 1) * width)
+        starts = pa.array(np.searchsorted(cells, np.arange(len(sizes) + 1) * width), pa.int32())
         told = [pa.array([x for p in pieces for x in p[2][i]], pa.bool_()) for i in range(len(flags))]
         kept = pa.StructArray.from_arrays([*batch.columns[1:], *told], names=[*keep, *flags])
-        one = lambda values: pa.ListArray.from_arrays([0, len(values)], values)
-        flat = [pa.array(x.astype(np.int32)) for x in (starts, cells % width, counts)]
-        arrays = [pa.array([part], pa.int32()), pa.array([piece], pa.int32()), one(kept), *map(one, flat), one(words)]
-        return pa.RecordBatch.from_arrays(arrays, names=["part", "piece", "docs", "starts", "columns", "counts", "words"])
+        columns, numbers = (pa.ListArray.from_arrays(starts, pa.array(x, pa.int32())) for x in (cells % width, counts))
+        first = np.arange(0, len(words), LISTED)
+        listed = pa.ListArray.from_arrays(pa.array(np.append(first, len(words)), pa.int32()), words)
+
+        def rows(n: int, **values: pa.Array) -> pa.RecordBatch:
+            of = {"part": pa.repeat(pa.scalar(part, pa.int32()), n), "piece": pa.repeat(pa.scalar(piece, pa.int32()), n)} | values
+            return pa.RecordBatch.from_arrays([of[c] if c in of else pa.nulls(n, kind) for c, kind in kinds.items()], names=list(kinds))
+
+        kinds = {"part": None, "piece": None, "doc": kept.type, "columns": columns.type, "counts": columns.type, "first": pa.int32(), "words": listed.type}
+        yield rows(len(kept), doc=kept, columns=columns, counts=numbers)
+        yield rows(len(listed), first=pa.array(first, pa.int32()), words=listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, piece = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at, n in slices(batch.column(0), SHARD_BYTES):
-                yield shard(part, piece, batch.slice(at, n))
+                yield from shard(part, piece, batch.slice(at, n))
                 piece += 1
 
     rows = docs.select(docs[text].cast("string").alias("_text"), *[docs[c] for c in keep])
@@ -90,40 +102,47 @@ class TermMatrix:
     def __init__(self, docs: DataFrame, keep: Sequence[str], text: str, flags: Mapping[str, Callable[[bytes], bool]] | None = None):
         self.local = materialize(local_shards(docs, keep, text, flags or {}), "local-shards")
         # a word comes once from each shard; all its rows meet in one task, which takes the number of one of them for all
-        named = self.local.select("part", "piece", F.posexplode("words").alias("pos", "word")).repartition("word")
+        named = self.local.filter("words IS NOT NULL").select("part", "piece", "first", F.posexplode("words").alias("at", "word"))
+        named = named.select("part", "piece", (F.col("first") + F.col("at")).alias("pos"), "word").repartition("word")
         term = F.min("id").over(Window.partitionBy("word"))
         named = named.withColumn("id", F.monotonically_increasing_id()).withColumn("term", term)
         self.named = materialize(named.select("part", "piece", "pos", "term", F.when(F.col("id") == F.col("term"), F.col("word")).alias("word")), "dictionary")
         self.dictionary = self.named.filter("word IS NOT NULL").select("word", "term")
-        self.docs = self.local.schema["docs"].dataType.elementType
+        self.docs = self.local.schema["doc"].dataType
 
-    def by_shard(self, of: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
-        """What ``of`` makes of each shard's row and the global numbers of its entries."""
+    def by_shard(self, of: Callable[[pa.Table, np.ndarray, np.ndarray, np.ndarray], pa.Table], schema: str) -> DataFrame:
+        """What ``of`` makes of each shard's rows of documents, where their entries start, and these entries' global numbers and counts."""
 
         def run(shard: pa.Table, named: pa.Table) -> pa.Table:
             own = np.zeros(named.num_rows, np.int64)
             own[named.column("pos").to_numpy()] = named.column("term").to_numpy()
-            return of(shard, own[shard.column("columns").combine_chunks().values.to_numpy()])
+            lists, counts = (shard.column(c).combine_chunks() for c in ("columns", "counts"))
+            starts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)])
+            return of(shard, starts, own[lists.flatten().to_numpy()], counts.flatten().to_numpy())
 
-        shards, named = self.local.drop("words"), self.named.select("part", "piece", "pos", "term")
+        shards = self.local.filter("doc IS NOT NULL").select("part", "piece", "doc", "columns", "counts")
+        named = self.named.select("part", "piece", "pos", "term")
         return shards.groupBy("part", "piece").cogroup(named.groupBy("part", "piece")).applyInArrow(run, schema)
 
     def shards(self) -> DataFrame:
-        """(part, piece, docs, starts, terms, counts): compressed sparse rows in global numbers."""
+        """(part, piece, docs, starts, terms, counts): compressed sparse rows in global numbers, about ENTRIES entries a row of the table."""
 
-        def of(shard: pa.Table, terms: np.ndarray) -> pa.Table:
-            flat = pa.ListArray.from_arrays([0, len(terms)], pa.array(terms))
-            return pa.table([*(shard.column(c) for c in ("part", "piece", "docs", "starts")), flat, shard.column("counts")], names=["part", "piece", "docs", "starts", "terms", "counts"])
+        def of(shard: pa.Table, starts: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> pa.Table:
+            cuts = np.append(np.flatnonzero(np.diff(starts[:-1] // ENTRIES, prepend=-1)), len(starts) - 1)
+            begun = pa.ListArray.from_arrays(np.append(0, np.cumsum(np.diff(cuts) + 1)).astype(np.int32), pa.array(np.concatenate([starts[a : b + 1] - starts[a] for a, b in itertools.pairwise(cuts)]), pa.int32()))
+            docs = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), shard.column("doc").combine_chunks())
+            flat = [pa.ListArray.from_arrays(pa.array(starts[cuts], pa.int32()), pa.array(x)) for x in (terms, counts)]
+            at = [shard.column(c).slice(0, len(cuts) - 1) for c in ("part", "piece")]
+            return pa.table([*at, docs, begun, *flat], names=["part", "piece", "docs", "starts", "terms", "counts"])
 
         return self.by_shard(of, f"part int, piece int, docs array<{self.docs.simpleString()}>, starts array<int>, terms array<long>, counts array<int>")
 
     def row_sums(self) -> DataFrame:
         """The documents with the sum of a row's counts and the number of its different terms: total, nonzero."""
 
-        def of(shard: pa.Table, terms: np.ndarray) -> pa.Table:
-            docs, starts, counts = (shard.column(c).combine_chunks().values for c in ("docs", "starts", "counts"))
-            starts = starts.to_numpy()
-            total = np.diff(np.concatenate([[0], np.cumsum(counts.to_numpy(), dtype=np.int64)])[starts])
+        def of(shard: pa.Table, starts: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> pa.Table:
+            docs = shard.column("doc").combine_chunks()
+            total = np.diff(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[starts])
             row = np.repeat(np.arange(len(docs)), np.diff(starts))
             order = np.lexsort((terms, row))
             first = np.ones(len(terms), bool)
